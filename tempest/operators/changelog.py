@@ -15,13 +15,14 @@ from tempest.operators.scan import DEFAULT_BLOCK, keyed_running
 
 def retract_count_avg(df: DataFrame, key: str = "id", field: str = "temperature", seq: str = "seq",
                       block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Changelog rows ``(flag, seq, id, cnt, avg_temp)`` of the per-key count/average."""
+    """Changelog rows ``(flag, seq, id, cnt, sum_temp, avg_temp)`` of the per-key count/average."""
     d = keyed_running(df, [key], {"_n0": ("count", F.col(field)), "_s0": ("sum", F.col(field))}, seq, inclusive=False, block=block)
     n1 = F.col("_n0") + F.when(F.col(field).isNotNull(), 1).otherwise(0)
     s1 = F.coalesce(F.col("_s0") + F.col(field), F.col("_s0"), F.col(field))
-    old = F.struct(F.lit(False).alias("flag"), F.col("_n0").alias("cnt"), (F.col("_s0") / F.col("_n0")).alias("avg_temp"))
-    new = F.struct(F.lit(True).alias("flag"), n1.alias("cnt"), (s1 / n1).alias("avg_temp"))
+    old = F.struct(F.lit(False).alias("flag"), F.col("_n0").alias("cnt"), F.col("_s0").alias("sum_temp"))
+    new = F.struct(F.lit(True).alias("flag"), n1.alias("cnt"), s1.alias("sum_temp"))
     rows = F.when(F.col("_n0") > 0, F.array(old, new)).otherwise(F.array(new))
     return d.select(seq, key, F.explode(rows).alias("_r")).select(
-        F.col("_r.flag").alias("flag"), seq, key, F.col("_r.cnt").cast("long").alias("cnt"), F.col("_r.avg_temp").alias("avg_temp")
+        F.col("_r.flag").alias("flag"), seq, key, F.col("_r.cnt").cast("long").alias("cnt"), F.col("_r.sum_temp").alias("sum_temp"),
+        (F.col("_r.sum_temp") / F.col("_r.cnt")).alias("avg_temp"),
     )

@@ -108,12 +108,12 @@ ORACLE["avg_temp_udaf"] = _with(SENSOR) + "SELECT id, round(sum(temperature) / c
 
 ORACLE["retract_changelog"] = _with(SENSOR) + f"""
 , r AS (
-  SELECT seq, id, count(*) OVER w AS n, sum(temperature) OVER w AS s,
-         sum(temperature) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s_prev
+  SELECT seq, id, count(*) OVER w AS n, round(sum(temperature) OVER w, 6) AS s,
+         round(sum(temperature) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS s_prev
   FROM sensor WINDOW w AS {W_SEQ})
-SELECT true AS flag, seq, id, n AS cnt, round(s / n, 6) AS avg_temp FROM r
+SELECT true AS flag, seq, id, n AS cnt, s AS sum_temp, round(s / n, 6) AS avg_temp FROM r
 UNION ALL
-SELECT false AS flag, seq, id, n - 1 AS cnt, round(s_prev / (n - 1), 6) AS avg_temp FROM r WHERE n > 1"""
+SELECT false AS flag, seq, id, n - 1 AS cnt, s_prev AS sum_temp, round(s_prev / (n - 1), 6) AS avg_temp FROM r WHERE n > 1"""
 
 ORACLE["tumble_count"] = _with(SENSOR) + f"""
 SELECT id, ("timestamp" // {DAY}) * {DAY} + {DAY} AS window_end, count(*) AS cnt FROM sensor GROUP BY ALL"""

@@ -168,7 +168,11 @@ def q_shard_count(spark, d):
 
 
 def q_retract_changelog(spark, d):
-    return changelog.retract_count_avg(sensor(spark, d)).select("flag", "seq", "id", "cnt", _r6("avg_temp"))
+    # average of the sum rounded to 6 decimals: exact for the 2-decimal driver data, and free of the
+    # last-bit noise of double sums that would move exact half-way averages across a rounding boundary
+    c = changelog.retract_count_avg(sensor(spark, d))
+    s6 = F.round("sum_temp", 6)
+    return c.select("flag", "seq", "id", "cnt", s6.alias("sum_temp"), F.round(s6 / F.col("cnt"), 6).alias("avg_temp"))
 
 
 def q_jump_alarm(spark, d):
