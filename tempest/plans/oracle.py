@@ -200,3 +200,7 @@ ORACLE["split_lateral"] = _with(SENSOR) + """
 SELECT seq, id, ts, word, CAST(length(word) AS INTEGER) AS length
 FROM (SELECT seq, id, "timestamp" AS ts, unnest(string_split(id, '_')) AS word FROM sensor)"""
 ORACLE["split_lateral_sql"] = ORACLE["split_lateral"]
+
+# Streaming twins read the same input and must give the batch twin's answer.
+for _name in ("keyed_count", "jump_alarm", "rolling_max_by", "retract_changelog", "count_window_slide", "rise_alarm", "over_rows"):
+    ORACLE[f"stream_{_name}"] = ORACLE[_name]

@@ -262,6 +262,70 @@ def q_split_lateral_sql(spark, d):
     )
 
 
+# ---------------------------------------------------------------- streaming twins (availableNow → parquet)
+
+
+def _stream(spark, d, name, key, processor, schema, event_time=False, table=False):
+    from tempest.streaming import runner
+
+    src = runner.stream_sensor(spark, d)
+    if table:
+        src = src.withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
+    if event_time:
+        src = runner.with_event_time(src, "ts" if table else "timestamp")
+    out = runner.keyed(src, key, processor, schema, "EventTime" if event_time else "None")
+    return runner.run_to_table(spark, out, name)
+
+
+def q_stream_keyed_count(spark, d):
+    from tempest.streaming.processors import KeyedCount
+
+    return _stream(spark, d, "keyed_count", "id", KeyedCount(), "seq long, id string, cnt long")
+
+
+def q_stream_jump_alarm(spark, d):
+    from tempest.streaming.processors import JumpAlarm
+
+    return _stream(spark, d, "jump_alarm", "id", JumpAlarm(JUMP_THRESHOLD), "id string, seq long, last_temp double, temperature double")
+
+
+def q_stream_rolling_max_by(spark, d):
+    from tempest.streaming.processors import RollingMaxBy
+
+    return _stream(spark, d, "rolling_max_by", "id", RollingMaxBy(),
+                   "seq long, id string, max_seq long, timestamp long, temperature double")
+
+
+def q_stream_retract_changelog(spark, d):
+    from tempest.streaming.processors import RetractCountAvg
+
+    c = _stream(spark, d, "retract_changelog", "id", RetractCountAvg(),
+                "flag boolean, seq long, id string, cnt long, sum_temp double, avg_temp double")
+    s6 = F.round("sum_temp", 6)
+    return c.select("flag", "seq", "id", "cnt", s6.alias("sum_temp"), F.round(s6 / F.col("cnt"), 6).alias("avg_temp"))
+
+
+def q_stream_count_window_slide(spark, d):
+    from tempest.streaming.processors import CountWindowSlide
+
+    c = _stream(spark, d, "count_window_slide", "id", CountWindowSlide(10, 2), "id string, seq long, avg_temp double")
+    return c.select("id", "seq", _r6("avg_temp"))
+
+
+def q_stream_rise_alarm(spark, d):
+    from tempest.streaming.processors import RiseAlarm
+
+    return _stream(spark, d, "rise_alarm", "id", RiseAlarm(RISE_INTERVAL), "id string, fire_ts long, message string", event_time=True)
+
+
+def q_stream_over_rows(spark, d):
+    from tempest.streaming.processors import OverRowsBuffered
+
+    c = _stream(spark, d, "over_rows", "id", OverRowsBuffered(2), "id string, ts long, seq long, cnt long, avg_temp double",
+                event_time=True, table=True)
+    return c.select("id", "ts", "seq", "cnt", _r6("avg_temp"))
+
+
 def q_rich_map(spark, d):
     return transforms.with_task_index(sensor(spark, d))
 
@@ -306,4 +370,11 @@ QUERIES: dict[str, Query] = {
     "split_lateral_sql": q_split_lateral_sql,
     "shard_count": q_shard_count,
     "rich_map": q_rich_map,
+    "stream_keyed_count": q_stream_keyed_count,
+    "stream_jump_alarm": q_stream_jump_alarm,
+    "stream_rolling_max_by": q_stream_rolling_max_by,
+    "stream_retract_changelog": q_stream_retract_changelog,
+    "stream_count_window_slide": q_stream_count_window_slide,
+    "stream_rise_alarm": q_stream_rise_alarm,
+    "stream_over_rows": q_stream_over_rows,
 }
