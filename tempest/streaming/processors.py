@@ -17,6 +17,12 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 from tempest.operators.alarms import RISE_INITIAL_LAST, RISE_MESSAGE_PARTS
 
 
+def _nonempty(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Yield ``pdf`` only when it has rows (an empty frame has no usable column types for Arrow)."""
+    if len(pdf):
+        yield pdf
+
+
 def _sorted(rows: Iterator[pd.DataFrame], by: str = "seq") -> pd.DataFrame:
     pdf = pd.concat(list(rows), ignore_index=True)
     return pdf.sort_values(by, kind="stable").reset_index(drop=True)
@@ -38,7 +44,7 @@ class KeyedCount(StatefulProcessor):
         base = got[0] if got is not None else 0
         n = len(pdf)
         self.count.update((base + n,))
-        yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), self.key: key[0], "cnt": np.arange(base + 1, base + n + 1, dtype="int64")})
+        yield from _nonempty(pd.DataFrame({"seq": pdf["seq"].to_numpy(), self.key: key[0], "cnt": np.arange(base + 1, base + n + 1, dtype="int64")}))
 
     def close(self) -> None:
         pass
@@ -60,7 +66,7 @@ class JumpAlarm(StatefulProcessor):
         prev = np.concatenate([[np.nan if got is None else got[0]], temps[:-1]])
         hit = ~np.isnan(prev) & (np.abs(temps - prev) >= self.threshold)
         self.last.update((float(temps[-1]),))
-        yield pd.DataFrame({"id": key[0], "seq": pdf["seq"].to_numpy()[hit], "last_temp": prev[hit], "temperature": temps[hit]})
+        yield from _nonempty(pd.DataFrame({"id": key[0], "seq": pdf["seq"].to_numpy()[hit], "last_temp": prev[hit], "temperature": temps[hit]}))
 
     def close(self) -> None:
         pass
@@ -83,7 +89,7 @@ class RollingMaxBy(StatefulProcessor):
                 bv, bs, bt = v, s, t
             out_s.append(bs), out_t.append(bt), out_v.append(bv)
         self.best.update((bv, bs, bt))
-        yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), "id": key[0], "max_seq": out_s, "timestamp": out_t, "temperature": out_v})
+        yield from _nonempty(pd.DataFrame({"seq": pdf["seq"].to_numpy(), "id": key[0], "max_seq": out_s, "timestamp": out_t, "temperature": out_v}))
 
     def close(self) -> None:
         pass
@@ -108,7 +114,7 @@ class KeyedReduce(StatefulProcessor):
             acc = rec if acc is None else self.fn(acc, rec)
             out.append({**acc, "seq": rec["seq"]} if "seq" in rec else acc)
         self.acc.update(tuple(acc[f] for f in self.fields))
-        yield pd.DataFrame(out)
+        yield from _nonempty(pd.DataFrame(out))
 
     def close(self) -> None:
         pass
@@ -132,7 +138,7 @@ class RetractCountAvg(StatefulProcessor):
             n, s = n + 1, s + v
             out.append((True, seq, key[0], n, s, s / n))
         self.acc.update((n, s))
-        yield pd.DataFrame(out, columns=["flag", "seq", "id", "cnt", "sum_temp", "avg_temp"])
+        yield from _nonempty(pd.DataFrame(out, columns=["flag", "seq", "id", "cnt", "sum_temp", "avg_temp"]))
 
     def close(self) -> None:
         pass
@@ -165,7 +171,7 @@ class CountWindowSlide(StatefulProcessor):
                 out.append((key[0], seq, sum(buf) / len(buf)))
         self.count.update((n,))
         self.recent.put([(x,) for x in buf])
-        yield pd.DataFrame(out, columns=["id", "seq", "avg_temp"])
+        yield from _nonempty(pd.DataFrame(out, columns=["id", "seq", "avg_temp"]))
 
     def close(self) -> None:
         pass
@@ -209,7 +215,7 @@ class RiseAlarm(StatefulProcessor):
                 fire = None
             last = v
         self.st.update((last, fire))
-        yield pd.DataFrame({"id": [key[0]] * len(alarms), "fire_ts": alarms, "message": [self._msg(key[0])] * len(alarms)})
+        yield from _nonempty(pd.DataFrame({"id": [key[0]] * len(alarms), "fire_ts": alarms, "message": [self._msg(key[0])] * len(alarms)}))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         got = self.st.get()
@@ -271,11 +277,11 @@ class OverRowsBuffered(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
         new = list(zip(pdf["ts"].tolist(), pdf["seq"].tolist(), pdf["temp"].tolist()))
-        yield self._flush(key, timerValues.getCurrentWatermarkInMs(), new)
+        yield from _nonempty(self._flush(key, timerValues.getCurrentWatermarkInMs(), new))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.armed.clear()
-        yield self._flush(key, max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()))
+        yield from _nonempty(self._flush(key, max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())))
 
     def close(self) -> None:
         pass
