@@ -5,10 +5,10 @@ The streaming twins are stateful processors in ``tempest.streaming.processors``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempest.operators.scan import DEFAULT_BLOCK, keyed_running, previous_row
+from tempest.operators.scan import BLK, DEFAULT_BLOCK, previous_row, with_block
 
 # The rise-alarm message `传感器<id>温度值连续<interval>s上升`, and the initial
 # "last temperature" (Double.MIN_VALUE, the smallest positive double).
@@ -37,44 +37,67 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
     arms ``ts + interval``; a fall with a timer cancels it; equal does nothing; ``last`` := temperature.
     At the end of the input a timer fires when its time is <= the largest ``ts`` of the whole input.
 
-    Plan: falls cut each key into segments (no timer survives a fall row, see above), so a segment
-    is replayed on its own by a JVM-side fold over its rows; a segment's last timer is settled by the
-    next segment's first row, or by the input's largest ``ts``. Two block scans (previous reading,
-    segment number), one grouped fold per (key, segment), one join on the unique (key, segment).
+    Plan: falls cut each key into segments (no timer survives a fall row), so each segment is
+    replayed on its own by a JVM-side fold over its rows; a segment's last timer is settled by the
+    next segment's first row, or by the input's largest ``ts``.
+
+    * one hash exchange on (key, block of ``block`` seq values): a window gives the in-block previous
+      reading and the in-block count of falls;
+    * a per-block summary of that window output (first/last reading, falls) needs no exchange; the
+      previous reading across blocks and the falls before a block come from a prefix over the blocks
+      of a key, on the summary only;
+    * each fall row also marks the end of the previous segment, so a single ``groupBy(key, segment)``
+      sees the segment's rows and the time it was cut — no self-join.
     """
-    d = previous_row(df, [key], [field], seq, block=block)
-    last = F.coalesce(F.col(f"prev_{field}"), F.lit(initial_last))
+    d = with_block(df, seq, block)
+    w = Window.partitionBy(key, BLK).orderBy(seq)
+    d = d.withColumns({"_lag": F.lag(field).over(w), "_pos": F.row_number().over(w)})
+    inner_fall = F.col("_lag").isNotNull() & _less(F.col(field), F.col("_lag"))
+    d = d.withColumn("_ifalls", F.sum(inner_fall.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+    blocks = d.groupBy(key, BLK).agg(
+        F.min(F.struct(F.col(seq), F.col(field).alias("v"))).getField("v").alias("_first"),
+        F.max(F.struct(F.col(seq), F.col(field).alias("v"))).getField("v").alias("_last"),
+        F.max("_ifalls").alias("_nf"),
+    )
+    over = Window.partitionBy(key).orderBy(BLK)
+    prev_last = F.coalesce(F.lag("_last").over(over), F.lit(initial_last))
+    blocks = blocks.withColumns({"_prev_last": prev_last, "_bfall": _less(F.col("_first"), prev_last).cast("long")})
+    blocks = blocks.withColumn(
+        "_falls_before", F.coalesce(F.sum(F.col("_nf") + F.col("_bfall")).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select(key, BLK, "_prev_last", "_bfall", "_falls_before")
+
+    r = d.join(blocks, [key, BLK], "inner")
+    last = F.when(F.col("_pos") == 1, F.col("_prev_last")).otherwise(F.col("_lag"))
     cur = F.col(field)
-    nan = F.isnan(cur) | F.isnan(last)  # the JDK's < and > are false with NaN; Spark orders NaN last
-    d = d.withColumns({
-        "_rise": ~nan & (cur > last),
-        "_fall": ~nan & (cur < last),
-    })
-    d = keyed_running(d, [key], {"_seg": ("sum", F.col("_fall").cast("long"))}, seq, block=block)
-
-    segs = d.groupBy(key, "_seg").agg(
-        F.min(F.struct(F.col(seq), F.col(ts))).getField(ts).alias("_first_ts"),
-        F.sort_array(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), F.col("_rise").alias("r")))).alias("_rows"),
+    r = r.select(
+        key, seq, ts,
+        (F.col("_falls_before") + F.col("_bfall") + F.col("_ifalls")).alias("_seg"),
+        _less(last, cur).alias("_rise"),
+        _less(cur, last).alias("_fall"),
     )
+    # a fall row is the first row of its segment and also the cut of the previous one
+    as_row = F.struct(F.col("_seg").alias("g"), F.lit(False).alias("cut"))
+    as_cut = F.struct((F.col("_seg") - 1).alias("g"), F.lit(True).alias("cut"))
+    r = r.select("*", F.explode(F.when(F.col("_fall"), F.array(as_row, as_cut)).otherwise(F.array(as_row))).alias("_e"))
+    member = ~F.col("_e.cut")
+    segs = r.groupBy(key, F.col("_e.g").alias("_seg")).agg(
+        F.sort_array(F.collect_list(F.when(member, F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), F.col("_rise").alias("r"))))).alias("_rows"),
+        F.min(F.when(F.col("_e.cut"), F.struct(F.col(seq), F.col(ts).alias("t")))).getField("t").alias("_next_ts"),
+    ).where(F.size("_rows") > 0)
     fold = F.aggregate(
         "_rows",
         F.struct(F.lit(None).cast("long").alias("fire"), F.array().cast("array<long>").alias("fires")),
-        lambda acc, r: _step(acc, r, interval),
+        lambda acc, row: _step(acc, row, interval),
     )
-    segs = segs.select(key, "_seg", "_first_ts", fold.alias("_st"))
-    nxt = segs.select(F.col(key).alias("_k2"), (F.col("_seg") - 1).alias("_seg2"), F.col("_first_ts").alias("_next_ts"))
     gmax = df.agg(F.max(ts).alias("_gmax"))  # one row
-    settled = (
-        segs.join(nxt, (segs[key] == nxt["_k2"]) & (segs["_seg"] == nxt["_seg2"]), "left")
-        .crossJoin(F.broadcast(gmax))
-        .select(
-            key,
-            F.when(
-                F.col("_st.fire").isNotNull()
-                & F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > F.col("_st.fire")).otherwise(F.col("_st.fire") <= F.col("_gmax")),
-                F.concat(F.col("_st.fires"), F.array(F.col("_st.fire"))),
-            ).otherwise(F.col("_st.fires")).alias("_fires"),
-        )
+    settled = segs.select(key, "_next_ts", fold.alias("_st")).crossJoin(F.broadcast(gmax)).select(
+        key,
+        F.when(
+            F.col("_st.fire").isNotNull()
+            & F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > F.col("_st.fire")).otherwise(F.col("_st.fire") <= F.col("_gmax")),
+            F.concat(F.col("_st.fires"), F.array(F.col("_st.fire"))),
+        ).otherwise(F.col("_st.fires")).alias("_fires"),
     )
     out = settled.select(key, F.explode("_fires").alias("fire_ts"))
     return out.withColumn(
@@ -83,6 +106,11 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
     )
 
 
+def _less(a, b):
+    """JDK ``a < b`` on doubles: false when either side is NaN (Spark orders NaN above everything)."""
+    return ~F.isnan(a) & ~F.isnan(b) & (a < b)
+
+
 def _step(acc, r, interval: int):
     fire = acc["fire"]
     due = fire.isNotNull() & (r["t"] > fire)

@@ -17,18 +17,18 @@ def rolling_sum(df: DataFrame, key: str = "id", field: str = "temperature", seq:
     """``keyBy(key).sum(field)``: per record, the first record of the key with ``field`` replaced by
     the running sum (the other fields stay those of the key's first record)."""
     others = [c for c in df.columns if c not in (key, field, seq)]
-    first = F.struct(F.col(seq).alias("_s"), *[F.col(c) for c in others])
-    out = keyed_running(df, [key], {"_sum": ("sum", F.col(field)), "_first": ("min", first)}, seq, block=block)
-    return out.select(seq, key, *[F.col("_first")[c].alias(c) for c in others], F.col("_sum").alias(field))
+    firsts = {f"_first_{c}": ("first", F.col(c)) for c in others}
+    out = keyed_running(df, [key], {"_sum": ("sum", F.col(field)), **firsts}, seq, block=block)
+    return out.select(seq, key, *[F.col(f"_first_{c}").alias(c) for c in others], F.col("_sum").alias(field))
 
 
 def rolling_max(df: DataFrame, key: str = "id", field: str = "temperature", seq: str = "seq",
                 block: int = DEFAULT_BLOCK) -> DataFrame:
     """``keyBy(key).max(field)``: running maximum of ``field``; other fields from the key's first record."""
     others = [c for c in df.columns if c not in (key, field, seq)]
-    first = F.struct(F.col(seq).alias("_s"), *[F.col(c) for c in others])
-    out = keyed_running(df, [key], {"_max": ("max", F.col(field)), "_first": ("min", first)}, seq, block=block)
-    return out.select(seq, key, *[F.col("_first")[c].alias(c) for c in others], F.col("_max").alias(field))
+    firsts = {f"_first_{c}": ("first", F.col(c)) for c in others}
+    out = keyed_running(df, [key], {"_max": ("max", F.col(field)), **firsts}, seq, block=block)
+    return out.select(seq, key, *[F.col(f"_first_{c}").alias(c) for c in others], F.col("_max").alias(field))
 
 
 def rolling_max_by(df: DataFrame, key: str = "id", field: str = "temperature", seq: str = "seq",

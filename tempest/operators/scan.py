@@ -4,14 +4,14 @@ A plain ``Window.partitionBy(key).orderBy(seq)`` sends every row of a key to one
 holds a third of all readings, one task does a third of the job. Instead the arrival sequence is cut
 into blocks of ``block`` consecutive ``seq`` values, and:
 
-1. each (key, block) is summarised with a partial (map-side combined) aggregate — a few rows per block;
-2. an exclusive prefix over the blocks of a key is taken on that small summary;
-3. the summary is joined back on (key, block), and a window over (key, block) — at most ``block``
-   rows, because ``seq`` is a unique integer — finishes the prefix inside the block.
+1. a window over (key, block) — at most ``block`` rows, because ``seq`` is a unique integer — gives
+   the running aggregate inside the block;
+2. each (key, block) is summarised from that window output — one row per block;
+3. an exclusive prefix over the blocks of a key is taken on that small summary and joined back.
 
-The join and the in-block window share one hash exchange on (key, block), so the data is shuffled once.
+The window, the summary and the join share one hash exchange on (key, block): the data is shuffled once.
 Supported aggregates are the associative ones: ``sum``, ``count``, ``max``, ``min`` (``max``/``min`` also
-on structs, which gives arg-max / last-row-before with a leading order field).
+on structs, for arg-max with tie rules) and ``first``/``last`` by arrival sequence.
 """
 
 from __future__ import annotations
@@ -57,33 +57,67 @@ def keyed_running(
 ) -> DataFrame:
     """Add one column per entry of ``aggs`` = running aggregate per ``keys`` in ``order_cols`` order.
 
-    ``aggs``: name → (kind, column expression). ``seq_col`` must be an integer column whose blocks are
-    monotone in ``order_cols`` (default order: ``seq_col`` alone). ``inclusive=False`` gives the
-    aggregate over the rows strictly before the current one (null/0 for the first row of a key).
-    With ``keys=[]`` the scan is global, and step 2 runs over the per-block summary only.
+    ``aggs``: name → (kind, column expression); kinds ``sum``, ``count``, ``max``, ``min`` and
+    ``first`` / ``last`` (the value at the least / greatest ``seq_col`` of the frame — these need
+    ``order_cols`` to be ``[seq_col]``, a unique integer). ``seq_col`` blocks must be monotone in
+    ``order_cols`` (default order: ``seq_col`` alone). ``inclusive=False`` gives the aggregate over the
+    rows strictly before the current one (null/0 for the first row of a key). With ``keys=[]`` the scan
+    is global, and the prefix over blocks runs over the per-block summary only.
+
+    ``first``/``last`` use ``min_by``/``max_by`` on a primitive value, so the per-block summary stays a
+    hash aggregate; a struct ``max`` works too but its buffer forces a sort-based aggregate.
     """
     keys = list(keys)
     order_cols = list(order_cols or [seq_col])
-    d = with_block(df, seq_col, block)
     names = list(aggs)
+    kinds = {n: aggs[n][0] for n in names}
+    positional = [n for n in names if kinds[n] in ("first", "last")]
+    if positional and order_cols != [seq_col]:
+        raise ValueError("first/last need order_cols == [seq_col]")
     tmp = {n: f"_agg_{i}" for i, n in enumerate(names)}
-    d = d.withColumns({tmp[n]: aggs[n][1] for n in names})
-
-    summary = d.groupBy(*keys, BLK).agg(*[_PARTIAL[aggs[n][0]](F.col(tmp[n])).alias(tmp[n]) for n in names])
+    d = with_block(df, seq_col, block).withColumns({tmp[n]: aggs[n][1] for n in names})
+    seq = F.col(seq_col)
+
+    def part(n: str, c: Column) -> Column:
+        k = kinds[n]
+        if k == "first":
+            return F.min_by(c, seq)
+        if k == "last":
+            return F.max_by(c, seq)
+        return _PARTIAL[k](c)
+
+    aux = [F.count(F.lit(1)).alias("_rows")] if positional else []
+    totals = d.groupBy(*keys, BLK).agg(*[part(n, F.col(tmp[n])).alias(tmp[n]) for n in names], *aux,
+                                       *([F.min(seq).alias("_s0"), F.max(seq).alias("_s1")] if positional else []))
     over_blocks = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = summary.select(
-        *keys, BLK, *[_OVER_BLOCKS[aggs[n][0]](F.col(tmp[n])).over(over_blocks).alias(f"_pre_{i}") for i, n in enumerate(names)]
+
+    def over(n: str) -> Column:
+        k = kinds[n]
+        if k == "first":
+            return F.min_by(F.col(tmp[n]), F.col("_s0")).over(over_blocks)
+        if k == "last":
+            return F.max_by(F.col(tmp[n]), F.col("_s1")).over(over_blocks)
+        return _OVER_BLOCKS[k](F.col(tmp[n])).over(over_blocks)
+
+    prefix = totals.select(
+        *keys, BLK, *[over(n).alias(f"_pre_{i}") for i, n in enumerate(names)],
+        *([F.sum("_rows").over(over_blocks).alias("_pre_rows")] if positional else []),
     )
 
-    joined = d.join(prefix, [*keys, BLK], "inner")
     in_block = Window.partitionBy(*keys, BLK).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    out = joined.withColumns(
-        {
-            n: _combine(aggs[n][0], F.col(f"_pre_{i}"), _PARTIAL[aggs[n][0]](F.col(tmp[n])).over(in_block))
-            for i, n in enumerate(names)
-        }
-    )
-    return out.drop(BLK, *tmp.values(), *[f"_pre_{i}" for i in range(len(names))])
+    out = d.join(prefix, [*keys, BLK], "inner")
+    cols = {}
+    for i, n in enumerate(names):
+        k, pre = kinds[n], F.col(f"_pre_{i}")
+        cur = part(n, F.col(tmp[n])).over(in_block)
+        if k == "first":
+            cols[n] = F.when(F.coalesce(F.col("_pre_rows"), F.lit(0)) > 0, pre).otherwise(cur)
+        elif k == "last":
+            cols[n] = F.when(F.count(F.lit(1)).over(in_block) > 0, cur).otherwise(pre)
+        else:
+            cols[n] = _combine(k, pre, cur)
+    out = out.withColumns(cols)
+    return out.drop(BLK, *tmp.values(), *[f"_pre_{i}" for i in range(len(names))], *(["_pre_rows"] if positional else []))
 
 
 def keyed_rank(df: DataFrame, keys: Sequence[str], seq_col: str = "seq", order_cols: Sequence[str] | None = None,
@@ -93,13 +127,8 @@ def keyed_rank(df: DataFrame, keys: Sequence[str], seq_col: str = "seq", order_c
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], fields: Sequence[str], seq_col: str = "seq",
-                 order_cols: Sequence[str] | None = None, prefix: str = "prev_", block: int = DEFAULT_BLOCK) -> DataFrame:
-    """``lag(field, 1)`` per key for each of ``fields`` without a per-key window.
-
-    The previous row is the arg-max of the order columns over the rows before the current one, so it
-    is an associative running ``max`` of ``struct(order..., fields...)``.
-    """
-    order_cols = list(order_cols or [seq_col])
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)], *[F.col(f) for f in fields])
-    out = keyed_running(df, keys, {"_prev": ("max", packed)}, seq_col, order_cols, False, block)
-    return out.withColumns({f"{prefix}{f}": F.col("_prev")[f] for f in fields}).drop("_prev")
+                 prefix: str = "prev_", block: int = DEFAULT_BLOCK) -> DataFrame:
+    """``lag(field, 1)`` per key in ``seq_col`` order, for each of ``fields``, without a per-key window:
+    the value at the greatest ``seq`` before the current row (an associative running ``last``)."""
+    aggs = {f"{prefix}{f}": ("last", F.col(f)) for f in fields}
+    return keyed_running(df, keys, aggs, seq_col, [seq_col], inclusive=False, block=block)

@@ -34,8 +34,14 @@ TEXT_END = "}"
 
 
 def epoch_seconds(ts: Column) -> Column:
-    """Whole epoch seconds of a TIMESTAMP_NTZ column, independent of the session time zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    """Whole epoch seconds of a TIMESTAMP_NTZ column (wall time read as UTC).
+
+    Built from the date and time-of-day fields, which never pass through the session time zone (a
+    cast to TIMESTAMP would, and would shift by the zone's DST offset)."""
+    return (
+        F.unix_date(ts.cast("date")).cast("long") * F.lit(86400)
+        + F.hour(ts) * F.lit(3600) + F.minute(ts) * F.lit(60) + F.second(ts)
+    )
 
 
 def sensor_view(events: DataFrame) -> DataFrame:

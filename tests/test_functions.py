@@ -47,3 +47,15 @@ def test_split_sql_expr_matches_column_form(spark):
     df = spark.createDataFrame([("sensor_10",), ("a__b__",), ("",), ("___",)], "id string")
     a = df.select(F.expr(split_sql_expr("id", "_")).alias("x")).collect()
     assert [[p.word for p in r.x] for r in a] == [["sensor", "10"], ["a", "", "b"], [""], []]
+
+
+def test_epoch_seconds_ignores_session_zone(spark):
+    from tempest.readings import epoch_seconds
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-07-01 00:00:07.9' AS ts UNION ALL SELECT TIMESTAMP_NTZ'1969-12-31 23:59:59.5'")
+        assert [r[0] for r in df.select(epoch_seconds(F.col("ts"))).collect()] == [1719792007, -1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
