@@ -285,3 +285,73 @@ class OverRowsBuffered(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class LateWindowMinBy(StatefulProcessor):
+    """Event-time tumbling window with allowed lateness and a late output, ``minBy(temperature)`` (W6).
+
+    Spark drops input rows behind its watermark before any stateful operator sees them, which would
+    make a late output impossible. So the input watermark is set ``retention`` seconds further back
+    (``delay + retention``; see :func:`late_window_stream`) and the processor adds ``retention`` back:
+    ``wm = spark_wm + retention`` is the reference's ``max event time - delay``. Rows later than
+    ``retention`` behind are still dropped by Spark; between ``lateness`` and ``retention`` they reach
+    the late output.
+
+    Map state: window start → best record and whether the window has fired. A window fires when
+    ``wm >= end - 1 ms`` (event-time timer), fires again for every allowed-late row, and its state is
+    dropped once ``wm >= end - 1 ms + lateness``. Output ``(tag, id, window_end, seq, timestamp,
+    temperature)``, tag ``main`` or ``late``. The watermark advances per micro-batch.
+    """
+
+    def __init__(self, size: int, lateness: int, retention: int):
+        self.size, self.lateness, self.retention = size, lateness, retention
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.win = handle.getMapState("win", "start long", "v double, a long, s long, t long, fired boolean")
+
+    def _ms(self, sec: int) -> int:
+        return sec * 1000 - self.retention * 1000  # reference-watermark time → Spark timer time
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival", "seq"], kind="stable")
+        wm = timerValues.getCurrentWatermarkInMs() + self.retention * 1000
+        out = []
+        for a, s, t, v in zip(pdf["arrival"].tolist(), pdf["seq"].tolist(), pdf["timestamp"].tolist(), pdf["temperature"].tolist()):
+            start = (t // self.size) * self.size
+            end = start + self.size
+            if end * 1000 - 1 + self.lateness * 1000 <= wm:
+                out.append(("late", key[0], None, s, t, v))
+                continue
+            cur = self.win.getValue((start,)) if self.win.containsKey((start,)) else None
+            if cur is None:
+                best, fired = (v, a, s, t), False
+                self.handle.registerTimer(self._ms(end) - 1)
+                self.handle.registerTimer(self._ms(end + self.lateness) - 1)
+            else:
+                best, fired = (cur[0], cur[1], cur[2], cur[3]), cur[4]
+                if v < best[0]:
+                    best = (v, a, s, t)
+            if fired or end * 1000 - 1 <= wm:
+                out.append(("main", key[0], end, best[2], best[3], best[0]))
+                fired = True
+            self.win.updateValue((start,), (*best, fired))
+        yield from _nonempty(pd.DataFrame(out, columns=["tag", "id", "window_end", "seq", "timestamp", "temperature"]))
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs() + self.retention * 1000
+        out = []
+        for (start,), cur in list(self.win.iterator()):
+            end = start + self.size
+            fired = cur[4]
+            if not fired and end * 1000 - 1 <= wm:  # fire first, then purge (a jump may pass both)
+                out.append(("main", key[0], end, cur[2], cur[3], cur[0]))
+                fired = True
+            if end * 1000 - 1 + self.lateness * 1000 <= wm:
+                self.win.removeKey((start,))
+            elif fired != cur[4]:
+                self.win.updateValue((start,), (cur[0], cur[1], cur[2], cur[3], True))
+        yield from _nonempty(pd.DataFrame(out, columns=["tag", "id", "window_end", "seq", "timestamp", "temperature"]))
+
+    def close(self) -> None:
+        pass

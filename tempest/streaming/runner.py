@@ -59,3 +59,16 @@ def keyed(stream: DataFrame, key: str, processor: StatefulProcessor, schema: str
 
 def with_event_time(stream: DataFrame, ts: str = "timestamp", name: str = "rt", delay: str = "0 seconds") -> DataFrame:
     return stream.withColumn(name, F.timestamp_seconds(F.col(ts))).withWatermark(name, delay)
+
+
+def late_window_stream(stream: DataFrame, size: int, delay: int, lateness: int, retention: int | None = None,
+                       key: str = "id", ts: str = "timestamp") -> DataFrame:
+    """Streaming W6: tagged ``main``/``late`` emissions of the event-time min-by window (needs columns
+    ``id, timestamp, temperature, seq, arrival``). ``retention`` (default ``10 * (size + lateness)``)
+    bounds how far behind the watermark a row may arrive and still reach the late output."""
+    from tempest.streaming.processors import LateWindowMinBy
+
+    retention = retention if retention is not None else 10 * (size + lateness)
+    s = stream.withColumn("_rt", F.timestamp_seconds(F.col(ts))).withWatermark("_rt", f"{delay + retention} seconds")
+    schema = "tag string, id string, window_end long, seq long, timestamp long, temperature double"
+    return keyed(s, key, LateWindowMinBy(size, lateness, retention), schema, "EventTime")

@@ -88,3 +88,17 @@ def test_csv_landing_source(spark, tmp_path):
     land(str(tmp_path / "in2"), [(i, t, v, 0) for _, i, t, v in SENSOR_ROWS], 2)
     s = stream_readings_csv(spark, str(tmp_path / "in2"), 1)
     assert s.isStreaming and s.columns == ["id", "timestamp", "temperature"]
+
+
+def test_late_window_stream_one_row_per_batch(spark, tmp_path):
+    """FIXTURES.md W6 table: with one reading per micro-batch the watermark is the per-record one."""
+    folder = str(tmp_path / "in")
+    land(folder, SENSOR_ROWS, len(SENSOR_ROWS))
+    s = stream_of(spark, folder)
+    s = s.withColumn("arrival", s["seq"])
+    out = run(spark, tmp_path, "w6", runner.late_window_stream(s, 5, 2, 60))
+    got = sorted((r.tag, r.id, (r.window_end or 0) - 1547718000, r.seq) for r in out.collect())
+    main = [("main", "sensor_1", 200, 0), ("main", "sensor_6", 205, 1), ("main", "sensor_7", 205, 2), ("main", "sensor_10", 210, 3),
+            ("main", "sensor_1", 210, 5), ("main", "sensor_1", 205, 9), ("main", "sensor_1", 215, 7), ("main", "sensor_6", 220, 8)]
+    late = [("late", "sensor_1", -1547718000, 11)]
+    assert got == sorted(main + late)
