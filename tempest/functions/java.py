@@ -24,11 +24,19 @@ def java_split(s: ColumnOrName, regex: str) -> Column:
     """
     s = _col(s)
     stripped = F.regexp_replace(s, f"(?:{regex})+\\z", "")
-    return (
+    exact = (
         F.when(s == F.lit(""), F.array(F.lit("")))
         .when(stripped == F.lit(""), F.array().cast("array<string>"))
         .otherwise(F.split(stripped, regex, -1))
     )
+    if len(regex) == 1 and regex not in _REGEX_META:
+        # a literal one-character separator: only a string ending with it can have trailing empties,
+        # so the plain split (the JDK's own fast path) serves every other string
+        return F.when(s.endswith(regex), exact).otherwise(F.split(s, regex, -1))
+    return exact
+
+
+_REGEX_META = set(".$|()[]{}^?*+\\")
 
 
 def java_length(s: ColumnOrName) -> Column:
