@@ -53,7 +53,18 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str, run: StreamR
     return spark.read.schema(stream.schema).parquet(run.output)
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
+def ensure_rocksdb_state(spark: SparkSession) -> None:
+    """``transformWithState`` needs the RocksDB state store; set it when the session uses another one."""
+    if spark.conf.get(_PROVIDER_CONF, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(_PROVIDER_CONF, ROCKSDB_PROVIDER)
+
+
 def keyed(stream: DataFrame, key: str, processor: StatefulProcessor, schema: str, time_mode: str = "None") -> DataFrame:
+    ensure_rocksdb_state(stream.sparkSession)
     return stream.groupBy(key).transformWithStateInPandas(processor, schema, "append", time_mode)
 
 
