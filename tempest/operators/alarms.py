@@ -90,16 +90,18 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
         F.struct(F.lit(None).cast("long").alias("fire"), F.array().cast("array<long>").alias("fires")),
         lambda acc, row: _step(acc, row, interval),
     )
-    gmax = df.agg(F.max(ts).alias("_gmax"))  # one row
-    settled = segs.select(key, "_next_ts", fold.alias("_st")).crossJoin(F.broadcast(gmax)).select(
+    gmax = df.agg(F.max(ts)).scalar()  # scalar subquery: the input's largest event time
+    settled = segs.select(key, "_next_ts", fold.alias("_st")).select(
         key,
         F.when(
             F.col("_st.fire").isNotNull()
-            & F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > F.col("_st.fire")).otherwise(F.col("_st.fire") <= F.col("_gmax")),
+            & F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > F.col("_st.fire")).otherwise(F.col("_st.fire") <= gmax),
             F.concat(F.col("_st.fires"), F.array(F.col("_st.fire"))),
         ).otherwise(F.col("_st.fires")).alias("_fires"),
     )
-    out = settled.select(key, F.explode("_fires").alias("fire_ts"))
+    # explode_outer + filter: a plain explode makes the optimizer infer size(_fires) > 0 and push it
+    # below the projection, which would evaluate the fold once more per reference
+    out = settled.select(key, F.explode_outer("_fires").alias("fire_ts")).where(F.col("fire_ts").isNotNull())
     return out.withColumn(
         "message",
         F.concat(F.lit(RISE_MESSAGE_PARTS[0]), F.col(key), F.lit(RISE_MESSAGE_PARTS[1]), F.lit(str(interval)), F.lit(RISE_MESSAGE_PARTS[2])),
