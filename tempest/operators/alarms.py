@@ -51,39 +51,57 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
     """
     d = with_block(df, seq, block)
     w = Window.partitionBy(key, BLK).orderBy(seq)
-    d = d.withColumns({"_lag": F.lag(field).over(w), "_pos": F.row_number().over(w)})
+    d = d.withColumns({"_lag": F.lag(field).over(w), "_tlag": F.lag(ts).over(w), "_pos": F.row_number().over(w)})
     inner_fall = F.col("_lag").isNotNull() & _less(F.col(field), F.col("_lag"))
     d = d.withColumn("_ifalls", F.sum(inner_fall.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
     blocks = d.groupBy(key, BLK).agg(
         F.min(F.struct(F.col(seq), F.col(field).alias("v"))).getField("v").alias("_first"),
-        F.max(F.struct(F.col(seq), F.col(field).alias("v"))).getField("v").alias("_last"),
+        F.max(F.struct(F.col(seq), F.col(field).alias("v"), F.col(ts).alias("t"))).alias("_lastrow"),
         F.max("_ifalls").alias("_nf"),
     )
     over = Window.partitionBy(key).orderBy(BLK)
-    prev_last = F.coalesce(F.lag("_last").over(over), F.lit(initial_last))
-    blocks = blocks.withColumns({"_prev_last": prev_last, "_bfall": _less(F.col("_first"), prev_last).cast("long")})
+    prev_last = F.coalesce(F.lag("_lastrow").over(over).getField("v"), F.lit(initial_last))
+    blocks = blocks.withColumns({
+        "_prev_last": prev_last,
+        "_prev_last_t": F.lag("_lastrow").over(over).getField("t"),
+        "_bfall": _less(F.col("_first"), prev_last).cast("long"),
+    })
     blocks = blocks.withColumn(
         "_falls_before", F.coalesce(F.sum(F.col("_nf") + F.col("_bfall")).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select(key, BLK, "_prev_last", "_bfall", "_falls_before")
+    ).select(key, BLK, "_prev_last", "_prev_last_t", "_bfall", "_falls_before")
 
     r = d.join(blocks, [key, BLK], "inner")
-    last = F.when(F.col("_pos") == 1, F.col("_prev_last")).otherwise(F.col("_lag"))
+    first_in_block = F.col("_pos") == 1
+    last = F.when(first_in_block, F.col("_prev_last")).otherwise(F.col("_lag"))
+    last_t = F.when(first_in_block, F.col("_prev_last_t")).otherwise(F.col("_tlag"))
     cur = F.col(field)
     r = r.select(
         key, seq, ts,
         (F.col("_falls_before") + F.col("_bfall") + F.col("_ifalls")).alias("_seg"),
         _less(last, cur).alias("_rise"),
         _less(cur, last).alias("_fall"),
+        F.coalesce(F.col(ts) < last_t, F.lit(False)).alias("_back"),
     )
     # a fall row is the first row of its segment and also the cut of the previous one
     as_row = F.struct(F.col("_seg").alias("g"), F.lit(False).alias("cut"))
     as_cut = F.struct((F.col("_seg") - 1).alias("g"), F.lit(True).alias("cut"))
     r = r.select("*", F.explode(F.when(F.col("_fall"), F.array(as_row, as_cut)).otherwise(F.array(as_row))).alias("_e"))
-    member = ~F.col("_e.cut")
-    segs = r.groupBy(key, F.col("_e.g").alias("_seg")).agg(
-        F.sort_array(F.collect_list(F.when(member, F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), F.col("_rise").alias("r"))))).alias("_rows"),
-        F.min(F.when(F.col("_e.cut"), F.struct(F.col(seq), F.col(ts).alias("t")))).getField("t").alias("_next_ts"),
+    r = r.withColumns({"_g": F.col("_e.g"), "_cut": F.col("_e.cut")})
+    member = ~F.col("_cut")
+    # In a segment whose times never go back, equal readings cannot change any alarm (a timer they
+    # would fire is fired just as well by the next rise or by the segment's last time), so only its
+    # rises are folded: a sensor stuck at one value makes no group at all. Other segments fold every row.
+    info = r.where(member).groupBy(key, "_g").agg(
+        (~F.max(F.col("_back") & (F.col("_e.g") == F.col("_seg")) & ~F.col("_fall"))).alias("_mono"),
+        F.max(ts).alias("_seg_max_t"),
+    )
+    r = r.join(info, [key, "_g"], "inner").where(F.col("_cut") | F.col("_rise") | ~F.col("_mono"))
+    segs = r.groupBy(key, "_g").agg(
+        F.sort_array(F.collect_list(F.when(~F.col("_cut"), F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), F.col("_rise").alias("r"))))).alias("_rows"),
+        F.min(F.when(F.col("_cut"), F.struct(F.col(seq), F.col(ts).alias("t")))).getField("t").alias("_next_ts"),
+        F.first("_mono").alias("_mono"),
+        F.first("_seg_max_t").alias("_seg_max_t"),
     ).where(F.size("_rows") > 0)
     fold = F.aggregate(
         "_rows",
@@ -91,11 +109,14 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
         lambda acc, row: _step(acc, row, interval),
     )
     gmax = df.agg(F.max(ts)).scalar()  # scalar subquery: the input's largest event time
-    settled = segs.select(key, "_next_ts", fold.alias("_st")).select(
+    settled = segs.select(key, "_next_ts", "_mono", "_seg_max_t", fold.alias("_st")).select(
         key,
         F.when(
             F.col("_st.fire").isNotNull()
-            & F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > F.col("_st.fire")).otherwise(F.col("_st.fire") <= gmax),
+            & (
+                (F.col("_mono") & (F.col("_seg_max_t") > F.col("_st.fire")))
+                | F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > F.col("_st.fire")).otherwise(F.col("_st.fire") <= gmax)
+            ),
             F.concat(F.col("_st.fires"), F.array(F.col("_st.fire"))),
         ).otherwise(F.col("_st.fires")).alias("_fires"),
     )
