@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempest.operators.scan import BLK, DEFAULT_BLOCK, previous_row, with_block
+from tempest.session import checkpoint_dir
 
 # The rise-alarm message `传感器<id>温度值连续<interval>s上升`, and the initial
 # "last temperature" (Double.MIN_VALUE, the smallest positive double).
@@ -87,13 +88,17 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
     as_row = F.struct(F.col("_seg").alias("g"), F.lit(False).alias("cut"))
     as_cut = F.struct((F.col("_seg") - 1).alias("g"), F.lit(True).alias("cut"))
     r = r.select("*", F.explode(F.when(F.col("_fall"), F.array(as_row, as_cut)).otherwise(F.array(as_row))).alias("_e"))
-    r = r.withColumns({"_g": F.col("_e.g"), "_cut": F.col("_e.cut")})
+    r = r.withColumns({"_g": F.col("_e.g"), "_cut": F.col("_e.cut")}).drop("_e")
+    # the per-row segment data feeds both the segment summary and the grouped fold: materialize it once
+    # in the shared checkpoint folder instead of computing the scans twice
+    checkpoint_dir(df.sparkSession)
+    r = r.checkpoint(eager=True)
     member = ~F.col("_cut")
     # In a segment whose times never go back, equal readings cannot change any alarm (a timer they
     # would fire is fired just as well by the next rise or by the segment's last time), so only its
     # rises are folded: a sensor stuck at one value makes no group at all. Other segments fold every row.
     info = r.where(member).groupBy(key, "_g").agg(
-        (~F.max(F.col("_back") & (F.col("_e.g") == F.col("_seg")) & ~F.col("_fall"))).alias("_mono"),
+        (~F.max(F.col("_back") & (F.col("_g") == F.col("_seg")) & ~F.col("_fall"))).alias("_mono"),
         F.max(ts).alias("_seg_max_t"),
     )
     r = r.join(info, [key, "_g"], "inner").where(F.col("_cut") | F.col("_rise") | ~F.col("_mono"))
