@@ -5,11 +5,11 @@ The streaming twins are stateful processors in ``tempest.streaming.processors``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempest.operators.scan import BLK, DEFAULT_BLOCK, previous_row, with_block
-from tempest.session import checkpoint_dir
+from tempest.session import materialize
 
 # The rise-alarm message `传感器<id>温度值连续<interval>s上升`, and the initial
 # "last temperature" (Double.MIN_VALUE, the smallest positive double).
@@ -30,7 +30,7 @@ def jump_alarm(df: DataFrame, threshold: float = 10.0, key: str = "id", field: s
 
 def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str = "temperature",
                ts: str = "timestamp", seq: str = "seq", initial_last: float = RISE_INITIAL_LAST,
-               block: int = DEFAULT_BLOCK) -> DataFrame:
+               block: int = DEFAULT_BLOCK, long_segment: int = 1 << 16, materialize_rows: bool = True) -> DataFrame:
     """Alarm when a key's temperature keeps rising for ``interval`` seconds of event time.
 
     Per key, in arrival order, with state ``last`` (starts at ``initial_last``) and a timer:
@@ -47,8 +47,12 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
     * a per-block summary of that window output (first/last reading, falls) needs no exchange; the
       previous reading across blocks and the falls before a block come from a prefix over the blocks
       of a key, on the summary only;
-    * each fall row also marks the end of the previous segment, so a single ``groupBy(key, segment)``
-      sees the segment's rows and the time it was cut — no self-join.
+    * each fall row also marks the end of the previous segment, so one ``groupBy(key, segment)``
+      gives each segment's summary and the time it was cut — no self-join;
+    * segments are replayed by a JVM-side fold over their rows, except time-ordered segments with more
+      than ``long_segment`` rises: there the arms form a greedy chain (next arm = first rise more than
+      ``interval`` after the current one), marked by pointer doubling (:func:`_greedy_chain`), so no
+      group holds a long segment.
     """
     d = with_block(df, seq, block)
     w = Window.partitionBy(key, BLK).orderBy(seq)
@@ -89,45 +93,58 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
     as_cut = F.struct((F.col("_seg") - 1).alias("g"), F.lit(True).alias("cut"))
     r = r.select("*", F.explode(F.when(F.col("_fall"), F.array(as_row, as_cut)).otherwise(F.array(as_row))).alias("_e"))
     r = r.withColumns({"_g": F.col("_e.g"), "_cut": F.col("_e.cut")}).drop("_e")
-    # the per-row segment data feeds both the segment summary and the grouped fold: materialize it once
-    # in the shared checkpoint folder instead of computing the scans twice
-    checkpoint_dir(df.sparkSession)
-    r = r.checkpoint(eager=True)
+    # the per-row segment data feeds both the segment summary and the grouped fold: write it once to
+    # the shared checkpoint folder instead of computing the scans twice
+    if materialize_rows:
+        r = materialize(r, "rise-rows")
     member = ~F.col("_cut")
     # In a segment whose times never go back, equal readings cannot change any alarm (a timer they
     # would fire is fired just as well by the next rise or by the segment's last time), so only its
-    # rises are folded: a sensor stuck at one value makes no group at all. Other segments fold every row.
-    info = r.where(member).groupBy(key, "_g").agg(
-        (~F.max(F.col("_back") & (F.col("_g") == F.col("_seg")) & ~F.col("_fall"))).alias("_mono"),
-        F.max(ts).alias("_seg_max_t"),
-    )
-    r = r.join(info, [key, "_g"], "inner").where(F.col("_cut") | F.col("_rise") | ~F.col("_mono"))
-    segs = r.groupBy(key, "_g").agg(
-        F.sort_array(F.collect_list(F.when(~F.col("_cut"), F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), F.col("_rise").alias("r"))))).alias("_rows"),
+    # rises matter: a sensor stuck at one value makes no work at all. Other segments fold every row.
+    info = r.groupBy(key, "_g").agg(
+        (~F.max(member & F.col("_back") & ~F.col("_fall"))).alias("_mono"),
+        F.max(F.when(member, F.col(ts))).alias("_seg_max_t"),
+        F.count(F.when(member & F.col("_rise"), True)).alias("_nrise"),
         F.min(F.when(F.col("_cut"), F.struct(F.col(seq), F.col(ts).alias("t")))).getField("t").alias("_next_ts"),
-        F.first("_mono").alias("_mono"),
-        F.first("_seg_max_t").alias("_seg_max_t"),
-    ).where(F.size("_rows") > 0)
+    ).where(F.col("_seg_max_t").isNotNull())
+    long_seg = F.col("_mono") & (F.col("_nrise") > F.lit(long_segment))
+    gmax = df.agg(F.max(ts)).scalar()  # scalar subquery: the input's largest event time
+
+    def fires_last(fire: Column) -> Column:
+        """Does the segment's last armed timer fire?"""
+        return fire.isNotNull() & (
+            (F.col("_mono") & (F.col("_seg_max_t") > fire))
+            | F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > fire).otherwise(fire <= gmax)
+        )
+
+    rows = r.where(member).join(info, [key, "_g"], "inner")
+    short = rows.where(~long_seg & (F.col("_rise") | ~F.col("_mono")))
+    segs = short.groupBy(key, "_g").agg(
+        F.sort_array(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), F.col("_rise").alias("r")))).alias("_rows"),
+        *[F.first(c).alias(c) for c in ("_next_ts", "_mono", "_seg_max_t")],
+    )
     fold = F.aggregate(
         "_rows",
         F.struct(F.lit(None).cast("long").alias("fire"), F.array().cast("array<long>").alias("fires")),
         lambda acc, row: _step(acc, row, interval),
     )
-    gmax = df.agg(F.max(ts)).scalar()  # scalar subquery: the input's largest event time
     settled = segs.select(key, "_next_ts", "_mono", "_seg_max_t", fold.alias("_st")).select(
         key,
-        F.when(
-            F.col("_st.fire").isNotNull()
-            & (
-                (F.col("_mono") & (F.col("_seg_max_t") > F.col("_st.fire")))
-                | F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > F.col("_st.fire")).otherwise(F.col("_st.fire") <= gmax)
-            ),
-            F.concat(F.col("_st.fires"), F.array(F.col("_st.fire"))),
-        ).otherwise(F.col("_st.fires")).alias("_fires"),
+        F.when(fires_last(F.col("_st.fire")), F.concat(F.col("_st.fires"), F.array(F.col("_st.fire"))))
+        .otherwise(F.col("_st.fires")).alias("_fires"),
     )
     # explode_outer + filter: a plain explode makes the optimizer infer size(_fires) > 0 and push it
     # below the projection, which would evaluate the fold once more per reference
     out = settled.select(key, F.explode_outer("_fires").alias("fire_ts")).where(F.col("fire_ts").isNotNull())
+
+    long_rises = rows.where(long_seg & F.col("_rise")).select(key, "_g", seq, ts)
+    if not long_rises.isEmpty():
+        chain = _greedy_chain(long_rises, interval, key, seq, ts)
+        ends = chain.groupBy(key, "_g").agg(F.max(seq).alias("_end"))
+        arms = chain.join(ends, [key, "_g"], "inner").join(info, [key, "_g"], "inner").select(
+            key, (F.col(ts) + F.lit(interval)).alias("fire_ts"), (F.col(seq) == F.col("_end")).alias("_last"),
+            "_mono", "_seg_max_t", "_next_ts")
+        out = out.unionByName(arms.where(~F.col("_last") | fires_last(F.col("fire_ts"))).select(key, "fire_ts"))
     return out.withColumn(
         "message",
         F.concat(F.lit(RISE_MESSAGE_PARTS[0]), F.col(key), F.lit(RISE_MESSAGE_PARTS[1]), F.lit(str(interval)), F.lit(RISE_MESSAGE_PARTS[2])),
@@ -146,3 +163,40 @@ def _step(acc, r, interval: int):
     pending = F.when(due, F.lit(None).cast("long")).otherwise(fire)
     armed = F.when(pending.isNull() & r["r"], r["t"] + F.lit(interval)).otherwise(pending)
     return F.struct(armed.alias("fire"), fires.alias("fires"))
+
+
+def _greedy_chain(rises: DataFrame, interval: int, key: str, seq: str, ts: str) -> DataFrame:
+    """Rows of ``rises`` (per ``key, _g`` segment, times non-decreasing in ``seq``) on the greedy chain
+    that starts at the segment's first rise and steps to the first rise more than ``interval`` later.
+
+    ``nxt`` of a rise in time bucket ``b`` (width ``interval``) is the first later-enough rise of bucket
+    ``b+1`` — a merge inside two adjacent buckets — or else the first rise of the next non-empty bucket
+    after ``b+1``. The chain is then marked by pointer doubling: ``S := S ∪ up(S)``, ``up := up∘up``,
+    O(log length) rounds of joins, each round written to the checkpoint folder to cut the lineage.
+    """
+    r = rises.withColumn("_b", F.floor(F.col(ts) / F.lit(interval)).cast("long"))
+    heads = r.groupBy(key, "_g", "_b").agg(F.min(seq).alias("_head"))
+    wb = Window.partitionBy(key, "_g").orderBy("_b")
+    far = heads.select(
+        key, "_g", "_b",
+        F.when(F.lead("_b", 1).over(wb) >= F.col("_b") + 2, F.lead("_head", 1).over(wb)).otherwise(F.lead("_head", 2).over(wb)).alias("_far"),
+    )
+    probes = r.select(key, "_g", (F.col("_b") + 1).alias("_pb"), (F.col(ts) + F.lit(interval)).alias("_v"), F.lit(1).alias("_kind"),
+                      F.col(seq).alias("_src"), F.lit(None).cast("long").alias("_cand"))
+    cands = r.select(key, "_g", F.col("_b").alias("_pb"), F.col(ts).alias("_v"), F.lit(0).alias("_kind"),
+                     F.lit(None).cast("long").alias("_src"), F.col(seq).alias("_cand"))
+    # first candidate with time > probe: running min over the descending order (equal times sort after the probe)
+    wn = Window.partitionBy(key, "_g", "_pb").orderBy(F.col("_v").desc(), F.col("_kind").desc(), F.col("_cand").desc())
+    near = probes.unionByName(cands).withColumn("_near", F.min("_cand").over(wn.rowsBetween(Window.unboundedPreceding, 0)))
+    near = near.where(F.col("_kind") == 1).select(F.col("_src").alias(seq), "_near")
+    up = (r.join(near, seq, "inner").join(far, [key, "_g", "_b"], "inner")
+          .select(seq, F.coalesce("_near", "_far").alias("_up")))
+    up = materialize(up, "rise-up")
+    chain = materialize(r.groupBy(key, "_g").agg(F.min(seq).alias(seq)).select(seq), "rise-chain")
+    while not up.where(F.col("_up").isNotNull()).isEmpty():
+        step = chain.join(up, seq, "inner").where(F.col("_up").isNotNull()).select(F.col("_up").alias(seq))
+        chain = materialize(chain.unionByName(step), "rise-chain")
+        a, b = up.alias("a"), up.alias("b")
+        up = a.join(b, F.col("a._up") == F.col(f"b.{seq}"), "left").select(F.col(f"a.{seq}").alias(seq), F.col("b._up").alias("_up"))
+        up = materialize(up, "rise-up")
+    return r.join(chain, seq, "inner").select(key, "_g", seq, ts)

@@ -54,3 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the checkpoint folder (stream checkpoints, sink outputs)."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet below the shared checkpoint folder and read it back: cuts the
+    lineage (a lost executor re-reads the table instead of recomputing the plan) in a single job.
+    ``Dataset.checkpoint`` would compute an unpersisted plan twice (count, then write)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
