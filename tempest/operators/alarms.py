@@ -61,15 +61,16 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
     d = d.withColumn("_ifalls", F.sum(inner_fall.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
     blocks = d.groupBy(key, BLK).agg(
-        F.min(F.struct(F.col(seq), F.col(field).alias("v"))).getField("v").alias("_first"),
-        F.max(F.struct(F.col(seq), F.col(field).alias("v"), F.col(ts).alias("t"))).alias("_lastrow"),
+        F.min_by(field, seq).alias("_first"),
+        F.max_by(field, seq).alias("_last_v"),
+        F.max_by(ts, seq).alias("_last_t"),
         F.max("_ifalls").alias("_nf"),
     )
     over = Window.partitionBy(key).orderBy(BLK)
-    prev_last = F.coalesce(F.lag("_lastrow").over(over).getField("v"), F.lit(initial_last))
+    prev_last = F.coalesce(F.lag("_last_v").over(over), F.lit(initial_last))
     blocks = blocks.withColumns({
         "_prev_last": prev_last,
-        "_prev_last_t": F.lag("_lastrow").over(over).getField("t"),
+        "_prev_last_t": F.lag("_last_t").over(over),
         "_bfall": _less(F.col("_first"), prev_last).cast("long"),
     })
     blocks = blocks.withColumn(
@@ -105,7 +106,7 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
         (~F.max(member & F.col("_back") & ~F.col("_fall"))).alias("_mono"),
         F.max(F.when(member, F.col(ts))).alias("_seg_max_t"),
         F.count(F.when(member & F.col("_rise"), True)).alias("_nrise"),
-        F.min(F.when(F.col("_cut"), F.struct(F.col(seq), F.col(ts).alias("t")))).getField("t").alias("_next_ts"),
+        F.min_by(F.when(F.col("_cut"), F.col(ts)), F.when(F.col("_cut"), F.col(seq))).alias("_next_ts"),
     ).where(F.col("_seg_max_t").isNotNull())
     long_seg = F.col("_mono") & (F.col("_nrise") > F.lit(long_segment))
     gmax = df.agg(F.max(ts)).scalar()  # scalar subquery: the input's largest event time

@@ -50,9 +50,8 @@ def tumble_sum_first(df: DataFrame, size: int = 15, key: str = "id", field: str
     d = with_rowtime(df, ts, "_rt")
     return (
         d.groupBy(key, F.window("_rt", _dur(size)).alias("window"))
-        .agg(F.sum(field).alias("_sum"), F.min(F.struct(F.col(seq).alias("_s"), F.col(ts).alias("_t"))).alias("_first"))
-        .select(key, window_end().alias("window_end"), F.col("_first._s").alias("first_seq"),
-                F.col("_first._t").alias(ts), F.col("_sum").alias(field))
+        .agg(F.sum(field).alias("_sum"), F.min(seq).alias("first_seq"), F.min_by(ts, seq).alias(ts))
+        .select(key, window_end().alias("window_end"), "first_seq", ts, F.col("_sum").alias(field))
     )
 
 
@@ -96,8 +95,9 @@ def over_rows(df: DataFrame, preceding: int = 2, key: str = "id", field: str = "
         .agg(
             F.count(F.col(key)).alias("cnt"),
             F.avg(field).alias("avg_temp"),
-            F.max(F.when(own, F.struct(F.col(ts).alias("_t"), F.col(seq).alias("_s")))).alias("_own"),
+            F.max(F.when(own, F.col(ts))).alias(ts),
+            F.max(F.when(own, F.col(seq))).alias(seq),
         )
-        .where(F.col("_own").isNotNull())
-        .select(key, F.col("_own._t").alias(ts), F.col("_own._s").alias(seq), "cnt", "avg_temp")
+        .where(F.col(seq).isNotNull())
+        .select(key, ts, seq, "cnt", "avg_temp")
     )

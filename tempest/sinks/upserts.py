@@ -23,9 +23,7 @@ JDBC_TABLE = "sensor_temp"
 
 def latest_per_key(df: DataFrame, key: str = "id", seq: str = "seq", fields: Iterable[str] = ("temperature",)) -> DataFrame:
     """Last row per key in arrival order — a partial (map-side combined) aggregate."""
-    fields = list(fields)
-    last = F.max(F.struct(F.col(seq).alias("_s"), *[F.col(f) for f in fields]))
-    return df.groupBy(key).agg(last.alias("_l")).select(key, *[F.col(f"_l.{f}").alias(f) for f in fields])
+    return df.groupBy(key).agg(*[F.max_by(f, seq).alias(f) for f in fields])
 
 
 def write_redis_hash(df: DataFrame, client_factory: Callable[[], object], hash_name: str = REDIS_HASH,
