@@ -68,3 +68,13 @@ def write_tagged(tagged: DataFrame, writers: Mapping[str, Callable[[DataFrame],
             write(cached.where(F.col(tag) == F.lit(t)).drop(tag))
     finally:
         cached.unpersist()
+
+
+def side_outputs_stream(tagged_stream: DataFrame, writers: Mapping[str, Callable[[DataFrame], None]], checkpoint: str,
+                        tag: str = "tag", available_now: bool = False):
+    """Streaming side outputs: one query over the source, each micro-batch split by tag into its own
+    sink (``writers``). A replayed micro-batch is written again, so writers should be idempotent per
+    batch (e.g. overwrite a batch-id partition) for exactly-once results."""
+    w = tagged_stream.writeStream.foreachBatch(lambda batch, _epoch: write_tagged(batch, writers, tag)).option(
+        "checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()

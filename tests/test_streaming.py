@@ -102,3 +102,17 @@ def test_late_window_stream_one_row_per_batch(spark, tmp_path):
             ("main", "sensor_1", 210, 5), ("main", "sensor_1", 205, 9), ("main", "sensor_1", 215, 7), ("main", "sensor_6", 220, 8)]
     late = [("late", "sensor_1", -1547718000, 11)]
     assert got == sorted(main + late)
+
+
+def test_side_outputs_stream_one_pass(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tempest.operators import routing
+
+    land(str(tmp_path / "in"), SENSOR_ROWS, 3)
+    s = routing.tag_side_output(stream_of(spark, str(tmp_path / "in")), F.col("temperature") > 30)
+    out = {t: str(tmp_path / t) for t in ("main", "lowTemp")}
+    q = routing.side_outputs_stream(
+        s, {t: (lambda d, p=p: d.write.mode("append").parquet(p)) for t, p in out.items()}, str(tmp_path / "ck"), available_now=True)
+    q.awaitTermination()
+    assert spark.read.parquet(out["main"]).count() == 6 and spark.read.parquet(out["lowTemp"]).count() == 7
