@@ -204,3 +204,10 @@ ORACLE["split_lateral_sql"] = ORACLE["split_lateral"]
 # Streaming twins read the same input and must give the batch twin's answer.
 for _name in ("keyed_count", "jump_alarm", "rolling_max_by", "retract_changelog", "count_window_slide", "rise_alarm", "over_rows"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
+
+ORACLE["stream_late_window"] = _with(SENSOR) + f""", a AS (
+  SELECT *, CASE WHEN seq % {LATE_EVERY} = 0 THEN seq + {LATE_SHIFT} ELSE seq END AS arrival,
+         ("timestamp" // {LATE_SIZE}) * {LATE_SIZE} + {LATE_SIZE} AS window_end FROM sensor)
+SELECT 'main' AS tag, id, window_end, seq, "timestamp", temperature FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, window_end ORDER BY temperature, arrival, seq) AS rk FROM a)
+WHERE rk = 1 AND window_end <= (SELECT max("timestamp") FROM sensor) - {LATE_DELAY}"""

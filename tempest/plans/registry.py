@@ -326,6 +326,16 @@ def q_stream_over_rows(spark, d):
     return c.select("id", "ts", "seq", "cnt", _r6("avg_temp"))
 
 
+def q_stream_late_window(spark, d):
+    """Streaming W6 over the whole table in one micro-batch: no row can be late yet, and each window
+    whose end the final watermark passes fires once with its final min-by (open windows stay open)."""
+    from tempest.streaming import runner
+
+    src = _arrival(runner.stream_sensor(spark, d))
+    out = runner.late_window_stream(src, LATE_SIZE, LATE_DELAY, LATE_LATENESS)
+    return runner.run_to_table(spark, out, "late_window")
+
+
 def q_rich_map(spark, d):
     return transforms.with_task_index(sensor(spark, d))
 
@@ -377,4 +387,5 @@ QUERIES: dict[str, Query] = {
     "stream_count_window_slide": q_stream_count_window_slide,
     "stream_rise_alarm": q_stream_rise_alarm,
     "stream_over_rows": q_stream_over_rows,
+    "stream_late_window": q_stream_late_window,
 }

@@ -298,8 +298,9 @@ class LateWindowMinBy(StatefulProcessor):
     the late output.
 
     Map state: window start → best record and whether the window has fired. A window fires when
-    ``wm >= end - 1 ms`` (event-time timer), fires again for every allowed-late row, and its state is
-    dropped once ``wm >= end - 1 ms + lateness``. Output ``(tag, id, window_end, seq, timestamp,
+    ``wm >= end - 1 ms``, fires again for every allowed-late row, and its state is dropped once
+    ``wm >= end - 1 ms + lateness``. One event-time timer per key stays armed at the key's next window
+    event, so a timer expiry handles every window that became due. Output ``(tag, id, window_end, seq, timestamp,
     temperature)``, tag ``main`` or ``late``. The watermark advances per micro-batch.
     """
 
@@ -309,48 +310,82 @@ class LateWindowMinBy(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.win = handle.getMapState("win", "start long", "v double, a long, s long, t long, fired boolean")
+        self.armed = handle.getValueState("armed", "at long")
 
-    def _ms(self, sec: int) -> int:
-        return sec * 1000 - self.retention * 1000  # reference-watermark time → Spark timer time
+    def _load(self) -> dict:
+        """All open windows of the key in one batched read: start → [v, a, s, t, fired]."""
+        return {k[0]: list(v) for k, v in self.win.iterator()} if self.win.exists() else {}
+
+    def _advance(self, key, state: dict, dirty: set, wm: int, out: list) -> None:
+        """Fire due windows, purge expired ones, write the changes back with few state calls, and keep
+        one timer armed at the key's next window event."""
+        nxt, purged = None, []
+        for start in sorted(state):
+            cur = state[start]
+            end = start + self.size
+            if not cur[4] and end * 1000 - 1 <= wm:  # fire first, then purge (a jump may pass both)
+                out.append(("main", key[0], end, cur[2], cur[3], cur[0]))
+                cur[4] = True
+                dirty.add(start)
+            if end * 1000 - 1 + self.lateness * 1000 <= wm:
+                purged.append(start)
+                continue
+            due = (end if not cur[4] else end + self.lateness) * 1000 - 1
+            nxt = due if nxt is None else min(nxt, due)
+        stored_purged = [p for p in purged if p in self._stored]  # new windows never reached the store
+        for p in purged:
+            del state[p]
+            dirty.discard(p)
+        if stored_purged and len(state) < len(stored_purged):
+            self.win.clear()
+            dirty = set(state)
+        else:
+            for p in stored_purged:
+                self.win.removeKey((p,))
+        for start in dirty:
+            self.win.updateValue((start,), tuple(state[start]))
+        armed = self.armed.get()
+        want = None if nxt is None else nxt - self.retention * 1000  # reference time → Spark timer time
+        if armed is not None and armed[0] != want:
+            self.handle.deleteTimer(armed[0])
+        if want is None:
+            self.armed.clear()
+        elif armed is None or armed[0] != want:
+            self.handle.registerTimer(want)
+            self.armed.update((want,))
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival", "seq"], kind="stable")
         wm = timerValues.getCurrentWatermarkInMs() + self.retention * 1000
-        out = []
-        for a, s, t, v in zip(pdf["arrival"].tolist(), pdf["seq"].tolist(), pdf["timestamp"].tolist(), pdf["temperature"].tolist()):
-            start = (t // self.size) * self.size
+        pdf["_start"] = (pdf["timestamp"] // self.size) * self.size
+        late = (pdf["_start"] + self.size) * 1000 - 1 + self.lateness * 1000 <= wm
+        out = [("late", key[0], None, s, t, v) for s, t, v in zip(pdf["seq"][late], pdf["timestamp"][late], pdf["temperature"][late])]
+        state = self._load()
+        self._stored = set(state)
+        dirty: set = set()
+        for start, g in pdf[~late].groupby("_start", sort=False):
+            start = int(start)
             end = start + self.size
-            if end * 1000 - 1 + self.lateness * 1000 <= wm:
-                out.append(("late", key[0], None, s, t, v))
-                continue
-            cur = self.win.getValue((start,)) if self.win.containsKey((start,)) else None
-            if cur is None:
-                best, fired = (v, a, s, t), False
-                self.handle.registerTimer(self._ms(end) - 1)
-                self.handle.registerTimer(self._ms(end + self.lateness) - 1)
-            else:
-                best, fired = (cur[0], cur[1], cur[2], cur[3]), cur[4]
-                if v < best[0]:
-                    best = (v, a, s, t)
-            if fired or end * 1000 - 1 <= wm:
-                out.append(("main", key[0], end, best[2], best[3], best[0]))
-                fired = True
-            self.win.updateValue((start,), (*best, fired))
+            cur = state.get(start)
+            due = end * 1000 - 1 <= wm
+            for a, s, t, v in zip(g["arrival"].tolist(), g["seq"].tolist(), g["timestamp"].tolist(), g["temperature"].tolist()):
+                if cur is None or v < cur[0]:
+                    cur = [v, a, s, t, False if cur is None else cur[4]]
+                if cur[4] or due:
+                    out.append(("main", key[0], end, cur[2], cur[3], cur[0]))
+                    cur[4] = True
+            state[start] = cur
+            dirty.add(start)
+        self._advance(key, state, dirty, wm, out)
         yield from _nonempty(pd.DataFrame(out, columns=["tag", "id", "window_end", "seq", "timestamp", "temperature"]))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm = timerValues.getCurrentWatermarkInMs() + self.retention * 1000
-        out = []
-        for (start,), cur in list(self.win.iterator()):
-            end = start + self.size
-            fired = cur[4]
-            if not fired and end * 1000 - 1 <= wm:  # fire first, then purge (a jump may pass both)
-                out.append(("main", key[0], end, cur[2], cur[3], cur[0]))
-                fired = True
-            if end * 1000 - 1 + self.lateness * 1000 <= wm:
-                self.win.removeKey((start,))
-            elif fired != cur[4]:
-                self.win.updateValue((start,), (cur[0], cur[1], cur[2], cur[3], True))
+        self.armed.clear()
+        out: list = []
+        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) + self.retention * 1000
+        state = self._load()
+        self._stored = set(state)
+        self._advance(key, state, set(), wm, out)
         yield from _nonempty(pd.DataFrame(out, columns=["tag", "id", "window_end", "seq", "timestamp", "temperature"]))
 
     def close(self) -> None:
