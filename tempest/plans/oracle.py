@@ -211,3 +211,11 @@ ORACLE["stream_late_window"] = _with(SENSOR) + f""", a AS (
 SELECT 'main' AS tag, id, window_end, seq, "timestamp", temperature FROM (
   SELECT *, row_number() OVER (PARTITION BY id, window_end ORDER BY temperature, arrival, seq) AS rk FROM a)
 WHERE rk = 1 AND window_end <= (SELECT max("timestamp") FROM sensor) - {LATE_DELAY}"""
+
+# countWindow(10) on a stream: each full block of 10 readings of a key, reported at its 10th reading
+ORACLE["stream_count_window_tumble"] = _with(SENSOR) + """
+SELECT id, seq, avg_temp FROM (
+  SELECT id, seq, row_number() OVER (PARTITION BY id ORDER BY seq) AS rn,
+         round(avg(temperature) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS avg_temp
+  FROM sensor)
+WHERE rn % 10 = 0"""

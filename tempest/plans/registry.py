@@ -312,6 +312,13 @@ def q_stream_count_window_slide(spark, d):
     return c.select("id", "seq", _r6("avg_temp"))
 
 
+def q_stream_count_window_tumble(spark, d):
+    from tempest.streaming.processors import CountWindowSlide
+
+    c = _stream(spark, d, "count_window_tumble", "id", CountWindowSlide(10, 10), "id string, seq long, avg_temp double")
+    return c.select("id", "seq", _r6("avg_temp"))
+
+
 def q_stream_rise_alarm(spark, d):
     from tempest.streaming.processors import RiseAlarm
 
@@ -385,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "stream_rolling_max_by": q_stream_rolling_max_by,
     "stream_retract_changelog": q_stream_retract_changelog,
     "stream_count_window_slide": q_stream_count_window_slide,
+    "stream_count_window_tumble": q_stream_count_window_tumble,
     "stream_rise_alarm": q_stream_rise_alarm,
     "stream_over_rows": q_stream_over_rows,
     "stream_late_window": q_stream_late_window,
