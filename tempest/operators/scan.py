@@ -54,9 +54,14 @@ def keyed_running(
     order_cols: Sequence[str] | None = None,
     inclusive: bool = True,
     block: int = DEFAULT_BLOCK,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per entry of ``aggs`` = running aggregate per ``keys`` in ``order_cols`` order.
 
+    ``base`` (optional): one row per key with a column per ``sum``/``count`` aggregate name, added as
+    the value carried in from earlier data (e.g. totals of previous micro-batches). It is joined to
+    the small per-(key, block) prefix table, never to the rows, so a hot key costs nothing extra.
+
     ``aggs``: name → (kind, column expression); kinds ``sum``, ``count``, ``max``, ``min`` and
     ``first`` / ``last`` (the value at the least / greatest ``seq_col`` of the frame — these need
     ``order_cols`` to be ``[seq_col]``, a unique integer). ``seq_col`` blocks must be monotone in
@@ -105,6 +110,12 @@ def keyed_running(
     )
 
     in_block = Window.partitionBy(*keys, BLK).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    if base is not None:
+        carried = [n for n in names if kinds[n] in ("sum", "count") and n in base.columns]
+        b = base.select(*keys, *[F.col(n).alias(f"_base_{n}") for n in carried])
+        prefix = prefix.join(b, keys, "left").withColumns({
+            f"_pre_{names.index(n)}": _combine("sum", F.col(f"_pre_{names.index(n)}"), F.col(f"_base_{n}")) for n in carried
+        }).drop(*[f"_base_{n}" for n in carried])
     out = d.join(prefix, [*keys, BLK], "inner")
     cols = {}
     for i, n in enumerate(names):

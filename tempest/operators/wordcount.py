@@ -31,6 +31,24 @@ def word_count(lines: DataFrame, line_col: str = "line", sep: str = " ") -> Data
     return tokenize(lines, line_col, sep).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+# Word positions per document occupy the low bits of an occurrence's sequence number.
+POS_BITS = 24
+
+
+def word_occurrences(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sep: str = " ") -> DataFrame:
+    """Every word occurrence of every text, in reading order, as ``(seq, word)`` with
+    ``seq = doc_id * 2^24 + position of the word in its text`` (lines as in :func:`text_lines`).
+    A text with 2^24 words or more fails the job instead of producing colliding numbers."""
+    t = F.col(text_col)
+    body = F.when(t.endswith("\n"), F.expr(f"substring({text_col}, 1, char_length({text_col}) - 1)")).otherwise(t)
+    lines = F.transform(F.split(body, "\n", -1), lambda line: F.regexp_replace(line, "\r\\z", ""))
+    words = F.flatten(F.transform(lines, lambda line: java_split(line, sep)))
+    occ = docs.where(t.isNotNull() & (t != "")).select(id_col, F.posexplode(words).alias("pos", "word"))
+    limit = 1 << POS_BITS
+    pos = F.when(F.col("pos") < limit, F.col("pos").cast("long")).otherwise(F.raise_error(F.lit("text too long for word numbering")))
+    return occ.select((F.col(id_col) * F.lit(limit) + pos).alias("seq"), "word")
+
+
 def running_word_count(words: DataFrame, seq: str = "seq", block: int = DEFAULT_BLOCK) -> DataFrame:
     """Streaming ``keyBy(0).sum(1)`` emitted per word occurrence: the running count of the word at each
     occurrence, in ``seq`` order (``seq`` must be a unique integer per occurrence)."""

@@ -45,6 +45,19 @@ words AS (
   FROM lines)
 SELECT word, count(*) AS cnt FROM words GROUP BY word"""
 
+ORACLE["running_word_count"] = """
+WITH docs AS (
+  SELECT doc_id, flatten(list_transform(
+           string_split(regexp_replace(text, chr(10) || '$', ''), chr(10)),
+           lambda l: CASE WHEN regexp_replace(l, chr(13) || '$', '') = '' THEN ['']
+                          WHEN rtrim(regexp_replace(l, chr(13) || '$', ''), ' ') = '' THEN CAST([] AS VARCHAR[])
+                          ELSE string_split(rtrim(regexp_replace(l, chr(13) || '$', ''), ' '), ' ') END)) AS words
+  FROM documents WHERE text IS NOT NULL AND text <> ''),
+occ AS (
+  SELECT doc_id * 16777216 + generate_subscripts(words, 1) - 1 AS seq, unnest(words) AS word FROM docs)
+SELECT seq, word, count(*) OVER (PARTITION BY word ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt
+FROM occ"""
+
 ORACLE["line_lengths"] = _with(SENSOR, LINES) + "SELECT seq, CAST(length(line) AS INTEGER) AS len FROM lines"
 
 ORACLE["line_fields"] = _with(SENSOR, LINES) + """
@@ -202,6 +215,7 @@ FROM (SELECT seq, id, "timestamp" AS ts, unnest(string_split(id, '_')) AS word F
 ORACLE["split_lateral_sql"] = ORACLE["split_lateral"]
 
 # Streaming twins read the same input and must give the batch twin's answer.
+ORACLE["stream_word_count"] = ORACLE["running_word_count"]
 for _name in ("keyed_count", "jump_alarm", "rolling_max_by", "retract_changelog", "count_window_slide", "rise_alarm", "over_rows"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 

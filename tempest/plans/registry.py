@@ -27,6 +27,7 @@ LATE_EVERY, LATE_SHIFT = 17, 60  # arrival model: every 17th reading arrives 60
 RISE_INTERVAL = 43_200
 JUMP_THRESHOLD = 10.0
 HIGH_THRESHOLD = 30.0
+WORD_BLOCK = 1 << 30  # word occurrences number 2^24 slots per text: a block spans 64 texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +67,10 @@ def q_word_count(spark, d):
     return wordcount.word_count(wordcount.text_lines(_read(spark, d, "documents")))
 
 
+def q_running_word_count(spark, d):
+    return wordcount.running_word_count(wordcount.word_occurrences(_read(spark, d, "documents")), block=WORD_BLOCK)
+
+
 def q_line_lengths(spark, d):
     return transforms.line_lengths(lines(spark, d), "line", keep=("seq",))
 
@@ -319,6 +324,16 @@ def q_stream_count_window_tumble(spark, d):
     return c.select("id", "seq", _r6("avg_temp"))
 
 
+def q_stream_word_count(spark, d):
+    """The streaming word count: per word occurrence, the running count of the word."""
+    from tempest.streaming import counts, runner
+
+    words = wordcount.word_occurrences(runner.stream_table(spark, d, "documents"))
+    q, out = counts.running_count_stream(words, "word", block=WORD_BLOCK)
+    q.awaitTermination()
+    return counts.read_output(spark, out, "word")
+
+
 def q_stream_rise_alarm(spark, d):
     from tempest.streaming.processors import RiseAlarm
 
@@ -349,6 +364,7 @@ def q_rich_map(spark, d):
 
 QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
+    "running_word_count": q_running_word_count,
     "line_lengths": q_line_lengths,
     "line_fields": q_line_fields,
     "prefix_filter": q_prefix_filter,
@@ -396,4 +412,5 @@ QUERIES: dict[str, Query] = {
     "stream_rise_alarm": q_stream_rise_alarm,
     "stream_over_rows": q_stream_over_rows,
     "stream_late_window": q_stream_late_window,
+    "stream_word_count": q_stream_word_count,
 }

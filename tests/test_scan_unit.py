@@ -21,3 +21,11 @@ def test_first_last_sum_count_any_block_size(spark):
         aggs = {"f": ("first", F.col("v")), "s": ("sum", F.col("v")), "c": ("count", F.col("v")), "m": ("max", F.col("v"))}
         got = sorted(keyed_running(df, ["k"], aggs, block=block).select("seq", "f", "s", "c", "m").collect())
         assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_base_offsets_added_per_key(spark):
+    rows = [(s, f"k{s % 3}") for s in range(12)]
+    df = spark.createDataFrame(rows, "seq long, k string")
+    base = spark.createDataFrame([("k0", 100), ("k2", 5)], "k string, c long")
+    got = {r.seq: r.c for r in keyed_running(df, ["k"], {"c": ("count", F.lit(1))}, block=2, base=base).collect()}
+    assert [got[s] for s in range(6)] == [101, 1, 6, 102, 2, 7]

@@ -116,3 +116,31 @@ def test_side_outputs_stream_one_pass(spark, tmp_path):
         s, {t: (lambda d, p=p: d.write.mode("append").parquet(p)) for t, p in out.items()}, str(tmp_path / "ck"), available_now=True)
     q.awaitTermination()
     assert spark.read.parquet(out["main"]).count() == 6 and spark.read.parquet(out["lowTemp"]).count() == 7
+
+
+def test_streaming_word_count_carries_totals_across_batches(spark, tmp_path):
+    from tempest.operators import wordcount
+    from tempest.streaming import counts
+
+    from .conftest import SF_SMALL
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    folder = str(tmp_path / "docs")
+    for k, (lo, hi) in enumerate([(0, 20), (20, 40), (40, 60)]):
+        part = f"{folder}/part{k}"
+        docs.where(f"doc_id >= {lo} AND doc_id < {hi}").coalesce(1).write.parquet(part)
+        for f in os.listdir(part):
+            os.utime(os.path.join(part, f), (1_700_000_000 + k * 10, 1_700_000_000 + k * 10))
+    files = sorted(os.path.join(dp, f) for dp, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet"))
+    flat = str(tmp_path / "flat")
+    os.makedirs(flat)
+    for k, f in enumerate(files):
+        os.link(f, os.path.join(flat, f"d{k}.parquet"))
+        os.utime(os.path.join(flat, f"d{k}.parquet"), (1_700_000_000 + k * 10, 1_700_000_000 + k * 10))
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(flat)
+    q, out = counts.running_count_stream(wordcount.word_occurrences(stream), "word", root=str(tmp_path / "wc"), block=1 << 24)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3
+    got = sorted(counts.read_output(spark, out, "word").collect())
+    want = sorted(wordcount.running_word_count(wordcount.word_occurrences(docs), block=1 << 24).collect())
+    assert got == want
