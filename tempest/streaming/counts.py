@@ -26,12 +26,17 @@ def running_count_stream(stream: DataFrame, key: str, seq: str = "seq", name: st
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         bspark = batch.sparkSession
-        prev = _totals(bspark, root, batch_id - 1, batch.schema[key].dataType.simpleString(), name, key)
-        out = keyed_running(batch, [key], {name: ("count", F.lit(1))}, seq, block=block, base=prev)
-        out.select(seq, key, name).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
-        now = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        merged = prev.join(now, key, "full").select(key, (F.coalesce(F.col(name), F.lit(0)) + F.coalesce("_n", F.lit(0))).alias(name))
-        merged.write.mode("overwrite").parquet(f"{root}/totals/batch={batch_id}")
+        batch = batch.persist()  # used by both passes of the scan and by the totals
+        try:
+            prev = _totals(bspark, root, batch_id - 1, batch.schema[key].dataType.simpleString(), name, key)
+            out = keyed_running(batch, [key], {name: ("count", F.lit(1))}, seq, block=block, base=prev)
+            out.select(seq, key, name).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+            now = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            merged = prev.join(now, key, "full").select(
+                key, (F.coalesce(F.col(name), F.lit(0)) + F.coalesce("_n", F.lit(0))).alias(name))
+            merged.write.mode("overwrite").parquet(f"{root}/totals/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", f"{root}/checkpoint")
     q = (w.trigger(availableNow=True) if available_now else w).start()
