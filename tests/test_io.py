@@ -126,3 +126,32 @@ def test_jdbc_upsert_update_then_insert(sensor_df, tmp_path):
 def test_latest_per_key(sensor_df):
     got = {r.id: r.temperature for r in latest_per_key(sensor_df).collect()}
     assert got["sensor_1"] == 10.0
+
+
+def test_csv_table_stream_to_csv_sink(spark, tmp_path):
+    from tempest.operators import tables
+
+    src = tmp_path / "in"
+    src.mkdir()
+    _write_lines(src / "a.csv", SENSOR_ROWS)
+    s = tables.stream_csv_table(spark, str(src), name="fx_stream_input")
+    filtered = spark.sql("SELECT id, temp FROM fx_stream_input WHERE id = 'sensor_1'")
+    q = file_sinks.stream_csv_table(filtered, str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.processAllAvailable()
+    q.stop()
+    back = spark.read.schema("id string, temperature double").csv(str(tmp_path / "out"))
+    assert s.isStreaming and back.count() == 7
+    b = tables.read_csv_table(spark, str(src / "a.csv"), name="fx_batch_input")
+    assert tables.group_count_avg_sql(spark, "fx_batch_input").count() == 4
+
+
+def test_text_landing_stream_parses(spark, tmp_path):
+    src = tmp_path / "lines"
+    src.mkdir()
+    _write_lines(src / "a.txt", SENSOR_ROWS[:5])
+    _write_lines(src / "b.txt", SENSOR_ROWS[5:])
+    lines = files.stream_lines(spark, str(src), max_files_per_trigger=1)
+    parsed = parse_lines(lines)
+    q = parsed.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 13
