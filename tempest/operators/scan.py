@@ -143,3 +143,27 @@ def previous_row(df: DataFrame, keys: Sequence[str], fields: Sequence[str], seq_
     the value at the greatest ``seq`` before the current row (an associative running ``last``)."""
     aggs = {f"{prefix}{f}": ("last", F.col(f)) for f in fields}
     return keyed_running(df, keys, aggs, seq_col, [seq_col], inclusive=False, block=block)
+
+
+def keyed_rank_by(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], name: str = "rn",
+                  partitions: int | None = None) -> DataFrame:
+    """1-based position of each row within its key in any ``order_cols`` order, hot-key safe.
+
+    The data is range-partitioned on (keys, order) — a hot key is split over several partitions by
+    its order values — and sorted within partitions; ``monotonically_increasing_id`` then carries the
+    partition number and the position in it. That table is written once (so every use sees the same
+    numbering), and the rank is the key's row count in earlier partitions (a prefix over a summary of
+    one row per key and partition) plus the position inside the partition.
+    """
+    from tempest.session import materialize
+
+    keys, order_cols = list(keys), list(order_cols)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = df.repartitionByRange(n, *keys, *order_cols).sortWithinPartitions(*keys, *order_cols)
+    d = materialize(d.withColumn("_mid", F.monotonically_increasing_id()), "ranked")
+    d = d.withColumn("_pid", F.shiftright("_mid", 33))
+    summary = d.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(*keys, "_pid", "_m0", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    out = d.join(summary, [*keys, "_pid"], "inner")
+    return out.withColumn(name, F.col("_before") + (F.col("_mid") - F.col("_m0")) + 1).drop("_mid", "_pid", "_m0", "_before")

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempest.operators.scan import keyed_rank
+from tempest.operators.scan import keyed_rank_by
 from tempest.readings import with_rowtime
 
 
@@ -77,15 +77,15 @@ def window_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], sche
 
 
 def over_rows(df: DataFrame, preceding: int = 2, key: str = "id", field: str = "temp", ts: str = "ts",
-              seq: str = "seq", block_seconds: int = 3600) -> DataFrame:
+              seq: str = "seq", partitions: int | None = None) -> DataFrame:
     """``Over.partitionBy(id).orderBy(rt).preceding(n rows)``: ``count`` and ``avg`` over the current
     row and the ``n`` before it, in event-time order (ties by ``seq``).
 
-    Hot-key-safe: the row's position ``rn`` within its key comes from a block scan over event-time
-    blocks of ``block_seconds``; each row is then sent to the ``n+1`` frames it belongs to and each
-    frame is a group of at most ``n+1`` rows.
+    Hot-key-safe: the row's position ``rn`` within its key comes from :func:`keyed_rank_by` (range
+    partitioning on (key, time, seq)); each row is then sent to the ``n+1`` frames it belongs to and
+    each frame is a group of at most ``n+1`` rows.
     """
-    ranked = keyed_rank(df, [key], ts, [ts, seq], name="_rn", block=block_seconds)
+    ranked = keyed_rank_by(df, [key], [ts, seq], name="_rn", partitions=partitions)
     fanned = ranked.select(
         key, "_rn", seq, ts, field, F.explode(F.sequence(F.col("_rn"), F.col("_rn") + F.lit(preceding))).alias("_target")
     )

@@ -49,7 +49,7 @@ CASES = {
     "late_window_main": lambda s: late_windows.late_window_min_by(R._arrival(s), R.LATE_SIZE, R.LATE_DELAY, R.LATE_LATENESS, block=BLOCK)[0],
     "late_window_late": lambda s: late_windows.late_window_min_by(R._arrival(s), R.LATE_SIZE, R.LATE_DELAY, R.LATE_LATENESS, block=BLOCK)[1],
     "over_rows": lambda s: windows.over_rows(
-        s.withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp"), 2, block_seconds=3600 * 6
+        s.withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp"), 2, partitions=5
     ).select("id", "ts", "seq", "cnt", F.round("avg_temp", 6).alias("avg_temp")),
 }
 

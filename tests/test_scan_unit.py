@@ -29,3 +29,14 @@ def test_base_offsets_added_per_key(spark):
     base = spark.createDataFrame([("k0", 100), ("k2", 5)], "k string, c long")
     got = {r.seq: r.c for r in keyed_running(df, ["k"], {"c": ("count", F.lit(1))}, block=2, base=base).collect()}
     assert [got[s] for s in range(6)] == [101, 1, 6, 102, 2, 7]
+
+
+def test_keyed_rank_by_splits_a_hot_key(spark):
+    from tempest.operators.scan import keyed_rank_by
+
+    # one hot key with most rows, times out of arrival order, ties on time broken by seq
+    rows = [(s, "hot" if s % 5 else f"k{s % 3}", (s * 37) % 50) for s in range(300)]
+    df = spark.createDataFrame(rows, "seq long, k string, t long")
+    got = sorted(keyed_rank_by(df, ["k"], ["t", "seq"], partitions=6).select("seq", "rn").collect())
+    want = sorted(df.select("seq", F.row_number().over(Window.partitionBy("k").orderBy("t", "seq")).alias("rn")).collect())
+    assert got == want
