@@ -216,7 +216,7 @@ ORACLE["split_lateral_sql"] = ORACLE["split_lateral"]
 
 # Streaming twins read the same input and must give the batch twin's answer.
 ORACLE["stream_word_count"] = ORACLE["running_word_count"]
-for _name in ("keyed_count", "jump_alarm", "rolling_max_by", "retract_changelog", "count_window_slide", "rise_alarm", "over_rows"):
+for _name in ("keyed_count", "jump_alarm", "rolling_max_by", "rolling_reduce", "retract_changelog", "count_window_slide", "rise_alarm", "over_rows"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 
 ORACLE["stream_late_window"] = _with(SENSOR) + f""", a AS (

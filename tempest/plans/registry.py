@@ -305,6 +305,25 @@ def q_stream_rolling_max_by(spark, d):
                    "seq long, id string, max_seq long, timestamp long, temperature double")
 
 
+def _java_max(a: float, b: float) -> float:
+    """``Math.max`` on doubles (NaN if either side is NaN)."""
+    return a if a != a else b if b != b else max(a, b)
+
+
+def _reduce_max(prev: dict, cur: dict) -> dict:
+    """The reference's reduce: (id, current timestamp, max of the temperatures)."""
+    return {"seq": cur["seq"], "id": prev["id"], "timestamp": cur["timestamp"],
+            "temperature": _java_max(prev["temperature"], cur["temperature"])}
+
+
+def q_stream_rolling_reduce(spark, d):
+    from tempest.streaming.processors import KeyedReduce
+
+    fields = ["seq", "id", "timestamp", "temperature"]
+    schema = "seq long, id string, timestamp long, temperature double"
+    return _stream(spark, d, "rolling_reduce", "id", KeyedReduce(_reduce_max, fields, schema), schema)
+
+
 def q_stream_retract_changelog(spark, d):
     from tempest.streaming.processors import RetractCountAvg
 
@@ -410,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "stream_keyed_count": q_stream_keyed_count,
     "stream_jump_alarm": q_stream_jump_alarm,
     "stream_rolling_max_by": q_stream_rolling_max_by,
+    "stream_rolling_reduce": q_stream_rolling_reduce,
     "stream_retract_changelog": q_stream_retract_changelog,
     "stream_count_window_slide": q_stream_count_window_slide,
     "stream_count_window_tumble": q_stream_count_window_tumble,
