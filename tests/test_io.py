@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from tempest.readings import parse_lines, to_line
+from tempest.readings import parse_lines
 from tempest.sinks import files as file_sinks
 from tempest.sinks import kafka as kafka_sinks
 from tempest.sinks.upserts import latest_per_key, write_jdbc_upsert, write_redis_hash
