@@ -31,7 +31,7 @@ def flag_late(df: DataFrame, size: int, delay: int, lateness: int, arrival: str
     return d.withColumns({
         "wm_before": F.col("_max_before") - F.lit(delay),
         "is_late": F.coalesce(F.col("_max_before") >= F.col("window_end") + F.lit(lateness + delay), F.lit(False)),
-    }).drop("_max_before")
+    }).withColumnRenamed("_max_before", "max_ts_before")
 
 
 def late_window_min_by(df: DataFrame, size: int = 5, delay: int = 2, lateness: int = 60, key: str = "id",
@@ -55,3 +55,66 @@ def late_window_min_by(df: DataFrame, size: int = 5, delay: int = 2, lateness: i
     )
     late = d.where(F.col("is_late")).select(seq, key, ts, field)
     return main, late
+
+
+def late_window_emissions(df: DataFrame, size: int = 5, delay: int = 2, lateness: int = 60, key: str = "id",
+                          field: str = "temperature", arrival: str = "arrival", ts: str = "timestamp", seq: str = "seq",
+                          flush_at_end: bool = False, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Every firing of the windows, as the per-record replay emits them: ``(id, window_end, seq,
+    timestamp, temperature, emitted_after)`` — the window's best record at that moment, and the ``seq``
+    of the row after which it fired.
+
+    * A window first fires when the watermark passes its end: right after the first row (in arrival
+      order) that lifts the running max of event time to ``end + delay`` — its *crossing* row — if
+      the window already holds a row; its content is the arg-min over the rows that arrived before.
+    * A non-late row arriving once the window is due fires it again (on arrival), with the arg-min
+      including itself.
+    * ``flush_at_end``: windows the watermark never passed fire once at the end of the bounded input
+      (``emitted_after`` null), as a bounded source's final watermark does.
+
+    Crossings: a row whose running max steps from ``m0`` to ``m1`` crosses every window end ``E`` with
+    ``m0 < E + delay <= m1`` — one crossing per window end of the time range in total, joined to the
+    per-(key, window) summaries only. Since the running max never decreases, "arrived before the
+    crossing" is a test on each row. Re-firings use the running arg-min per (key, window) from the
+    block scan.
+    """
+    order = [arrival, seq]
+    d = flag_late(df, size, delay, lateness, arrival, order, ts, block)
+    best_of = F.struct(F.col(field).alias("_v"), F.col(arrival).alias("_a"), F.col(seq).alias("_s"), F.col(ts).alias("_t"))
+
+    # watermark crossings of window ends (late rows move the watermark too)
+    first_end = df.agg(F.min(F.floor(F.col(ts) / F.lit(size)) * F.lit(size) + F.lit(size))).scalar()
+    m1 = F.greatest(F.col("max_ts_before"), F.col(ts)) - F.lit(delay)
+    lo = F.when(F.col("max_ts_before").isNull(), F.lit(first_end)).otherwise(
+        (F.floor((F.col("max_ts_before") - F.lit(delay)) / F.lit(size)) + 1) * F.lit(size))
+    hi = F.floor(m1 / F.lit(size)) * F.lit(size)
+    crossings = d.where(lo <= hi).select(
+        F.explode(F.sequence(lo.cast("long"), hi.cast("long"), F.lit(size).cast("long"))).alias("window_end"),
+        F.col(seq).alias("emitted_after"))
+
+    kept = d.where(~F.col("is_late"))
+    # the running max never decreases, so "arrived before the crossing row" is a test on the row itself
+    before = F.greatest(F.col("max_ts_before"), F.col(ts)) < F.col("window_end") + F.lit(delay)
+    gmax = df.agg(F.max(ts)).scalar()
+    timed = kept.groupBy(key, "window_end").agg(
+        F.max(before).alias("_has_before"),
+        F.min(F.when(before, best_of)).alias("_b"),
+        F.min(best_of).alias("_final"),
+    ).withColumn("_crossed", F.col("window_end") + F.lit(delay) <= gmax)
+    fired = (timed.where(F.col("_crossed") & F.col("_has_before"))
+             .join(crossings.select("window_end", "emitted_after"), "window_end", "left")  # summary-sized join
+             .select(key, "window_end", "_b", "emitted_after"))
+    parts = [fired]
+    if flush_at_end:
+        parts.append(timed.where(~F.col("_crossed")).select(key, "window_end", F.col("_final").alias("_b"),
+                                                             F.lit(None).cast("long").alias("emitted_after")))
+
+    due = F.col("max_ts_before") >= F.col("window_end") + F.lit(delay)  # wm >= end - 1 ms on arrival
+    running = keyed_running(kept, [key, "window_end"], {"_b": ("min", best_of)}, arrival, order, True, block)
+    parts.append(running.where(F.coalesce(due, F.lit(False))).select(key, "window_end", "_b", F.col(seq).alias("emitted_after")))
+
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(key, "window_end", F.col("_b._s").alias(seq), F.col("_b._t").alias(ts), F.col("_b._v").alias(field),
+                      "emitted_after")

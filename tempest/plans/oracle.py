@@ -203,6 +203,29 @@ WHERE rk = 1"""
 
 ORACLE["late_window_late"] = _LATE + 'SELECT seq, id, "timestamp", temperature FROM l WHERE is_late'
 
+ORACLE["late_window_emissions"] = _LATE + f""",
+kept AS (SELECT *, greatest(max_before, "timestamp") AS max_incl FROM l WHERE NOT is_late),
+ends AS (SELECT DISTINCT window_end FROM kept WHERE window_end + {LATE_DELAY} <= (SELECT max("timestamp") FROM sensor)),
+crossing AS (
+  SELECT e.window_end, arg_min(f.seq, f.arrival * 4294967296 + f.seq) AS emitted_after
+  FROM ends e JOIN f ON greatest(f.max_before, f."timestamp") >= e.window_end + {LATE_DELAY}
+  GROUP BY e.window_end),
+timer AS (
+  SELECT k.id, k.window_end,
+         min({{'v': k.temperature, 'a': k.arrival, 's': k.seq, 't': k."timestamp"}}) AS b
+  FROM kept k JOIN ends USING (window_end)
+  WHERE k.max_incl < k.window_end + {LATE_DELAY}
+  GROUP BY k.id, k.window_end),
+refire AS (
+  SELECT id, window_end, seq AS emitted_after, due,
+         min({{'v': temperature, 'a': arrival, 's': seq, 't': "timestamp"}})
+           OVER (PARTITION BY id, window_end ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b
+  FROM (SELECT *, coalesce(max_before >= window_end + {LATE_DELAY}, false) AS due FROM kept))
+SELECT t.id, t.window_end, t.b.s AS seq, t.b.t AS "timestamp", t.b.v AS temperature, c.emitted_after
+FROM timer t JOIN crossing c USING (window_end)
+UNION ALL
+SELECT id, window_end, b.s AS seq, b.t AS "timestamp", b.v AS temperature, emitted_after FROM refire WHERE due"""
+
 ORACLE["hash_code"] = _with(SENSOR) + """
 SELECT seq, id, "timestamp" AS ts,
        CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INTEGER) AS hash_code

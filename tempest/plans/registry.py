@@ -252,6 +252,10 @@ def q_late_window_late(spark, d):
     return _late(spark, d)[1]
 
 
+def q_late_window_emissions(spark, d):
+    return late_windows.late_window_emissions(_arrival(sensor(spark, d)), LATE_SIZE, LATE_DELAY, LATE_LATENESS)
+
+
 # ---------------------------------------------------------------- user functions
 
 
@@ -421,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "rise_alarm": q_rise_alarm,
     "late_window_main": q_late_window_main,
     "late_window_late": q_late_window_late,
+    "late_window_emissions": q_late_window_emissions,
     "hash_code": q_hash_code,
     "split_lateral": q_split_lateral,
     "split_lateral_sql": q_split_lateral_sql,

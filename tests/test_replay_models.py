@@ -90,3 +90,31 @@ def test_rise_alarm_doubling_path_on_driver_data(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
     assert got == sorted((r[0], r[1]) for r in con.execute(ORACLE["rise_alarm"]).fetchall())
+
+
+def emissions_model(rows, size, delay, lateness):
+    maxts, state, out = None, {}, []
+    for seq, k, t, v, a in sorted(rows, key=lambda r: (r[4], r[0])):
+        end = (t // size) * size + size
+        if not (maxts is not None and maxts >= end + lateness + delay):
+            best, fired = state.get((k, end), (None, False))
+            best = min(best, (v, a, seq)) if best else (v, a, seq)
+            if fired or (maxts is not None and maxts - delay >= end):
+                out.append((seq, k, end, best[2]))
+                fired = True
+            state[(k, end)] = (best, fired)
+        maxts = t if maxts is None else max(maxts, t)
+        for (kk, e), (b, f) in list(state.items()):
+            if not f and e <= maxts - delay:
+                out.append((seq, kk, e, b[2]))
+                state[(kk, e)] = (b, True)
+    return sorted(out)
+
+
+@settings(max_examples=6, deadline=None)
+@given(readings(), st.integers(2, 10), st.integers(0, 5), st.integers(0, 10))
+def test_late_window_emissions_match_simulation(spark, rows, size, delay, lateness):
+    arr = [(s, k, t, v, s + (7 if s % 5 == 0 else 0)) for s, k, t, v in rows]
+    df = spark.createDataFrame(arr, "seq long, id string, timestamp long, temperature double, arrival long")
+    got = late_windows.late_window_emissions(df, size, delay, lateness, block=4)
+    assert sorted((r.emitted_after, r.id, r.window_end, r.seq) for r in got.collect()) == emissions_model(arr, size, delay, lateness)

@@ -61,3 +61,13 @@ def test_window_apply_full_window_function(sensor_df):
     got = windows.window_apply(sensor_df, count_fn, "id string, window_end long, cnt long", 15, 5)
     assert sorted((rel(r.window_end), r.cnt) for r in got.where("id = 'sensor_1'").collect()) == [
         (200, 1), (205, 2), (210, 5), (215, 6), (220, 5), (225, 2)]
+
+
+def test_late_window_emissions_fixture(sensor_df):
+    """FIXTURES.md W6 table: (emitted after seq, window start, id, best seq)."""
+    d = sensor_df.withColumn("arrival", F.col("seq"))
+    got = sorted((r.emitted_after, rel(r.window_end) - 5, r.id, r.seq) for r in late_windows.late_window_emissions(d, 5, 2, 60).collect())
+    assert got == sorted([(2, 195, "sensor_1", 0), (4, 200, "sensor_6", 1), (4, 200, "sensor_7", 2), (6, 205, "sensor_10", 3),
+                          (6, 205, "sensor_1", 5), (9, 200, "sensor_1", 9), (10, 210, "sensor_1", 7), (10, 215, "sensor_6", 8)])
+    flushed = late_windows.late_window_emissions(d, 5, 2, 60, flush_at_end=True).where("emitted_after IS NULL").collect()
+    assert sorted((r.id, rel(r.window_end) - 5, r.seq) for r in flushed) == [("sensor_10", 290, 12), ("sensor_7", 290, 10)]
