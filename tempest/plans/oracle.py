@@ -256,3 +256,9 @@ SELECT id, seq, avg_temp FROM (
          round(avg(temperature) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS avg_temp
   FROM sensor)
 WHERE rn % 10 = 0"""
+
+# append mode emits the windows whose end the final watermark (max event time - delay) has passed
+ORACLE["stream_tumble_count_avg"] = _with(SENSOR) + f"""
+SELECT id, count(id) AS cnt, round(avg(temperature), 6) AS avg_temp, ("timestamp" // {DAY}) * {DAY} + {DAY} AS window_end
+FROM sensor GROUP BY id, window_end
+HAVING window_end <= (SELECT max("timestamp") FROM sensor) - {LATE_DELAY}"""

@@ -375,6 +375,17 @@ def q_stream_over_rows(spark, d):
     return c.select("id", "ts", "seq", "cnt", _r6("avg_temp"))
 
 
+def q_stream_tumble_count_avg(spark, d):
+    """W7 on a stream: Spark's windowed aggregation with a watermark, append mode — each window is
+    emitted once, when the watermark (max event time - delay) passes its end."""
+    from tempest.streaming import runner
+
+    src = tables.table_view(runner.stream_sensor(spark, d), {"timestamp": "ts", "temperature": "temp"}, rowtime="rt",
+                            watermark=f"{LATE_DELAY} seconds")
+    agg = windows.tumble_count_avg(src, DAY)
+    return runner.run_to_table(spark, agg, "tumble_count_avg").select("id", "cnt", _r6("avg_temp"), "window_end")
+
+
 def q_stream_late_window(spark, d):
     """Streaming W6 over the whole table in one micro-batch: no row can be late yet, and each window
     whose end the final watermark passes fires once with its final min-by (open windows stay open)."""
@@ -441,5 +452,6 @@ QUERIES: dict[str, Query] = {
     "stream_rise_alarm": q_stream_rise_alarm,
     "stream_over_rows": q_stream_over_rows,
     "stream_late_window": q_stream_late_window,
+    "stream_tumble_count_avg": q_stream_tumble_count_avg,
     "stream_word_count": q_stream_word_count,
 }
