@@ -144,3 +144,39 @@ def test_streaming_word_count_carries_totals_across_batches(spark, tmp_path):
     got = sorted(counts.read_output(spark, out, "word").collect())
     want = sorted(wordcount.running_word_count(wordcount.word_occurrences(docs), block=1 << 24).collect())
     assert got == want
+
+
+def _r(rows, n=6):
+    return sorted(tuple(round(x, n) if isinstance(x, float) else x for x in r) for r in rows)
+
+
+def test_more_processors_equal_batch_over_four_batches(spark, tmp_path, sensor_df):
+    from tempest.operators import changelog, count_windows
+    from tempest.plans.registry import _reduce_max
+
+    land(str(tmp_path / "in"), SENSOR_ROWS, 4)
+    s = stream_of(spark, str(tmp_path / "in"))
+
+    c = run(spark, tmp_path, "cl", runner.keyed(s, "id", P.RetractCountAvg(),
+                                                 "flag boolean, seq long, id string, cnt long, sum_temp double, avg_temp double"))
+    assert _r(c.collect()) == _r(changelog.retract_count_avg(sensor_df).select(*c.columns).collect())
+
+    for size, slide in ((10, 2), (2, 2)):
+        w = run(spark, tmp_path, f"cw{size}{slide}", runner.keyed(s, "id", P.CountWindowSlide(size, slide), "id string, seq long, avg_temp double"))
+        assert _r(w.collect()) == _r(count_windows.count_window_slide(sensor_df, size, slide).collect())
+
+    schema = "seq long, id string, timestamp long, temperature double"
+    g = run(spark, tmp_path, "red", runner.keyed(s, "id", P.KeyedReduce(_reduce_max, ["seq", "id", "timestamp", "temperature"], schema), schema))
+    assert _r(g.collect()) == _r(rolling.rolling_reduce_max(sensor_df).select(*g.columns).collect())
+
+
+def test_over_rows_buffered_stream_equals_batch(spark, tmp_path):
+    from tempest.operators import windows
+
+    rows = sorted(SENSOR_ROWS, key=lambda r: (r[2], r[0]))  # event-time order: nothing is behind the watermark
+    land(str(tmp_path / "in"), rows, 3)
+    s = stream_of(spark, str(tmp_path / "in")).withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
+    s = runner.with_event_time(s, "ts")
+    o = run(spark, tmp_path, "ov", runner.keyed(s, "id", P.OverRowsBuffered(2), "id string, ts long, seq long, cnt long, avg_temp double", "EventTime"))
+    t = spark.createDataFrame(rows, "seq long, id string, ts long, temp double")
+    assert _r(o.collect()) == _r(windows.over_rows(t, 2).select(*o.columns).collect())
