@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempest.operators.scan import BLK, DEFAULT_BLOCK, previous_row, with_block
+from tempest.operators.scan import BLK, DEFAULT_BLOCK, keyed_rank, keyed_running, previous_row, with_block
 from tempest.session import materialize
 
 # The rise-alarm message `传感器<id>温度值连续<interval>s上升`, and the initial
@@ -49,10 +49,10 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
       of a key, on the summary only;
     * each fall row also marks the end of the previous segment, so one ``groupBy(key, segment)``
       gives each segment's summary and the time it was cut — no self-join;
-    * segments are replayed by a JVM-side fold over their rows, except time-ordered segments with more
-      than ``long_segment`` rises: there the arms form a greedy chain (next arm = first rise more than
-      ``interval`` after the current one), marked by pointer doubling (:func:`_greedy_chain`), so no
-      group holds a long segment.
+    * segments are replayed by a JVM-side fold over their rows, except segments needing more than
+      ``long_segment`` rows: there the arms form a chain (from an arm, the first later row past its
+      fire time fires it; that row, or the next rise after it, is the next arm), found with range-max
+      tables and marked by pointer doubling (:func:`_arm_chain`), so no group holds a long segment.
     """
     d = with_block(df, seq, block)
     w = Window.partitionBy(key, BLK).orderBy(seq)
@@ -106,9 +106,11 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
         (~F.max(member & F.col("_back") & ~F.col("_fall"))).alias("_mono"),
         F.max(F.when(member, F.col(ts))).alias("_seg_max_t"),
         F.count(F.when(member & F.col("_rise"), True)).alias("_nrise"),
+        F.count(F.when(member, True)).alias("_nrows"),
         F.min_by(F.when(F.col("_cut"), F.col(ts)), F.when(F.col("_cut"), F.col(seq))).alias("_next_ts"),
     ).where(F.col("_seg_max_t").isNotNull())
-    long_seg = F.col("_mono") & (F.col("_nrise") > F.lit(long_segment))
+    n_fold = F.when(F.col("_mono"), F.col("_nrise")).otherwise(F.col("_nrows"))  # rows the replay needs
+    long_seg = n_fold > F.lit(long_segment)
     gmax = df.agg(F.max(ts)).scalar()  # scalar subquery: the input's largest event time
 
     def fires_last(fire: Column) -> Column:
@@ -138,14 +140,15 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
     # below the projection, which would evaluate the fold once more per reference
     out = settled.select(key, F.explode_outer("_fires").alias("fire_ts")).where(F.col("fire_ts").isNotNull())
 
-    long_rises = rows.where(long_seg & F.col("_rise")).select(key, "_g", seq, ts)
-    if not long_rises.isEmpty():
-        chain = _greedy_chain(long_rises, interval, key, seq, ts)
+    long_rows = rows.where(long_seg & (F.col("_rise") | ~F.col("_mono"))).select(key, "_g", seq, ts, "_rise")
+    if not long_rows.isEmpty():
+        chain = _arm_chain(long_rows, interval, key, seq, ts)  # arms, with whether a later row fired them
         ends = chain.groupBy(key, "_g").agg(F.max(seq).alias("_end"))
         arms = chain.join(ends, [key, "_g"], "inner").join(info, [key, "_g"], "inner").select(
             key, (F.col(ts) + F.lit(interval)).alias("fire_ts"), (F.col(seq) == F.col("_end")).alias("_last"),
-            "_mono", "_seg_max_t", "_next_ts")
-        out = out.unionByName(arms.where(~F.col("_last") | fires_last(F.col("fire_ts"))).select(key, "fire_ts"))
+            "_fired_in_seg", "_mono", "_seg_max_t", "_next_ts")
+        keep = ~F.col("_last") | F.col("_fired_in_seg") | fires_last(F.col("fire_ts"))
+        out = out.unionByName(arms.where(keep).select(key, "fire_ts"))
     return out.withColumn(
         "message",
         F.concat(F.lit(RISE_MESSAGE_PARTS[0]), F.col(key), F.lit(RISE_MESSAGE_PARTS[1]), F.lit(str(interval)), F.lit(RISE_MESSAGE_PARTS[2])),
@@ -166,38 +169,52 @@ def _step(acc, r, interval: int):
     return F.struct(armed.alias("fire"), fires.alias("fires"))
 
 
-def _greedy_chain(rises: DataFrame, interval: int, key: str, seq: str, ts: str) -> DataFrame:
-    """Rows of ``rises`` (per ``key, _g`` segment, times non-decreasing in ``seq``) on the greedy chain
-    that starts at the segment's first rise and steps to the first rise more than ``interval`` later.
+def _arm_chain(rows: DataFrame, interval: int, key: str, seq: str, ts: str) -> DataFrame:
+    """The arms of each ``(key, _g)`` segment of ``rows`` (its rows in ``seq`` order, with ``_rise``),
+    plus ``_fired_in_seg``: whether a later row of the segment fired the arm's timer.
 
-    ``nxt`` of a rise in time bucket ``b`` (width ``interval``) is the first later-enough rise of bucket
-    ``b+1`` — a merge inside two adjacent buckets — or else the first rise of the next non-empty bucket
-    after ``b+1``. The chain is then marked by pointer doubling: ``S := S ∪ up(S)``, ``up := up∘up``,
-    O(log length) rounds of joins, each round written to the checkpoint folder to cut the lineage.
+    From an arm at position ``i`` the timer fires at the first later row ``F(i)`` with
+    ``t > t_i + interval``; the next arm is ``F(i)`` if it is a rise, else the first rise after it.
+    ``F`` is found by binary descent over range-max tables ``M_k(p) = max t over [p, p + 2^k)``
+    (one equi-join per level); the first rise at or after a position is a suffix min from the block
+    scan; the chain from the segment's first rise is marked by pointer doubling. Every step is a join
+    on (key, segment, position) — O(log n) rounds, each written to the checkpoint folder.
     """
-    r = rises.withColumn("_b", F.floor(F.col(ts) / F.lit(interval)).cast("long"))
-    heads = r.groupBy(key, "_g", "_b").agg(F.min(seq).alias("_head"))
-    wb = Window.partitionBy(key, "_g").orderBy("_b")
-    far = heads.select(
-        key, "_g", "_b",
-        F.when(F.lead("_b", 1).over(wb) >= F.col("_b") + 2, F.lead("_head", 1).over(wb)).otherwise(F.lead("_head", 2).over(wb)).alias("_far"),
-    )
-    probes = r.select(key, "_g", (F.col("_b") + 1).alias("_pb"), (F.col(ts) + F.lit(interval)).alias("_v"), F.lit(1).alias("_kind"),
-                      F.col(seq).alias("_src"), F.lit(None).cast("long").alias("_cand"))
-    cands = r.select(key, "_g", F.col("_b").alias("_pb"), F.col(ts).alias("_v"), F.lit(0).alias("_kind"),
-                     F.lit(None).cast("long").alias("_src"), F.col(seq).alias("_cand"))
-    # first candidate with time > probe: running min over the descending order (equal times sort after the probe)
-    wn = Window.partitionBy(key, "_g", "_pb").orderBy(F.col("_v").desc(), F.col("_kind").desc(), F.col("_cand").desc())
-    near = probes.unionByName(cands).withColumn("_near", F.min("_cand").over(wn.rowsBetween(Window.unboundedPreceding, 0)))
-    near = near.where(F.col("_kind") == 1).select(F.col("_src").alias(seq), "_near")
-    up = (r.join(near, seq, "inner").join(far, [key, "_g", "_b"], "inner")
-          .select(seq, F.coalesce("_near", "_far").alias("_up")))
-    up = materialize(up, "rise-up")
-    chain = materialize(r.groupBy(key, "_g").agg(F.min(seq).alias(seq)).select(seq), "rise-chain")
+    ks = [key, "_g"]
+    r = keyed_rank(rows, ks, seq, name="_p")
+    r = keyed_running(r.withColumn("_np", -F.col("_p")), ks, {"_nr": ("min", F.when(F.col("_rise"), F.col("_p")))},
+                      "_np", ["_np"], True).drop("_np")
+    r = materialize(r, "arm-rows")
+    longest = r.agg(F.max("_p")).first()[0]
+    levels = max(1, int(longest).bit_length())
+    # range-max tables
+    tables = [materialize(r.select(*ks, "_p", F.col(ts).alias("_m")), "arm-m0")]
+    for k in range(1, levels + 1):
+        half = 1 << (k - 1)
+        nxt = tables[-1].select(*ks, (F.col("_p") - half).alias("_p"), F.col("_m").alias("_m2"))
+        tables.append(materialize(tables[-1].join(nxt, [*ks, "_p"], "left")
+                                  .select(*ks, "_p", F.greatest("_m", "_m2").alias("_m")), f"arm-m{k}"))
+    # F(i) for every rise i: descend from the largest level
+    q = r.where(F.col("_rise")).select(*ks, F.col("_p").alias("_i"), (F.col(ts) + F.lit(interval)).alias("_v"),
+                                       (F.col("_p") + 1).alias("_cur"))
+    for k in range(levels, -1, -1):
+        m = tables[k].select(*ks, F.col("_p").alias("_cur"), "_m")
+        q = q.join(m, [*ks, "_cur"], "left").select(
+            *ks, "_i", "_v", F.when(F.col("_m").isNotNull() & (F.col("_m") <= F.col("_v")), F.col("_cur") + (1 << k))
+            .otherwise(F.col("_cur")).alias("_cur"))
+        q = materialize(q, "arm-q")
+    at = r.select(*ks, F.col("_p").alias("_cur"), F.col("_rise").alias("_frise"), F.col("_nr").alias("_fnr"))
+    q = q.join(at, [*ks, "_cur"], "left").select(
+        *ks, "_i", F.col("_frise").isNotNull().alias("_fired_in_seg"),
+        F.when(F.col("_frise"), F.col("_cur")).otherwise(F.col("_fnr")).alias("_up"))
+    up = materialize(q.select(*ks, "_i", "_up"), "arm-up")
+    chain = materialize(r.where(F.col("_rise")).groupBy(*ks).agg(F.min("_p").alias("_i")), "arm-chain")
     while not up.where(F.col("_up").isNotNull()).isEmpty():
-        step = chain.join(up, seq, "inner").where(F.col("_up").isNotNull()).select(F.col("_up").alias(seq))
-        chain = materialize(chain.unionByName(step), "rise-chain")
-        a, b = up.alias("a"), up.alias("b")
-        up = a.join(b, F.col("a._up") == F.col(f"b.{seq}"), "left").select(F.col(f"a.{seq}").alias(seq), F.col("b._up").alias("_up"))
-        up = materialize(up, "rise-up")
-    return r.join(chain, seq, "inner").select(key, "_g", seq, ts)
+        step = chain.join(up, [*ks, "_i"], "inner").where(F.col("_up").isNotNull()).select(*ks, F.col("_up").alias("_i"))
+        chain = materialize(chain.unionByName(step), "arm-chain")
+        two = up.select(*ks, F.col("_i").alias("_up"), F.col("_up").alias("_up2"))
+        up = materialize(up.join(two, [*ks, "_up"], "left").select(*ks, "_i", F.col("_up2").alias("_up")), "arm-up")
+    fired = q.select(*ks, "_i", "_fired_in_seg")
+    return (r.join(chain.withColumnRenamed("_i", "_p"), [*ks, "_p"], "inner")
+            .join(fired.withColumnRenamed("_i", "_p"), [*ks, "_p"], "inner")
+            .select(*ks, seq, ts, "_fired_in_seg"))
