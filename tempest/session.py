@@ -62,4 +62,4 @@ def materialize(df, name: str):
     ``Dataset.checkpoint`` would compute an unpersisted plan twice (count, then write)."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: an empty table has no files

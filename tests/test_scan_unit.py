@@ -40,3 +40,16 @@ def test_keyed_rank_by_splits_a_hot_key(spark):
     got = sorted(keyed_rank_by(df, ["k"], ["t", "seq"], partitions=6).select("seq", "rn").collect())
     want = sorted(df.select("seq", F.row_number().over(Window.partitionBy("k").orderBy("t", "seq")).alias("rn")).collect())
     assert got == want
+
+
+def test_empty_inputs(spark):
+    from tempest.operators import alarms, late_windows, windows
+    from tempest.operators.scan import keyed_rank_by
+
+    e = spark.createDataFrame([], "seq long, id string, timestamp long, temperature double")
+    assert alarms.rise_alarm(e, 10).count() == 0
+    assert alarms.rise_alarm(e, 10, long_segment=0).count() == 0
+    assert keyed_rank_by(e, ["id"], ["timestamp", "seq"]).count() == 0
+    t = e.withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
+    assert windows.over_rows(t, 2).count() == 0
+    assert late_windows.late_window_emissions(e.withColumn("arrival", F.col("seq")), 5, 2, 60).count() == 0
