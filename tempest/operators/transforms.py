@@ -48,3 +48,37 @@ def rich_map(df: DataFrame, fn: Callable[[pd.DataFrame, object], pd.DataFrame],
                 close_fn(resource)
 
     return df.mapInPandas(run, schema)
+
+
+def map_python(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFrame:
+    """``map(MapFunction)`` for an opaque Python function of one record (a dict) → one record.
+    Runs in Arrow batches through ``mapInPandas``; prefer Column expressions when they exist."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = [f.split()[0] for f in schema.split(",")]
+        for b in batches:
+            yield pd.DataFrame([fn(r) for r in b.to_dict("records")], columns=cols)
+
+    return df.mapInPandas(run, schema)
+
+
+def flat_map_python(df: DataFrame, fn: Callable[[dict], list], schema: str) -> DataFrame:
+    """``flatMap(FlatMapFunction)``: each record → zero or more records."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = [f.split()[0] for f in schema.split(",")]
+        for b in batches:
+            yield pd.DataFrame([o for r in b.to_dict("records") for o in fn(r)], columns=cols)
+
+    return df.mapInPandas(run, schema)
+
+
+def filter_python(df: DataFrame, pred: Callable[[dict], bool]) -> DataFrame:
+    """``filter(FilterFunction)`` with an opaque Python predicate; keeps the input schema."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            keep = [bool(pred(r)) for r in b.to_dict("records")]
+            yield b[keep]
+
+    return df.mapInPandas(run, df.schema)

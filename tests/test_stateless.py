@@ -105,3 +105,13 @@ def test_rich_map_lifecycle(sensor_df):
 
     got = transforms.rich_map(sensor_df, fn, "id string, tag string", open_fn=lambda: "opened")
     assert {r.tag for r in got.collect()} == {"opened"}
+
+
+def test_python_function_surface(sensor_df):
+    lines = sensor_df.select("seq", to_line(sensor_df).alias("value"))
+    m = transforms.map_python(lines, lambda r: {"seq": r["seq"], "n": len(r["value"])}, "seq long, n long")
+    assert {r.seq: r.n for r in m.collect()}[0] == 24
+    f = transforms.flat_map_python(lines, lambda r: [{"field": x} for x in r["value"].split(",")], "field string")
+    assert f.count() == 39
+    k = transforms.filter_python(lines, lambda r: r["value"].startswith("sensor_1"))
+    assert k.count() == 9 and k.columns == ["seq", "value"]
