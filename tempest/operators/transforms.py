@@ -57,7 +57,9 @@ def map_python(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFr
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cols = [f.split()[0] for f in schema.split(",")]
         for b in batches:
-            yield pd.DataFrame([fn(r) for r in b.to_dict("records")], columns=cols)
+            out = [fn(r) for r in b.to_dict("records")]
+            if out:  # an empty frame has no usable column types
+                yield pd.DataFrame(out, columns=cols)
 
     return df.mapInPandas(run, schema)
 
@@ -68,7 +70,9 @@ def flat_map_python(df: DataFrame, fn: Callable[[dict], list], schema: str) -> D
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cols = [f.split()[0] for f in schema.split(",")]
         for b in batches:
-            yield pd.DataFrame([o for r in b.to_dict("records") for o in fn(r)], columns=cols)
+            out = [o for r in b.to_dict("records") for o in fn(r)]
+            if out:
+                yield pd.DataFrame(out, columns=cols)
 
     return df.mapInPandas(run, schema)
 

@@ -115,3 +115,8 @@ def test_python_function_surface(sensor_df):
     assert f.count() == 39
     k = transforms.filter_python(lines, lambda r: r["value"].startswith("sensor_1"))
     assert k.count() == 9 and k.columns == ["seq", "value"]
+
+
+def test_python_flat_map_with_empty_batches(sensor_df):
+    f = transforms.flat_map_python(sensor_df, lambda r: [{"id": r["id"]}] if r["seq"] == 3 else [], "id string")
+    assert [r.id for r in f.collect()] == ["sensor_10"]
