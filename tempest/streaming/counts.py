@@ -44,10 +44,11 @@ def running_count_stream(stream: DataFrame, key: str, seq: str = "seq", name: st
 
 
 def _totals(spark: SparkSession, root: str, batch_id: int, key_type: str, name: str, key: str) -> DataFrame:
+    schema = f"{key} {key_type}, {name} long"
     if batch_id < 0:
-        return spark.createDataFrame([], f"{key} {key_type}, {name} long")
-    return spark.read.parquet(f"{root}/totals/batch={batch_id}")
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/totals/batch={batch_id}")  # an empty batch writes no files
 
 
-def read_output(spark: SparkSession, out: str, key: str, seq: str = "seq", name: str = "cnt") -> DataFrame:
-    return spark.read.parquet(out).select(seq, key, name)
+def read_output(spark: SparkSession, out: str, key: str, seq: str = "seq", name: str = "cnt", key_type: str = "string") -> DataFrame:
+    return spark.read.schema(f"{seq} long, {key} {key_type}, {name} long").parquet(out).select(seq, key, name)
