@@ -30,7 +30,7 @@ def jump_alarm(df: DataFrame, threshold: float = 10.0, key: str = "id", field: s
 
 def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str = "temperature",
                ts: str = "timestamp", seq: str = "seq", initial_last: float = RISE_INITIAL_LAST,
-               block: int = DEFAULT_BLOCK, long_segment: int = 1 << 16, materialize_rows: bool = True) -> DataFrame:
+               block: int = DEFAULT_BLOCK, long_segment: int = 1 << 12, materialize_rows: bool = True) -> DataFrame:
     """Alarm when a key's temperature keeps rising for ``interval`` seconds of event time.
 
     Per key, in arrival order, with state ``last`` (starts at ``initial_last``) and a timer:
@@ -49,8 +49,8 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
       of a key, on the summary only;
     * each fall row also marks the end of the previous segment, so one ``groupBy(key, segment)``
       gives each segment's summary and the time it was cut — no self-join;
-    * segments are replayed by a JVM-side fold over their rows, except segments needing more than
-      ``long_segment`` rows: there the arms form a chain (from an arm, the first later row past its
+    * segments are replayed by a JVM-side fold over their rows (its alarm array grows by copying, so
+      the fold is kept to segments of at most ``long_segment`` rows), except longer segments: there the arms form a chain (from an arm, the first later row past its
       fire time fires it; that row, or the next rise after it, is the next arm), found with range-max
       tables and marked by pointer doubling (:func:`_arm_chain`), so no group holds a long segment.
     """
