@@ -118,3 +118,18 @@ def test_late_window_emissions_match_simulation(spark, rows, size, delay, latene
     df = spark.createDataFrame(arr, "seq long, id string, timestamp long, temperature double, arrival long")
     got = late_windows.late_window_emissions(df, size, delay, lateness, block=4)
     assert sorted((r.emitted_after, r.id, r.window_end, r.seq) for r in got.collect()) == emissions_model(arr, size, delay, lateness)
+
+
+def test_rise_alarm_long_segments_match_state_machine(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows, t, v = [], 1000, 0.0
+    for seq in range(600):
+        t += rnd.choice([1, 2, 3, 5, -2])                        # times mostly forward, some backward steps
+        v += rnd.choice([0.5, 0.5, 1.0, 0.0]) if seq % 211 else -50.0  # long rising runs, rare falls
+        rows.append((seq, "s", t, v))
+    df = spark.createDataFrame(rows, "seq long, id string, timestamp long, temperature double")
+    for interval in (3, 17):
+        got = sorted((r.id, r.fire_ts) for r in alarms.rise_alarm(df, interval, block=64, long_segment=50).collect())
+        assert got == rise_model(rows, interval)
