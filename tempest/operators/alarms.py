@@ -23,7 +23,9 @@ def jump_alarm(df: DataFrame, threshold: float = 10.0, key: str = "id", field: s
     key never alarms."""
     d = previous_row(df, [key], [field], seq, block=block)
     last = F.col(f"prev_{field}")
-    return d.where(last.isNotNull() & (F.abs(F.col(field) - last) >= F.lit(threshold))).select(
+    diff = F.abs(F.col(field) - last)
+    # the JDK's >= is false for NaN; Spark orders NaN above every number
+    return d.where(last.isNotNull() & ~F.isnan(diff) & (diff >= F.lit(threshold))).select(
         key, seq, last.alias("last_temp"), F.col(field).alias(field)
     )
 

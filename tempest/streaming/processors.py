@@ -17,6 +17,13 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 from tempest.operators.alarms import RISE_INITIAL_LAST, RISE_MESSAGE_PARTS
 
 
+def _java_gt(a: float, b: float) -> bool:
+    """``Double.compare(a, b) > 0``: NaN is greater than every number (as Spark orders it too)."""
+    if a != a:
+        return b == b
+    return b == b and a > b
+
+
 def _nonempty(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
     """Yield ``pdf`` only when it has rows (an empty frame has no usable column types for Arrow)."""
     if len(pdf):
@@ -85,7 +92,7 @@ class RollingMaxBy(StatefulProcessor):
         bv, bs, bt = got if got is not None else (None, None, None)
         out_s, out_t, out_v = [], [], []
         for s, t, v in zip(pdf["seq"].tolist(), pdf["timestamp"].tolist(), pdf["temperature"].tolist()):
-            if bv is None or v > bv:
+            if bv is None or _java_gt(v, bv):
                 bv, bs, bt = v, s, t
             out_s.append(bs), out_t.append(bt), out_v.append(bv)
         self.best.update((bv, bs, bt))
@@ -369,7 +376,7 @@ class LateWindowMinBy(StatefulProcessor):
             cur = state.get(start)
             due = end * 1000 - 1 <= wm
             for a, s, t, v in zip(g["arrival"].tolist(), g["seq"].tolist(), g["timestamp"].tolist(), g["temperature"].tolist()):
-                if cur is None or v < cur[0]:
+                if cur is None or _java_gt(cur[0], v):
                     cur = [v, a, s, t, False if cur is None else cur[4]]
                 if cur[4] or due:
                     out.append(("main", key[0], end, cur[2], cur[3], cur[0]))

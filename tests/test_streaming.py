@@ -180,3 +180,20 @@ def test_over_rows_buffered_stream_equals_batch(spark, tmp_path):
     o = run(spark, tmp_path, "ov", runner.keyed(s, "id", P.OverRowsBuffered(2), "id string, ts long, seq long, cnt long, avg_temp double", "EventTime"))
     t = spark.createDataFrame(rows, "seq long, id string, ts long, temp double")
     assert _r(o.collect()) == _r(windows.over_rows(t, 2).select(*o.columns).collect())
+
+
+def test_nan_readings_batch_equals_stream(spark, tmp_path):
+    nan = float("nan")
+    rows = [(0, "a", 10, 5.0), (1, "a", 11, nan), (2, "a", 12, 30.0), (3, "a", 13, 2.0), (4, "b", 14, nan), (5, "b", 15, 1.0)]
+    schema = "seq long, id string, timestamp long, temperature double"
+    df = spark.createDataFrame(rows, schema)
+    assert sorted((r.seq, r.temperature) for r in alarms.jump_alarm(df, 10.0).collect()) == [(3, 2.0)]
+    folder = str(tmp_path / "in")
+    os.makedirs(folder)
+    df.coalesce(1).write.mode("overwrite").parquet(folder + "/p")
+    s = spark.readStream.schema(schema).parquet(folder + "/p")
+    j = run(spark, tmp_path, "nj", runner.keyed(s, "id", P.JumpAlarm(10.0), "id string, seq long, last_temp double, temperature double"))
+    assert sorted(r.seq for r in j.collect()) == [3]
+    m = run(spark, tmp_path, "nm", runner.keyed(s, "id", P.RollingMaxBy(), "seq long, id string, max_seq long, timestamp long, temperature double"))
+    b = rolling.rolling_max_by(df)
+    assert sorted((r.seq, r.max_seq) for r in m.collect()) == sorted((r.seq, r.max_seq) for r in b.collect())
