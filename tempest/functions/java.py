@@ -62,3 +62,16 @@ def java_double_text(d: ColumnOrName) -> Column:
 def java_starts_with(s: ColumnOrName, prefix: str) -> Column:
     """``String.startsWith(prefix)``."""
     return _col(s).startswith(prefix)
+
+
+def java_gt(a: ColumnOrName, b: ColumnOrName | float) -> Column:
+    """The JDK's primitive ``a > b`` on doubles: false when either side is NaN (Spark's ``>`` orders
+    NaN above every number)."""
+    a = _col(a)
+    b = F.lit(b) if isinstance(b, (int, float)) else _col(b)
+    return ~F.isnan(a) & ~F.isnan(b) & (a > b)
+
+
+def java_lt(a: ColumnOrName, b: ColumnOrName | float) -> Column:
+    """The JDK's primitive ``a < b`` on doubles (false with NaN)."""
+    return java_gt(b, a) if not isinstance(b, (int, float)) else java_gt(F.lit(b), a)

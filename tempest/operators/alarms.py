@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempest.functions.java import java_lt
 from tempest.operators.scan import BLK, DEFAULT_BLOCK, keyed_rank, keyed_running, previous_row, with_block
 from tempest.session import materialize
 
@@ -159,7 +160,7 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
 
 def _less(a, b):
     """JDK ``a < b`` on doubles: false when either side is NaN (Spark orders NaN above everything)."""
-    return ~F.isnan(a) & ~F.isnan(b) & (a < b)
+    return java_lt(a, b)
 
 
 def _step(acc, r, interval: int):

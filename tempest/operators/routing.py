@@ -11,6 +11,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tempest.functions.java import java_gt
+
 # Split tags, co-map status texts, side-output tags.
 HIGH, LOW = "high", "low"
 HIGH_STATUS, NORMAL_STATUS = "high temp warning", "normal"
@@ -19,8 +21,8 @@ MAIN_TAG, LOW_TEMP_TAG = "main", "lowTemp"
 
 def split_by_threshold(df: DataFrame, threshold: float = 30.0, field: str = "temperature", tag: str = "tag") -> DataFrame:
     """``split(r -> temp > threshold ? "high" : "low")``: one tag per row (exactly ``threshold`` is low;
-    a null temperature is low)."""
-    return df.withColumn(tag, F.when(F.col(field) > F.lit(threshold), F.lit(HIGH)).otherwise(F.lit(LOW)))
+    a null or NaN temperature is low, as the JDK comparison is false)."""
+    return df.withColumn(tag, F.when(java_gt(field, threshold), F.lit(HIGH)).otherwise(F.lit(LOW)))
 
 
 def select_tags(tagged: DataFrame, *tags: str, tag: str = "tag", drop_tag: bool = True) -> DataFrame:

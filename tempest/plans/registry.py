@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tempest.operators import alarms, changelog, count_windows, late_windows, rolling, routing, tables, transforms, udfs, windows
 from tempest.operators import wordcount
+from tempest.functions.java import java_gt
 from tempest.readings import parse_lines, reading_text, sensor_view, to_line
 
 # Parameters of the registered queries (durations in seconds).
@@ -149,7 +150,7 @@ def q_connect_map(spark, d):
 
 
 def q_side_outputs(spark, d):
-    return routing.tag_side_output(sensor(spark, d), F.col("temperature") > F.lit(HIGH_THRESHOLD))
+    return routing.tag_side_output(sensor(spark, d), java_gt("temperature", HIGH_THRESHOLD))
 
 
 # ---------------------------------------------------------------- rolling / keyed state

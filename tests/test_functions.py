@@ -59,3 +59,13 @@ def test_epoch_seconds_ignores_session_zone(spark):
         assert [r[0] for r in df.select(epoch_seconds(F.col("ts"))).collect()] == [1719792007, -1]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_java_comparisons_with_nan(spark):
+    from tempest.functions import java_gt, java_lt
+    from tempest.operators.routing import split_by_threshold
+
+    df = spark.createDataFrame([(float("nan"),), (31.0,), (30.0,), (None,)], "temperature double")
+    assert [r[0] for r in df.select(java_gt("temperature", 30.0)).collect()] == [False, True, False, None]
+    assert [r[0] for r in df.select(java_lt("temperature", 31.0)).collect()] == [False, False, True, None]
+    assert [r.tag for r in split_by_threshold(df).collect()] == ["low", "high", "low", "low"]
