@@ -456,3 +456,25 @@ QUERIES: dict[str, Query] = {
     "stream_tumble_count_avg": q_stream_tumble_count_avg,
     "stream_word_count": q_stream_word_count,
 }
+
+
+# SURVEY §2 operator IDs exercised by each registered query.
+SURVEY_IDS: dict[str, str] = {
+    "word_count": "S1 T5 A1 F1", "running_word_count": "T5 A2 F1", "line_lengths": "T2 F2",
+    "line_fields": "T3 F1", "prefix_filter": "T4 F3", "parse_lines": "T1 F11", "reading_text": "T7 D2 F10",
+    "select_where": "S10 T9", "select_where_sql": "S12 T10", "split_high": "M1 M2", "split_low": "M1 M2",
+    "union_all": "M4", "connect_map": "M3 T6", "side_outputs": "M5 P11", "rolling_sum": "A2",
+    "rolling_max_by": "A3", "rolling_reduce": "A4 F5", "keyed_count": "A6 P6", "group_count_avg": "A5",
+    "group_count_avg_sql": "A7 S12", "avg_temp_udaf": "A8 U3", "retract_changelog": "A9",
+    "tumble_count": "W1 U4", "tumble_sum_first": "W3", "tumble_count_avg": "W7 S11 F9",
+    "tumble_count_avg_sql": "W8 F9", "slide_count": "W2", "count_window_tumble": "W5",
+    "count_window_slide": "W4", "over_rows": "O1", "over_rows_sql": "O2", "jump_alarm": "P9 F6",
+    "rise_alarm": "P10 F7", "late_window_main": "W6 P1 P2 P3", "late_window_late": "W6 P4",
+    "late_window_emissions": "W6 P2 P3", "hash_code": "U1 F4", "split_lateral": "U2 J1",
+    "split_lateral_sql": "U2 J2", "shard_count": "P5", "rich_map": "T8",
+    "stream_keyed_count": "S2 A6 P6 U7", "stream_jump_alarm": "S2 P9 U7", "stream_rolling_max_by": "S2 A3",
+    "stream_rolling_reduce": "S2 A4 U6", "stream_retract_changelog": "S2 A9",
+    "stream_count_window_slide": "S2 W4 P7", "stream_count_window_tumble": "S2 W5 P7",
+    "stream_rise_alarm": "S2 P10 P2", "stream_over_rows": "S2 O3 P7", "stream_late_window": "S2 W6 P8 P2",
+    "stream_word_count": "S2 A2 T5", "stream_tumble_count_avg": "S2 W7 P1 P2 A10",
+}

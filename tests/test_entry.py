@@ -11,3 +11,9 @@ def test_every_query_has_oracle_or_is_nondeterministic():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) <= {"rich_map"} | {k for k in q if k.startswith("stream_")} - set(o)
+
+
+def test_every_query_names_its_survey_ids():
+    from tempest.plans.registry import SURVEY_IDS
+
+    assert set(SURVEY_IDS) == set(E.queries())
