@@ -26,3 +26,9 @@ def retract_count_avg(df: DataFrame, key: str = "id", field: str = "temperature"
         F.col("_r.flag").alias("flag"), seq, key, F.col("_r.cnt").cast("long").alias("cnt"), F.col("_r.sum_temp").alias("sum_temp"),
         (F.col("_r.sum_temp") / F.col("_r.cnt")).alias("avg_temp"),
     )
+
+
+def as_retract_stream(df: DataFrame, flag: str = "flag") -> DataFrame:
+    """The retract form of an append-only (insert-only) result: every row is an insertion, ``(true, row)``.
+    Works on batch and streaming DataFrames."""
+    return df.select(F.lit(True).alias(flag), *df.columns)

@@ -120,3 +120,8 @@ def test_python_function_surface(sensor_df):
 def test_python_flat_map_with_empty_batches(sensor_df):
     f = transforms.flat_map_python(sensor_df, lambda r: [{"id": r["id"]}] if r["seq"] == 3 else [], "id string")
     assert [r.id for r in f.collect()] == ["sensor_10"]
+
+
+def test_append_only_result_as_retract_stream(sensor_df):
+    r = changelog.as_retract_stream(sensor_df.select("id", "temperature"))
+    assert r.columns == ["flag", "id", "temperature"] and r.where("flag").count() == 13
