@@ -5,3 +5,19 @@ explicit arrival sequence column (``seq``), because Spark has no arrival order o
 """
 
 __version__ = "0.1.0"
+
+
+def _pickle_by_value() -> None:
+    """Functions and stateful processors of this package travel to Python workers by value, so the
+    workers need not import the package (no ``--py-files`` needed, any working directory)."""
+    try:
+        import sys
+
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 — older cloudpickle: ship the package with --py-files instead
+        pass
+
+
+_pickle_by_value()
