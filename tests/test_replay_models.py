@@ -133,3 +133,40 @@ def test_rise_alarm_long_segments_match_state_machine(spark):
     for interval in (3, 17):
         got = sorted((r.id, r.fire_ts) for r in alarms.rise_alarm(df, interval, block=64, long_segment=50).collect())
         assert got == rise_model(rows, interval)
+
+
+def rolling_models(rows):
+    """Per record, in seq order per key: count, sum (nulls ignored), max (nulls ignored), and the
+    max-by row (nulls lowest, earliest row on ties)."""
+    out, state = {}, {}
+    for seq, k, v in sorted(rows):
+        n, s, m, best = state.get(k, (0, None, None, None))
+        n += 1
+        s = s if v is None else (v if s is None else s + v)
+        m = m if v is None else (v if m is None else max(m, v))
+        rank = (v is not None, v if v is not None else 0.0)
+        if best is None or rank > best[0]:
+            best = (rank, seq)
+        state[k] = (n, s, m, best)
+        out[seq] = (n, s, m, best[1])
+    return out
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.integers(-3, 3).map(float))), min_size=1, max_size=40),
+       st.integers(1, 6))
+def test_rolling_ops_match_python_model(spark, items, block):
+    from tempest.operators import rolling
+
+    rows = [(i, k, v) for i, (k, v) in enumerate(items)]
+    df = spark.createDataFrame([(i, k, 100 + i, v) for i, k, v in rows], "seq long, id string, timestamp long, temperature double")
+    want = rolling_models(rows)
+    cnt = {r.seq: r.cnt for r in rolling.keyed_count(df, block=block).collect()}
+    sm = {r.seq: r.temperature for r in rolling.rolling_sum(df, block=block).collect()}
+    mx = {r.seq: r.temperature for r in rolling.rolling_reduce_max(df, block=block).collect()}
+    mb = {r.seq: r.max_seq for r in rolling.rolling_max_by(df, block=block).collect()}
+    for seq, (n, s, m, b) in want.items():
+        assert cnt[seq] == n
+        assert (sm[seq] is None and s is None) or abs(sm[seq] - s) < 1e-9
+        assert mx[seq] == m
+        assert mb[seq] == b
