@@ -45,7 +45,9 @@ def late_window_min_by(df: DataFrame, size: int = 5, delay: int = 2, lateness: i
     """
     order_cols = list(order_cols or [arrival, seq])
     d = flag_late(df, size, delay, lateness, arrival, order_cols, ts, block)
-    best = F.min(F.struct(F.col(field).alias("_v"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
+    # null readings sort after every number (a null never beats a real minimum), then arrival order
+    best = F.min(F.struct(F.col(field).isNull().alias("_null"), F.col(field).alias("_v"),
+                          *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
                           F.col(seq).alias("_seq"), F.col(ts).alias("_ts")))
     main = (
         d.where(~F.col("is_late"))
@@ -80,7 +82,8 @@ def late_window_emissions(df: DataFrame, size: int = 5, delay: int = 2, lateness
     """
     order = [arrival, seq]
     d = flag_late(df, size, delay, lateness, arrival, order, ts, block)
-    best_of = F.struct(F.col(field).alias("_v"), F.col(arrival).alias("_a"), F.col(seq).alias("_s"), F.col(ts).alias("_t"))
+    best_of = F.struct(F.col(field).isNull().alias("_null"), F.col(field).alias("_v"), F.col(arrival).alias("_a"),
+                       F.col(seq).alias("_s"), F.col(ts).alias("_t"))
 
     # watermark crossings of window ends (late rows move the watermark too)
     first_end = df.agg(F.min(F.floor(F.col(ts) / F.lit(size)) * F.lit(size) + F.lit(size))).scalar()

@@ -71,3 +71,10 @@ def test_late_window_emissions_fixture(sensor_df):
                           (6, 205, "sensor_1", 5), (9, 200, "sensor_1", 9), (10, 210, "sensor_1", 7), (10, 215, "sensor_6", 8)])
     flushed = late_windows.late_window_emissions(d, 5, 2, 60, flush_at_end=True).where("emitted_after IS NULL").collect()
     assert sorted((r.id, rel(r.window_end) - 5, r.seq) for r in flushed) == [("sensor_10", 290, 12), ("sensor_7", 290, 10)]
+
+
+def test_late_window_min_by_puts_null_readings_last(spark):
+    rows = [(0, "a", 100, None, 0), (1, "a", 101, 7.0, 1), (2, "a", 102, 9.0, 2), (3, "b", 100, None, 3)]
+    df = spark.createDataFrame(rows, "seq long, id string, timestamp long, temperature double, arrival long")
+    main, _ = late_windows.late_window_min_by(df, 5, 2, 60)
+    assert sorted((r.id, r.seq) for r in main.collect()) == [("a", 1), ("b", 3)]
