@@ -37,10 +37,27 @@ class StreamRun:
     checkpoint: str
 
 
-def start_to_files(stream: DataFrame, output: str, checkpoint: str, fmt: str = "parquet", available_now: bool = True):
+_PARTITIONS_CONF = "spark.sql.shuffle.partitions"
+
+
+def start_with_state_partitions(writer, spark: SparkSession, state_partitions: int | None = None):
+    """Start a streaming query with ``state_partitions`` shuffle (and state-store) partitions — by
+    default the cluster's parallelism — leaving the session's own setting untouched: the query clones
+    the session conf at start, and a restart takes the count from its checkpoint."""
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get(_PARTITIONS_CONF)
+    spark.conf.set(_PARTITIONS_CONF, str(parts))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(_PARTITIONS_CONF, old)
+
+
+def start_to_files(stream: DataFrame, output: str, checkpoint: str, fmt: str = "parquet", available_now: bool = True,
+                   state_partitions: int | None = None):
     w = stream.writeStream.format(fmt).option("path", output).option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w
-    return w.start()
+    return start_with_state_partitions(w, stream.sparkSession, state_partitions)
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str, run: StreamRun | None = None) -> DataFrame:
