@@ -155,3 +155,16 @@ def test_text_landing_stream_parses(spark, tmp_path):
     q = parsed.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "o")).count() == 13
+
+
+def test_console_sinks(spark, sensor_df, tmp_path, capsys):
+    from tempest.sinks.console import print_batch, print_stream
+
+    print_batch(sensor_df.limit(2), "data")
+    src = tmp_path / "c"
+    src.mkdir()
+    _write_lines(src / "a.txt", SENSOR_ROWS[:3])
+    q = print_stream(files.stream_lines(spark, str(src)), "lines", available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert "data" in capsys.readouterr().out
