@@ -1 +1 @@
-"""Sinks: CSV files, Kafka, Redis hashes, JDBC upserts."""
+"""Sinks: CSV files, Kafka payloads, Redis hashes, JDBC upserts, labelled console output."""
