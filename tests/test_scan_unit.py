@@ -53,3 +53,13 @@ def test_empty_inputs(spark):
     t = e.withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
     assert windows.over_rows(t, 2).count() == 0
     assert late_windows.late_window_emissions(e.withColumn("arrival", F.col("seq")), 5, 2, 60).count() == 0
+
+
+def test_keyed_rank_by_with_null_order_values(spark):
+    from tempest.operators.scan import keyed_rank_by
+
+    rows = [(s, "hot" if s % 4 else "k", None if s % 7 == 0 else (s * 13) % 20) for s in range(120)]
+    df = spark.createDataFrame(rows, "seq long, k string, t long")
+    got = sorted(keyed_rank_by(df, ["k"], ["t", "seq"], partitions=5).select("seq", "rn").collect())
+    want = sorted(df.select("seq", F.row_number().over(Window.partitionBy("k").orderBy("t", "seq")).alias("rn")).collect())
+    assert got == want
