@@ -49,3 +49,9 @@ def test_rise_alarm_fixture(rise_df):
     assert got == [("sensor_1", 10), ("sensor_1", 37), ("sensor_2", 12)]
     msg = alarms.rise_alarm(rise_df, 10).where("fire_ts = 10").first().message
     assert msg == "传感器sensor_1温度值连续10s上升"
+
+
+def test_count_window_slide_larger_than_size(sensor_df):
+    # sensor_1 readings in order: 35.8, 36.3, 32.8, 37.1, 30.0, 29.0, 10.0 -> fire at the 3rd and 6th
+    got = sorted((r.seq, round(r.avg_temp, 6)) for r in count_windows.count_window_slide(sensor_df, 2, 3).where("id = 'sensor_1'").collect())
+    assert got == [(5, round((36.3 + 32.8) / 2, 6)), (9, round((30.0 + 29.0) / 2, 6))]
