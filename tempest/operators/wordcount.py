@@ -17,7 +17,8 @@ def text_lines(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     return (
         docs.where(t.isNotNull() & (t != ""))
         .select(*keep, F.posexplode(F.split(body, "\n", -1)).alias("line_no", "line"))
-        .withColumn("line", F.regexp_replace("line", "\r\\z", ""))
+        .withColumn("line", F.when(F.col("line").endswith("\r"), F.expr("substring(line, 1, char_length(line) - 1)"))
+                    .otherwise(F.col("line")))
     )
 
 

@@ -125,3 +125,10 @@ def test_python_flat_map_with_empty_batches(sensor_df):
 def test_append_only_result_as_retract_stream(sensor_df):
     r = changelog.as_retract_stream(sensor_df.select("id", "temperature"))
     assert r.columns == ["flag", "id", "temperature"] and r.where("flag").count() == 13
+
+
+def test_text_lines_strip_crlf(spark):
+    docs = spark.createDataFrame([("a b\r\nc\r\n\r\n",)], "text string")
+    lines = [r.line for r in wordcount.text_lines(docs).orderBy("line_no").collect()]
+    assert lines == ["a b", "c", ""]
+    assert {r.word: r.cnt for r in wordcount.word_count(wordcount.text_lines(docs)).collect()} == {"a": 1, "b": 1, "c": 1, "": 1}
