@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempest.functions.java import java_split
 from tempest.operators.scan import DEFAULT_BLOCK, keyed_running
 
 
+def _strip_cr(line: Column) -> Column:
+    """Drop one trailing carriage return (a CRLF line ending)."""
+    return F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+
+
 def text_lines(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Lines of each text, as a text-file reader yields them: split on ``\\n``, a trailing ``\\r``
     removed, and no extra empty line after a final line break. Whole texts, every line."""
@@ -17,8 +22,7 @@ def text_lines(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     return (
         docs.where(t.isNotNull() & (t != ""))
         .select(*keep, F.posexplode(F.split(body, "\n", -1)).alias("line_no", "line"))
-        .withColumn("line", F.when(F.col("line").endswith("\r"), F.expr("substring(line, 1, char_length(line) - 1)"))
-                    .otherwise(F.col("line")))
+        .withColumn("line", _strip_cr(F.col("line")))
     )
 
 
@@ -42,7 +46,7 @@ def word_occurrences(docs: DataFrame, text_col: str = "text", id_col: str = "doc
     A text with 2^24 words or more fails the job instead of producing colliding numbers."""
     t = F.col(text_col)
     body = F.when(t.endswith("\n"), F.expr(f"substring({text_col}, 1, char_length({text_col}) - 1)")).otherwise(t)
-    lines = F.transform(F.split(body, "\n", -1), lambda line: F.regexp_replace(line, "\r\\z", ""))
+    lines = F.transform(F.split(body, "\n", -1), _strip_cr)
     words = F.flatten(F.transform(lines, lambda line: java_split(line, sep)))
     occ = docs.where(t.isNotNull() & (t != "")).select(id_col, F.posexplode(words).alias("pos", "word"))
     limit = 1 << POS_BITS
