@@ -17,3 +17,16 @@ def test_every_query_names_its_survey_ids():
     from tempest.plans.registry import SURVEY_IDS
 
     assert set(SURVEY_IDS) == set(E.queries())
+
+
+def test_every_oracle_sql_runs_in_duckdb():
+    import duckdb
+
+    from .conftest import SF_SMALL
+
+    con = duckdb.connect()
+    for t in ("events", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    for name, sql in E.oracle_sql().items():
+        cols = [d[0] for d in con.execute(f"DESCRIBE {sql}").fetchall()]
+        assert cols and len(cols) == len(set(cols)), name
