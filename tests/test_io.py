@@ -168,3 +168,14 @@ def test_console_sinks(spark, sensor_df, tmp_path, capsys):
     q.awaitTermination()
     assert q.exception() is None
     assert "data" in capsys.readouterr().out
+
+
+def test_generator_values_do_not_depend_on_partitioning(spark):
+    generator.register(spark)
+
+    def read(parts):
+        return sorted(spark.read.format("sensor_walk").option("sensors", 7).option("ticks", 15).option("seed", 3)
+                      .option("partitions", parts).load().collect())
+
+    one, three, seven = read(1), read(3), read(7)
+    assert one == three == seven and len(one) == 105
