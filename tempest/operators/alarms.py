@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempest.functions.java import java_lt
-from tempest.operators.scan import BLK, DEFAULT_BLOCK, keyed_rank, keyed_running, previous_row, with_block
+from tempest.operators.scan import BLK, DEFAULT_BLOCK, join_null_safe, keyed_rank, keyed_running, previous_row, with_block
 from tempest.session import materialize
 
 # The rise-alarm message `传感器<id>温度值连续<interval>s上升`, and the initial
@@ -80,7 +80,7 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
         "_falls_before", F.coalesce(F.sum(F.col("_nf") + F.col("_bfall")).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).select(key, BLK, "_prev_last", "_prev_last_t", "_bfall", "_falls_before")
 
-    r = d.join(blocks, [key, BLK], "inner")
+    r = join_null_safe(d, blocks, [key, BLK])
     first_in_block = F.col("_pos") == 1
     last = F.when(first_in_block, F.col("_prev_last")).otherwise(F.col("_lag"))
     last_t = F.when(first_in_block, F.col("_prev_last_t")).otherwise(F.col("_tlag"))
@@ -123,7 +123,7 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
             | F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > fire).otherwise(fire <= gmax)
         )
 
-    rows = r.where(member).join(info, [key, "_g"], "inner")
+    rows = join_null_safe(r.where(member), info, [key, "_g"])
     short = rows.where(~long_seg & (F.col("_rise") | ~F.col("_mono")))
     segs = short.groupBy(key, "_g").agg(
         F.sort_array(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), F.col("_rise").alias("r")))).alias("_rows"),
@@ -147,14 +147,14 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
     if not long_rows.isEmpty():
         chain = _arm_chain(long_rows, interval, key, seq, ts)  # arms, with whether a later row fired them
         ends = chain.groupBy(key, "_g").agg(F.max(seq).alias("_end"))
-        arms = chain.join(ends, [key, "_g"], "inner").join(info, [key, "_g"], "inner").select(
+        arms = join_null_safe(join_null_safe(chain, ends, [key, "_g"]), info, [key, "_g"]).select(
             key, (F.col(ts) + F.lit(interval)).alias("fire_ts"), (F.col(seq) == F.col("_end")).alias("_last"),
             "_fired_in_seg", "_mono", "_seg_max_t", "_next_ts")
         keep = ~F.col("_last") | F.col("_fired_in_seg") | fires_last(F.col("fire_ts"))
         out = out.unionByName(arms.where(keep).select(key, "fire_ts"))
     return out.withColumn(
         "message",
-        F.concat(F.lit(RISE_MESSAGE_PARTS[0]), F.col(key), F.lit(RISE_MESSAGE_PARTS[1]), F.lit(str(interval)), F.lit(RISE_MESSAGE_PARTS[2])),
+        F.concat(F.lit(RISE_MESSAGE_PARTS[0]), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(RISE_MESSAGE_PARTS[1]), F.lit(str(interval)), F.lit(RISE_MESSAGE_PARTS[2])),
     )
 
 
@@ -195,29 +195,29 @@ def _arm_chain(rows: DataFrame, interval: int, key: str, seq: str, ts: str) -> D
     for k in range(1, levels + 1):
         half = 1 << (k - 1)
         nxt = tables[-1].select(*ks, (F.col("_p") - half).alias("_p"), F.col("_m").alias("_m2"))
-        tables.append(materialize(tables[-1].join(nxt, [*ks, "_p"], "left")
+        tables.append(materialize(join_null_safe(tables[-1], nxt, [*ks, "_p"], "left")
                                   .select(*ks, "_p", F.greatest("_m", "_m2").alias("_m")), f"arm-m{k}"))
     # F(i) for every rise i: descend from the largest level
     q = r.where(F.col("_rise")).select(*ks, F.col("_p").alias("_i"), (F.col(ts) + F.lit(interval)).alias("_v"),
                                        (F.col("_p") + 1).alias("_cur"))
     for k in range(levels, -1, -1):
         m = tables[k].select(*ks, F.col("_p").alias("_cur"), "_m")
-        q = q.join(m, [*ks, "_cur"], "left").select(
+        q = join_null_safe(q, m, [*ks, "_cur"], "left").select(
             *ks, "_i", "_v", F.when(F.col("_m").isNotNull() & (F.col("_m") <= F.col("_v")), F.col("_cur") + (1 << k))
             .otherwise(F.col("_cur")).alias("_cur"))
         q = materialize(q, "arm-q")
     at = r.select(*ks, F.col("_p").alias("_cur"), F.col("_rise").alias("_frise"), F.col("_nr").alias("_fnr"))
-    q = q.join(at, [*ks, "_cur"], "left").select(
+    q = join_null_safe(q, at, [*ks, "_cur"], "left").select(
         *ks, "_i", F.col("_frise").isNotNull().alias("_fired_in_seg"),
         F.when(F.col("_frise"), F.col("_cur")).otherwise(F.col("_fnr")).alias("_up"))
     up = materialize(q.select(*ks, "_i", "_up"), "arm-up")
     chain = materialize(r.where(F.col("_rise")).groupBy(*ks).agg(F.min("_p").alias("_i")), "arm-chain")
     while not up.where(F.col("_up").isNotNull()).isEmpty():
-        step = chain.join(up, [*ks, "_i"], "inner").where(F.col("_up").isNotNull()).select(*ks, F.col("_up").alias("_i"))
+        step = join_null_safe(chain, up, [*ks, "_i"]).where(F.col("_up").isNotNull()).select(*ks, F.col("_up").alias("_i"))
         chain = materialize(chain.unionByName(step), "arm-chain")
         two = up.select(*ks, F.col("_i").alias("_up"), F.col("_up").alias("_up2"))
-        up = materialize(up.join(two, [*ks, "_up"], "left").select(*ks, "_i", F.col("_up2").alias("_up")), "arm-up")
+        up = materialize(join_null_safe(up, two, [*ks, "_up"], "left").select(*ks, "_i", F.col("_up2").alias("_up")), "arm-up")
     fired = q.select(*ks, "_i", "_fired_in_seg")
-    return (r.join(chain.withColumnRenamed("_i", "_p"), [*ks, "_p"], "inner")
-            .join(fired.withColumnRenamed("_i", "_p"), [*ks, "_p"], "inner")
+    on = [*ks, "_p"]
+    return (join_null_safe(join_null_safe(r, chain.withColumnRenamed("_i", "_p"), on), fired.withColumnRenamed("_i", "_p"), on)
             .select(*ks, seq, ts, "_fired_in_seg"))

@@ -6,10 +6,12 @@ into blocks of ``block`` consecutive ``seq`` values, and:
 
 1. a window over (key, block) — at most ``block`` rows, because ``seq`` is a unique integer — gives
    the running aggregate inside the block;
-2. each (key, block) is summarised from that window output — one row per block;
+2. each (key, block) is summarised by a partial aggregate — one row per block;
 3. an exclusive prefix over the blocks of a key is taken on that small summary and joined back.
 
-The window, the summary and the join share one hash exchange on (key, block): the data is shuffled once.
+The summary (2) is a partial aggregate over its own read of the source, so it shuffles one row per task and
+(key, block); the rows themselves are shuffled once, for the in-block window, and the join on (key, block) uses
+that partitioning. All joins are null-safe: rows with a null key are a key of their own, as in ``PARTITION BY``.
 Supported aggregates are the associative ones: ``sum``, ``count``, ``max``, ``min`` (``max``/``min`` also
 on structs, for arg-max with tie rules) and ``first``/``last`` by arrival sequence.
 """
@@ -42,6 +44,16 @@ def _combine(kind: str, pre: Column, cur: Column) -> Column:
     raise ValueError(kind)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null equals null (still a hash or merge join); keys come from ``left``."""
+    names = {k: f"_r_{i}" for i, k in enumerate(keys)}
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        same = F.col(k).eqNullSafe(F.col(names[k]))
+        cond = same if i == 0 else cond & same
+    return left.join(right.withColumnsRenamed(names), cond, how).drop(*names.values())
+
+
 def with_block(df: DataFrame, seq_col: str, block: int) -> DataFrame:
     return df.withColumn(BLK, F.floor(F.col(seq_col) / F.lit(block)).cast("long"))
 
@@ -113,10 +125,10 @@ def keyed_running(
     if base is not None:
         carried = [n for n in names if kinds[n] in ("sum", "count") and n in base.columns]
         b = base.select(*keys, *[F.col(n).alias(f"_base_{n}") for n in carried])
-        prefix = prefix.join(b, keys, "left").withColumns({
+        prefix = join_null_safe(prefix, b, keys, "left").withColumns({
             f"_pre_{names.index(n)}": _combine("sum", F.col(f"_pre_{names.index(n)}"), F.col(f"_base_{n}")) for n in carried
         }).drop(*[f"_base_{n}" for n in carried])
-    out = d.join(prefix, [*keys, BLK], "inner")
+    out = join_null_safe(d, prefix, [*keys, BLK])
     cols = {}
     for i, n in enumerate(names):
         k, pre = kinds[n], F.col(f"_pre_{i}")
@@ -165,5 +177,5 @@ def keyed_rank_by(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     summary = d.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(*keys, "_pid", "_m0", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
-    out = d.join(summary, [*keys, "_pid"], "inner")
+    out = join_null_safe(d, summary, [*keys, "_pid"])
     return out.withColumn(name, F.col("_before") + (F.col("_mid") - F.col("_m0")) + 1).drop("_mid", "_pid", "_m0", "_before")
