@@ -56,10 +56,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet below the shared checkpoint folder and read it back: cuts the
     lineage (a lost executor re-reads the table instead of recomputing the plan) in a single job.
-    ``Dataset.checkpoint`` would compute an unpersisted plan twice (count, then write)."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: an empty table has no files
+    ``Dataset.checkpoint`` would compute an unpersisted plan twice (count, then write).
+
+    The write's own shuffle files are removed when it has ended: nothing reads them again, and a job of many
+    such steps would otherwise keep them all until the driver collects its garbage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    old = spark.conf.get(_CLEANUP_CONF, None)
+    spark.conf.set(_CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if old is None:
+            spark.conf.unset(_CLEANUP_CONF)
+        else:
+            spark.conf.set(_CLEANUP_CONF, old)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: an empty table has no files
