@@ -23,20 +23,17 @@ def java_split(s: ColumnOrName, regex: str) -> Column:
     and inner empty strings are kept. The separator is a Java regular expression in both systems.
     """
     s = _col(s)
-    stripped = F.regexp_replace(s, f"(?:{regex})+\\z", "")
-    exact = (
-        F.when(s == F.lit(""), F.array(F.lit("")))
-        .when(stripped == F.lit(""), F.array().cast("array<string>"))
-        .otherwise(F.split(stripped, regex, -1))
-    )
+    pieces = F.split(s, regex, -1)
+    # without the trailing empty pieces: up to the last piece that is not empty
+    kept = F.aggregate(F.transform(pieces, lambda p, i: F.when(p != "", i + 1).otherwise(0)), F.lit(0), lambda a, x: F.greatest(a, x))
+    exact = F.when(s == F.lit(""), F.array(F.lit(""))).otherwise(F.slice(pieces, F.lit(1), kept))
     if len(regex) == 1 and regex not in _REGEX_META:
-        # a literal one-character separator: only a string ending with it can have trailing empties,
-        # so the plain split (the JDK's own fast path) serves every other string
+        # a literal one-character separator: only a string ending with it can have trailing empties
         return F.when(s.endswith(regex), exact).otherwise(F.split(s, regex, -1))
     return exact
 
 
-_REGEX_META = set(".$|()[]{}^?*+\\")
+_REGEX_META = frozenset(".$|()[]{}^?*+\\")
 
 
 def java_length(s: ColumnOrName) -> Column:
@@ -59,11 +56,6 @@ def java_double_text(d: ColumnOrName) -> Column:
     return _col(d).cast("string")
 
 
-def java_starts_with(s: ColumnOrName, prefix: str) -> Column:
-    """``String.startsWith(prefix)``."""
-    return _col(s).startswith(prefix)
-
-
 def java_gt(a: ColumnOrName, b: ColumnOrName | float) -> Column:
     """The JDK's primitive ``a > b`` on doubles: false when either side is NaN (Spark's ``>`` orders
     NaN above every number)."""

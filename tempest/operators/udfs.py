@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempest.functions.java import java_hash, java_length, java_split
-from tempest.functions.pymodel import py_java_length, py_java_split
 
 
 def hash_code(col: str | Column = "id") -> Column:
@@ -36,26 +35,17 @@ def split_table(df: DataFrame, col: str = "id", sep: str = "_", keep: tuple[str,
 
 def split_sql_expr(col: str = "id", sep: str = "_") -> str:
     """SQL text of the same table function, for ``LATERAL VIEW inline(...) t AS word, length``."""
-    s = f"regexp_replace({col}, '(?:{sep})+\\\\z', '')"
-    arr = (f"CASE WHEN {col} = '' THEN array('') WHEN {s} = '' THEN CAST(array() AS ARRAY<STRING>) "
-           f"ELSE split({s}, '{sep}', -1) END")
+    lit = sep.replace("\\", "\\\\").replace("'", "\\'")
+    p = f"split({col}, '{lit}', -1)"
+    kept = f"aggregate(transform({p}, (w, i) -> if(w != '', i + 1, 0)), 0, (a, x) -> greatest(a, x))"
+    arr = f"CASE WHEN {col} = '' THEN array('') ELSE slice({p}, 1, {kept}) END"
     return f"transform({arr}, w -> named_struct('word', w, 'length', CAST(octet_length(encode(w, 'UTF-16BE')) / 2 AS INT)))"
 
 
 def register_split_udtf(spark: SparkSession, name: str = "split_words", sep: str = "_") -> None:
-    """Python UDTF for ``FROM t, LATERAL split_words(id)`` in SQL (Arrow-batched; the native
-    ``LATERAL VIEW inline`` form is faster and is what the registered queries use)."""
-    from pyspark.sql.functions import udtf
-
-    @udtf(returnType="word: string, length: int")
-    class SplitWords:
-        def eval(self, s: str):
-            if s is None:
-                return
-            for p in py_java_split(s, sep):
-                yield p, py_java_length(p)
-
-    spark.udtf.register(name, SplitWords)
+    """SQL table function for ``FROM t, LATERAL split_words(id)`` (a SQL function: inlined by the analyzer)."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) RETURNS TABLE (word STRING, length INT) "
+              f"RETURN SELECT p.word, p.length FROM (SELECT explode({split_sql_expr('s', sep)}) AS p)")
 
 
 def avg_temp(col: str | Column = "temp") -> Column:

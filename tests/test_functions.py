@@ -13,6 +13,15 @@ def test_java_split_edge_cases(spark):
     assert df.select(java_split("s", ",")).collect()[4][0] == ["a", "", "b"]
 
 
+def test_java_split_with_longer_separators(spark):
+    rows = ["xaaa", "aa", "aaa", "baab", "baa", "aab", "", "b a|b  aa ", "ab", "b"]
+    df = spark.createDataFrame([(x,) for x in rows], "s string")
+    for sep in ("aa", "a|aa", "aa|a", r"\s+", "ab"):
+        got = [r.x for r in df.select(java_split("s", sep).alias("x")).collect()]
+        assert got == [py_java_split(x, sep) for x in rows], sep
+    assert [r.x for r in df.select(java_split("s", "aa").alias("x")).collect()][0] == ["x", "a"]
+
+
 def test_java_hash_fixture_values(spark):
     rows = [("sensor_1",), ("sensor_6",), ("sensor_7",), ("sensor_10",), ("",), ("é",), ("😀",), (None,)]
     got = [r[0] for r in spark.createDataFrame(rows, "s string").select(java_hash("s")).collect()]
