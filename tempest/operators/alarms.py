@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempest.functions.java import java_lt
-from tempest.operators.scan import BLK, DEFAULT_BLOCK, join_null_safe, keyed_rank, keyed_running, previous_row, with_block
+from tempest.operators.scan import BLK, DEFAULT_BLOCK, Running, join_null_safe, keyed_rank, keyed_running, with_block
 from tempest.session import materialize
 
 # The rise-alarm message `传感器<id>温度值连续<interval>s上升`, and the initial
@@ -18,17 +18,20 @@ RISE_MESSAGE_PARTS = ("传感器", "温度值连续", "s上升")
 RISE_INITIAL_LAST = 4.9e-324
 
 
+def jump_spec(threshold: float = 10.0, key: str = "id", field: str = "temperature", seq: str = "seq") -> Running:
+    last, cur = F.col("_prev"), F.col(field)
+    diff = F.abs(cur - last)
+    # the JDK's >= is false for NaN; Spark orders NaN above every number
+    hit = last.isNotNull() & ~F.isnan(diff) & (diff >= F.lit(threshold))
+    return Running((key,), {"_prev": ("last", cur)}, lambda d: d.where(hit).select(key, seq, last.alias("last_temp"), cur.alias(field)),
+                   inclusive=False, seq=seq)
+
+
 def jump_alarm(df: DataFrame, threshold: float = 10.0, key: str = "id", field: str = "temperature",
                seq: str = "seq", block: int = DEFAULT_BLOCK) -> DataFrame:
     """Per key, alarm ``(id, last, cur)`` when ``|cur - last| >= threshold``; the first reading of a
     key never alarms."""
-    d = previous_row(df, [key], [field], seq, block=block)
-    last = F.col(f"prev_{field}")
-    diff = F.abs(F.col(field) - last)
-    # the JDK's >= is false for NaN; Spark orders NaN above every number
-    return d.where(last.isNotNull() & ~F.isnan(diff) & (diff >= F.lit(threshold))).select(
-        key, seq, last.alias("last_temp"), F.col(field).alias(field)
-    )
+    return jump_spec(threshold, key, field, seq).run(df, block=block)
 
 
 def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str = "temperature",
@@ -70,7 +73,8 @@ def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str =
         F.max("_ifalls").alias("_nf"),
     )
     over = Window.partitionBy(key).orderBy(BLK)
-    prev_last = F.coalesce(F.lag("_last_v").over(over), F.lit(initial_last))
+    # only a key's first block starts from the initial value; a null last reading stays null
+    prev_last = F.when(F.lag(F.lit(1)).over(over).isNull(), F.lit(initial_last)).otherwise(F.lag("_last_v").over(over))
     blocks = blocks.withColumns({
         "_prev_last": prev_last,
         "_prev_last_t": F.lag("_last_t").over(over),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempest.operators.scan import DEFAULT_BLOCK, keyed_rank
+from tempest.operators.scan import DEFAULT_BLOCK, keyed_rank, last_rows_frame
 
 
 def count_window_tumble(df: DataFrame, size: int = 10, key: str = "id", field: str = "temperature",
@@ -31,23 +31,8 @@ def count_window_slide(df: DataFrame, size: int = 10, slide: int = 2, key: str =
     """``countWindow(size, slide).aggregate(avg)``: at every ``slide``-th record of a key, the average
     of its last ``size`` (or fewer) records. Output ``(id, seq, avg_temp)`` — ``seq`` of the firing record.
 
-    Each record is sent to the firing positions whose window holds it (``rn .. rn+size-1`` that are
-    multiples of ``slide``): ``ceil(size/slide)`` copies, groups of at most ``size`` rows.
+    The frame of a position is a row window over bounded blocks of positions (see ``last_rows_frame``).
     """
-    ranked = keyed_rank(df, [key], seq, name="_rn", block=block)
-    first = F.ceil(F.col("_rn") / F.lit(slide)).cast("long") * F.lit(slide)
-    fanned = ranked.select(
-        key, seq, field, "_rn",
-        F.explode(
-            F.when(first <= F.col("_rn") + F.lit(size - 1), F.sequence(first, F.col("_rn") + F.lit(size - 1), F.lit(slide).cast("long")))
-            .otherwise(F.array().cast("array<long>"))
-        ).alias("_fire"),
-    )
-    own = F.col("_rn") == F.col("_fire")
-    return (
-        fanned.where(F.col("_fire") >= F.col("_rn"))
-        .groupBy(key, "_fire")
-        .agg(F.avg(field).alias("avg_temp"), F.max(F.when(own, F.col(seq))).alias(seq))
-        .where(F.col(seq).isNotNull())
-        .select(key, seq, "avg_temp")
-    )
+    ranked = keyed_rank(df.select(key, seq, field), [key], seq, name="_rn", block=block)
+    out = last_rows_frame(ranked, [key], "_rn", size, {"avg_temp": F.avg(field)})
+    return out.where(F.col("_rn") % slide == 0).select(key, seq, "avg_temp")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempest.operators.scan import DEFAULT_BLOCK, keyed_running
+from tempest.session import materialize
 
 
 def flag_late(df: DataFrame, size: int, delay: int, lateness: int, arrival: str = "arrival",
@@ -74,31 +75,32 @@ def late_window_emissions(df: DataFrame, size: int = 5, delay: int = 2, lateness
     * ``flush_at_end``: windows the watermark never passed fire once at the end of the bounded input
       (``emitted_after`` null), as a bounded source's final watermark does.
 
-    Crossings: a row whose running max steps from ``m0`` to ``m1`` crosses every window end ``E`` with
-    ``m0 < E + delay <= m1`` — one crossing per window end of the time range in total, joined to the
-    per-(key, window) summaries only. Since the running max never decreases, "arrived before the
-    crossing" is a test on each row. Re-firings use the running arg-min per (key, window) from the
-    block scan.
+    Crossings: the rows that lift the running max over a multiple of ``size`` are steps; a window end is crossed by
+    the smallest step at or above it, found for the window ends that exist only, by one scan over both in
+    descending order. Since the running max never decreases, "arrived before the crossing" is a test on
+    each row. Re-firings use the running arg-min per (key, window) from the block scan. The flagged rows
+    are written once and feed every branch.
     """
     order = [arrival, seq]
-    d = flag_late(df, size, delay, lateness, arrival, order, ts, block)
+    d = materialize(flag_late(df.select(*dict.fromkeys([key, ts, field, arrival, seq])), size, delay, lateness, arrival, order, ts, block), "flagged")
     best_of = F.struct(F.col(field).isNull().alias("_null"), F.col(field).alias("_v"), F.col(arrival).alias("_a"),
                        F.col(seq).alias("_s"), F.col(ts).alias("_t"))
 
-    # watermark crossings of window ends (late rows move the watermark too)
-    first_end = df.agg(F.min(F.floor(F.col(ts) / F.lit(size)) * F.lit(size) + F.lit(size))).scalar()
-    m1 = F.greatest(F.col("max_ts_before"), F.col(ts)) - F.lit(delay)
-    lo = F.when(F.col("max_ts_before").isNull(), F.lit(first_end)).otherwise(
-        (F.floor((F.col("max_ts_before") - F.lit(delay)) / F.lit(size)) + 1) * F.lit(size))
-    hi = F.floor(m1 / F.lit(size)) * F.lit(size)
-    crossings = d.where(lo <= hi).select(
-        F.explode(F.sequence(lo.cast("long"), hi.cast("long"), F.lit(size).cast("long"))).alias("window_end"),
-        F.col(seq).alias("emitted_after"))
+    # watermark crossings of window ends (late rows move the watermark too), in units of the window size
+    hi = F.floor((F.greatest(F.col("max_ts_before"), F.col(ts)) - F.lit(delay)) / F.lit(size))
+    below = F.floor((F.col("max_ts_before") - F.lit(delay)) / F.lit(size))
+    steps = d.where(F.col("max_ts_before").isNull() | (hi > below)).groupBy((-hi).cast("long").alias("_v")).agg(
+        F.min(F.struct(F.col(arrival), F.col(seq))).alias("_m")).select("_v", F.lit(0).alias("_kind"), F.col(f"_m.{seq}").alias("_s"))
+    ends = d.where(~F.col("is_late")).select((-F.col("window_end") / F.lit(size)).cast("long").alias("_v")).distinct()
+    both = steps.unionByName(ends.select("_v", F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_s")))
+    at = F.when(F.col("_kind") == 0, F.struct(F.col("_v").alias("v"), F.col("_s").alias("s")))
+    scan = keyed_running(both, [], {"_x": ("max", at)}, "_v", ["_v", "_kind"], True, block)
+    crossings = scan.where("_kind = 1").select((-F.col("_v") * F.lit(size)).alias("window_end"), F.col("_x.s").alias("emitted_after"))
 
     kept = d.where(~F.col("is_late"))
     # the running max never decreases, so "arrived before the crossing row" is a test on the row itself
     before = F.greatest(F.col("max_ts_before"), F.col(ts)) < F.col("window_end") + F.lit(delay)
-    gmax = df.agg(F.max(ts)).scalar()
+    gmax = d.agg(F.max(ts)).scalar()
     timed = kept.groupBy(key, "window_end").agg(
         F.max(before).alias("_has_before"),
         F.min(F.when(before, best_of)).alias("_b"),

@@ -7,7 +7,8 @@ into blocks of ``block`` consecutive ``seq`` values, and:
 1. a window over (key, block) — at most ``block`` rows, because ``seq`` is a unique integer — gives
    the running aggregate inside the block;
 2. each (key, block) is summarised by a partial aggregate — one row per block;
-3. an exclusive prefix over the blocks of a key is taken on that small summary and joined back.
+3. an exclusive prefix over the blocks of a key is taken on that small summary (in super-blocks, then over
+   them) and joined back.
 
 The summary (2) is a partial aggregate over its own read of the source, so it shuffles one row per task and
 (key, block); the rows themselves are shuffled once, for the in-block window, and the join on (key, block) uses
@@ -18,7 +19,8 @@ on structs, for arg-max with tie rules) and ``first``/``last`` by arrival sequen
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +29,9 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK = 1 << 20
 
 BLK = "_blk"
+# Blocks per super-block: the prefix over a key's blocks is taken inside super-blocks, then over them.
+SUPER = 1 << 12
+SUP = "_sup"
 
 _PARTIAL = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 _OVER_BLOCKS = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
@@ -44,6 +49,23 @@ def _combine(kind: str, pre: Column, cur: Column) -> Column:
     raise ValueError(kind)
 
 
+def _carry(kind: str, base: Column, pre: Column) -> Column:
+    """The value before a block: earlier data, then the earlier blocks of this data."""
+    if kind == "first":
+        return F.when(F.coalesce(F.col("_base_rows"), F.lit(0)) > 0, base).otherwise(pre)
+    if kind == "last":
+        return F.when(F.coalesce(F.col("_pre_rows"), F.lit(0)) > 0, pre).otherwise(base)
+    return _combine("sum" if kind in ("sum", "count") else kind, base, pre)
+
+
+def _carried(prefix: DataFrame, names: Sequence[str], kinds: Mapping[str, str], positional: Sequence[str]) -> DataFrame:
+    """``prefix`` with the carried ``_base_*`` columns combined into its ``_pre_*`` columns."""
+    return prefix.withColumns({
+        **{f"_pre_{i}": _carry(kinds[n], F.col(f"_base_{i}"), F.col(f"_pre_{i}")) for i, n in enumerate(names)},
+        **({"_pre_rows": F.coalesce("_pre_rows", F.lit(0)) + F.coalesce("_base_rows", F.lit(0))} if positional else {}),
+    }).drop(*[f"_base_{i}" for i in range(len(names))], "_base_rows")
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null equals null (still a hash or merge join); keys come from ``left``."""
     names = {k: f"_r_{i}" for i, k in enumerate(keys)}
@@ -70,9 +92,9 @@ def keyed_running(
 ) -> DataFrame:
     """Add one column per entry of ``aggs`` = running aggregate per ``keys`` in ``order_cols`` order.
 
-    ``base`` (optional): one row per key with a column per ``sum``/``count`` aggregate name, added as
-    the value carried in from earlier data (e.g. totals of previous micro-batches). It is joined to
-    the small per-(key, block) prefix table, never to the rows, so a hot key costs nothing extra.
+    ``base`` (optional): one row per key, as :func:`keyed_totals` gives it, with the values carried in
+    from earlier data (e.g. previous micro-batches). It is joined to the small per-(key, block) prefix
+    table, never to the rows, so a hot key costs nothing extra.
 
     ``aggs``: name → (kind, column expression); kinds ``sum``, ``count``, ``max``, ``min`` and
     ``first`` / ``last`` (the value at the least / greatest ``seq_col`` of the frame — these need
@@ -106,28 +128,41 @@ def keyed_running(
     aux = [F.count(F.lit(1)).alias("_rows")] if positional else []
     totals = d.groupBy(*keys, BLK).agg(*[part(n, F.col(tmp[n])).alias(tmp[n]) for n in names], *aux,
                                        *([F.min(seq).alias("_s0"), F.max(seq).alias("_s1")] if positional else []))
-    over_blocks = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn(SUP, F.floor(F.col(BLK) / F.lit(SUPER)).cast("long"))
+
+    def before(rows: DataFrame, by: list[str], order: str, names_out: str) -> list[Column]:
+        """Exclusive prefix of the summary rows in ``order``, as ``<names_out>i`` and ``<names_out>rows``."""
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+        def over(n: str) -> Column:
+            k = kinds[n]
+            if k == "first":
+                return F.min_by(F.col(tmp[n]), F.col("_s0")).over(w)
+            if k == "last":
+                return F.max_by(F.col(tmp[n]), F.col("_s1")).over(w)
+            return _OVER_BLOCKS[k](F.col(tmp[n])).over(w)
+
+        return [*[over(n).alias(f"{names_out}{i}") for i, n in enumerate(names)],
+                *([F.sum("_rows").over(w).alias(f"{names_out}rows")] if positional else [])]
 
-    def over(n: str) -> Column:
+    def merged(n: str) -> Column:
         k = kinds[n]
         if k == "first":
-            return F.min_by(F.col(tmp[n]), F.col("_s0")).over(over_blocks)
-        if k == "last":
-            return F.max_by(F.col(tmp[n]), F.col("_s1")).over(over_blocks)
-        return _OVER_BLOCKS[k](F.col(tmp[n])).over(over_blocks)
-
-    prefix = totals.select(
-        *keys, BLK, *[over(n).alias(f"_pre_{i}") for i, n in enumerate(names)],
-        *([F.sum("_rows").over(over_blocks).alias("_pre_rows")] if positional else []),
-    )
+            return F.min_by(F.col(tmp[n]), F.col("_s0"))
+        return F.max_by(F.col(tmp[n]), F.col("_s1")) if k == "last" else _OVER_BLOCKS[k](F.col(tmp[n]))
+
+    # two levels, so that the blocks of a hot key are not one task either
+    tops = totals.groupBy(*keys, SUP).agg(*[merged(n).alias(tmp[n]) for n in names], *(
+        [F.sum("_rows").alias("_rows"), F.min("_s0").alias("_s0"), F.max("_s1").alias("_s1")] if positional else []))
+    tops = tops.select(*keys, SUP, *before(tops, keys, SUP, "_base_"))
+    prefix = totals.select(*keys, SUP, BLK, *before(totals, [*keys, SUP], BLK, "_pre_"))
+    prefix = _carried(join_null_safe(prefix, tops, [*keys, SUP]), names, kinds, positional).drop(SUP)
+    if base is not None:
+        b = base.select(*keys, *[F.col(n).alias(f"_base_{i}") for i, n in enumerate(names)],
+                        *([F.col("_rows").alias("_base_rows")] if positional else []))
+        prefix = _carried(join_null_safe(prefix, b, keys, "left"), names, kinds, positional)
 
     in_block = Window.partitionBy(*keys, BLK).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    if base is not None:
-        carried = [n for n in names if kinds[n] in ("sum", "count") and n in base.columns]
-        b = base.select(*keys, *[F.col(n).alias(f"_base_{n}") for n in carried])
-        prefix = join_null_safe(prefix, b, keys, "left").withColumns({
-            f"_pre_{names.index(n)}": _combine("sum", F.col(f"_pre_{names.index(n)}"), F.col(f"_base_{n}")) for n in carried
-        }).drop(*[f"_base_{n}" for n in carried])
     out = join_null_safe(d, prefix, [*keys, BLK])
     cols = {}
     for i, n in enumerate(names):
@@ -143,6 +178,59 @@ def keyed_running(
     return out.drop(BLK, *tmp.values(), *[f"_pre_{i}" for i in range(len(names))], *(["_pre_rows"] if positional else []))
 
 
+def keyed_totals(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, tuple[str, Column]], seq_col: str = "seq",
+                 base: DataFrame | None = None) -> DataFrame:
+    """One row per key of ``df``: the value of every aggregate after the last row (and ``_rows``), the carry
+    for :func:`keyed_running` on later data. ``base``: the carry from earlier data."""
+    part = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "first": lambda c: F.min_by(c, F.col(seq_col)),
+            "last": lambda c: F.max_by(c, F.col(seq_col))}
+    now = df.groupBy(*keys).agg(*[part[k](c).alias(n) for n, (k, c) in aggs.items()], F.count(F.lit(1)).alias("_rows"))
+    if base is None:
+        return now
+    b = base.select(*keys, *[F.col(n).alias(f"_base_{n}") for n in aggs], F.col("_rows").alias("_base_rows"))
+    out = {}
+    for n, (kind, _) in aggs.items():
+        if kind == "first":
+            out[n] = F.when(F.coalesce(F.col("_base_rows"), F.lit(0)) > 0, F.col(f"_base_{n}")).otherwise(F.col(n))
+        elif kind != "last":
+            out[n] = _combine("sum" if kind in ("sum", "count") else kind, F.col(f"_base_{n}"), F.col(n))
+    out["_rows"] = F.col("_rows") + F.coalesce("_base_rows", F.lit(0))
+    return join_null_safe(now, b, keys, "left").withColumns(out).select(*now.columns)
+
+
+@dataclass(frozen=True)
+class Running:
+    """A running keyed aggregation, one output row (or a few) per record: the same description runs on a table
+    (:meth:`run`) and, with the totals carried from batch to batch, on a stream (``tempest.streaming.folds``)."""
+
+    keys: tuple[str, ...]
+    aggs: Mapping[str, tuple[str, Column]]
+    project: Callable[[DataFrame], DataFrame]
+    inclusive: bool = True
+    seq: str = "seq"
+
+    def run(self, df: DataFrame, base: DataFrame | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
+        return self.project(keyed_running(df, self.keys, self.aggs, self.seq, inclusive=self.inclusive, block=block, base=base))
+
+    def totals(self, df: DataFrame, base: DataFrame | None = None) -> DataFrame:
+        return keyed_totals(df, self.keys, self.aggs, self.seq, base)
+
+
+def last_rows_frame(ranked: DataFrame, keys: Sequence[str], rank: str, size: int, aggs: Mapping[str, Column],
+                    block: int = 1 << 16) -> DataFrame:
+    """Aggregates over each row and the ``size - 1`` before it, by position ``rank`` (1, 2, ... in each key).
+
+    Positions are cut into blocks; only the last ``size - 1`` rows of a block are sent to the next one as well
+    (``1 + size / block`` copies in all), so a hot key is many bounded windows."""
+    if size > block:
+        raise ValueError("a block must hold a frame")
+    blk = F.floor((F.col(rank) - 1) / F.lit(block)).cast("long")
+    edge = F.pmod(F.col(rank) - 1, F.lit(block)) >= block - size + 1
+    d = ranked.withColumn("_own", blk).withColumn("_b", F.explode(F.when(edge, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    w = Window.partitionBy(*keys, "_b").orderBy(rank).rowsBetween(-(size - 1), 0)
+    return d.withColumns({n: c.over(w) for n, c in aggs.items()}).where(F.col("_b") == F.col("_own")).drop("_b", "_own")
+
+
 def keyed_rank(df: DataFrame, keys: Sequence[str], seq_col: str = "seq", order_cols: Sequence[str] | None = None,
                name: str = "rn", block: int = DEFAULT_BLOCK) -> DataFrame:
     """1-based position of each row within its key in arrival order (a hot-key-safe ``row_number``)."""

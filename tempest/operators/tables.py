@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempest.readings import TABLE_SCHEMA
+from tempest.sources.files import read_readings_csv, stream_readings_csv
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -16,8 +16,7 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 def table_view(df: DataFrame, renames: dict[str, str] | None = None, rowtime: str | None = None,
                ts_col: str = "timestamp", watermark: str | None = None) -> DataFrame:
-    """``fromDataStream(stream, "id, timestamp as ts, temperature as temp, rt.rowtime")``: renames, and an
-    optional event-time column ``rowtime`` (TIMESTAMP from epoch seconds) with an optional watermark delay."""
+    """A table form of a stream or batch: renamed columns, and an optional event-time column ``rowtime`` (TIMESTAMP from epoch seconds) with an optional watermark delay."""
     out = df
     if rowtime:
         out = out.withColumn(rowtime, F.timestamp_seconds(F.col(ts_col)))
@@ -30,29 +29,29 @@ def table_view(df: DataFrame, renames: dict[str, str] | None = None, rowtime: st
 
 def select_where(df: DataFrame, value: str = "sensor_1", cols: tuple[str, ...] = ("id", "temperature"),
                  key: str = "id") -> DataFrame:
-    """``table.select("id, temperature").where("id = 'sensor_1'")`` (pushed down to the scan)."""
+    """Projection and an equality filter on the key (pushed down to the scan)."""
     return df.select(*cols).where(F.col(key) == F.lit(value))
 
 
-def select_where_sql(spark: SparkSession, view: str = "sensor", value: str = "sensor_1",
+def select_where_sql(spark: SparkSession, view: str, value: str = "sensor_1",
                      cols: tuple[str, ...] = ("id", "temperature")) -> DataFrame:
     """The same query in SQL, with a bound parameter."""
     return spark.sql(f"SELECT {', '.join(cols)} FROM {view} WHERE id = :value", args={"value": value})
 
 
 def group_count_avg(df: DataFrame, key: str = "id", field: str = "temp") -> DataFrame:
-    """``groupBy("id").select("id, id.count as count, temp.avg as avgTemp")`` (partial + final aggregate)."""
+    """Count and average per key (partial + final aggregate)."""
     return df.groupBy(key).agg(F.count(key).alias("cnt"), F.avg(field).alias("avg_temp"))
 
 
-def group_count_avg_sql(spark: SparkSession, view: str = "inputTable") -> DataFrame:
-    """``select id, count(id) as cnt, avg(temp) as avgTemp from inputTable group by id``."""
+def group_count_avg_sql(spark: SparkSession, view: str) -> DataFrame:
+    """The same aggregate as SQL text over a registered view."""
     return spark.sql(f"SELECT id, count(id) AS cnt, avg(temp) AS avg_temp FROM {view} GROUP BY id")
 
 
 def read_csv_table(spark: SparkSession, path: str, name: str | None = None, mode: str = "FAILFAST") -> DataFrame:
-    """``connect(FileSystem().path(p)).withFormat(Csv()).withSchema(id STRING, timestamp BIGINT, temp DOUBLE)``."""
-    df = spark.read.schema(TABLE_SCHEMA).option("mode", mode).csv(path)
+    """A CSV file or folder as a table with the declared schema, and a view of that name if one is given."""
+    df = read_readings_csv(spark, path, mode, table_names=True)
     if name:
         df.createOrReplaceTempView(name)
     return df
@@ -60,10 +59,7 @@ def read_csv_table(spark: SparkSession, path: str, name: str | None = None, mode
 
 def stream_csv_table(spark: SparkSession, path: str, name: str | None = None, max_files: int | None = None) -> DataFrame:
     """Streaming form of :func:`read_csv_table` over a landing directory."""
-    r = spark.readStream.schema(TABLE_SCHEMA)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    df = r.csv(path)
+    df = stream_readings_csv(spark, path, max_files, table_names=True)
     if name:
         df.createOrReplaceTempView(name)
     return df

@@ -6,13 +6,13 @@ Window ends are returned as BIGINT epoch seconds (exclusive end, as ``TimeWindow
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tempest.operators.scan import keyed_rank_by
+from tempest.operators.scan import keyed_rank_by, last_rows_frame
 from tempest.readings import with_rowtime
 
 
@@ -65,6 +65,36 @@ def tumble_count_avg(df: DataFrame, size: int = 10, key: str = "id", field: str
     )
 
 
+_PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+_MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
+def window_ends(df: DataFrame, size: int, slide: int | None = None, ts: str = "timestamp") -> DataFrame:
+    """``window_end`` (epoch seconds, exclusive) of each row; a row of a sliding window once per window."""
+    d = with_rowtime(df, ts, "_rt")
+    return d.select("*", F.window("_rt", _dur(size), _dur(slide or size)).alias("_w")).withColumn(
+        "window_end", window_end("_w")).drop("_w", "_rt")
+
+
+def partial_accumulators(df: DataFrame, keys: list[str], accumulators: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """Create and add: one accumulator row per group."""
+    return df.groupBy(*keys).agg(*[_PARTIAL[k](c).alias(n) for n, (k, c) in accumulators.items()])
+
+
+def merge_accumulators(parts: DataFrame, keys: list[str], accumulators: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """Merge accumulator rows of the same group."""
+    return parts.groupBy(*keys).agg(*[_MERGE[k](F.col(n)).alias(n) for n, (k, _) in accumulators.items()])
+
+
+def group_window(df: DataFrame, size: int, accumulators: Mapping[str, tuple[str, Column]], results: Mapping[str, Column],
+                 slide: int | None = None, key: str = "id", ts: str = "timestamp") -> DataFrame:
+    """``timeWindow(...).aggregate(AggregateFunction)`` with a user accumulator, as column expressions:
+    ``accumulators`` name → (``sum``/``count``/``min``/``max``, per-record column; structs for arg-min/max) say how
+    records are added and accumulators merged (so Spark combines map-side), ``results`` the output from them."""
+    d = partial_accumulators(window_ends(df, size, slide, ts), [key, "window_end"], accumulators)
+    return d.select(key, "window_end", *[c.alias(n) for n, c in results.items()])
+
+
 def window_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, size: int, slide: int | None = None,
                  key: str = "id", ts: str = "timestamp") -> DataFrame:
     """Full-window function (``WindowFunction.apply``) over every (key, window): ``fn`` receives the
@@ -82,22 +112,8 @@ def over_rows(df: DataFrame, preceding: int = 2, key: str = "id", field: str = "
     row and the ``n`` before it, in event-time order (ties by ``seq``).
 
     Hot-key-safe: the row's position ``rn`` within its key comes from :func:`keyed_rank_by` (range
-    partitioning on (key, time, seq)); each row is then sent to the ``n+1`` frames it belongs to and
-    each frame is a group of at most ``n+1`` rows.
+    partitioning on (key, time, seq)); the frame is a row window over bounded blocks of positions.
     """
-    ranked = keyed_rank_by(df, [key], [ts, seq], name="_rn", partitions=partitions)
-    fanned = ranked.select(
-        key, "_rn", seq, ts, field, F.explode(F.sequence(F.col("_rn"), F.col("_rn") + F.lit(preceding))).alias("_target")
-    )
-    own = F.col("_rn") == F.col("_target")
-    return (
-        fanned.groupBy(key, "_target")
-        .agg(
-            F.count(F.col(key)).alias("cnt"),
-            F.avg(field).alias("avg_temp"),
-            F.max(F.when(own, F.col(ts))).alias(ts),
-            F.max(F.when(own, F.col(seq))).alias(seq),
-        )
-        .where(F.col(seq).isNotNull())
-        .select(key, ts, seq, "cnt", "avg_temp")
-    )
+    ranked = keyed_rank_by(df.select(key, seq, ts, field), [key], [ts, seq], name="_rn", partitions=partitions)
+    out = last_rows_frame(ranked, [key], "_rn", preceding + 1, {"cnt": F.count(F.col(key)), "avg_temp": F.avg(field)})
+    return out.select(key, ts, seq, "cnt", "avg_temp")

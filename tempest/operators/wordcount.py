@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempest.functions.java import java_split
-from tempest.operators.scan import DEFAULT_BLOCK, keyed_running
+from tempest.operators.scan import DEFAULT_BLOCK, Running
+from tempest.session import materialize
 
 
 def _strip_cr(line: Column) -> Column:
@@ -36,25 +37,29 @@ def word_count(lines: DataFrame, line_col: str = "line", sep: str = " ") -> Data
     return tokenize(lines, line_col, sep).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-# Word positions per document occupy the low bits of an occurrence's sequence number.
-POS_BITS = 24
-
-
 def word_occurrences(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sep: str = " ") -> DataFrame:
-    """Every word occurrence of every text, in reading order, as ``(seq, word)`` with
-    ``seq = doc_id * 2^24 + position of the word in its text`` (lines as in :func:`text_lines`).
-    A text with 2^24 words or more fails the job instead of producing colliding numbers."""
+    """Every word occurrence of every text, in reading order, as ``(id, pos, word)``: ``pos`` is the word's
+    position in its text (lines as in :func:`text_lines`)."""
     t = F.col(text_col)
     body = F.when(t.endswith("\n"), F.expr(f"substring({text_col}, 1, char_length({text_col}) - 1)")).otherwise(t)
     lines = F.transform(F.split(body, "\n", -1), _strip_cr)
     words = F.flatten(F.transform(lines, lambda line: java_split(line, sep)))
-    occ = docs.where(t.isNotNull() & (t != "")).select(id_col, F.posexplode(words).alias("pos", "word"))
-    limit = 1 << POS_BITS
-    pos = F.when(F.col("pos") < limit, F.col("pos").cast("long")).otherwise(F.raise_error(F.lit("text too long for word numbering")))
-    return occ.select((F.col(id_col) * F.lit(limit) + pos).alias("seq"), "word")
+    return docs.where(t.isNotNull() & (t != "")).select(id_col, F.posexplode(words).alias("pos", "word"))
+
+
+def numbered(words: DataFrame, id_col: str = "doc_id", seq: str = "seq") -> DataFrame:
+    """``words`` with ``seq``, a unique integer in the order of (id, pos) whatever their size: rows are
+    range-partitioned and sorted, and the table is written once so that every use sees the same numbers."""
+    n = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = words.repartitionByRange(n, id_col, "pos").sortWithinPartitions(id_col, "pos")
+    return materialize(d.withColumn(seq, F.monotonically_increasing_id()), "words")
+
+
+def word_spec(id_col: str = "doc_id", seq: str = "seq") -> Running:
+    return Running(("word",), {"cnt": ("count", F.lit(1))}, lambda d: d.select(id_col, "pos", "word", "cnt"), seq=seq)
 
 
-def running_word_count(words: DataFrame, seq: str = "seq", block: int = DEFAULT_BLOCK) -> DataFrame:
+def running_word_count(words: DataFrame, id_col: str = "doc_id", block: int = DEFAULT_BLOCK) -> DataFrame:
     """Streaming ``keyBy(0).sum(1)`` emitted per word occurrence: the running count of the word at each
-    occurrence, in ``seq`` order (``seq`` must be a unique integer per occurrence)."""
-    return keyed_running(words, ["word"], {"cnt": ("count", F.lit(1))}, seq, block=block).select(seq, "word", "cnt")
+    occurrence, in (id, pos) order."""
+    return word_spec(id_col).run(numbered(words, id_col), block=block)
