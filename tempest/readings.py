@@ -108,7 +108,7 @@ def parse_lines(lines: DataFrame, value_col: str = "value", mode: str = "failfas
         *keep,
         "_line",
         F.col("_f0").alias("id"),
-        F.col("_f1").try_cast("bigint").alias("timestamp"),
+        F.when(F.col("_f1").rlike(r"^[+-]?[0-9]+$"), F.col("_f1").try_cast("bigint")).alias("timestamp"),
         F.col("_f2").try_cast("double").alias("temperature"),
     )
     ok = F.col("id").isNotNull() & F.col("timestamp").isNotNull() & F.col("temperature").isNotNull()
@@ -121,7 +121,8 @@ def _strict(c: Column, to: str | None) -> Column:
     """Field access/cast that raises on a missing or malformed field, whatever the ANSI setting."""
     if to is None:
         return F.when(c.isNull(), F.raise_error(F.lit("missing field in reading line"))).otherwise(c)
-    cast = c.try_cast(to)
+    # the JDK's long parse takes no blanks around the digits (its double parse does)
+    cast = F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast(to)) if to == "bigint" else c.try_cast(to)
     return F.when(
         cast.isNull(), F.raise_error(F.concat(F.lit("malformed or missing field in reading line: "), F.coalesce(c, F.lit("<none>"))))
     ).otherwise(cast)

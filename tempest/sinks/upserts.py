@@ -9,6 +9,7 @@ by an injected factory (one connection per task, opened before and closed after
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -38,6 +39,8 @@ def write_redis_hash(df: DataFrame, client_factory: Callable[[], object], hash_n
             pipe = client.pipeline()
             n = 0
             for r in part:
+                if r[0] is None or r[1] is None:  # a hash holds no nulls; clients refuse them
+                    continue
                 pipe.hset(hash_name, r[0], r[1])
                 n += 1
                 if n % batch == 0:
@@ -53,23 +56,28 @@ def write_redis_hash(df: DataFrame, client_factory: Callable[[], object], hash_n
 
 
 def write_jdbc_upsert(df: DataFrame, connect: Callable[[], object], table: str = JDBC_TABLE, key: str = "id",
-                      seq: str = "seq", field: str = "temperature", paramstyle: str = "qmark") -> None:
-    """Upsert the latest ``field`` per key: ``UPDATE table SET temp = ? WHERE id = ?``, then ``INSERT``
-    when no row was updated. ``connect()`` returns a DB-API connection (URL and credentials are the
-    caller's, not hard-coded)."""
+                      seq: str = "seq", field: str = "temperature", paramstyle: str = "qmark", chunk: int = 500) -> None:
+    """Upsert the latest ``field`` per key: keys that the table has are updated, the others inserted, in chunks of
+    ``chunk`` keys (one SELECT and two ``executemany`` a chunk) and one transaction per partition. ``connect()`` returns
+    a DB-API connection (URL and credentials are the caller's, not hard-coded). Rows with a null key are left out:
+    ``WHERE id = NULL`` finds nothing, so a replay would insert them again."""
     ph = "?" if paramstyle == "qmark" else "%s"
     upd = f"UPDATE {table} SET temp = {ph} WHERE id = {ph}"
     ins = f"INSERT INTO {table} (id, temp) VALUES ({ph}, {ph})"
-    rows = latest_per_key(df, key, seq, [field])
+    rows = latest_per_key(df.where(F.col(key).isNotNull()), key, seq, [field])
 
     def write(part):
         conn = connect()
         try:
             cur = conn.cursor()
-            for r in part:
-                cur.execute(upd, (r[1], r[0]))
-                if cur.rowcount == 0:
-                    cur.execute(ins, (r[0], r[1]))
+            while some := [(r[0], r[1]) for r in itertools.islice(part, chunk)]:
+                cur.execute(f"SELECT id FROM {table} WHERE id IN ({', '.join([ph] * len(some))})", [k for k, _ in some])
+                known = {x[0] for x in cur.fetchall()}
+                old, new = [(v, k) for k, v in some if k in known], [kv for kv in some if kv[0] not in known]
+                if old:
+                    cur.executemany(upd, old)
+                if new:
+                    cur.executemany(ins, new)
             conn.commit()
         finally:
             conn.close()

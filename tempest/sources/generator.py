@@ -1,20 +1,25 @@
 """Seeded random-walk sensor source as a PySpark Python data source (batch and streaming).
 
-Each sensor starts at ``60 + N(0,1) * 20`` and moves by ``N(0,1)`` per tick. The reference's generator
-runs one thread with wall-clock pacing; here the walk of each sensor is a pure function of
-``(seed, sensor, tick)``, the sensors are spread over ``partitions`` input partitions, and each task
-draws its sensors' walks with numpy. Timestamps are epoch seconds ``start + tick``.
+Each sensor starts at ``60 + N(0,1) * 20`` and moves by ``N(0,1)`` per tick. The walk of a sensor is a pure function
+of ``(seed, sensor, tick)``: its value at every ``BLOCK``-th tick is a coarse walk, and the ticks between are a random
+bridge drawn for the block alone, so a micro-batch draws its own blocks and ``ticks / BLOCK`` coarse steps. Sensors are
+spread over ``partitions`` input partitions; rows leave as Arrow batches. Timestamps are ``start_ts + tick``.
 
     spark.dataSource.register(SensorWalkSource)
     spark.read.format("sensor_walk").option("sensors", 10).option("ticks", 100).load()
-    spark.readStream.format("sensor_walk").option("ticks_per_batch", 5).load()
+    spark.readStream.format("sensor_walk").option("origin", int(time.time())).load()
+
+A stream's offset is the number of ticks since ``origin`` (epoch seconds, one tick each ``interval`` seconds). Keep
+``origin`` when a query is restarted: the offset then goes on from the checkpoint, no tick is lost or repeated.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "id string, timestamp long, temperature double"
@@ -25,20 +30,31 @@ class _Range(InputPartition):
         self.first, self.last, self.t0, self.t1 = first, last, t0, t1
 
 
+BLOCK = 1024
+ROWS_PER_BATCH = 65_536
+
+
 def _walk(seed: int, sensor: int, t0: int, t1: int) -> np.ndarray:
     """Temperatures of ``sensor`` for ticks ``[t0, t1)``."""
+    b0, b1 = t0 // BLOCK, -(-t1 // BLOCK)
     rng = np.random.default_rng([seed, sensor])
     start = 60.0 + rng.standard_normal() * 20.0
-    steps = rng.standard_normal(t1)
-    return start + np.cumsum(steps)[t0:t1]
+    moves = rng.standard_normal(b1) * np.sqrt(BLOCK)  # of whole blocks
+    at = start + np.concatenate(([0.0], np.cumsum(moves)))
+    parts = []
+    for b in range(b0, b1):
+        z = np.random.default_rng([seed, sensor, b]).standard_normal(BLOCK)
+        parts.append(at[b] + np.cumsum(z - z.mean() + moves[b] / BLOCK))
+    return np.concatenate(parts)[t0 - b0 * BLOCK : t1 - b0 * BLOCK] if parts else np.zeros(0)
 
 
-def _rows(p: _Range, seed: int, start_ts: int) -> Iterator[tuple]:
+def _rows(p: _Range, seed: int, start_ts: int) -> Iterator[pa.RecordBatch]:
     for s in range(p.first, p.last):
-        temps = _walk(seed, s, p.t0, p.t1)
-        sid = f"sensor_{s + 1}"
-        for i, v in enumerate(temps):
-            yield sid, start_ts + p.t0 + i, float(v)
+        for a in range(p.t0, p.t1, ROWS_PER_BATCH):
+            z = min(a + ROWS_PER_BATCH, p.t1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f"sensor_{s + 1}"] * (z - a)), pa.array(np.arange(a, z, dtype=np.int64) + start_ts), pa.array(_walk(seed, s, a, z))],
+                ["id", "timestamp", "temperature"])
 
 
 class _Opts:
@@ -48,7 +64,8 @@ class _Opts:
         self.seed = int(options.get("seed", 42))
         self.start_ts = int(options.get("start_ts", 1547718199))
         self.partitions = max(1, min(int(options.get("partitions", 4)), self.sensors))
-        self.per_batch = int(options.get("ticks_per_batch", 1))
+        self.origin = float(options["origin"]) if "origin" in options else None
+        self.interval = float(options.get("interval", 1.0))
 
     def ranges(self, t0: int, t1: int) -> list[_Range]:
         cuts = np.linspace(0, self.sensors, self.partitions + 1).astype(int)
@@ -67,21 +84,22 @@ class _Reader(DataSourceReader):
 
 
 class _StreamReader(DataSourceStreamReader):
-    """Offsets count ticks; each micro-batch generates ``ticks_per_batch`` new ticks of every sensor."""
+    """Offsets count the ticks that are due by the clock: a function of the options alone, also after a restart."""
 
     def __init__(self, o: _Opts):
+        if o.origin is None:
+            raise ValueError("a sensor_walk stream needs the option origin (epoch seconds of tick 0)")
         self.o = o
-        self.tick = 0
 
     def initialOffset(self):
         return {"tick": 0}
 
     def latestOffset(self):
-        self.tick += self.o.per_batch
-        return {"tick": self.tick}
+        return {"tick": max(0, int((time.time() - self.o.origin) // self.o.interval))}
 
     def partitions(self, start, end):
-        return self.o.ranges(int(start["tick"]), int(end["tick"]))
+        t0, t1 = int(start["tick"]), int(end["tick"])
+        return self.o.ranges(t0, t1) if t1 > t0 else []
 
     def read(self, partition):
         yield from _rows(partition, self.o.seed, self.o.start_ts)

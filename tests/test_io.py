@@ -64,20 +64,33 @@ def test_generator_batch_is_seeded_and_partitioned(spark):
     assert a.select("id").distinct().count() == 10
 
 
-def test_generator_stream(spark, tmp_path):
+def test_generator_stream_goes_on_after_a_restart(spark, tmp_path):
     generator.register(spark)
-    s = spark.readStream.format("sensor_walk").option("sensors", 3).option("ticks_per_batch", 2).load()
-    q = s.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).start()
-    t0 = time.time()
-    while len(q.recentProgress) < 3 and time.time() - t0 < 60:
-        time.sleep(0.5)
-    q.stop()
-    got = spark.read.parquet(str(tmp_path / "o"))
-    assert got.count() >= 6 and got.count() % 6 == 0
-    # the stream continues the same walks as the batch reader
-    first = {(r.id, r.timestamp): r.temperature for r in got.collect()}
-    batch = spark.read.format("sensor_walk").option("sensors", 3).option("ticks", 2).load().collect()
-    assert all(abs(first[(r.id, r.timestamp)] - r.temperature) < 1e-12 for r in batch)
+    origin = int(time.time())
+
+    def run(batches):
+        s = spark.readStream.format("sensor_walk").option("sensors", 3).option("origin", origin).option("interval", 0.25).load()
+        q = s.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).start()
+        t0 = time.time()
+        while sum(p["numInputRows"] > 0 for p in q.recentProgress) < batches and time.time() - t0 < 60:
+            time.sleep(0.3)
+        q.stop()
+
+    run(2)
+    first = spark.read.parquet(str(tmp_path / "o")).count()
+    run(2)
+    got = spark.read.parquet(str(tmp_path / "o")).collect()
+    ticks = len(got) // 3
+    assert len(got) > first >= 3 and len(got) == len({(r.id, r.timestamp) for r in got})  # none twice
+    batch = spark.read.format("sensor_walk").option("sensors", 3).option("ticks", ticks).load().collect()
+    assert sorted(batch) == sorted(got)  # none lost, the same walks
+
+
+def test_generator_blocks_continue_the_walk():
+    whole = generator._walk(5, 2, 0, 3000)
+    parts = [generator._walk(5, 2, a, min(a + 700, 3000)) for a in range(0, 3000, 700)]
+    assert (whole == [x for p in parts for x in p]).all()
+    assert 0.9 < (whole[1:] - whole[:-1]).std() < 1.1
 
 
 class FakeRedis:
@@ -160,11 +173,11 @@ def test_text_landing_stream_parses(spark, tmp_path):
 def test_console_sinks(spark, sensor_df, tmp_path, capsys):
     from tempest.sinks.console import print_batch, print_stream
 
-    print_batch(sensor_df.limit(2), "data")
+    print_batch(sensor_df.limit(2), "data", rows=20)
     src = tmp_path / "c"
     src.mkdir()
     _write_lines(src / "a.txt", SENSOR_ROWS[:3])
-    q = print_stream(files.stream_lines(spark, str(src)), "lines", available_now=True)
+    q = print_stream(files.stream_lines(spark, str(src)), "lines", rows=20, available_now=True)
     q.awaitTermination()
     assert q.exception() is None
     assert "data" in capsys.readouterr().out
