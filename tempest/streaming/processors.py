@@ -1,7 +1,10 @@
 """Stateful processors for ``groupBy(key).transformWithStateInPandas`` (Structured Streaming).
 
-Each processor is the streaming twin of a batch operator. Rows of a key within a micro-batch are
-sorted by ``seq`` before they touch the state, because Spark hands them over in no particular order.
+For operators whose state is a sequential machine per key (a user's reduce function, the rise alarm, OVER rows).
+Everything that is a running aggregate or a window runs as a micro-batch fold instead
+(``tempest.streaming.folds``), where no key is handed to one call. Rows of a key within a micro-batch are sorted
+by ``seq`` before they touch the state, because Spark hands them over in no particular order; micro-batches are
+kept small (``runner.BATCH_BYTES``), so that is a bounded amount.
 State lives in the configured state store (RocksDB recommended) and is restored from the checkpoint
 after a failure, so a restarted query continues exactly where it stopped.
 """
@@ -10,18 +13,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tempest.operators.alarms import RISE_INITIAL_LAST, RISE_MESSAGE_PARTS
 
 
-def _java_gt(a: float, b: float) -> bool:
-    """``Double.compare(a, b) > 0``: NaN is greater than every number (as Spark orders it too)."""
-    if a != a:
-        return b == b
-    return b == b and a > b
+#: What a null key is called inside the processors.
+NULL_KEY = "\x00null"
 
 
 def _nonempty(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
@@ -35,73 +36,6 @@ def _sorted(rows: Iterator[pd.DataFrame], by: str = "seq") -> pd.DataFrame:
     return pdf.sort_values(by, kind="stable").reset_index(drop=True)
 
 
-class KeyedCount(StatefulProcessor):
-    """Value-state counter: per record, the number of records of its key so far (A6, P5).
-    Output ``(seq, <key>, cnt)``."""
-
-    def __init__(self, key: str = "id"):
-        self.key = key
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
-        got = self.count.get()
-        base = got[0] if got is not None else 0
-        n = len(pdf)
-        self.count.update((base + n,))
-        yield from _nonempty(pd.DataFrame({"seq": pdf["seq"].to_numpy(), self.key: key[0], "cnt": np.arange(base + 1, base + n + 1, dtype="int64")}))
-
-    def close(self) -> None:
-        pass
-
-
-class JumpAlarm(StatefulProcessor):
-    """Value state ``last``: alarm ``(id, seq, last_temp, temperature)`` when ``|cur - last| >= threshold`` (P9)."""
-
-    def __init__(self, threshold: float = 10.0):
-        self.threshold = threshold
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "t double")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
-        temps = pdf["temperature"].to_numpy(dtype="float64")
-        got = self.last.get()
-        prev = np.concatenate([[np.nan if got is None else got[0]], temps[:-1]])
-        hit = ~np.isnan(prev) & (np.abs(temps - prev) >= self.threshold)
-        self.last.update((float(temps[-1]),))
-        yield from _nonempty(pd.DataFrame({"id": key[0], "seq": pdf["seq"].to_numpy()[hit], "last_temp": prev[hit], "temperature": temps[hit]}))
-
-    def close(self) -> None:
-        pass
-
-
-class RollingMaxBy(StatefulProcessor):
-    """Value state ``best``: per record, the record holding the running maximum, first on ties (A3).
-    Output ``(seq, id, max_seq, timestamp, temperature)``."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", "v double, s long, t long")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
-        got = self.best.get()
-        bv, bs, bt = got if got is not None else (None, None, None)
-        out_s, out_t, out_v = [], [], []
-        for s, t, v in zip(pdf["seq"].tolist(), pdf["timestamp"].tolist(), pdf["temperature"].tolist()):
-            if bv is None or _java_gt(v, bv):
-                bv, bs, bt = v, s, t
-            out_s.append(bs), out_t.append(bt), out_v.append(bv)
-        self.best.update((bv, bs, bt))
-        yield from _nonempty(pd.DataFrame({"seq": pdf["seq"].to_numpy(), "id": key[0], "max_seq": out_s, "timestamp": out_t, "temperature": out_v}))
-
-    def close(self) -> None:
-        pass
-
-
 class KeyedReduce(StatefulProcessor):
     """General rolling ``reduce(fn)``: ``fn(previous_result: dict, current: dict) -> dict``; the first
     record of a key is its own result. Output columns ``fields`` (A4 with a user function)."""
@@ -127,138 +61,90 @@ class KeyedReduce(StatefulProcessor):
         pass
 
 
-class RetractCountAvg(StatefulProcessor):
-    """Changelog of ``groupBy(id).select(count, avg)``: per record ``(false, old)`` then ``(true, new)``
-    (A9). Output ``(flag, seq, id, cnt, sum_temp, avg_temp)``."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "n long, s double")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
-        got = self.acc.get()
-        n, s = got if got is not None else (0, 0.0)
-        out = []
-        for seq, v in zip(pdf["seq"].tolist(), pdf["temperature"].tolist()):
-            if n > 0:
-                out.append((False, seq, key[0], n, s, s / n))
-            n, s = n + 1, s + v
-            out.append((True, seq, key[0], n, s, s / n))
-        self.acc.update((n, s))
-        yield from _nonempty(pd.DataFrame(out, columns=["flag", "seq", "id", "cnt", "sum_temp", "avg_temp"]))
-
-    def close(self) -> None:
-        pass
-
-
-class CountWindowSlide(StatefulProcessor):
-    """``countWindow(size, slide)`` average: list state keeps the last ``size`` temperatures, value
-    state the count; every ``slide``-th record emits ``(id, seq, avg_temp)`` (W4; slide=size gives W5's
-    full blocks)."""
-
-    def __init__(self, size: int = 10, slide: int = 2):
-        self.size, self.slide = size, slide
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long")
-        self.recent = handle.getListState("recent", "t double")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
-        got = self.count.get()
-        n = got[0] if got is not None else 0
-        buf = [r[0] for r in self.recent.get()] if self.recent.exists() else []
-        out = []
-        for seq, v in zip(pdf["seq"].tolist(), pdf["temperature"].tolist()):
-            n += 1
-            buf.append(v)
-            if len(buf) > self.size:
-                buf = buf[-self.size:]
-            if n % self.slide == 0 and (self.slide != self.size or len(buf) == self.size):
-                out.append((key[0], seq, sum(buf) / len(buf)))
-        self.count.update((n,))
-        self.recent.put([(x,) for x in buf])
-        yield from _nonempty(pd.DataFrame(out, columns=["id", "seq", "avg_temp"]))
-
-    def close(self) -> None:
-        pass
-
-
 class RiseAlarm(StatefulProcessor):
-    """Continuous-rise alarm with event-time timers (P10), same rule as the batch replay.
+    """Continuous-rise alarm (P10), same rule as the batch replay, however far behind a reading arrives.
 
-    State ``last`` and ``fire`` (seconds). A row past the armed fire time fires it inline — all rows of a
-    micro-batch are handed over before timers run, so waiting for the timer would apply later rows
-    first. Timers left armed fire when the watermark reaches them. Output ``(id, fire_ts, message)``.
+    A row past the armed fire time fires it; nothing depends on a watermark, so no row is dropped. Output
+    ``(tag, id, fire_ts, message, at, top)``: tag ``alarm``, and one ``armed`` row per key and micro-batch with the
+    timer left armed (or null), the key's record count ``at`` and largest event time ``top``, from which
+    :func:`rise_alarms` settles the timers that the end of the input fires.
     """
 
+    SCHEMA = "tag string, id string, fire_ts long, message string, at long, top long"
+
     def __init__(self, interval: int = 10, initial_last: float = RISE_INITIAL_LAST):
         self.interval, self.initial_last = interval, initial_last
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.st = handle.getValueState("st", "last double, fire long")
-
-    def _msg(self, key: str) -> str:
-        return f"{RISE_MESSAGE_PARTS[0]}{key}{RISE_MESSAGE_PARTS[1]}{self.interval}{RISE_MESSAGE_PARTS[2]}"
+        self.st = handle.getValueState("st", "last double, fire long, n long, top long")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
         got = self.st.get()
-        last, fire = got if got is not None else (self.initial_last, None)
-        alarms = []
+        last, fire, n, top = got if got is not None else (self.initial_last, None, 0, None)
+        last = float("nan") if last is None else last
+        name = "null" if key[0] == NULL_KEY else key[0]
+        out = []
         for ts, v in zip(pdf["timestamp"].tolist(), pdf["temperature"].tolist()):
-            if fire is not None and ts > fire:
-                alarms.append(fire)
-                self.handle.deleteTimer(fire * 1000)
-                fire = None
-            if np.isnan(v) or np.isnan(last):
-                pass
-            elif v > last and fire is None:
-                fire = ts + self.interval
-                self.handle.registerTimer(fire * 1000)
-            elif v < last and fire is not None:
-                self.handle.deleteTimer(fire * 1000)
+            ts = None if pd.isna(ts) else int(ts)
+            if ts is not None:
+                top = ts if top is None else max(top, ts)
+                if fire is not None and ts > fire:
+                    out.append(fire)
+                    fire = None
+            if v > last and fire is None:  # false with a null or NaN reading on either side
+                fire = None if ts is None else ts + self.interval
+            elif v < last:
                 fire = None
             last = v
-        self.st.update((last, fire))
-        yield from _nonempty(pd.DataFrame({"id": [key[0]] * len(alarms), "fire_ts": alarms, "message": [self._msg(key[0])] * len(alarms)}))
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        got = self.st.get()
-        fire = expiredTimerInfo.getExpiryTimeInMs() // 1000
-        if got is not None and got[1] == fire:
-            self.st.update((got[0], None))
-            yield pd.DataFrame({"id": [key[0]], "fire_ts": [fire], "message": [self._msg(key[0])]})
+        n += len(pdf)
+        self.st.update((last, fire, n, top))
+        text = f"{RISE_MESSAGE_PARTS[0]}{name}{RISE_MESSAGE_PARTS[1]}{self.interval}{RISE_MESSAGE_PARTS[2]}"
+        tags = ["alarm"] * len(out) + ["armed"]
+        yield pd.DataFrame({"tag": tags, "id": [key[0]] * len(tags), "fire_ts": pd.array([*out, fire], "Int64"), "message": [text] * len(tags),
+                            "at": [n] * len(tags), "top": pd.array([top] * len(tags), "Int64")})
 
     def close(self) -> None:
         pass
 
 
+def rise_alarms(out: DataFrame, at_end: bool = True) -> DataFrame:
+    """``(id, fire_ts, message)`` from the output of :class:`RiseAlarm`; ``at_end``: with the timers that the end of
+    a bounded input fires (those up to its largest event time)."""
+    fired = out.where("tag = 'alarm'").select("id", "fire_ts", "message")
+    if not at_end:
+        return fired
+    armed = out.where("tag = 'armed'")
+    top = armed.agg(F.max("top")).scalar()
+    last = armed.groupBy("id").agg(F.max_by(F.struct("fire_ts", "message"), "at").alias("l")).select("id", "l.*")
+    return fired.unionByName(last.where(F.col("fire_ts") <= top))
+
+
 class OverRowsBuffered(StatefulProcessor):
     """OVER ``n PRECEDING`` rows on a stream (O3), which Spark's built-in windows reject: rows wait in
     list state until the watermark passes their event time, are then emitted in (event time, seq)
     order, and the last ``n`` emitted temperatures stay in state for the next frame.
-    Output ``(id, ts, seq, cnt, avg_temp)``."""
+    Needs a column ``is_null`` (pandas cannot tell a null reading from NaN). Output ``(id, ts, seq, cnt, avg_temp)``."""
 
     def __init__(self, preceding: int = 2):
         self.n = preceding
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", "ts long, seq long, temp double")
+        self.buf = handle.getListState("buf", "ts long, seq long, temp double")  # a null reading stays null
         self.tail = handle.getListState("tail", "temp double")
         self.armed = handle.getValueState("armed", "at long")
 
     def _flush(self, key, wm_ms: int, new: list | None = None) -> pd.DataFrame:
-        rows = sorted((list(self.buf.get()) if self.buf.exists() else []) + (new or []))
+        rows = sorted((list(self.buf.get()) if self.buf.exists() else []) + (new or []), key=lambda r: r[:2])
         ready = [r for r in rows if r[0] * 1000 <= wm_ms]
         keep = [r for r in rows if r[0] * 1000 > wm_ms]
         tail = [r[0] for r in self.tail.get()] if self.tail.exists() else []
         out = []
         for ts, seq, temp in ready:
             tail = (tail + [temp])[-(self.n + 1):]
-            out.append((key[0], ts, seq, len(tail), sum(tail) / len(tail)))
+            some = [x for x in tail if x is not None]
+            out.append((key[0], ts, seq, len(tail) if key[0] != NULL_KEY else 0, sum(some) / len(some) if some else None))
             tail = tail[-self.n:] if self.n else []
         if keep:
             self.buf.put(keep)
@@ -283,7 +169,8 @@ class OverRowsBuffered(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
-        new = list(zip(pdf["ts"].tolist(), pdf["seq"].tolist(), pdf["temp"].tolist()))
+        temps = [None if null else t for t, null in zip(pdf["temp"].tolist(), pdf["is_null"].tolist())]
+        new = list(zip(pdf["ts"].tolist(), pdf["seq"].tolist(), temps))
         yield from _nonempty(self._flush(key, timerValues.getCurrentWatermarkInMs(), new))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -292,108 +179,3 @@ class OverRowsBuffered(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-class LateWindowMinBy(StatefulProcessor):
-    """Event-time tumbling window with allowed lateness and a late output, ``minBy(temperature)`` (W6).
-
-    Spark drops input rows behind its watermark before any stateful operator sees them, which would
-    make a late output impossible. So the input watermark is set ``retention`` seconds further back
-    (``delay + retention``; see :func:`late_window_stream`) and the processor adds ``retention`` back:
-    ``wm = spark_wm + retention`` is the reference's ``max event time - delay``. Rows later than
-    ``retention`` behind are still dropped by Spark; between ``lateness`` and ``retention`` they reach
-    the late output.
-
-    Map state: window start → best record and whether the window has fired. A window fires when
-    ``wm >= end - 1 ms``, fires again for every allowed-late row, and its state is dropped once
-    ``wm >= end - 1 ms + lateness``. One event-time timer per key stays armed at the key's next window
-    event, so a timer expiry handles every window that became due. Output ``(tag, id, window_end, seq, timestamp,
-    temperature)``, tag ``main`` or ``late``. The watermark advances per micro-batch.
-    """
-
-    def __init__(self, size: int, lateness: int, retention: int):
-        self.size, self.lateness, self.retention = size, lateness, retention
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.win = handle.getMapState("win", "start long", "v double, a long, s long, t long, fired boolean")
-        self.armed = handle.getValueState("armed", "at long")
-
-    def _load(self) -> dict:
-        """All open windows of the key in one batched read: start → [v, a, s, t, fired]."""
-        return {k[0]: list(v) for k, v in self.win.iterator()} if self.win.exists() else {}
-
-    def _advance(self, key, state: dict, dirty: set, wm: int, out: list) -> None:
-        """Fire due windows, purge expired ones, write the changes back with few state calls, and keep
-        one timer armed at the key's next window event."""
-        nxt, purged = None, []
-        for start in sorted(state):
-            cur = state[start]
-            end = start + self.size
-            if not cur[4] and end * 1000 - 1 <= wm:  # fire first, then purge (a jump may pass both)
-                out.append(("main", key[0], end, cur[2], cur[3], cur[0]))
-                cur[4] = True
-                dirty.add(start)
-            if end * 1000 - 1 + self.lateness * 1000 <= wm:
-                purged.append(start)
-                continue
-            due = (end if not cur[4] else end + self.lateness) * 1000 - 1
-            nxt = due if nxt is None else min(nxt, due)
-        stored_purged = [p for p in purged if p in self._stored]  # new windows never reached the store
-        for p in purged:
-            del state[p]
-            dirty.discard(p)
-        if stored_purged and len(state) < len(stored_purged):
-            self.win.clear()
-            dirty = set(state)
-        else:
-            for p in stored_purged:
-                self.win.removeKey((p,))
-        for start in dirty:
-            self.win.updateValue((start,), tuple(state[start]))
-        armed = self.armed.get()
-        want = None if nxt is None else nxt - self.retention * 1000  # reference time → Spark timer time
-        if armed is not None and armed[0] != want:
-            self.handle.deleteTimer(armed[0])
-        if want is None:
-            self.armed.clear()
-        elif armed is None or armed[0] != want:
-            self.handle.registerTimer(want)
-            self.armed.update((want,))
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival", "seq"], kind="stable")
-        wm = timerValues.getCurrentWatermarkInMs() + self.retention * 1000
-        pdf["_start"] = (pdf["timestamp"] // self.size) * self.size
-        late = (pdf["_start"] + self.size) * 1000 - 1 + self.lateness * 1000 <= wm
-        out = [("late", key[0], None, s, t, v) for s, t, v in zip(pdf["seq"][late], pdf["timestamp"][late], pdf["temperature"][late])]
-        state = self._load()
-        self._stored = set(state)
-        dirty: set = set()
-        for start, g in pdf[~late].groupby("_start", sort=False):
-            start = int(start)
-            end = start + self.size
-            cur = state.get(start)
-            due = end * 1000 - 1 <= wm
-            for a, s, t, v in zip(g["arrival"].tolist(), g["seq"].tolist(), g["timestamp"].tolist(), g["temperature"].tolist()):
-                if cur is None or _java_gt(cur[0], v):
-                    cur = [v, a, s, t, False if cur is None else cur[4]]
-                if cur[4] or due:
-                    out.append(("main", key[0], end, cur[2], cur[3], cur[0]))
-                    cur[4] = True
-            state[start] = cur
-            dirty.add(start)
-        self._advance(key, state, dirty, wm, out)
-        yield from _nonempty(pd.DataFrame(out, columns=["tag", "id", "window_end", "seq", "timestamp", "temperature"]))
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.armed.clear()
-        out: list = []
-        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) + self.retention * 1000
-        state = self._load()
-        self._stored = set(state)
-        self._advance(key, state, set(), wm, out)
-        yield from _nonempty(pd.DataFrame(out, columns=["tag", "id", "window_end", "seq", "timestamp", "temperature"]))
-
-    def close(self) -> None:
-        pass

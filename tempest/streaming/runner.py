@@ -16,15 +16,20 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tempest.readings import sensor_view
 from tempest.session import scratch_path
+from tempest.streaming.processors import NULL_KEY
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """Stream one driver table (``<sf_dir>/<name>.parquet``) as a file source."""
+#: Bytes of files that one micro-batch of a table stream takes at most (one file at least).
+BATCH_BYTES = 256 << 20
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None, max_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Stream one driver table (``<sf_dir>/<name>.parquet``, a file or a folder of part files) as a file source.
+    The glob in the path is needed for a single file: a file stream reads folders or patterns."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    r = spark.readStream.schema(schema)
+    r = r.option("maxFilesPerTrigger", max_files) if max_files else r.option("maxBytesPerTrigger", max_bytes)
+    return r.parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
 
 
 def stream_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,22 +86,13 @@ def ensure_rocksdb_state(spark: SparkSession) -> None:
 
 
 def keyed(stream: DataFrame, key: str, processor: StatefulProcessor, schema: str, time_mode: str = "None") -> DataFrame:
+    """``stream`` grouped by the string column ``key`` through ``processor``. A null key travels as ``NULL_KEY`` (the
+    state store keeps no state for a null key) and is null again in the output."""
     ensure_rocksdb_state(stream.sparkSession)
-    return stream.groupBy(key).transformWithStateInPandas(processor, schema, "append", time_mode)
+    named = stream.withColumn(key, F.coalesce(F.col(key), F.lit(NULL_KEY)))
+    out = named.groupBy(key).transformWithStateInPandas(processor, schema, "append", time_mode)
+    return out.withColumn(key, F.when(F.col(key) != NULL_KEY, F.col(key))) if key in out.columns else out
 
 
 def with_event_time(stream: DataFrame, ts: str = "timestamp", name: str = "rt", delay: str = "0 seconds") -> DataFrame:
     return stream.withColumn(name, F.timestamp_seconds(F.col(ts))).withWatermark(name, delay)
-
-
-def late_window_stream(stream: DataFrame, size: int, delay: int, lateness: int, retention: int | None = None,
-                       key: str = "id", ts: str = "timestamp") -> DataFrame:
-    """Streaming W6: tagged ``main``/``late`` emissions of the event-time min-by window (needs columns
-    ``id, timestamp, temperature, seq, arrival``). ``retention`` (default ``10 * (size + lateness)``)
-    bounds how far behind the watermark a row may arrive and still reach the late output."""
-    from tempest.streaming.processors import LateWindowMinBy
-
-    retention = retention if retention is not None else 10 * (size + lateness)
-    s = stream.withColumn("_rt", F.timestamp_seconds(F.col(ts))).withWatermark("_rt", f"{delay + retention} seconds")
-    schema = "tag string, id string, window_end long, seq long, timestamp long, temperature double"
-    return keyed(s, key, LateWindowMinBy(size, lateness, retention), schema, "EventTime")

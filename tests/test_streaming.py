@@ -6,11 +6,12 @@ import os
 import pytest
 
 from tempest.operators import alarms, rolling
+from tempest.streaming import folds
 from tempest.streaming import processors as P
 from tempest.streaming import runner
 from tempest.sources.files import stream_readings_csv
 
-from .conftest import RISE_ROWS, SENSOR_ROWS
+from .conftest import RISE_ROWS, SCHEMA, SENSOR_ROWS
 
 
 def land(folder, rows, parts, t0=1_700_000_000):
@@ -37,40 +38,33 @@ def run(spark, tmp_path, name, stream):
 @pytest.mark.parametrize("parts", [1, 3])
 def test_keyed_count_stream_equals_batch(spark, tmp_path, sensor_df, parts):
     land(str(tmp_path / "in"), SENSOR_ROWS, parts)
-    out = run(spark, tmp_path, "kc", runner.keyed(stream_of(spark, str(tmp_path / "in")), "id", P.KeyedCount(), "seq long, id string, cnt long"))
+    out = folds.run_running(stream_of(spark, str(tmp_path / "in")), rolling.count_spec(), "kc", str(tmp_path / "kc"))
     assert sorted(out.collect()) == sorted(rolling.keyed_count(sensor_df).collect())
 
 
 def test_jump_and_max_by_multi_batch(spark, tmp_path, sensor_df):
     land(str(tmp_path / "in"), SENSOR_ROWS, 4)
     s = stream_of(spark, str(tmp_path / "in"))
-    j = run(spark, tmp_path, "j", runner.keyed(s, "id", P.JumpAlarm(10.0), "id string, seq long, last_temp double, temperature double"))
+    j = folds.run_running(s, alarms.jump_spec(10.0), "j", str(tmp_path / "j"))
     assert sorted(j.collect()) == sorted(alarms.jump_alarm(sensor_df, 10.0).collect())
-    m = run(spark, tmp_path, "m", runner.keyed(s, "id", P.RollingMaxBy(), "seq long, id string, max_seq long, timestamp long, temperature double"))
+    m = folds.run_running(s, rolling.max_by_spec(["timestamp"]), "m", str(tmp_path / "m"))
     assert sorted(m.collect()) == sorted(rolling.rolling_max_by(sensor_df).collect())
 
 
-def test_rise_alarm_stream_event_time(spark, tmp_path):
-    # A stream drops rows behind the watermark, so feed the fixture in event-time order (each key's
-    # own sequence is unchanged, hence so is the batch answer), shifted off the epoch.
-    rows = sorted(((seq, i, t + 100, v) for seq, i, t, v in RISE_ROWS), key=lambda r: (r[2], r[0]))
-    land(str(tmp_path / "in"), rows, 3)
-    s = runner.with_event_time(stream_of(spark, str(tmp_path / "in")))
-    out = run(spark, tmp_path, "r", runner.keyed(s, "id", P.RiseAlarm(10), "id string, fire_ts long, message string", "EventTime"))
-    got = sorted((r.id, r.fire_ts) for r in out.collect())
-    assert got == [("sensor_1", 110), ("sensor_1", 137), ("sensor_2", 112)]
-    batch = alarms.rise_alarm(spark.createDataFrame(rows, "seq long, id string, timestamp long, temperature double"), 10)
-    assert sorted((r.id, r.fire_ts) for r in batch.collect()) == got
+def test_rise_alarm_stream_keeps_rows_behind_other_keys(spark, tmp_path):
+    """One file per reading, in arrival order: sensor_2 is far behind sensor_1's times and must not lose a row."""
+    land(str(tmp_path / "in"), RISE_ROWS, len(RISE_ROWS))
+    out = run(spark, tmp_path, "r", runner.keyed(stream_of(spark, str(tmp_path / "in")), "id", P.RiseAlarm(10), P.RiseAlarm.SCHEMA))
+    got = sorted(tuple(r) for r in P.rise_alarms(out).collect())
+    assert got == sorted(tuple(r) for r in alarms.rise_alarm(spark.createDataFrame(RISE_ROWS, SCHEMA), 10).select("id", "fire_ts", "message").collect())
+    assert len({r[0] for r in got}) == 2
 
 
 def test_restart_from_checkpoint_equals_one_run(spark, tmp_path, sensor_df):
     folder = str(tmp_path / "in")
     land(folder, SENSOR_ROWS[:8], 2)
-    job = runner.StreamRun(str(tmp_path / "o"), str(tmp_path / "c"))
-
     def once():
-        s = stream_of(spark, folder)
-        return runner.run_to_table(spark, runner.keyed(s, "id", P.KeyedCount(), "seq long, id string, cnt long"), "rs", job)
+        return folds.run_running(stream_of(spark, folder), rolling.count_spec(), "rs", str(tmp_path / "rs"))
 
     once()
     # more files land while the job is down; the restart continues from the committed offsets and state
@@ -96,12 +90,22 @@ def test_late_window_stream_one_row_per_batch(spark, tmp_path):
     land(folder, SENSOR_ROWS, len(SENSOR_ROWS))
     s = stream_of(spark, folder)
     s = s.withColumn("arrival", s["seq"])
-    out = run(spark, tmp_path, "w6", runner.late_window_stream(s, 5, 2, 60))
+    out = folds.run_late_window(s, 5, 2, 60, root=str(tmp_path / "w6"), flush=False)
     got = sorted((r.tag, r.id, (r.window_end or 0) - 1547718000, r.seq) for r in out.collect())
     main = [("main", "sensor_1", 200, 0), ("main", "sensor_6", 205, 1), ("main", "sensor_7", 205, 2), ("main", "sensor_10", 210, 3),
             ("main", "sensor_1", 210, 5), ("main", "sensor_1", 205, 9), ("main", "sensor_1", 215, 7), ("main", "sensor_6", 220, 8)]
     late = [("late", "sensor_1", -1547718000, 11)]
     assert got == sorted(main + late)
+    flushed = folds.run_late_window(s, 5, 2, 60, root=str(tmp_path / "w6"))  # a restart with nothing new, closed
+    assert sorted((r.id, r.seq) for r in flushed.exceptAll(out).collect()) == [("sensor_10", 12), ("sensor_7", 10)]
+
+
+def test_late_rows_reach_the_late_output_however_late(spark, tmp_path):
+    rows = [(0, "a", 5_000_000, 1.0), (1, "a", 9_000_000, 2.0), (2, "a", 1_000, 3.0), (3, None, 9_000_001, 4.0), (4, None, 9_000_002, None)]
+    land_parquet(spark, str(tmp_path / "in"), rows, len(rows))
+    s = parquet_stream(spark, str(tmp_path / "in"))
+    got = folds.run_late_window(s.withColumn("arrival", s["seq"]), 5, 2, 60, root=str(tmp_path / "w"))
+    assert sorted((r.tag, r.id or "", r.seq) for r in got.collect()) == [("late", "a", 2), ("main", "", 3), ("main", "a", 0), ("main", "a", 1)]
 
 
 def test_side_outputs_stream_one_pass(spark, tmp_path):
@@ -120,55 +124,104 @@ def test_side_outputs_stream_one_pass(spark, tmp_path):
 
 def test_streaming_word_count_carries_totals_across_batches(spark, tmp_path):
     from tempest.operators import wordcount
-    from tempest.streaming import counts
 
     from .conftest import SF_SMALL
 
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
     folder = str(tmp_path / "docs")
-    for k, (lo, hi) in enumerate([(0, 20), (20, 40), (40, 60)]):
-        part = f"{folder}/part{k}"
-        docs.where(f"doc_id >= {lo} AND doc_id < {hi}").coalesce(1).write.parquet(part)
-        for f in os.listdir(part):
-            os.utime(os.path.join(part, f), (1_700_000_000 + k * 10, 1_700_000_000 + k * 10))
-    files = sorted(os.path.join(dp, f) for dp, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet"))
-    flat = str(tmp_path / "flat")
-    os.makedirs(flat)
-    for k, f in enumerate(files):
-        os.link(f, os.path.join(flat, f"d{k}.parquet"))
-        os.utime(os.path.join(flat, f"d{k}.parquet"), (1_700_000_000 + k * 10, 1_700_000_000 + k * 10))
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(flat)
-    q, out = counts.running_count_stream(wordcount.word_occurrences(stream), "word", root=str(tmp_path / "wc"), block=1 << 24)
-    q.awaitTermination()
-    assert len(q.recentProgress) >= 3
-    got = sorted(counts.read_output(spark, out, "word").collect())
-    want = sorted(wordcount.running_word_count(wordcount.word_occurrences(docs), block=1 << 24).collect())
-    assert got == want
+    for k in range(3):
+        docs.where(f"doc_id >= {20 * k} AND doc_id < {20 * k + 20}").coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = folds.run_word_count(wordcount.word_occurrences(stream), root=str(tmp_path / "wc"), block=1 << 8)
+    assert len(os.listdir(tmp_path / "wc" / "delta")) >= 3
+    want = sorted(wordcount.running_word_count(wordcount.word_occurrences(docs), block=1 << 8).collect())
+    assert sorted(out.collect()) == want
 
 
 def _r(rows, n=6):
     return sorted(tuple(round(x, n) if isinstance(x, float) else x for x in r) for r in rows)
 
 
-def test_more_processors_equal_batch_over_four_batches(spark, tmp_path, sensor_df):
-    from tempest.operators import changelog, count_windows
-    from tempest.plans.registry import _reduce_max
+def test_more_folds_equal_batch_over_four_batches(spark, tmp_path, sensor_df):
+    from tempest.operators import changelog, count_windows, windows
+    from tempest.plans.registry import _reduce_max, count_acc, range_acc, range_result
+    from pyspark.sql import functions as F
 
     land(str(tmp_path / "in"), SENSOR_ROWS, 4)
     s = stream_of(spark, str(tmp_path / "in"))
 
-    c = run(spark, tmp_path, "cl", runner.keyed(s, "id", P.RetractCountAvg(),
-                                                 "flag boolean, seq long, id string, cnt long, sum_temp double, avg_temp double"))
+    c = folds.run_running(s, changelog.count_avg_spec(), "cl", str(tmp_path / "cl"))
     assert _r(c.collect()) == _r(changelog.retract_count_avg(sensor_df).select(*c.columns).collect())
 
-    for size, slide in ((10, 2), (2, 2)):
-        w = run(spark, tmp_path, f"cw{size}{slide}", runner.keyed(s, "id", P.CountWindowSlide(size, slide), "id string, seq long, avg_temp double"))
+    for size, slide in ((10, 2), (2, 2), (1, 1)):
+        w = folds.run_count_window(s, size, slide, "cw", root=str(tmp_path / f"cw{size}{slide}"))
         assert _r(w.collect()) == _r(count_windows.count_window_slide(sensor_df, size, slide).collect())
 
     schema = "seq long, id string, timestamp long, temperature double"
     g = run(spark, tmp_path, "red", runner.keyed(s, "id", P.KeyedReduce(_reduce_max, ["seq", "id", "timestamp", "temperature"], schema), schema))
     assert _r(g.collect()) == _r(rolling.rolling_reduce_max(sensor_df).select(*g.columns).collect())
 
+    late = 10**6  # nothing is behind the watermark: the windows of all rows
+    x = folds.run_group_window(s, 15, range_acc(), range_result(), "gw", delay=late, root=str(tmp_path / "gw"))
+    assert _r(x.collect()) == _r(windows.group_window(sensor_df, 15, range_acc(), range_result()).select(*x.columns).collect())
+    y = folds.run_group_window(s, 15, count_acc(), {"cnt": F.col("n")}, "sw", slide=5, delay=late, root=str(tmp_path / "sw"))
+    assert _r(y.collect()) == _r(windows.slide_count(sensor_df, 15, 5).select(*y.columns).collect())
+
+
+ODD = [(0, "a", 10, 1.0), (1, "a", 11, None), (2, None, 12, 5.0), (3, "a", 13, 9.0), (4, None, 14, None), (5, "a", 15, float("nan")), (6, None, 16, 2.0),
+       (7, "a", 17, 30.0), (8, None, 18, 40.0)]
+
+
+def land_parquet(spark, folder, rows, parts):
+    size = -(-len(rows) // parts)
+    for k in range(parts):
+        spark.createDataFrame(rows[k * size : (k + 1) * size], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+
+def parquet_stream(spark, folder):
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _key(rows):
+    return sorted(repr(tuple(r)) for r in rows)
+
+
+def test_null_keys_and_null_readings_batch_equals_stream(spark, tmp_path):
+    from tempest.operators import changelog, count_windows
+
+    df = spark.createDataFrame(ODD, SCHEMA)
+    land_parquet(spark, str(tmp_path / "in"), ODD, 5)
+    s = parquet_stream(spark, str(tmp_path / "in"))
+    for name, spec in (("c", rolling.count_spec()), ("j", alarms.jump_spec(10.0)), ("m", rolling.max_by_spec(["timestamp"])),
+                       ("r", rolling.reduce_max_spec()), ("l", changelog.count_avg_spec()), ("a", changelog.avg_temp_spec())):
+        assert _key(folds.run_running(s, spec, name, str(tmp_path / name)).collect()) == _key(spec.run(df, block=2).collect()), name
+    w = folds.run_count_window(s, 2, 1, "w", root=str(tmp_path / "w"))
+    assert _key(w.collect()) == _key(count_windows.count_window_slide(df, 2, 1, block=2).collect())
+    out = run(spark, tmp_path, "ra", runner.keyed(s, "id", P.RiseAlarm(2), P.RiseAlarm.SCHEMA))
+    assert _key(P.rise_alarms(out).collect()) == _key(alarms.rise_alarm(df, 2, block=2).select("id", "fire_ts", "message").collect())
+    assert [r.cnt for r in rolling.keyed_count(df).where("id is null").orderBy("seq").collect()] == [1, 2, 3, 4]
+    assert [(r.flag, r.cnt) for r in changelog.retract_count_avg(df).where("id = 'a'").orderBy("seq", "flag").collect()][:3] == [(True, 1), (False, 1), (True, 2)]
+
+
+def test_table_stored_as_a_folder_is_streamed_whole(spark, tmp_path):
+    from tempest.plans import registry
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    got = registry.q_stream_keyed_count(spark, str(tmp_path))
+    assert got.count() == events.count()
+    assert sorted(got.collect()) == sorted(registry.q_keyed_count(spark, str(tmp_path)).collect())
+
+
+def test_state_is_compacted_and_replayed(spark, tmp_path):
+    state = folds.DeltaState(str(tmp_path / "s"), ["id"])
+    for v in range(20):
+        state.write(spark.createDataFrame([("a", v), (None, -v)] if v % 2 else [("b", v)], "id string, n int"), v)
+        now = {r.id: r.n for r in state.read(spark, v + 1).collect()}
+        odd, even = (v if v % 2 else v - 1), (v - 1 if v % 2 else v)
+        assert now == ({"a": odd, None: -odd} if v else {}) | {"b": even}
+    assert sorted(os.listdir(tmp_path / "s" / "base")) == ["batch=0", "batch=16"]
+
 
 def test_over_rows_buffered_stream_equals_batch(spark, tmp_path):
     from tempest.operators import windows
@@ -176,7 +229,7 @@ def test_over_rows_buffered_stream_equals_batch(spark, tmp_path):
     rows = sorted(SENSOR_ROWS, key=lambda r: (r[2], r[0]))  # event-time order: nothing is behind the watermark
     land(str(tmp_path / "in"), rows, 3)
     s = stream_of(spark, str(tmp_path / "in")).withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
-    s = runner.with_event_time(s, "ts")
+    s = runner.with_event_time(s.withColumn("is_null", s["temp"].isNull()), "ts")
     o = run(spark, tmp_path, "ov", runner.keyed(s, "id", P.OverRowsBuffered(2), "id string, ts long, seq long, cnt long, avg_temp double", "EventTime"))
     t = spark.createDataFrame(rows, "seq long, id string, ts long, temp double")
     assert _r(o.collect()) == _r(windows.over_rows(t, 2).select(*o.columns).collect())
@@ -192,8 +245,8 @@ def test_nan_readings_batch_equals_stream(spark, tmp_path):
     os.makedirs(folder)
     df.coalesce(1).write.mode("overwrite").parquet(folder + "/p")
     s = spark.readStream.schema(schema).parquet(folder + "/p")
-    j = run(spark, tmp_path, "nj", runner.keyed(s, "id", P.JumpAlarm(10.0), "id string, seq long, last_temp double, temperature double"))
+    j = folds.run_running(s, alarms.jump_spec(10.0), "nj", str(tmp_path / "nj"))
     assert sorted(r.seq for r in j.collect()) == [3]
-    m = run(spark, tmp_path, "nm", runner.keyed(s, "id", P.RollingMaxBy(), "seq long, id string, max_seq long, timestamp long, temperature double"))
+    m = folds.run_running(s, rolling.max_by_spec(["timestamp"]), "nm", str(tmp_path / "nm"))
     b = rolling.rolling_max_by(df)
     assert sorted((r.seq, r.max_seq) for r in m.collect()) == sorted((r.seq, r.max_seq) for r in b.collect())
