@@ -10,6 +10,7 @@ from tempest.plans.registry import (
     LATE_DELAY,
     LATE_EVERY,
     LATE_LATENESS,
+    LATE_RUNS,
     LATE_SHIFT,
     LATE_SIZE,
     RISE_INTERVAL,
@@ -54,10 +55,14 @@ WITH docs AS (
                           ELSE string_split(rtrim(regexp_replace(l, chr(13) || '$', ''), ' '), ' ') END)) AS words
   FROM documents WHERE text IS NOT NULL AND text <> ''),
 occ AS (
-  SELECT doc_id * 16777216 + generate_subscripts(words, 1) - 1 AS seq, unnest(words) AS word FROM docs)
-SELECT seq, word, count(*) OVER (PARTITION BY word ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt
+  SELECT doc_id, CAST(generate_subscripts(words, 1) - 1 AS INTEGER) AS pos, unnest(words) AS word FROM docs)
+SELECT doc_id, pos, word, count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt
 FROM occ"""
 
+ORACLE["text_file_lines"] = _with(SENSOR, LINES) + "SELECT line FROM lines"
+ORACLE["csv_table_roundtrip"] = _with(SENSOR) + "SELECT id, temperature FROM sensor"
+ORACLE["csv_payload_roundtrip"] = _with(SENSOR) + 'SELECT id, "timestamp", temperature AS temp FROM sensor'
+
 ORACLE["line_lengths"] = _with(SENSOR, LINES) + "SELECT seq, CAST(length(line) AS INTEGER) AS len FROM lines"
 
 ORACLE["line_fields"] = _with(SENSOR, LINES) + """
@@ -128,6 +133,20 @@ SELECT true AS flag, seq, id, n AS cnt, s AS sum_temp, round(s / n, 6) AS avg_te
 UNION ALL
 SELECT false AS flag, seq, id, n - 1 AS cnt, s_prev AS sum_temp, round(s_prev / (n - 1), 6) AS avg_temp FROM r WHERE n > 1"""
 
+ORACLE["retract_avg_temp"] = _with(SENSOR) + f"""
+, r AS (
+  SELECT seq, id, row_number() OVER (PARTITION BY id ORDER BY seq) AS rn, round(round(sum(temperature) OVER w, 6) / count(temperature) OVER w, 6) AS a,
+         round(round(sum(temperature) OVER v, 6) / count(temperature) OVER v, 6) AS a_prev
+  FROM sensor WINDOW w AS {W_SEQ}, v AS (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT true AS flag, seq, id, a AS avg_temp FROM r
+UNION ALL
+SELECT false AS flag, seq, id, a_prev AS avg_temp FROM r WHERE rn > 1"""
+
+ORACLE["user_accumulator"] = _with(SENSOR) + f"""
+SELECT id, ("timestamp" // {DAY}) * {DAY} + {DAY} AS window_end, count(temperature) AS cnt,
+       round(round(sum(temperature), 6) / count(temperature), 6) AS avg_temp, round(max(temperature) - min(temperature), 6) AS spread
+FROM sensor GROUP BY id, window_end"""
+
 ORACLE["tumble_count"] = _with(SENSOR) + f"""
 SELECT id, ("timestamp" // {DAY}) * {DAY} + {DAY} AS window_end, count(*) AS cnt FROM sensor GROUP BY ALL"""
 
@@ -226,6 +245,12 @@ FROM timer t JOIN crossing c USING (window_end)
 UNION ALL
 SELECT id, window_end, b.s AS seq, b.t AS "timestamp", b.v AS temperature, emitted_after FROM refire WHERE due"""
 
+ORACLE["late_window_flushed"] = ORACLE["late_window_emissions"] + f"""
+UNION ALL
+SELECT id, window_end, arg_min(seq, (temperature, arrival, seq)) AS seq, arg_min("timestamp", (temperature, arrival, seq)) AS "timestamp",
+       min(temperature) AS temperature, CAST(NULL AS BIGINT) AS emitted_after
+FROM kept WHERE window_end + {LATE_DELAY} > (SELECT max("timestamp") FROM sensor) GROUP BY id, window_end"""
+
 ORACLE["hash_code"] = _with(SENSOR) + """
 SELECT seq, id, "timestamp" AS ts,
        CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INTEGER) AS hash_code
@@ -237,17 +262,34 @@ SELECT seq, id, ts, word, CAST(length(word) AS INTEGER) AS length
 FROM (SELECT seq, id, "timestamp" AS ts, unnest(string_split(id, '_')) AS word FROM sensor)"""
 ORACLE["split_lateral_sql"] = ORACLE["split_lateral"]
 
+ORACLE["hash_code_sql"] = ORACLE["hash_code"]
+ORACLE["split_udtf_sql"] = ORACLE["split_lateral"]
+ORACLE["avg_temp_sql"] = _with(SENSOR) + "SELECT id, count(temperature) AS cnt, round(sum(temperature), 4) AS sum_temp FROM sensor GROUP BY id"
+ORACLE["rich_map"] = _with(SENSOR) + "SELECT seq, id, true AS in_range, CAST(1 AS INTEGER) AS opened FROM sensor"
+
 # Streaming twins read the same input and must give the batch twin's answer.
 ORACLE["stream_word_count"] = ORACLE["running_word_count"]
-for _name in ("keyed_count", "jump_alarm", "rolling_max_by", "rolling_reduce", "retract_changelog", "count_window_slide", "rise_alarm", "over_rows"):
+for _name in ("keyed_count", "shard_count", "jump_alarm", "rolling_max_by", "rolling_reduce", "retract_changelog", "count_window_slide",
+              "rise_alarm", "over_rows", "tumble_count", "slide_count", "tumble_sum_first", "tumble_count_avg", "side_outputs"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 
+# the readings land in thirds of the arrival order; the watermark moves between them
 ORACLE["stream_late_window"] = _with(SENSOR) + f""", a AS (
   SELECT *, CASE WHEN seq % {LATE_EVERY} = 0 THEN seq + {LATE_SHIFT} ELSE seq END AS arrival,
-         ("timestamp" // {LATE_SIZE}) * {LATE_SIZE} + {LATE_SIZE} AS window_end FROM sensor)
-SELECT 'main' AS tag, id, window_end, seq, "timestamp", temperature FROM (
-  SELECT *, row_number() OVER (PARTITION BY id, window_end ORDER BY temperature, arrival, seq) AS rk FROM a)
-WHERE rk = 1 AND window_end <= (SELECT max("timestamp") FROM sensor) - {LATE_DELAY}"""
+         ("timestamp" // {LATE_SIZE}) * {LATE_SIZE} + {LATE_SIZE} AS window_end FROM sensor),
+p AS (SELECT *, ((arrival - (SELECT min(arrival) FROM a)) * {LATE_RUNS}) // (SELECT max(arrival) - min(arrival) + 1 FROM a) AS part FROM a),
+m AS (SELECT part, max(max("timestamp")) OVER (ORDER BY part) - {LATE_DELAY} AS wm FROM p GROUP BY part),
+b AS (SELECT p.*, (SELECT max(wm) FROM m WHERE m.part < p.part) AS wm FROM p),
+k AS (SELECT *, coalesce(window_end <= wm, false) AS due FROM b WHERE NOT coalesce(window_end + {LATE_LATENESS} <= wm, false)),
+r AS (SELECT *, min({{'v': temperature, 'a': arrival, 's': seq, 't': "timestamp"}})
+                  OVER (PARTITION BY id, window_end ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best FROM k)
+SELECT 'late' AS tag, id, CAST(NULL AS BIGINT) AS window_end, seq, "timestamp", temperature
+FROM b WHERE coalesce(window_end + {LATE_LATENESS} <= wm, false)
+UNION ALL
+SELECT 'main' AS tag, id, window_end, best.s AS seq, best.t AS "timestamp", best.v AS temperature FROM r WHERE due
+UNION ALL
+SELECT 'main' AS tag, id, window_end, x.s AS seq, x.t AS "timestamp", x.v AS temperature FROM (
+  SELECT id, window_end, min({{'v': temperature, 'a': arrival, 's': seq, 't': "timestamp"}}) AS x FROM k WHERE NOT due GROUP BY id, window_end)"""
 
 # countWindow(10) on a stream: each full block of 10 readings of a key, reported at its 10th reading
 ORACLE["stream_count_window_tumble"] = _with(SENSOR) + """
@@ -256,9 +298,3 @@ SELECT id, seq, avg_temp FROM (
          round(avg(temperature) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS avg_temp
   FROM sensor)
 WHERE rn % 10 = 0"""
-
-# append mode emits the windows whose end the final watermark (max event time - delay) has passed
-ORACLE["stream_tumble_count_avg"] = _with(SENSOR) + f"""
-SELECT id, count(id) AS cnt, round(avg(temperature), 6) AS avg_temp, ("timestamp" // {DAY}) * {DAY} + {DAY} AS window_end
-FROM sensor GROUP BY id, window_end
-HAVING window_end <= (SELECT max("timestamp") FROM sensor) - {LATE_DELAY}"""

@@ -36,3 +36,17 @@ def test_every_oracle_sql_runs_in_duckdb():
     for name, sql in E.oracle_sql().items():
         cols = [d[0] for d in con.execute(f"DESCRIBE {sql}").fetchall()]
         assert cols and len(cols) == len(set(cols)), name
+
+
+def test_entry_works_without_the_llm_folders():
+    """The rest of the library imports nothing of them, and the entry module only where they are."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    code = ("import sys; sys.modules['corpus_pipeline'] = None; sys.modules['tempest.llm'] = None\n"
+            "import __spark_entry__ as e, pkgutil, tempest, importlib\n"
+            "[importlib.import_module(m.name) for m in pkgutil.walk_packages(tempest.__path__, 'tempest.') if not m.name.startswith(('tempest.llm', 'tempest.__main__'))]\n"
+            "q = e.queries(); assert 'word_count' in q and not any(k.startswith('op') for k in q) and set(e.oracle_sql()) <= set(q)")
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)

@@ -68,8 +68,10 @@ def test_word_count_fixture(spark):
 
 
 def test_running_word_count(spark):
-    w = spark.createDataFrame([(0, "a"), (1, "b"), (2, "a"), (3, "a")], "seq long, word string")
-    assert [r.cnt for r in wordcount.running_word_count(w, block=2).orderBy("seq").collect()] == [1, 1, 2, 3]
+    big = 1 << 62  # hash ids and long texts need no room in one number
+    w = spark.createDataFrame([(big, 1 << 25, "a"), (3, 0, "a"), (3, 1, "b"), (big, 0, "a")], "doc_id long, pos int, word string")
+    got = wordcount.running_word_count(w, block=2).orderBy("doc_id", "pos").collect()
+    assert [(r.word, r.cnt) for r in got] == [("a", 1), ("b", 1), ("a", 2), ("a", 3)]
 
 
 def test_tables_count_avg_and_sql(spark, sensor_df):
@@ -97,6 +99,14 @@ def test_udfs(spark, sensor_df):
     assert n == 26
 
 
+def test_split_table_function_takes_any_separator(spark):
+    spark.createDataFrame([("it's'a''",), ("",), ("xaaa",)], "id string").createOrReplaceTempView("fx_sep")
+    udfs.register_split_udtf(spark, "split_quote", "'")
+    udfs.register_split_udtf(spark, "split_aa", "aa")
+    assert sorted(r.word for r in spark.sql("SELECT word FROM fx_sep, LATERAL split_quote(id)").collect()) == ["", "a", "it", "s", "xaaa"]
+    assert sorted(r.word for r in spark.sql("SELECT word FROM fx_sep, LATERAL split_aa(id)").collect()) == ["", "a", "it's'a''", "x"]
+
+
 def test_rich_map_lifecycle(sensor_df):
     import pandas as pd
 
