@@ -18,7 +18,7 @@ import pyarrow as pa
 MULT = 0x9E3779B97F4A7C13
 MULT_INV = pow(MULT, -1, 1 << 64)
 #: Bytes of text that one numpy step looks at; a longer single document is one step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def worker_state() -> dict:
