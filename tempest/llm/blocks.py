@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -18,11 +19,13 @@ from tempest.llm.textops import text_steps
 from tempest.session import materialize
 
 BLOCK_BYTES = 4 << 20
+#: A block is written and shuffled once each, so a fifth less of disk is worth more than the time to compress.
+LEVEL = 6
 
 
 def pack_table(t: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))) as w:
         w.write_batch(t)
     return sink.getvalue().to_pybytes()
 
@@ -32,6 +35,25 @@ def unpack_table(payload: bytes) -> pa.RecordBatch:
     return t.to_batches()[0] if t.num_rows else pa.RecordBatch.from_pylist([], schema=t.schema)
 
 
+def pack_blocks(rows: DataFrame, binary: str, block_bytes: int = BLOCK_BYTES, name: str = "blocks") -> DataFrame:
+    """As :func:`write_blocks` for rows whose bulk is the binary column ``binary``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for rb in batches:
+            step = max(1, rb.num_rows * block_bytes // max(1, rb.column(binary).nbytes))
+            for a in range(0, rb.num_rows, step):
+                held.append(rb.slice(a, step))
+                size += held[-1].column(binary).nbytes
+                if size >= block_bytes // 2:
+                    yield _row(block, held)
+                    block, held, size = block + 1, [], 0
+        if held:
+            yield _row(block, held)
+
+    return materialize(rows.mapInArrow(run, "block long, payload binary"), name)
+
+
 def write_blocks(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, name: str = "blocks") -> DataFrame:
     """(block long, payload binary) of all rows of ``docs``, written once. Slices of the reader's batches that
     are under half a block are merged, so the number of blocks follows the text and not the batches."""
@@ -54,3 +76,40 @@ def _row(block: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
     t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
     return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([pack_table(t)], pa.binary())],
                                       ["block", "payload"])
+
+
+def pack_answers(rows: DataFrame, key: str, value: str, key_type: type, value_type: type, flush_rows: int = 200_000) -> DataFrame:
+    """(block, key, value) rows → a few rows per block with packed arrays: half the bytes in the shuffle to the blocks."""
+
+    def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        block, k, v = (t[c].to_numpy() for c in ("block", key, value))
+        order = np.argsort(block, kind="stable")
+        block, k, v = block[order], k[order].astype(key_type), v[order].astype(value_type)
+        cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+        ends = np.append(cut[1:], len(block))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[cut]), pa.array([k[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()),
+             pa.array([v[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())], ["block", key, value])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for rb in batches:
+            if rb.num_rows:
+                held.append(rb)
+                n += rb.num_rows
+            if n >= flush_rows:
+                yield flush(held)
+                held, n = [], 0
+        if held:
+            yield flush(held)
+
+    return rows.select("block", key, value).mapInArrow(run, f"block long, {key} binary, {value} binary")
+
+
+def unpack_answers(t: pa.Table, key: str, value: str, key_type: type, value_type: type) -> tuple[np.ndarray, np.ndarray]:
+    """The (keys, values) of one block, ordered by key."""
+    k = np.concatenate([np.zeros(0, key_type), *[np.frombuffer(x, key_type) for x in t[key].to_pylist()]])
+    v = np.concatenate([np.zeros(0, value_type), *[np.frombuffer(x, value_type) for x in t[value].to_pylist()]])
+    order = np.argsort(k, kind="stable")
+    return k[order], v[order]
