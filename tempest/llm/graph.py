@@ -27,7 +27,6 @@ def components(edges: DataFrame) -> DataFrame:
         sym = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = sym.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = sym.join(low, "a").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialize(large, "large-star")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(low.select("a", F.col("m").alias("b"))).where("a != b").select(

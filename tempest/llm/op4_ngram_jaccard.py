@@ -6,22 +6,25 @@ A document's set is its distinct 5-word shingles (64-bit hashes). Two documents
 1. *Sets.* One pass gives size and a 128-bit digest of each set. Equal sets are one node, named by the smallest
    id of its documents (a partial minimum before the shuffle, so a group of copies costs a row per task).
 2. *Reduction.* A shingle that is in one document only cannot be in an intersection. Documents are written in
-   blocks; each block sends the distinct shingles (32 bits beside the shard's) of its documents to shards as
-   packed arrays, a shard answers with one bit a shingle (found elsewhere too, or clashing: a superset), and
-   the bits return to their block. A document with less than ``PERCENT`` per cent of its shingles shared has
-   no link at all and is done. A shared passage does not bring a document further, unless it is most of it.
+   blocks and their shingles screened (``screen``: 4 bytes a shingle to shards, one bit back). A document with
+   less than ``PERCENT`` per cent of its shingles shared has no link at all and is done. The same again over the
+   distinct sets that are left, where copies no longer vouch for each other. A shared passage does not bring a
+   document further, unless it is most of it.
 3. *PartEnum.* For the others: two sets of sizes r, s differ in at most k = (1-J)/(1+J)·(r+s) shingles. Sizes
    fall into bands of factor two; a set takes part in the instance of its band and, where it can reach it, of the
    next. An instance cuts the shingle domain (by hash) into n1 parts of n2 = 3 cells; with n1·2 > k some part
    differs in at most one cell, so the sets agree on one of its 2-of-3 cell subsets. Each such subset is a
    signature. Parts are numerous enough that an agreeing subset is not empty; a set for which that cannot be
    shown also sends its empty subsets. In the smallest bands every shingle is a cell of its own.
-4. *Rounds of leaders.* In each signature bucket the smallest component's smallest node is the leader. Every
+4. *Rounds of leaders.* Signatures are screened as well (12 bytes to a shard, one bit back): only buckets with several
+   components become rows. First one signature in ``FIRST_LOOK`` is used, which finds most links and leaves few
+   components; then all of them. In each signature bucket the smallest component's smallest node is the leader. Every
    other node is compared (exactly) with the leader it shares most buckets with; links merge components, and
    buckets inside one component are finished. Rounds go on while links are found, so a group of n near copies
    costs about n comparisons a round, not n².
-5. *Rest.* Buckets that still hold several components list their remaining pairs across components, without
-   repetition and only where the sizes allow a link, and all are compared exactly.
+5. *Rest.* What is left in buckets with several components are mostly near misses. Their sets are cut into chunks of
+   ``CHUNK``; chunks that meet in some bucket are compared as a whole by a product of 0/1 matrices (exact counts),
+   and only links come out: no pair of sets is ever a row.
 
 Edge cases: null or empty texts have empty sets (size 0, linked with nothing, their own component); 1-4 words
 are one shingle; a row with a null id links nothing and its component is null; repeated rows and ids share
@@ -37,15 +40,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempest.llm.blocks import unpack_table, write_blocks
+from tempest.llm.blocks import pack_blocks, pack_table, unpack_table, write_blocks
 from tempest.llm.graph import components
+from tempest.llm.screen import screened
 from tempest.llm.textops import MULT, SPACE_WORD, mix, prefix_hash, span_hash, spans, text_steps, window_hash
 from tempest.session import materialize
 
 WORDS = 5
 PERCENT = 75
-#: Shingles that one shard of step 2 gets on average (4 bytes each in memory).
-SHARD_SHINGLES = 2_000_000
 #: Bands up to this size use single shingles as cells.
 SMALL = 16
 #: Parts of an instance as a share of its largest size.
@@ -99,72 +101,54 @@ def document_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long")
 
 
+def _kept_sets(rb: pa.RecordBatch, ids: str, n: np.ndarray, w: np.ndarray, at: np.ndarray, more: np.ndarray, percent: int) -> pa.RecordBatch:
+    """(doc_id, n, feats) of the rows of which enough shingles occur elsewhere; feats: only those."""
+    ours = _sums(more.astype(np.uint64), at).astype(np.int64)
+    ok = (n > 0) & (100 * ours >= percent * n) & np.asarray(rb.column(ids).is_valid())
+    rows = np.flatnonzero(ok)
+    feats = [w[at[i] : at[i + 1]][more[at[i] : at[i + 1]]].tobytes() for i in rows]
+    return pa.RecordBatch.from_arrays([rb.column(ids).take(pa.array(rows)), pa.array(n[rows]), pa.array(feats, pa.binary())], ["doc_id", "n", "feats"])
+
+
+_SETS = "doc_id long, n long, feats binary"
+
+
 def shared_sets(docs: DataFrame, total: int, percent: int) -> DataFrame:
     """docs (doc_id, text) → doc_id, n (size of its set), feats (its shared shingles) of the documents of
     which at least ``percent`` per cent of the shingles are shared with another document."""
-    shards = max(4, -(-total // SHARD_SHINGLES))
-    blocks = write_blocks(docs)
 
-    def block_features(payload: bytes) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """documents, shingles, offsets; the distinct shingles by shard: order, shard, 32-bit value."""
-        rb = unpack_table(payload)
-        parts, ats = [], [np.zeros(1, np.int64)]
+    def sets_of(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        parts, ats = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
         for _, buf, off in text_steps([rb], "text"):
             w, at = shingle_sets(buf, off)
             parts.append(w)
             ats.append(at[1:] + ats[-1][-1])
-        w, at = np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.concatenate(ats)
-        v = mix(w)
-        shard = ((v >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-        low = (v & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return rb, w, at, np.lexsort((low, shard)), shard.astype(np.int64), low
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for block, payload in zip(b.column("block").to_pylist(), b.column("payload")):
-                _, _, _, order, shard, low = block_features(payload.as_py())
-                s, v = shard[order], low[order]
-                cut = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.zeros(0, np.int64)
-                ends = np.append(cut[1:], len(s))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(s[cut]), pa.array(np.full(len(cut), block, np.int64)),
-                     pa.array([v[x:y].tobytes() for x, y in zip(cut, ends)], pa.binary())], ["shard", "block", "v"])
-
-    def answer(t: pa.Table) -> pa.Table:
-        values = [np.frombuffer(x, np.uint32) for x in t["v"].to_pylist()]
-        u, n = np.unique(np.concatenate(values), return_counts=True)
-        u = u[n > 1]
-        bits = []
-        for v in values:
-            at = np.minimum(np.searchsorted(u, v), max(len(u) - 1, 0))
-            bits.append(np.packbits(u[at] == v if len(u) else np.zeros(len(v), bool)).tobytes())
-        return pa.table({"block": t["block"], "shard": t["shard"], "bits": pa.array(bits, pa.binary())})
-
-    asked = blocks.mapInArrow(ask, "shard long, block long, v binary")
-    bits = (asked.repartition(shards, "shard").groupBy("shard").applyInArrow(answer, "block long, shard long, bits binary")
-            .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "bits"))).alias("answers")))  # a bounded block's
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for payload, answers in zip(b.column("payload"), b.column("answers")):
-                rb, w, at, order, shard, _ = block_features(payload.as_py())
-                if not len(w):
-                    continue
-                sizes = np.bincount(shard, minlength=shards)
-                shared = np.zeros(len(w), bool)
-                got = [np.unpackbits(np.frombuffer(x["bits"], np.uint8))[: sizes[x["shard"]]] for x in answers.as_py()]
-                shared[order] = np.concatenate(got).astype(bool)
-                n = np.diff(at)
-                ours = np.add.reduceat(np.append(shared, False).astype(np.int64), at[:-1]) * (n > 0)
-                ok = (n > 0) & (100 * ours >= percent * n)
-                ok &= np.asarray(rb.column("doc_id").is_valid())
-                rows = np.flatnonzero(ok)
-                feats = [w[at[i] : at[i + 1]][shared[at[i] : at[i + 1]]].tobytes() for i in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [rb.column("doc_id").take(pa.array(rows)), pa.array(n[rows]), pa.array(feats, pa.binary())],
-                    ["doc_id", "n", "feats"])
-
-    return blocks.join(bits, "block").select("payload", "answers").mapInArrow(apply, "doc_id long, n long, feats binary")
+        return np.concatenate(parts), np.concatenate(ats)
+
+    def apply(rb: pa.RecordBatch, w: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        at = sets_of(rb)[1]
+        return _kept_sets(rb, "doc_id", np.diff(at), w, at, more, percent)
+
+    return screened(write_blocks(docs), lambda rb: (sets_of(rb)[0], None), apply, _SETS, total)
+
+
+def _feats(rb: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(f.as_buffer(), np.uint64) for f in rb.column("feats")]
+
+
+def distinct_shared(sets: DataFrame, percent: int) -> DataFrame:
+    """sets (doc_id, n, feats), one row per distinct set → the same of those that share enough shingles with
+    *another set* (before, copies of a set vouched for each other)."""
+    total = sets.agg(F.sum(F.length("feats")) / 8).first()[0] or 0
+
+    def items(rb: pa.RecordBatch) -> tuple[np.ndarray, None]:
+        return np.concatenate([np.zeros(0, np.uint64), *_feats(rb)]), None
+
+    def apply(rb: pa.RecordBatch, w: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        at = np.concatenate(([0], np.cumsum([len(f) for f in _feats(rb)]))).astype(np.int64)
+        return _kept_sets(rb, "doc_id", rb.column("n").to_numpy(), w, at, more, percent)
+
+    return screened(pack_blocks(sets, "feats", name="set-blocks"), items, apply, _SETS, int(total))
 
 
 def signatures(n: int, feats: np.ndarray, percent: int) -> np.ndarray:
@@ -198,17 +182,34 @@ def signatures(n: int, feats: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
-def _signature_rows(reps: DataFrame, percent: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
-            for a in range(0, rb.num_rows, 256):
-                part = rb.slice(a, 256)
-                sigs = [signatures(n, np.frombuffer(f.as_buffer(), np.uint64), percent)
-                        for n, f in zip(part.column("n").to_pylist(), part.column("feats"))]
-                node = np.repeat(part.column("node").to_numpy(), [len(s) for s in sigs])
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(sigs)), pa.array(node)], ["sig", "node"])
+#: One in so many signatures (by hash) is used to find most links early; all are used afterwards.
+FIRST_LOOK = 8
+
 
-    return reps.select("node", "n", "feats").mapInArrow(run, "sig long, node long")
+def _block_signatures(rb: pa.RecordBatch, percent: int, every: int) -> tuple[np.ndarray, np.ndarray]:
+    """(signatures of all sets of a block, row of each)."""
+    sigs = []
+    for n, f in zip(rb.column("n").to_pylist(), _feats(rb)):
+        s = signatures(n, f, percent)
+        sigs.append(s if every == 1 else s[mix(s) % np.uint64(every) == 0])
+    return np.concatenate([np.zeros(0, np.uint64), *sigs]), np.repeat(np.arange(len(sigs)), [len(s) for s in sigs])
+
+
+def _open_buckets(reps: DataFrame, comp: DataFrame, percent: int, every: int) -> DataFrame:
+    """(sig, node, n, comp): the rows of signature buckets that hold several components (a superset)."""
+    total = reps.agg(F.sum("n")).first()[0] or 0
+    blocks = pack_blocks(reps.join(comp, "node"), "feats", name="rep-blocks")
+
+    def items(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        s, row = _block_signatures(rb, percent, every)
+        return s, rb.column("comp").to_numpy()[row]
+
+    def apply(rb: pa.RecordBatch, s: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        row = pa.array(_block_signatures(rb, percent, every)[1][more])
+        return pa.RecordBatch.from_arrays([_signed(s[more]), *[rb.column(c).take(row) for c in ("node", "n", "comp")]], ["sig", "node", "n", "comp"])
+
+    found = screened(blocks, items, apply, "sig long, node long, n long, comp long", max(1, total // every), tagged=True)
+    return materialize(found, "signatures")
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -238,43 +239,101 @@ def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(out, "components")
 
 
-def _open(rows: DataFrame, comp: DataFrame, name: str) -> DataFrame:
-    """(sig, node, n, comp) of the buckets with more than one component."""
+def _still_open(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rows`` with the components of now, of the buckets with more than one."""
     rows = rows.select("sig", "node", "n").join(comp, "node")
-    return materialize(rows.join(_mixed(rows, "comp"), "sig").select("sig", "node", "n", "comp"), name)
-
-
-def _mixed(rows: DataFrame, by: str) -> DataFrame:
-    return rows.groupBy("sig").agg(F.min(by).alias("lo"), F.max(by).alias("hi")).where("lo != hi").select("sig")
+    mixed = rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("sig")
+    return materialize(rows.join(mixed, "sig").select("sig", "node", "n", "comp"), "signatures")
 
 
 def node_components(reps: DataFrame, percent: int) -> DataFrame:
     """reps (node, n, feats; written) → node, comp."""
     comp = reps.select("node", F.col("node").alias("comp"))
-    sizes = reps.select("node", "n")
-    sigs = _signature_rows(reps, percent)
-    met = sigs.join(_mixed(sigs, "node"), "sig")  # most signatures meet nobody; only the others are written
-    rows = materialize(met.join(sizes, "node").select("sig", "node", "n", F.col("node").alias("comp")), "signatures")
     fits = "100 * least(n, ln) >= {0} * greatest(n, ln)".format(percent)
-    while True:
-        if rows.isEmpty():
-            return comp
-        lead = rows.groupBy("sig").agg(F.min(F.struct("comp", "node", "n")).alias("l")).select(
-            "sig", F.col("l.comp").alias("lc"), F.col("l.node").alias("leader"), F.col("l.n").alias("ln"))
-        cand = rows.join(lead, "sig").where("comp != lc").where(fits).groupBy("node", "leader").agg(F.count(F.lit(1)).alias("c"))
-        best = cand.groupBy("node").agg(F.max_by("leader", F.struct("c", "leader")).alias("b")).select(F.col("node").alias("a"), "b")
-        links = materialize(_verified(best, reps, percent), "links")
-        if links.isEmpty():
-            break
-        comp = _merge(comp, links)
-        rows = _open(rows, comp, "signatures")
-    other = rows.select("sig", F.col("node").alias("other"), F.col("n").alias("ln"), F.col("comp").alias("oc"))
-    pairs = (rows.join(other, "sig").where("node < other and comp != oc").where(fits)
-             .select(F.col("node").alias("a"), F.col("other").alias("b")).distinct())
-    links = materialize(_verified(pairs, reps, percent), "links")
+    rows = None
+    for every in (FIRST_LOOK, 1):
+        rows = _open_buckets(reps, comp, percent, every)
+        while True:
+            lead = rows.groupBy("sig").agg(F.min(F.struct("comp", "node", "n")).alias("l")).select(
+                "sig", F.col("l.comp").alias("lc"), F.col("l.node").alias("leader"), F.col("l.n").alias("ln"))
+            cand = rows.join(lead, "sig").where("comp != lc").where(fits).groupBy("node", "leader").agg(F.count(F.lit(1)).alias("c"))
+            best = cand.groupBy("node").agg(F.max_by("leader", F.struct("c", "leader")).alias("b")).select(F.col("node").alias("a"), "b")
+            links = materialize(_verified(best, reps, percent), "links")
+            if links.isEmpty():
+                break
+            comp = _merge(comp, links)
+            rows = _still_open(rows, comp)
+    links = _rest_links(rows, reps, percent)
     return comp if links.isEmpty() else _merge(comp, links)
 
 
+#: Sets that are compared with each other in one step of the rest.
+CHUNK = 1024
+#: Columns of the 0/1 matrices in that step.
+SLICE = 4096
+
+
+def _rest_links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The links between sets of different components that share an open bucket, compared chunk by chunk.
+
+    Sets are ordered by their largest bucket, so that those which share many stand together, and cut into chunks. Two
+    chunks are compared if some bucket has members in both: one product of 0/1 matrices gives all their
+    intersections. Pairs of chunks travel, not pairs of sets, and only links come out."""
+    sizes = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
+    key = rows.join(sizes, "sig").groupBy("node", "n", "comp").agg(F.max(F.struct("size", "sig")).alias("k"))
+    parts = max(1, -(-key.count() // (64 * CHUNK)))
+    order = ["k", "n", "node"]
+    placed = materialize(key.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(
+        "node", "n", "comp", F.floor(F.monotonically_increasing_id() / CHUNK).alias("chunk")), "rest")
+    meet = rows.select("sig", "node").join(placed.select("node", "chunk"), "node").select("sig", "chunk").distinct()
+    pairs = meet.join(meet.select("sig", F.col("chunk").alias("with")), "sig").where("chunk <= with").select("chunk", "with").distinct()
+    sets = placed.join(reps.select("node", "feats"), "node")
+
+    def pack(t: pa.Table) -> pa.Table:
+        t = t.sort_by("node").combine_chunks()
+        return pa.table({"chunk": t["chunk"].slice(0, 1), "payload": pa.array([pack_table(t.to_batches()[0])], pa.binary())})
+
+    chunks = materialize(sets.groupBy("chunk").applyInArrow(pack, "chunk long, payload binary"), "chunks")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            for x, y in zip(rb.column("x"), rb.column("y")):
+                yield _chunk_links(unpack_table(x.as_py()), unpack_table(y.as_py()), percent)
+
+    both = pairs.join(chunks.withColumnRenamed("payload", "x"), "chunk").join(
+        chunks.select(F.col("chunk").alias("with"), F.col("payload").alias("y")), "with")
+    return materialize(both.select("x", "y").mapInArrow(compare, "a long, b long"), "links")
+
+
+def _chunk_links(x: pa.RecordBatch, y: pa.RecordBatch, percent: int) -> pa.RecordBatch:
+    """Links (a < b, different components) between the sets of two chunks (node, n, comp, feats)."""
+    fx, fy = _feats(x), _feats(y)
+    common = np.intersect1d(np.concatenate(fx), np.concatenate(fy))
+
+    def places(feats: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        f, row = np.concatenate(feats), np.repeat(np.arange(len(feats)), [len(v) for v in feats])
+        at = np.minimum(np.searchsorted(common, f), max(len(common) - 1, 0))
+        ok = common[at] == f if len(common) else np.zeros(len(f), bool)
+        order = np.argsort(at[ok], kind="stable")
+        return at[ok][order], row[ok][order]
+
+    (cx, rx), (cy, ry) = places(fx), places(fy)
+    both = np.zeros((len(fx), len(fy)))  # sums of exact small products
+    for a in range(0, len(common), SLICE):
+        mats = []
+        for c, r, n in ((cx, rx, len(fx)), (cy, ry, len(fy))):
+            lo, hi = np.searchsorted(c, [a, a + SLICE])
+            m = np.zeros((n, min(SLICE, len(common) - a)), np.float32)
+            m[r[lo:hi], c[lo:hi] - a] = 1
+            mats.append(m)
+        both += mats[0] @ mats[1].T
+    size = x.column("n").to_numpy()[:, None] + y.column("n").to_numpy()[None, :]
+    nx, ny = x.column("node").to_numpy(), y.column("node").to_numpy()
+    ok = (100 * both >= percent * (size - both)) & (x.column("comp").to_numpy()[:, None] != y.column("comp").to_numpy()[None, :])
+    i, j = np.nonzero(ok & (nx[:, None] != ny[None, :]))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(nx[i], ny[j])), pa.array(np.maximum(nx[i], ny[j]))], ["a", "b"])
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every document row."""
     d = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
@@ -286,7 +345,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # one row for each node: documents that stand for their set (repeated ids may give several; any will do)
     stand = nodes.select("k1", "k2", "node").join(full.select("k1", "k2", F.col("doc_id").alias("node")).distinct(), ["k1", "k2", "node"])
     one = shared.join(stand.select(F.col("node").alias("doc_id"), "k1", "k2"), "doc_id")
-    reps = materialize(one.select(F.col("doc_id").alias("node"), "n", "feats"), "reps")
+    sets_once = materialize(one.select("doc_id", "n", "feats"), "sets-once")
+    reps = materialize(distinct_shared(sets_once, percent).withColumnRenamed("doc_id", "node"), "reps")
     comp = node_components(reps, percent).select("node", "comp")
     named = nodes.join(comp, "node", "left").select("k1", "k2", "n_shingles", F.coalesce("comp", "node").alias("comp"))
     out = sets.join(named, ["k1", "k2", "n_shingles"], "left")
