@@ -66,6 +66,7 @@ def write_blocks(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_B
             if size >= block_bytes // 2:
                 yield _row(block, held)
                 block, held, size = block + 1, [], 0
+                pa.default_memory_pool().release_unused()  # a worker lives on after the task
         if held:
             yield _row(block, held)
 
