@@ -7,6 +7,7 @@ from tempest.llm import op10_chat_rotation as op10
 from tempest.llm import op4_ngram_jaccard as op4
 from tempest.llm import op6_decontamination as op6
 from tempest.llm import op9_quality_rules as op9
+from tempest.llm.op11_alignment import op11_alignment
 from tempest.llm.op1_toxicity import op1_toxicity
 from tempest.llm.op2_packing import op2_packing
 from tempest.llm.op3_token_counts import op3_token_counts
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_licenses": op8.op8_licenses,
     "op9_quality_rules": op9.op9_quality_rules,
     "op10_chat_rotation": op10.op10_chat_rotation,
+    "op11_alignment": op11_alignment,
 }
 ORACLE: dict[str, str] = {
     "op4_ngram_jaccard": op4.ORACLE_SQL,
