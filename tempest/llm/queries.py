@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tempest.llm import op8_licenses as op8
 from tempest.llm import op10_chat_rotation as op10
+from tempest.llm import op12_collocations as op12
 from tempest.llm import op4_ngram_jaccard as op4
 from tempest.llm import op6_decontamination as op6
 from tempest.llm import op9_quality_rules as op9
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_quality_rules": op9.op9_quality_rules,
     "op10_chat_rotation": op10.op10_chat_rotation,
     "op11_alignment": op11_alignment,
+    "op12_collocations": op12.op12_collocations,
 }
 ORACLE: dict[str, str] = {
     "op4_ngram_jaccard": op4.ORACLE_SQL,
     "op6_decontamination": op6.ORACLE_SQL,
     "op9_quality_rules": op9.ORACLE_SQL,
     "op10_chat_rotation": op10.ORACLE_SQL,
+    "op12_collocations": op12.ORACLE_SQL,
 }
