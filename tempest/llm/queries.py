@@ -5,6 +5,7 @@ from __future__ import annotations
 from tempest.llm import op8_licenses as op8
 from tempest.llm import op10_chat_rotation as op10
 from tempest.llm import op12_collocations as op12
+from tempest.llm import op13_exact_search as op13
 from tempest.llm import op4_ngram_jaccard as op4
 from tempest.llm import op6_decontamination as op6
 from tempest.llm import op9_quality_rules as op9
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_chat_rotation": op10.op10_chat_rotation,
     "op11_alignment": op11_alignment,
     "op12_collocations": op12.op12_collocations,
+    "op13_exact_search": op13.op13_exact_search,
 }
 ORACLE: dict[str, str] = {
     "op4_ngram_jaccard": op4.ORACLE_SQL,
@@ -35,4 +37,5 @@ ORACLE: dict[str, str] = {
     "op9_quality_rules": op9.ORACLE_SQL,
     "op10_chat_rotation": op10.ORACLE_SQL,
     "op12_collocations": op12.ORACLE_SQL,
+    "op13_exact_search": op13.ORACLE_SQL,
 }

@@ -17,7 +17,7 @@ def planted(spark, tmp_path_factory):
     clean = [r.text for r in docs.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where(
         "lang = 'en' and toxic = 0 and quality = 1 and n_chars between 800 and 3000").orderBy("doc_id").limit(3).collect()]
     item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
-    rows = [(10_001, clean[0] + " end"), (10_002, item + " " + clean[1] + " " + item), (10_003, "%$# @@ || 00 ~~ " * 60),
+    rows = [(10_001, clean[0] + " end"), (10_002, " ".join(clean[1].split()[::-1]) + " " + item), (10_003, "%$# @@ || 00 ~~ " * 60),
             (10_004, " ".join(clean[2].split()[::-1]))]
     extra = spark.createDataFrame([(i, t, "en", "src1", len(t)) for i, t in rows], docs.schema)
     docs.unionByName(extra).write.parquet(f"{root}/documents.parquet")
@@ -56,5 +56,5 @@ def test_run_is_registered_and_odd_rows_pass(spark, odd, odd_labels, tmp_path):
 
 def test_every_operator_is_registered_once():
     names = [k for k in E.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
     assert words(1, 3)
