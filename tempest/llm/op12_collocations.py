@@ -36,7 +36,7 @@ from tempest.llm.sums import SHARD_KEYS, by_block, dealt, number_of_shards
 from tempest.llm.textops import MULT, lut, mix, spans, text_buffer
 from tempest.session import materialize
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Salts of the first round of the top list.
 TOP_SALTS = 64
 
@@ -81,9 +81,10 @@ class PhraseCounts:
         joined = (doc[1:] == doc[:-1]) & (ends[s[1:]] == ends[s[:-1]]) if len(s) else np.zeros(0, bool)
         bounds = np.concatenate(([0], np.cumsum(e - s))).astype(np.int64)
         coded = pa.Array.from_buffers(pa.large_binary(), len(s), [None, pa.py_buffer(bounds), pa.py_buffer(buf[_WORD[buf]])]).dictionary_encode()
-        self.words, w = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        self.words, w = coded.dictionary, coded.indices.to_numpy()
         langs = rows.column("lang").dictionary_encode()
-        self.langs, lang = langs.dictionary, langs.indices.to_numpy().astype(np.int64)[doc]
+        self.langs, lang = langs.dictionary, langs.indices.to_numpy()[doc]
+        del buf, s, e, doc, ends, bounds, coded
         size = max(1, len(self.words))
         word_hash = np.array([xxhash.xxh3_64_intdigest(x) for x in self.words.to_pylist()], np.uint64)
         lang_hash = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in self.langs.to_pylist()], np.uint64)
@@ -94,16 +95,16 @@ class PhraseCounts:
             if k:
                 at = at[at + k < len(w)]
                 at = at[joined[at + k - 1]]
-            key, first, before_at, n = np.unique(before[at] * size + w[at + k], return_index=True, return_inverse=True, return_counts=True)
+            key = before[at].astype(np.int64) * size + w[at + k]
+            key, first, before_at, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
             prefix, last = key // size, key % size
             before_hash = mix(before_hash[prefix] * np.uint64(MULT) + word_hash[last]) if len(key) else np.zeros(0, np.uint64)
             self.lang.append(lang[at[first]])
             self.codes.append([w[at[first] + j] for j in range(k + 1)])
             self.counts.append(n)
             self.hashes.append(before_hash)
-            whole = np.zeros(len(w), np.int64)
-            whole[at] = before_at
-            before = whole  # of the positions that go on, which are among these
+            before = np.zeros(len(w), np.int32)
+            before[at] = before_at  # the positions that go on are among these
 
     def all_hashes(self) -> np.ndarray:
         return np.concatenate(self.hashes)
@@ -170,6 +171,8 @@ def phrase_counts(docs: DataFrame, min_count: int, max_words: int, text_col: str
                         [pa.array(present), pa.array(np.full(len(present), block, np.int64)),
                          pa.array([v[x:y].tobytes() for x, y in zip(cut, ends)], pa.binary()),
                          pa.array([n[x:y].tobytes() for x, y in zip(cut, ends)], pa.binary())], ["shard", "block", "v", "n"])
+                del phrases, h, order, v, n
+                pa.default_memory_pool().release_unused()
 
     def answer(g: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, np.uint32) for x in g["v"].to_pylist()]
@@ -202,6 +205,8 @@ def phrase_counts(docs: DataFrame, min_count: int, max_words: int, text_col: str
                     got = [np.unpackbits(np.frombuffer(x["totals"], np.uint8))[:n] for x, n in zip(answers.as_py(), ends - cut)]
                     keep[order] = np.concatenate(got).astype(bool)
                 yield from phrases.rows(keep)
+                del phrases, h
+                pa.default_memory_pool().release_unused()
 
     exact = blocks.join(bits, "block", "left").select("payload", "answers").mapInArrow(count, "lang string, words int, phrase string, n long")
     return exact.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(f"words = 0 or n >= {min_count}")
@@ -263,7 +268,8 @@ WITH d AS (
 p AS (
   SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w
   FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
--]')) AS piece FROM d)),
+-
+]')) AS piece FROM d)),
 g AS (
   SELECT lang, 1 AS words, unnest(w) AS phrase FROM p
   UNION ALL
