@@ -72,11 +72,14 @@ def write_tagged(tagged: DataFrame, writers: Mapping[str, Callable[[DataFrame],
         cached.unpersist()
 
 
-def side_outputs_stream(tagged_stream: DataFrame, writers: Mapping[str, Callable[[DataFrame], None]], checkpoint: str,
+def side_outputs_stream(tagged_stream: DataFrame, writers: Mapping[str, Callable[[DataFrame, int], None]], checkpoint: str,
                         tag: str = "tag", available_now: bool = False):
     """Streaming side outputs: one query over the source, each micro-batch split by tag into its own
-    sink (``writers``). A replayed micro-batch is written again, so writers should be idempotent per
-    batch (e.g. overwrite a batch-id partition) for exactly-once results."""
-    w = tagged_stream.writeStream.foreachBatch(lambda batch, _epoch: write_tagged(batch, writers, tag)).option(
-        "checkpointLocation", checkpoint)
+    sink. A writer takes (rows, batch id) and must address what it writes by the batch, so that a replayed batch replaces its
+    first attempt: ``sinks.files.batch_folder``, ``sinks.upserts.write_jdbc_upsert`` with ``batch_id``."""
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        write_tagged(batch, {t: (lambda rows, w=w: w(rows, batch_id)) for t, w in writers.items()}, tag)
+
+    w = tagged_stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()

@@ -231,6 +231,13 @@ def last_rows_frame(ranked: DataFrame, keys: Sequence[str], rank: str, size: int
     return d.withColumns({n: c.over(w) for n, c in aggs.items()}).where(F.col("_b") == F.col("_own")).drop("_b", "_own")
 
 
+def latest_rows(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], n: int) -> DataFrame:
+    """The last ``n`` rows of each key in ``order_cols`` order. Spark takes ``n`` rows of a key from each task before the
+    shuffle (a window group limit, up to ``spark.sql.optimizer.windowGroupLimitThreshold``), so a hot key is small."""
+    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order_cols])
+    return df.withColumn("_back", F.row_number().over(w)).where(F.col("_back") <= n).drop("_back")
+
+
 def keyed_rank(df: DataFrame, keys: Sequence[str], seq_col: str = "seq", order_cols: Sequence[str] | None = None,
                name: str = "rn", block: int = DEFAULT_BLOCK) -> DataFrame:
     """1-based position of each row within its key in arrival order (a hot-key-safe ``row_number``)."""

@@ -10,7 +10,6 @@ from tempest.plans.registry import (
     LATE_DELAY,
     LATE_EVERY,
     LATE_LATENESS,
-    LATE_RUNS,
     LATE_SHIFT,
     LATE_SIZE,
     RISE_INTERVAL,
@@ -273,23 +272,20 @@ for _name in ("keyed_count", "shard_count", "jump_alarm", "rolling_max_by", "rol
               "rise_alarm", "over_rows", "tumble_count", "slide_count", "tumble_sum_first", "tumble_count_avg", "side_outputs"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 
-# the readings land in thirds of the arrival order; the watermark moves between them
-ORACLE["stream_late_window"] = _with(SENSOR) + f""", a AS (
-  SELECT *, CASE WHEN seq % {LATE_EVERY} = 0 THEN seq + {LATE_SHIFT} ELSE seq END AS arrival,
-         ("timestamp" // {LATE_SIZE}) * {LATE_SIZE} + {LATE_SIZE} AS window_end FROM sensor),
-p AS (SELECT *, ((arrival - (SELECT min(arrival) FROM a)) * {LATE_RUNS}) // (SELECT max(arrival) - min(arrival) + 1 FROM a) AS part FROM a),
-m AS (SELECT part, max(max("timestamp")) OVER (ORDER BY part) - {LATE_DELAY} AS wm FROM p GROUP BY part),
-b AS (SELECT p.*, (SELECT max(wm) FROM m WHERE m.part < p.part) AS wm FROM p),
-k AS (SELECT *, coalesce(window_end <= wm, false) AS due FROM b WHERE NOT coalesce(window_end + {LATE_LATENESS} <= wm, false)),
-r AS (SELECT *, min({{'v': temperature, 'a': arrival, 's': seq, 't': "timestamp"}})
-                  OVER (PARTITION BY id, window_end ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best FROM k)
-SELECT 'late' AS tag, id, CAST(NULL AS BIGINT) AS window_end, seq, "timestamp", temperature
-FROM b WHERE coalesce(window_end + {LATE_LATENESS} <= wm, false)
+# firings and late rows of the per-record replay, however the readings are cut into runs
+ORACLE["stream_late_window"] = f"""
+SELECT 'main' AS tag, id, window_end, seq, "timestamp", temperature, emitted_after FROM ({ORACLE["late_window_flushed"]})
 UNION ALL
-SELECT 'main' AS tag, id, window_end, best.s AS seq, best.t AS "timestamp", best.v AS temperature FROM r WHERE due
-UNION ALL
-SELECT 'main' AS tag, id, window_end, x.s AS seq, x.t AS "timestamp", x.v AS temperature FROM (
-  SELECT id, window_end, min({{'v': temperature, 'a': arrival, 's': seq, 't': "timestamp"}}) AS x FROM k WHERE NOT due GROUP BY id, window_end)"""
+SELECT 'late' AS tag, id, CAST(NULL AS BIGINT) AS window_end, seq, "timestamp", temperature, CAST(NULL AS BIGINT) AS emitted_after
+FROM ({ORACLE["late_window_late"]})"""
+ORACLE["stream_reordered"] = ORACLE["retract_changelog"]
+
+_LANDED = _with(SENSOR, LINES) + """, placed AS (
+  SELECT row_number() OVER (ORDER BY seq % 7, seq) - 1 AS arrival, seq % 7 AS part,
+         row_number() OVER (PARTITION BY seq % 7 ORDER BY seq) - 1 AS line_no, line FROM lines)
+"""
+ORACLE["lines_with_arrival"] = _LANDED + "SELECT arrival, part, line_no, line FROM placed"
+ORACLE["stream_lines"] = _LANDED + "SELECT part, line_no, line, line_no AS from_first, true AS dense FROM placed"
 
 # countWindow(10) on a stream: each full block of 10 readings of a key, reported at its 10th reading
 ORACLE["stream_count_window_tumble"] = _with(SENSOR) + """

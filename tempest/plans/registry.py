@@ -371,7 +371,7 @@ def _processor(spark, d, name, processor, schema, event_time=False, table=False)
 def _running(spark, d, spec, name):
     from tempest.streaming import folds, runner
 
-    return folds.run_running(runner.stream_sensor(spark, d), spec, name)
+    return folds.run_keyed(runner.stream_sensor(spark, d), spec, name)
 
 
 def q_stream_keyed_count(spark, d):
@@ -382,7 +382,7 @@ def q_stream_shard_count(spark, d):
     from tempest.streaming import folds, runner
 
     src = runner.stream_sensor(spark, d).withColumn("shard", F.col("seq") % 4)
-    return folds.run_running(src, rolling.count_spec("shard"), "shard_count")
+    return folds.run_keyed(src, rolling.count_spec("shard"), "shard_count")
 
 
 def q_stream_jump_alarm(spark, d):
@@ -402,15 +402,11 @@ def q_stream_retract_changelog(spark, d):
 
 
 def q_stream_count_window_slide(spark, d):
-    from tempest.streaming import folds, runner
-
-    return folds.run_count_window(runner.stream_sensor(spark, d), 10, 2, "count_window_slide").select("id", "seq", _r6("avg_temp"))
+    return _running(spark, d, count_windows.CountWindow(10, 2), "count_window_slide").select("id", "seq", _r6("avg_temp"))
 
 
 def q_stream_count_window_tumble(spark, d):
-    from tempest.streaming import folds, runner
-
-    return folds.run_count_window(runner.stream_sensor(spark, d), 10, 10, "count_window_tumble").select("id", "seq", _r6("avg_temp"))
+    return _running(spark, d, count_windows.CountWindow(10, 10), "count_window_tumble").select("id", "seq", _r6("avg_temp"))
 
 
 def q_stream_word_count(spark, d):
@@ -438,11 +434,10 @@ def q_stream_rise_alarm(spark, d):
 
 
 def q_stream_over_rows(spark, d):
-    from tempest.streaming.processors import OverRowsBuffered
+    from tempest.streaming import folds, runner
 
-    c = _processor(spark, d, "over_rows", OverRowsBuffered(2), "id string, ts long, seq long, cnt long, avg_temp double",
-                   event_time=True, table=True)
-    return c.select("id", "ts", "seq", "cnt", _r6("avg_temp"))
+    src = runner.stream_sensor(spark, d).withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
+    return folds.run_over_rows(src, 2).where("tag = 'main'").select("id", "ts", "seq", "cnt", _r6("avg_temp"))
 
 
 def _group_window(spark, d, name, size, accumulators, results, **kw):
@@ -473,32 +468,81 @@ def q_stream_tumble_count_avg(spark, d):
     return out.select("id", "cnt", "avg_temp", "window_end")
 
 
+def _landed(spark, src: DataFrame, order: str, runs: int, name: str):
+    """The rows of ``src`` written to a landing folder in ``runs`` parts of the order, one part after the other:
+    yields the folder after each part."""
+    lo, hi = src.agg(F.min(order), F.max(order)).first()
+    landing = scratch_path(spark, name)
+    part = F.floor((F.col(order) - (lo or 0)) * runs / F.lit((hi or 0) - (lo or 0) + 1))
+    for k in range(runs):
+        src.where(part == k).write.mode("append").parquet(landing)
+        yield landing
+
+
 def q_stream_late_window(spark, d):
     """Streaming W6 over the readings in arrival order, landed in thirds: each third is a run of the same job,
-    continued from its checkpoint, so rows are late against the watermark of earlier runs."""
+    continued from its checkpoint. Firings and late rows are those of the batch replay."""
     from tempest.streaming import folds
 
     src = _arrival(sensor(spark, d))
-    lo, hi = src.agg(F.min("arrival"), F.max("arrival")).first()
-    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "late-window")
-    schema, out = src.schema, None
-    for k in range(LATE_RUNS):
-        third = F.floor((F.col("arrival") - (lo or 0)) * LATE_RUNS / F.lit((hi or 0) - (lo or 0) + 1))
-        src.where(third == k).write.mode("append").parquet(landing)
-        out = folds.run_late_window(spark.readStream.schema(schema).parquet(landing), LATE_SIZE, LATE_DELAY, LATE_LATENESS, root=root)
+    root, out = scratch_path(spark, "late-window"), None
+    for landing in _landed(spark, src, "arrival", LATE_RUNS, "landing"):
+        out = folds.run_late_window(spark.readStream.schema(src.schema).parquet(landing), LATE_SIZE, LATE_DELAY, LATE_LATENESS, root=root)
     return out
 
 
+def q_stream_reordered(spark, d):
+    """Running counts of a stream whose parts land in the wrong order (the last part first): rows wait for ``lag``
+    numbers, later ones correct what was given out. The answer is the batch twin's."""
+    from tempest.streaming import folds
+
+    src = sensor(spark, d)
+    turned = src.withColumn("turn", F.when(F.col("seq") % 3 == 0, -F.col("seq")).otherwise(F.col("seq")))
+    root, out = scratch_path(spark, "reordered"), None
+    for landing in _landed(spark, turned, "turn", 3, "landing"):
+        out = folds.run_keyed(spark.readStream.schema(turned.schema).parquet(landing).drop("turn"), changelog.count_avg_spec(), "reordered", root, lag=100)
+    return _rounded_changelog(out)
+
+
+def _landing_lines(spark, d):
+    """The sensor lines as a landing folder of seven files, each in the order of the readings."""
+    path = scratch_path(spark, "landing-lines")
+    s = lines(spark, d).withColumn("part", F.col("seq") % 7)
+    s.repartitionByRange(7, "part").sortWithinPartitions("part", "seq").select("line", "part").write.partitionBy("part").text(path)
+    return path
+
+
+def q_lines_with_arrival(spark, d):
+    """S1, S3: the lines of a landing folder with their arrival numbers (files by path), without sorting them."""
+    n = files.lines_with_arrival(spark, f"{_landing_lines(spark, d)}/*/", by_time=False)
+    return n.select("arrival", F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"), "line_no", "line")
+
+
+def q_stream_lines(spark, d):
+    """S3 on a stream: numbers go on from batch to batch. The files land in any order of their times, so the oracle
+    has the line number in the file, and every arrival number once."""
+    from tempest.streaming import folds
+
+    path = _landing_lines(spark, d)
+    n = folds.run_lines(files.stream_lines_located(spark, f"{path}/*/", 3))
+    ends = n.groupBy("file").agg(F.min("arrival").alias("first"))
+    n = n.join(ends, "file").select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"), "line_no", "line",
+                                    (F.col("arrival") - F.col("first")).alias("from_first"), "arrival")
+    dense = n.agg(F.countDistinct("arrival") == F.max("arrival") + 1).scalar()
+    return n.drop("arrival").withColumn("dense", dense)
+
+
 def q_stream_side_outputs(spark, d):
-    """M5 on a stream: one pass over the source, each tag to its own folder."""
+    """M5 on a stream: one pass over the source, each tag to its own folder, a batch to its own place in it."""
+    from tempest.sinks.files import batch_folder
     from tempest.streaming import runner
 
     root = scratch_path(spark, "side-outputs")
     tagged = routing.tag_side_output(runner.stream_sensor(spark, d), java_gt("temperature", HIGH_THRESHOLD))
-    tags = (routing.MAIN_TAG, routing.LOW_TEMP_TAG)
-    writers = {t: (lambda df, t=t: df.write.mode("append").parquet(f"{root}/out/tag={t}")) for t in tags}
+    writers = {t: batch_folder(f"{root}/out/tag={t}") for t in (routing.MAIN_TAG, routing.LOW_TEMP_TAG)}
     routing.side_outputs_stream(tagged, writers, f"{root}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.schema("seq long, id string, timestamp long, temperature double, tag string").parquet(f"{root}/out")
+    out = spark.read.schema("seq long, id string, timestamp long, temperature double, tag string, batch long").parquet(f"{root}/out")
+    return out.drop("batch")
 
 
 def q_rich_map(spark, d):
@@ -586,6 +630,9 @@ QUERIES: dict[str, Query] = {
     "stream_late_window": q_stream_late_window,
     "stream_tumble_count_avg": q_stream_tumble_count_avg,
     "stream_word_count": q_stream_word_count,
+    "stream_reordered": q_stream_reordered,
+    "lines_with_arrival": q_lines_with_arrival,
+    "stream_lines": q_stream_lines,
 }
 
 
@@ -612,4 +659,5 @@ SURVEY_IDS: dict[str, str] = {
     "user_accumulator": "U4", "late_window_flushed": "W6 P2 P3", "hash_code_sql": "U1 F4", "split_udtf_sql": "U2 J2",
     "avg_temp_sql": "U3 A8", "stream_shard_count": "S2 P5", "stream_tumble_count": "S2 W1 U4", "stream_slide_count": "S2 W2",
     "stream_tumble_sum_first": "S2 W3", "stream_side_outputs": "S2 M5 P11",
+    "stream_reordered": "S2 A9", "lines_with_arrival": "S1 S3", "stream_lines": "S2 S3",
 }

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +59,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system holds it (nothing happens if it is not there)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+_OWNED: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("tempest_owned", default=None)
+
+
+@contextlib.contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`materialize` writes inside are removed at the end: for work whose results are written
+    elsewhere by then, such as a micro-batch."""
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for p in paths:
+            remove_path(spark, p)
+
+
 _CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -68,6 +94,9 @@ def materialize(df, name: str):
     such steps would otherwise keep them all until the driver collects its garbage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
     old = spark.conf.get(_CLEANUP_CONF, None)
     spark.conf.set(_CLEANUP_CONF, "true")
     try:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -22,3 +22,8 @@ def stream_csv_table(stream: DataFrame, path: str, checkpoint: str, names: Seque
     """Append-only CSV sink for a stream; an updating (aggregated) query is refused by Spark, as by the reference."""
     return (to_output_table(stream, names).writeStream.format("csv").option("path", path)
             .option("checkpointLocation", checkpoint).outputMode("append").start())
+
+
+def batch_folder(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """A writer of micro-batches into ``path``, each into a folder of its own: a replayed batch replaces its first attempt."""
+    return lambda rows, batch_id: rows.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")

@@ -1,257 +1,269 @@
-"""Streams as micro-batch folds: each batch is plain Spark work on (batch, carried state), inside ``foreachBatch``.
+"""Streams as micro-batch folds: each batch is plain Spark work on (batch, carried tables), inside ``foreachBatch``.
 
 A stateful processor hands all rows of a key to one Python call. Here the batch operators themselves run on each
-micro-batch (hot-key-safe block scans, partial aggregates), seeded with a carried state, so a hot key is spread
+micro-batch (hot-key-safe block scans, partial aggregates), seeded with what the batches before left, so a hot key is spread
 over tasks and nothing is dropped behind a watermark.
 
-* Output of batch ``i``: ``<root>/out/batch=<i>``; state changes: ``<root>/delta/batch=<i>`` (only the keys that the
-  batch touched); every ``COMPACT`` batches the latest state is written whole to ``<root>/base/batch=<i>``. A replayed
-  batch overwrites the same folders from the same input, so results are exactly once, and a lost executor
-  recomputes from the source files and the previous state.
-* A bounded run may end with a *finish*: rows that the end of the input brings (open windows, armed timers). They are
-  derived from the last state when the output is read, so a restart that finds more input is not disturbed.
+* Output of batch ``i``: ``<root>/out/batch=<i>``. What is carried: small named tables ``<root>/carry/<name>/batch=<i>``, one
+  row per key (totals), open window or waiting row, written whole from those of batch ``i - 1``, which then go. A
+  replayed batch overwrites the same folders from the same input, so results are exactly once, and a lost executor
+  recomputes from the source files and the tables of the batch before.
+* The order in which files are found does not matter to keyed operators: rows wait until the highest arrival number is
+  ``lag`` ahead of them and run in arrival order; a row that comes even later corrects what was given out (see ``run_keyed``).
+* A bounded run may end with a *finish*: rows that the end of the input brings (open windows, armed timers, rows that
+  wait). They are derived from the carried tables when the output is read, so a restart that finds more input is not disturbed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from typing import Protocol
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tempest.operators.scan import DEFAULT_BLOCK, Running, join_null_safe, keyed_rank, keyed_running, last_rows_frame
-from tempest.session import materialize, scratch_path
+from tempest.operators.scan import DEFAULT_BLOCK, join_null_safe, latest_rows
+from tempest.session import materialize, owned_scratch, remove_path, scratch_path
 
-COMPACT = 16
+Tables = dict[str, DataFrame]
+#: (batch, carried tables or None before the first, batch id) → (output, tables to carry).
+Step = Callable[[DataFrame, "Tables | None", int], tuple[DataFrame, Tables]]
+MARK = "mark"
 
-Step = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]]
 
+class Carry:
+    """The carried tables below ``root``. Every step gives a one-row table ``mark`` among them."""
 
-class DeltaState:
-    """Latest row per key over versions numbered by batch id."""
+    def __init__(self, root: str):
+        self.root = root
 
-    def __init__(self, root: str, keys: Sequence[str], schema: StructType | None = None):
-        self.root, self.keys, self.schema = root, list(keys), schema
+    def path(self, name: str, batch_id: int) -> str:
+        return f"{self.root}/carry/{name}/batch={batch_id}"
 
-    def read(self, spark: SparkSession, before: int) -> DataFrame | None:
-        """The state before batch ``before``; None before the first."""
-        if before <= 0:
+    def read(self, spark: SparkSession, batch_id: int, schemas: Mapping[str, StructType]) -> Tables | None:
+        """The tables that batch ``batch_id`` left; None for -1."""
+        if batch_id < 0:
             return None
-        base = ((before - 1) // COMPACT) * COMPACT  # batch 0 is a compaction as well
-        parts = [(base, f"{self.root}/base/batch={base}")] + [(v, f"{self.root}/delta/batch={v}") for v in range(base + 1, before)]
-        schema = self.schema or spark.read.parquet(parts[0][1]).schema
-        frames = [spark.read.schema(schema).parquet(p).withColumn("_v", F.lit(v)) for v, p in parts]
-        if len(frames) == 1:
-            return frames[0].drop("_v")
-        rows = frames[0]
-        for f in frames[1:]:
-            rows = rows.unionByName(f)
-        rest = [c for c in frames[0].columns if c not in (*self.keys, "_v")]
-        return rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "_v").alias("_s")).select(*self.keys, "_s.*")
-
-    def write(self, changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{self.root}/delta/batch={batch_id}")
-        if batch_id % COMPACT == 0:
-            spark = changed.sparkSession
-            now = spark.read.schema(changed.schema).parquet(f"{self.root}/delta/batch={batch_id}")
-            prev = self.read(spark, batch_id)
-            if prev is not None:
-                kept = join_null_safe(prev, now.select(*self.keys), self.keys, "left_anti")
-                now = kept.select(*now.columns).unionByName(now)
-            now.write.mode("overwrite").parquet(f"{self.root}/base/batch={batch_id}")
-
-
-@dataclass
-class FoldRun:
-    query: object
-    root: str
-    state: DeltaState
-
-    def batches(self) -> int:
-        return int(self.query.lastProgress["batchId"]) + 1 if self.query.lastProgress else 0
-
-
-def start_fold(stream: DataFrame, step: Step, keys: Sequence[str], empty: DataFrame, root: str | None = None,
-               name: str = "fold", available_now: bool = True) -> FoldRun:
-    """Start the fold. ``empty``: an empty DataFrame with the output's schema. Restart with the same ``root``."""
-    root = root or scratch_path(stream.sparkSession, name)
-    state = DeltaState(root, keys)
-    empty.write.mode("ignore").parquet(f"{root}/out/batch=-1")
+        return {n: spark.read.schema(s).parquet(self.path(n, batch_id)) for n, s in schemas.items()}
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = materialize(batch, "batch")  # read by the steps more than once
-        out, changed = step(batch, state.read(batch.sparkSession, batch_id))
-        out.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
-        state.write(changed, batch_id)
+    def write(self, tables: Tables, batch_id: int) -> None:
+        for n, t in tables.items():
+            t.write.mode("overwrite").parquet(self.path(n, batch_id))
 
-    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", f"{root}/checkpoint")
-    return FoldRun((w.trigger(availableNow=True) if available_now else w).start(), root, state)
+    def forget(self, spark: SparkSession, names, batch_id: int) -> None:
+        """Batch ``batch_id`` cannot be replayed any more once the one after the next is written."""
+        for n in names:
+            remove_path(spark, self.path(n, batch_id))
 
+    def last(self, spark: SparkSession) -> int:
+        try:
+            return spark.read.parquet(f"{self.root}/carry/{MARK}").agg(F.max("batch")).first()[0]
+        except AnalysisException:  # no batch yet
+            return -1
 
-def read_fold(spark: SparkSession, run: FoldRun, schema: StructType, finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """The output so far; with ``finish``, also what the end of the input brings."""
-    out = spark.read.schema(schema).parquet(f"{run.root}/out").select(*schema.names)
-    last = _last_batch(spark, run.root)
-    if finish is not None and last >= 0:
-        out = out.unionByName(finish(run.state.read(spark, last + 1)).select(*schema.names))
-    return out
 
+def run_fold(stream: DataFrame, step: Step, schema: StructType, carried: Mapping[str, StructType], name: str, root: str | None = None,
+             finish: Callable[[Tables], DataFrame] | None = None) -> DataFrame:
+    """Run ``step`` over all that is available; the output as a table of ``schema``. Restart with the same ``root``."""
+    spark = stream.sparkSession
+    root = root or scratch_path(spark, name)
+    carry = Carry(root)
 
-def _last_batch(spark: SparkSession, root: str) -> int:
-    """The largest batch id that has a state; -1 before the first batch."""
-    try:
-        return spark.read.parquet(f"{root}/delta").agg(F.max("batch")).first()[0]
-    except AnalysisException:  # no such folder yet
-        return -1
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        with owned_scratch(session):
+            batch = materialize(batch, "batch")  # read by the steps more than once
+            out, tables = step(batch, carry.read(session, batch_id - 1, carried), batch_id)
+            out.select(*schema.names).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+            carry.write(tables, batch_id)
+        if batch_id > 1:
+            carry.forget(session, carried, batch_id - 2)
 
+    q = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    last = carry.last(spark)
+    if last < 0:
+        return spark.createDataFrame([], schema)
+    out = spark.read.schema(schema).parquet(f"{root}/out").select(*schema.names)
+    return out if finish is None else out.unionByName(finish(carry.read(spark, last, carried)).select(*schema.names))
 
-def run_fold(stream: DataFrame, step: Step, keys: Sequence[str], empty: DataFrame, name: str, root: str | None = None,
-             finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Run over all that is available; the output as a table."""
-    run = start_fold(stream, step, keys, empty, root, name)
-    run.query.awaitTermination()
-    if run.query.exception():
-        raise run.query.exception()
-    return read_fold(stream.sparkSession, run, empty.schema, finish)
 
+def nothing(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
 
-def _empty_like(stream: DataFrame, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    spark = stream.sparkSession
-    df = of(spark.createDataFrame([], stream.schema))
-    return spark.createDataFrame([], df.schema)
 
+def one_row(spark: SparkSession, **values) -> DataFrame:
+    """A one-row table of longs."""
+    return spark.range(1).select(*[F.lit(v).cast("long").alias(n) for n, v in values.items()])
 
-# ---------------------------------------------------------------- running aggregates
 
+def replaced(before: DataFrame | None, changed: DataFrame, keys) -> DataFrame:
+    """``before`` with the rows of the keys in ``changed`` replaced."""
+    if before is None:
+        return changed
+    same = join_null_safe(before, changed.select(*keys), keys, "left_anti")
+    return same.select(*changed.columns).unionByName(changed)
 
-def run_running(stream: DataFrame, spec: Running, name: str, root: str | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """A running keyed aggregation on a stream: the batch's scan seeded with each key's totals."""
 
-    def step(batch: DataFrame, prev: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        return spec.run(batch, prev, block), spec.totals(batch, prev)
+# ---------------------------------------------------------------- keyed operators in arrival order
 
-    return run_fold(stream, step, spec.keys, _empty_like(stream, spec.run), name, root)
 
+class KeyedOperator(Protocol):
+    """One or more output rows per record in arrival order, from the record and a state per key: ``Running`` (any running
+    aggregate), ``CountWindow``, ``RiseAlarm``. ``run`` gives rows that hold the keys and ``seq``; ``totals`` the state
+    of the keys of ``df`` after its last row; ``base``: the state before its first one."""
 
-def run_word_count(words: DataFrame, name: str = "word_count", id_col: str = "doc_id", root: str | None = None,
-                   block: int = DEFAULT_BLOCK) -> DataFrame:
-    """The running word count on a stream of word occurrences (``wordcount.word_occurrences``)."""
-    from tempest.operators.wordcount import numbered, word_spec
+    keys: tuple[str, ...]
+    seq: str
 
-    spec = word_spec(id_col)
+    def run(self, df: DataFrame, base: DataFrame | None = None, block: int = DEFAULT_BLOCK) -> DataFrame: ...
 
-    def step(batch: DataFrame, prev: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        rows = numbered(batch, id_col)
-        return spec.run(rows, prev, block), spec.totals(rows, prev)
+    def totals(self, df: DataFrame, base: DataFrame | None = None) -> DataFrame: ...
 
-    kind = words.schema[id_col].dataType.simpleString()
-    empty = words.sparkSession.createDataFrame([], f"{id_col} {kind}, pos int, word string, cnt long")
-    return run_fold(words, step, spec.keys, empty, name, root)
 
+def run_keyed(stream: DataFrame, op: KeyedOperator, name: str, root: str | None = None, block: int = DEFAULT_BLOCK, lag: int = 0,
+              at_end: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """A keyed operator on a stream; the answer is that of the operator on all rows, whatever the order and the cut of
+    the batches.
 
-# ---------------------------------------------------------------- count windows
+    Rows wait in a carried table until the highest ``seq`` is ``lag`` ahead of them; then they run in order, seeded with
+    each key's state. A row below the mark that is reached (it came later than ``lag`` allows) makes its key be corrected:
+    what the key had given out from that row on is taken back (rows with ``change = -1``), and given anew from the
+    key's rows so far, which ``<root>/rows`` keeps for this. ``run_keyed`` returns what stands in the end; the changes
+    themselves are ``read_changes(spark, root)``. ``at_end(totals)``: rows that the end of the input adds."""
+    spark = stream.sparkSession
+    root = root or scratch_path(spark, name)
+    keys, seq = list(op.keys), op.seq
+    rows_schema = stream.schema
+    blank = nothing(spark, rows_schema)
+    result = op.run(blank, block=block).schema
+    changes = StructType([*result, *one_row(spark, change=1).schema])
+    carried = {"totals": op.totals(blank).schema, "waiting": rows_schema, MARK: one_row(spark, low=0).schema}
+
+    def step(batch: DataFrame, prev: Tables | None, batch_id: int) -> tuple[DataFrame, Tables]:
+        session = batch.sparkSession
+        low = None if prev is None else prev[MARK].first().low
+        totals = None if prev is None else prev["totals"]
+        rows = batch if prev is None else batch.unionByName(prev["waiting"])
+        least, top = rows.agg(F.min(seq), F.max(seq)).first()
+        high = low if top is None else top - lag if low is None else max(low, top - lag)
+        mark = F.lit(high).cast("long")
+        ready = rows.where((F.col(seq) <= mark) & (F.lit(True) if low is None else F.col(seq) > low))
+        out = []
+        if low is not None and least is not None and least <= low:
+            took, gave, fixed = corrections(session, rows.where(F.col(seq) <= low), batch_id)
+            totals = materialize(replaced(totals, fixed, keys), "totals")
+            out = [took.withColumn("change", F.lit(-1).cast("long")), gave.withColumn("change", F.lit(1).cast("long"))]
+        out.append(op.run(ready, totals, block).withColumn("change", F.lit(1).cast("long")))
+        rows.where(F.col(seq) <= mark).write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
+        for more in out[1:]:
+            out[0] = out[0].unionByName(more)
+        return out[0], {"totals": replaced(totals, op.totals(ready, totals), keys), "waiting": rows.where(F.col(seq) > mark),
+                        MARK: one_row(session, low=high)}
+
+    def corrections(session: SparkSession, late: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+        since = materialize(late.groupBy(*keys).agg(F.min(seq).alias("_since")), "late-keys")
+        held = session.read.schema(StructType([*rows_schema, *one_row(session, batch=0).schema])).parquet(f"{root}/rows")
+        held = join_null_safe(held.where(F.col("batch") < batch_id), since.select(*keys), keys, "left_semi").select(*rows_schema.names)
+        again = materialize(held.unionByName(late), "again")
+        from_there = F.col(seq) >= F.col("_since")
+        given = read_standing(session, root, result, keys, seq, batch_id)
+        took = join_null_safe(given, since, keys).where(from_there).select(*result.names)
+        gave = join_null_safe(op.run(again, block=block), since, keys).where(from_there).select(*result.names)
+        return took, gave, op.totals(again)
+
+    def finish(tables: Tables) -> DataFrame:
+        waiting = tables["waiting"]
+        more = op.run(waiting, tables["totals"], block)
+        if at_end is not None:
+            more = more.unionByName(at_end(replaced(tables["totals"], op.totals(waiting, tables["totals"]), keys)).select(*result.names))
+        return more.withColumn("change", F.lit(1).cast("long"))
+
+    run_fold(stream, step, changes, carried, name, root)
+    carry = Carry(root)
+    last = carry.last(spark)
+    if last < 0:
+        return nothing(spark, result)
+    out = read_standing(spark, root, result, keys, seq, last + 1)
+    return out.unionByName(finish(carry.read(spark, last, carried)).select(*result.names)) if lag or at_end is not None else out
+
+
+def read_changes(spark: SparkSession, root: str, schema: StructType, before: int | None = None) -> DataFrame:
+    """All that a keyed operator gave out (``change`` = 1) and took back (-1), with the batch."""
+    d = spark.read.schema(StructType([*schema, *one_row(spark, change=1, batch=0).schema])).parquet(f"{root}/out")
+    return d if before is None else d.where(F.col("batch") < before)
+
+
+def read_standing(spark: SparkSession, root: str, schema: StructType, keys: list[str], seq: str, before: int) -> DataFrame:
+    """What stands after the batches below ``before``: rows given out and not taken back by a later batch."""
+    d = read_changes(spark, root, schema, before)
+    gone = d.where("change = -1").groupBy(*keys, seq).agg(F.max("batch").alias("_gone"))
+    d = join_null_safe(d.where("change = 1"), gone, [*keys, seq], "left")
+    return d.where("_gone is null or batch >= _gone").select(*schema.names)
 
 
-def run_count_window(stream: DataFrame, size: int, slide: int, name: str, key: str = "id", field: str = "temperature",
-                     seq: str = "seq", root: str | None = None) -> DataFrame:
-    """``countWindow(size, slide)`` averages on a stream: ``(key, seq, avg_temp)`` at every ``slide``-th record of a
-    key (``slide == size``: full blocks only). State per key: its count and its last ``size - 1`` readings."""
+def run_word_count(words: DataFrame, name: str = "word_count", id_col: str = "doc_id", root: str | None = None,
+                   block: int = DEFAULT_BLOCK) -> DataFrame:
+    """The running word count on a stream of word occurrences (``wordcount.word_occurrences``): a batch's words in the
+    order of (id, position), after those of the batches before."""
+    from tempest.operators.wordcount import numbered, word_spec
 
-    def step(batch: DataFrame, prev: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        base = None if prev is None else prev.select(key, F.col("n").alias("_rn"), F.col("n").alias("_rows"))
-        rows = keyed_rank(batch.select(key, seq, field), [key], seq, name="_rn") if base is None else keyed_running(
-            batch.select(key, seq, field), [key], {"_rn": ("count", F.lit(1))}, seq, base=base)
-        rows = rows.withColumn("_new", F.lit(True))
-        touched = batch.select(key).distinct()
-        if prev is not None:
-            old = join_null_safe(prev, touched, [key], "left_semi").select(key, F.explode("tail").alias("t"))
-            rows = rows.unionByName(old.select(key, F.col("t.seq").alias(seq), F.col("t.v").alias(field), F.col("t.rn").alias("_rn"),
-                                               F.lit(False).alias("_new")))
-        rows = materialize(rows, "ranked")
-        out = last_rows_frame(rows, [key], "_rn", size, {"avg_temp": F.avg(field)})
-        out = out.where(F.col("_new") & (F.col("_rn") % slide == 0)).select(key, seq, "avg_temp")
-        total = rows.groupBy(key).agg(F.max("_rn").alias("n"))
-        tail = join_null_safe(rows, total, [key]).where(F.col("_rn") > F.col("n") - (size - 1))
-        tail = tail.groupBy(key, "n").agg(F.array_sort(F.collect_list(F.struct(
-            F.col("_rn").alias("rn"), F.col(seq).alias("seq"), F.col(field).alias("v")))).alias("tail"))  # size - 1 at most
-        if size == 1:
-            tail = total.withColumn("tail", F.expr("cast(array() as array<struct<rn:bigint,seq:bigint,v:double>>)"))
-        return out, tail
+    spec = word_spec(id_col)
+    spark = words.sparkSession
+    blank = nothing(spark, StructType([*words.schema, *one_row(spark, seq=0).schema]))
+    carried = {"totals": spec.totals(blank).schema, MARK: one_row(spark, low=0).schema}
 
-    spark = stream.sparkSession
-    kind = stream.schema[key].dataType.simpleString()
-    return run_fold(stream, step, [key], spark.createDataFrame([], f"{key} {kind}, {seq} long, avg_temp double"), name, root)
+    def step(batch: DataFrame, prev: Tables | None, batch_id: int) -> tuple[DataFrame, Tables]:
+        rows = numbered(batch, id_col)
+        totals = None if prev is None else prev["totals"]
+        return spec.run(rows, totals, block), {"totals": replaced(totals, spec.totals(rows, totals), spec.keys),
+                                               MARK: one_row(batch.sparkSession, low=batch_id)}
 
+    return run_fold(words, step, spec.run(blank).schema, carried, name, root)
 
-# ---------------------------------------------------------------- event-time windows with lateness
+
+# ---------------------------------------------------------------- event time
 
 
 def run_late_window(stream: DataFrame, size: int, delay: int, lateness: int, name: str = "late_window", key: str = "id",
                     field: str = "temperature", arrival: str = "arrival", ts: str = "timestamp", seq: str = "seq",
-                    root: str | None = None, flush: bool = True) -> DataFrame:
+                    root: str | None = None, flush: bool = True, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Event-time tumbling min-by with allowed lateness and a late output, as tagged rows
-    ``(tag, key, window_end, seq, timestamp, temperature)``.
-
-    The watermark (largest event time so far - ``delay``) is carried from batch to batch. A row is late (tag
-    ``late``) if its window ended ``lateness`` or more before the watermark at the start of its batch, however late it
-    is; every other row is folded. A window fires (tag ``main``) when the watermark at the end of a batch has passed its
-    end, fires again for each later row that is still allowed, and leaves the state after ``lateness``. With
-    ``flush`` the end of a bounded input fires the windows that never did."""
-    kind = stream.schema[key].dataType.simpleString()
-    best = F.struct(F.col(field).isNull().alias("null"), F.col(field).alias("v"), F.col(arrival).alias("a"),
-                    F.col(seq).alias("s"), F.col(ts).alias("t"))
-    cols = ["tag", key, "window_end", seq, ts, field]
+    ``(tag, key, window_end, seq, timestamp, temperature, emitted_after)``: tag ``late`` for late rows (window_end and
+    emitted_after null), ``main`` for every firing as in ``late_windows.late_window_emissions``.
 
-    def emitted(d: DataFrame) -> DataFrame:
-        return d.select(F.lit("main").alias("tag"), key, "window_end", F.col("b.s").alias(seq), F.col("b.t").alias(ts), F.col("b.v").alias(field))
+    The watermark moves with every record: the largest event time so far is carried and seeds the running maximum inside the
+    batch, and the open windows (their best record, fired or not) are carried too. So firings and lateness are those of
+    the batch form, however the rows (in arrival order) are cut into batches. With ``flush`` the end of a bounded input
+    fires the windows that never did."""
+    from tempest.operators.late_windows import late_window_step, window_firings
 
-    def step(batch: DataFrame, prev: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        # the watermark travels as the state row whose window_end is null
-        before = None if prev is None else prev.where("window_end is null").first().wm
+    spark = stream.sparkSession
+    schema = spark.createDataFrame([], f"tag string, {key} {stream.schema[key].dataType.simpleString()}, window_end long, {seq} long, "
+                                       f"{ts} long, {field} double, emitted_after long").schema
+    names = dict(key=key, field=field, arrival=arrival, ts=ts, seq=seq)
+    blank = late_window_step(nothing(spark, stream.schema), size, delay, lateness, **names, staged=lambda d, _: d).windows.schema
+    carried = {"windows": blank, MARK: one_row(spark, top=0).schema}
+
+    def step(batch: DataFrame, prev: Tables | None, batch_id: int) -> tuple[DataFrame, Tables]:
+        before = None if prev is None else prev[MARK].first().top
         newest = batch.agg(F.max(ts)).first()[0]
-        after = before if newest is None else newest - delay if before is None else max(before, newest - delay)
-        wm = F.lit(before).cast("long")
-        end = F.floor(F.col(ts) / F.lit(size)).cast("long") * size + size
-        d = batch.withColumn("window_end", end)
-        is_late = F.coalesce(F.col("window_end") + lateness <= wm, F.lit(False))
-        due = F.coalesce(F.col("window_end") <= wm, F.lit(False))
-        late = d.where(is_late).select(F.lit("late").alias("tag"), key, F.lit(None).cast("long").alias("window_end"), seq, ts, field)
-        d = d.where(~is_late)
-        ks = [key, "window_end"]
-        open_ = None if prev is None else prev.where("window_end is not null").select(*ks, "b", "fired")
-        base = None if open_ is None else open_.select(*ks, "b", F.lit(1).cast("long").alias("_rows"))
-        again = keyed_running(d.where(due), ks, {"b": ("min", best)}, arrival, [arrival, seq], base=base)
-        fold = d.groupBy(*ks).agg(F.min(best).alias("b"), F.max(due).alias("now_fired"))
-        if open_ is not None:
-            o = open_.select(*ks, F.col("b").alias("ob"), F.col("fired"))
-            fold = fold.withColumn("_in", F.lit(True))
-            o = o.withColumnsRenamed({k: f"_o_{k}" for k in ks})
-            fold = fold.join(o, F.col(key).eqNullSafe(F.col(f"_o_{key}")) & (F.col("window_end") == F.col("_o_window_end")), "full")
-            fold = fold.select(F.when(F.col("_in"), F.col(key)).otherwise(F.col(f"_o_{key}")).alias(key),
-                               F.coalesce("window_end", "_o_window_end").alias("window_end"), F.least("b", "ob").alias("b"),
-                               (F.coalesce("fired", F.lit(False)) | F.coalesce("now_fired", F.lit(False))).alias("fired"))
-        else:
-            fold = fold.withColumnRenamed("now_fired", "fired")
-        fold = materialize(fold, "windows")
-        closed = F.coalesce(F.col("window_end") <= F.lit(after).cast("long"), F.lit(False))
-        first = fold.where(~F.col("fired") & closed)
-        gone = F.coalesce(F.col("window_end") + lateness <= F.lit(after).cast("long"), F.lit(False))
-        live = fold.where(~gone).select(*ks, "b", (F.col("fired") | closed).alias("fired"), F.lit(None).cast("long").alias("wm"))
-        mark = batch.sparkSession.createDataFrame([(after,)], "wm long").select(
-            F.lit(None).cast(kind).alias(key), F.lit(None).cast("long").alias("window_end"), F.lit(None).cast(live.schema["b"].dataType).alias("b"),
-            F.lit(None).cast("boolean").alias("fired"), "wm")
-        out = late.unionByName(emitted(again)).unionByName(emitted(first))
-        return out.select(*cols), live.unionByName(mark)
-
-    def finish(state: DataFrame) -> DataFrame:
-        return emitted(state.where("window_end is not null and not fired"))
+        top = before if newest is None else newest if before is None else max(before, newest)
+        s = late_window_step(batch, size, delay, lateness, **names, block=block, top=before, windows=None if prev is None else prev["windows"])
+        late = s.late.select(F.lit("late").alias("tag"), key, F.lit(None).cast("long").alias("window_end"), seq, ts, field,
+                             F.lit(None).cast("long").alias("emitted_after"))
+        return (late.unionByName(s.firings.withColumn("tag", F.lit("main")).select(*schema.names)),
+                {"windows": s.windows, MARK: one_row(batch.sparkSession, top=top)})
 
-    spark = stream.sparkSession
-    empty = spark.createDataFrame([], f"tag string, {key} {kind}, window_end long, {seq} long, {ts} long, {field} double")
-    return run_whole_state(stream, step, empty, name, root, finish if flush else None)
+    def finish(tables: Tables) -> DataFrame:
+        return window_firings(tables["windows"].where("not fired").withColumn("emitted_after", F.lit(None).cast("long")), key, seq, ts, field).withColumn(
+            "tag", F.lit("main"))
+
+    return run_fold(stream, step, schema, carried, name, root, finish if flush else None)
 
 
 def run_group_window(stream: DataFrame, size: int, accumulators: Mapping[str, tuple[str, Column]], results: Mapping[str, Column],
@@ -259,59 +271,91 @@ def run_group_window(stream: DataFrame, size: int, accumulators: Mapping[str, tu
                      root: str | None = None, flush: bool = True) -> DataFrame:
     """Tumbling or sliding event-time windows on a stream with a user accumulator (see ``windows.group_window``):
     one row ``(key, window_end, *results)`` per window, when the watermark (largest event time - ``delay``) has passed
-    its end, or with ``flush`` at the end of a bounded input. Rows of windows that are closed already are dropped, as
-    without allowed lateness. The state is one accumulator row per open (key, window)."""
+    its end, or with ``flush`` at the end of a bounded input. Rows of windows that an earlier batch has closed are dropped,
+    as without allowed lateness. Carried: one accumulator row per open (key, window)."""
     from tempest.operators.windows import merge_accumulators, partial_accumulators, window_ends
 
-    ks, names = [key, "window_end"], list(accumulators)
+    spark = stream.sparkSession
+    ks = [key, "window_end"]
 
     def emitted(d: DataFrame) -> DataFrame:
         return d.select(*ks, *[c.alias(n) for n, c in results.items()])
 
-    def step(batch: DataFrame, prev: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        before = None if prev is None else prev.where("window_end is null").first().wm
+    open_ = partial_accumulators(window_ends(nothing(spark, stream.schema), size, slide, ts), ks, accumulators)
+    carried = {"windows": open_.schema, MARK: one_row(spark, wm=0).schema}
+
+    def step(batch: DataFrame, prev: Tables | None, batch_id: int) -> tuple[DataFrame, Tables]:
+        before = None if prev is None else prev[MARK].first().wm
         newest = batch.agg(F.max(ts)).first()[0]
         after = before if newest is None else newest - delay if before is None else max(before, newest - delay)
         d = window_ends(batch, size, slide, ts).where(~F.coalesce(F.col("window_end") <= F.lit(before).cast("long"), F.lit(False)))
         now = partial_accumulators(d, ks, accumulators)
         if prev is not None:
-            now = merge_accumulators(now.unionByName(prev.where("window_end is not null").drop("wm")), ks, accumulators)
+            now = merge_accumulators(now.unionByName(prev["windows"]), ks, accumulators)
         now = materialize(now, "windows")
         closed = F.coalesce(F.col("window_end") <= F.lit(after).cast("long"), F.lit(False))
-        live = now.where(~closed).withColumn("wm", F.lit(None).cast("long"))
-        mark = batch.sparkSession.createDataFrame([(after,)], "wm long").select(
-            *[F.lit(None).cast(live.schema[c].dataType).alias(c) for c in (*ks, *names)], "wm")
-        return emitted(now.where(closed)), live.unionByName(mark)
+        return emitted(now.where(closed)), {"windows": now.where(~closed), MARK: one_row(batch.sparkSession, wm=after)}
 
-    def finish(state: DataFrame) -> DataFrame:
-        return emitted(state.where("window_end is not null"))
+    return run_fold(stream, step, emitted(open_).schema, carried, name, root, (lambda t: emitted(t["windows"])) if flush else None)
 
-    blank = stream.sparkSession.createDataFrame([], stream.schema)
-    empty = emitted(partial_accumulators(window_ends(blank, size, slide, ts), ks, accumulators))
-    empty = stream.sparkSession.createDataFrame([], empty.schema)
-    return run_whole_state(stream, step, empty, name, root, finish if flush else None)
 
+def run_over_rows(stream: DataFrame, preceding: int = 2, delay: int = 0, key: str = "id", field: str = "temp", ts: str = "ts",
+                  seq: str = "seq", name: str = "over_rows", root: str | None = None, flush: bool = True) -> DataFrame:
+    """``Over.partitionBy(id).orderBy(rt).preceding(n rows)`` on a stream (O3), which Spark's built-in windows reject:
+    ``(tag, key, ts, seq, cnt, avg_temp)``.
+
+    Rows wait in a carried table until the watermark (largest event time - ``delay``) reaches them, then they are ranked
+    by (event time, seq) together with the last ``preceding`` rows of their key and go through the same halo frame as
+    the batch form: no key is in one task. A row at or behind the watermark of the batch before (or without event time) is
+    late: it is given out with the tag ``late`` and no frame. With ``flush`` the end of a bounded input releases all."""
+    from tempest.operators.scan import keyed_rank_by, last_rows_frame
 
-def run_whole_state(stream: DataFrame, step: Step, empty: DataFrame, name: str, root: str | None = None,
-                    finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """A fold whose step returns its whole (bounded) state, not only the changed keys."""
     spark = stream.sparkSession
-    root = root or scratch_path(spark, name)
-    empty.write.mode("ignore").parquet(f"{root}/out/batch=-1")
+    cols = [key, ts, seq, field]
+    kinds = {c: stream.schema[c].dataType.simpleString() for c in cols}
+    schema = spark.createDataFrame([], f"tag string, {key} {kinds[key]}, {ts} {kinds[ts]}, {seq} {kinds[seq]}, cnt long, avg_temp double").schema
+    row_schema = nothing(spark, stream.schema).select(*cols).schema
+    carried = {"waiting": row_schema, "tail": row_schema, MARK: one_row(spark, wm=0).schema}
+
+    def released(ready: DataFrame, tail: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """(output, the last rows of the keys touched)."""
+        rows = ready.withColumn("_new", F.lit(True))
+        if tail is not None:
+            rows = rows.unionByName(join_null_safe(tail, ready.select(key).distinct(), [key], "left_semi").withColumn("_new", F.lit(False)))
+        ranked = keyed_rank_by(rows, [key], [ts, seq], name="_rn")
+        framed = last_rows_frame(ranked, [key], "_rn", preceding + 1, {"cnt": F.count(F.col(key)), "avg_temp": F.avg(field)})
+        out = framed.where("_new").withColumn("tag", F.lit("main")).select(*schema.names)
+        return out, latest_rows(ranked, [key], [ts, seq], preceding).select(*cols)
+
+    def step(batch: DataFrame, prev: Tables | None, batch_id: int) -> tuple[DataFrame, Tables]:
+        before = None if prev is None else prev[MARK].first().wm
+        newest = batch.agg(F.max(ts)).first()[0]
+        after = before if newest is None else newest - delay if before is None else max(before, newest - delay)
+        rows = batch.select(*cols)
+        is_late = F.col(ts).isNull() | F.coalesce(F.col(ts) <= F.lit(before).cast("long"), F.lit(False))
+        late = rows.where(is_late).select(F.lit("late").alias("tag"), key, ts, seq, F.lit(None).cast("long").alias("cnt"),
+                                          F.lit(None).cast("double").alias("avg_temp"))
+        rows = rows.where(~is_late)
+        rows = rows if prev is None else rows.unionByName(prev["waiting"])
+        due = F.coalesce(F.col(ts) <= F.lit(after).cast("long"), F.lit(False))
+        out, last = released(rows.where(due), None if prev is None else prev["tail"])
+        return out.unionByName(late), {"waiting": rows.where(~due), "tail": replaced(None if prev is None else prev["tail"], last, [key]),
+                                       MARK: one_row(batch.sparkSession, wm=after)}
 
-    def read(before: int, session: SparkSession) -> DataFrame | None:
-        return None if before <= 0 else session.read.parquet(f"{root}/delta/batch={before - 1}")
+    return run_fold(stream, step, schema, carried, name, root, (lambda t: released(t["waiting"], t["tail"])[0]) if flush else None)
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = materialize(batch, "batch")
-        out, state = step(batch, read(batch_id, batch.sparkSession))
-        out.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
-        state.write.mode("overwrite").parquet(f"{root}/delta/batch={batch_id}")
 
-    q = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    out = spark.read.schema(empty.schema).parquet(f"{root}/out").select(*empty.schema.names)
-    last = _last_batch(spark, root)
-    return out.unionByName(finish(read(last + 1, spark)).select(*empty.schema.names)) if finish is not None and last >= 0 else out
+def run_lines(stream: DataFrame, name: str = "lines", root: str | None = None) -> DataFrame:
+    """Arrival numbers of a stream of text lines (``sources.files.stream_lines_located``): ``(arrival, file, line_no, line)``,
+    numbered on from batch to batch; inside a batch as in ``files.lines_with_arrival``."""
+    from tempest.sources.files import number_lines
+
+    spark = stream.sparkSession
+    schema = spark.createDataFrame([], "arrival long, file string, line_no long, line string").schema
+
+    def step(batch: DataFrame, prev: Tables | None, batch_id: int) -> tuple[DataFrame, Tables]:
+        start = 0 if prev is None else prev[MARK].first().next
+        out = materialize(number_lines(batch).withColumn("arrival", F.col("arrival") + start), "numbered")
+        return out, {MARK: one_row(batch.sparkSession, next=start + out.count())}
+
+    return run_fold(stream, step, schema, {MARK: one_row(spark, next=0).schema}, name, root)

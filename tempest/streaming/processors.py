@@ -118,64 +118,3 @@ def rise_alarms(out: DataFrame, at_end: bool = True) -> DataFrame:
     top = armed.agg(F.max("top")).scalar()
     last = armed.groupBy("id").agg(F.max_by(F.struct("fire_ts", "message"), "at").alias("l")).select("id", "l.*")
     return fired.unionByName(last.where(F.col("fire_ts") <= top))
-
-
-class OverRowsBuffered(StatefulProcessor):
-    """OVER ``n PRECEDING`` rows on a stream (O3), which Spark's built-in windows reject: rows wait in
-    list state until the watermark passes their event time, are then emitted in (event time, seq)
-    order, and the last ``n`` emitted temperatures stay in state for the next frame.
-    Needs a column ``is_null`` (pandas cannot tell a null reading from NaN). Output ``(id, ts, seq, cnt, avg_temp)``."""
-
-    def __init__(self, preceding: int = 2):
-        self.n = preceding
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buf = handle.getListState("buf", "ts long, seq long, temp double")  # a null reading stays null
-        self.tail = handle.getListState("tail", "temp double")
-        self.armed = handle.getValueState("armed", "at long")
-
-    def _flush(self, key, wm_ms: int, new: list | None = None) -> pd.DataFrame:
-        rows = sorted((list(self.buf.get()) if self.buf.exists() else []) + (new or []), key=lambda r: r[:2])
-        ready = [r for r in rows if r[0] * 1000 <= wm_ms]
-        keep = [r for r in rows if r[0] * 1000 > wm_ms]
-        tail = [r[0] for r in self.tail.get()] if self.tail.exists() else []
-        out = []
-        for ts, seq, temp in ready:
-            tail = (tail + [temp])[-(self.n + 1):]
-            some = [x for x in tail if x is not None]
-            out.append((key[0], ts, seq, len(tail) if key[0] != NULL_KEY else 0, sum(some) / len(some) if some else None))
-            tail = tail[-self.n:] if self.n else []
-        if keep:
-            self.buf.put(keep)
-        else:
-            self.buf.clear()
-        if tail:
-            self.tail.put([(t,) for t in tail])
-        else:
-            self.tail.clear()
-        # one armed timer per key, at the earliest buffered event time
-        armed = self.armed.get()
-        want = keep[0][0] * 1000 if keep else None
-        if armed is not None and armed[0] != want:
-            self.handle.deleteTimer(armed[0])
-        if want is not None and (armed is None or armed[0] != want):
-            self.handle.registerTimer(want)
-        if want is None:
-            self.armed.clear()
-        else:
-            self.armed.update((want,))
-        return pd.DataFrame(out, columns=["id", "ts", "seq", "cnt", "avg_temp"])
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
-        temps = [None if null else t for t, null in zip(pdf["temp"].tolist(), pdf["is_null"].tolist())]
-        new = list(zip(pdf["ts"].tolist(), pdf["seq"].tolist(), temps))
-        yield from _nonempty(self._flush(key, timerValues.getCurrentWatermarkInMs(), new))
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.armed.clear()
-        yield from _nonempty(self._flush(key, max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())))
-
-    def close(self) -> None:
-        pass

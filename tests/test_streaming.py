@@ -2,6 +2,8 @@
 stopped and restarted from its checkpoint gives the answer of one uninterrupted run."""
 
 import os
+import random
+import time
 
 import pytest
 
@@ -14,6 +16,14 @@ from tempest.sources.files import stream_readings_csv
 from .conftest import RISE_ROWS, SCHEMA, SENSOR_ROWS
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """A handful of rows a batch: more than two partitions are only overhead."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def land(folder, rows, parts, t0=1_700_000_000):
     """Write rows as CSV files in arrival order, with increasing modification times."""
     os.makedirs(folder, exist_ok=True)
@@ -38,16 +48,16 @@ def run(spark, tmp_path, name, stream):
 @pytest.mark.parametrize("parts", [1, 3])
 def test_keyed_count_stream_equals_batch(spark, tmp_path, sensor_df, parts):
     land(str(tmp_path / "in"), SENSOR_ROWS, parts)
-    out = folds.run_running(stream_of(spark, str(tmp_path / "in")), rolling.count_spec(), "kc", str(tmp_path / "kc"))
+    out = folds.run_keyed(stream_of(spark, str(tmp_path / "in")), rolling.count_spec(), "kc", str(tmp_path / "kc"))
     assert sorted(out.collect()) == sorted(rolling.keyed_count(sensor_df).collect())
 
 
 def test_jump_and_max_by_multi_batch(spark, tmp_path, sensor_df):
-    land(str(tmp_path / "in"), SENSOR_ROWS, 4)
+    land(str(tmp_path / "in"), SENSOR_ROWS, 2)
     s = stream_of(spark, str(tmp_path / "in"))
-    j = folds.run_running(s, alarms.jump_spec(10.0), "j", str(tmp_path / "j"))
+    j = folds.run_keyed(s, alarms.jump_spec(10.0), "j", str(tmp_path / "j"))
     assert sorted(j.collect()) == sorted(alarms.jump_alarm(sensor_df, 10.0).collect())
-    m = folds.run_running(s, rolling.max_by_spec(["timestamp"]), "m", str(tmp_path / "m"))
+    m = folds.run_keyed(s, rolling.max_by_spec(["timestamp"]), "m", str(tmp_path / "m"))
     assert sorted(m.collect()) == sorted(rolling.rolling_max_by(sensor_df).collect())
 
 
@@ -64,7 +74,7 @@ def test_restart_from_checkpoint_equals_one_run(spark, tmp_path, sensor_df):
     folder = str(tmp_path / "in")
     land(folder, SENSOR_ROWS[:8], 2)
     def once():
-        return folds.run_running(stream_of(spark, folder), rolling.count_spec(), "rs", str(tmp_path / "rs"))
+        return folds.run_keyed(stream_of(spark, folder), rolling.count_spec(), "rs", str(tmp_path / "rs"))
 
     once()
     # more files land while the job is down; the restart continues from the committed offsets and state
@@ -85,7 +95,7 @@ def test_csv_landing_source(spark, tmp_path):
 
 
 def test_late_window_stream_one_row_per_batch(spark, tmp_path):
-    """FIXTURES.md W6 table: with one reading per micro-batch the watermark is the per-record one."""
+    """FIXTURES.md W6 table: firings, and the windows that the end of the input closes."""
     folder = str(tmp_path / "in")
     land(folder, SENSOR_ROWS, len(SENSOR_ROWS))
     s = stream_of(spark, folder)
@@ -100,6 +110,46 @@ def test_late_window_stream_one_row_per_batch(spark, tmp_path):
     assert sorted((r.id, r.seq) for r in flushed.exceptAll(out).collect()) == [("sensor_10", 12), ("sensor_7", 10)]
 
 
+def _disordered(n, seed):
+    r = random.Random(seed)
+    return [(i, r.choice(["a", "a", "a", "b", None]), 1000 + 3 * i + r.randint(-60, 10), r.choice([None, float(r.randint(0, 9)), 5.0])) for i in range(n)]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 6])
+def test_late_window_stream_does_not_depend_on_the_cut(spark, tmp_path, parts):
+    from tempest.operators import late_windows
+
+    rows = _disordered(50, 7)
+    land_parquet(spark, str(tmp_path / "in"), rows, parts)
+    s = parquet_stream(spark, str(tmp_path / "in"))
+    got = folds.run_late_window(s.withColumn("arrival", s["seq"]), 10, 4, 15, root=str(tmp_path / "w"), block=8)
+    df = spark.createDataFrame(rows, SCHEMA)
+    df = df.withColumn("arrival", df["seq"])
+    main = late_windows.late_window_emissions(df, 10, 4, 15, flush_at_end=True, block=8)
+    late = late_windows.late_window_min_by(df, 10, 4, 15, block=8)[1]
+    assert _key(got.where("tag = 'main'").select(*main.columns).collect()) == _key(main.collect())
+    assert _key(got.where("tag = 'late'").select(*late.columns).collect()) == _key(late.collect())
+    assert late.count() > 3 and main.where("emitted_after is null").count() > 0
+
+
+@pytest.mark.parametrize("lag", [0, 7, 1000])  # positions that a row waits for earlier ones
+def test_any_order_of_files_gives_the_batch_answer(spark, tmp_path, lag):
+    from tempest.operators import changelog, count_windows
+
+    rows = _disordered(24, 3)
+    chunks = [rows[k : k + 6] for k in range(0, 24, 6)]
+    for c in (chunks[2], chunks[0], chunks[3][::-1], chunks[1]):
+        spark.createDataFrame(c, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(1.1)  # files are taken by their modification times
+    s = parquet_stream(spark, str(tmp_path / "in"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name, spec in (("l", changelog.count_avg_spec()), ("w", count_windows.CountWindow(3, 2)))[: 2 if lag == 7 else 1]:
+        out = folds.run_keyed(s, spec, name, str(tmp_path / name), block=4, lag=lag)
+        assert _key(_r(out.collect())) == _key(_r(spec.run(df, block=4).collect())), name
+        took = folds.read_changes(spark, str(tmp_path / name), out.schema).where("change = -1").count()
+        assert (took > 0) == (lag < 1000)
+
+
 def test_late_rows_reach_the_late_output_however_late(spark, tmp_path):
     rows = [(0, "a", 5_000_000, 1.0), (1, "a", 9_000_000, 2.0), (2, "a", 1_000, 3.0), (3, None, 9_000_001, 4.0), (4, None, 9_000_002, None)]
     land_parquet(spark, str(tmp_path / "in"), rows, len(rows))
@@ -112,12 +162,13 @@ def test_side_outputs_stream_one_pass(spark, tmp_path):
     from pyspark.sql import functions as F
 
     from tempest.operators import routing
+    from tempest.sinks.files import batch_folder
 
     land(str(tmp_path / "in"), SENSOR_ROWS, 3)
     s = routing.tag_side_output(stream_of(spark, str(tmp_path / "in")), F.col("temperature") > 30)
     out = {t: str(tmp_path / t) for t in ("main", "lowTemp")}
     q = routing.side_outputs_stream(
-        s, {t: (lambda d, p=p: d.write.mode("append").parquet(p)) for t, p in out.items()}, str(tmp_path / "ck"), available_now=True)
+        s, {t: batch_folder(p) for t, p in out.items()}, str(tmp_path / "ck"), available_now=True)
     q.awaitTermination()
     assert spark.read.parquet(out["main"]).count() == 6 and spark.read.parquet(out["lowTemp"]).count() == 7
 
@@ -133,28 +184,28 @@ def test_streaming_word_count_carries_totals_across_batches(spark, tmp_path):
         docs.where(f"doc_id >= {20 * k} AND doc_id < {20 * k + 20}").coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     out = folds.run_word_count(wordcount.word_occurrences(stream), root=str(tmp_path / "wc"), block=1 << 8)
-    assert len(os.listdir(tmp_path / "wc" / "delta")) >= 3
+    assert len(os.listdir(tmp_path / "wc" / "out")) >= 3 and len(os.listdir(tmp_path / "wc" / "carry" / "totals")) == 2
     want = sorted(wordcount.running_word_count(wordcount.word_occurrences(docs), block=1 << 8).collect())
     assert sorted(out.collect()) == want
 
 
 def _r(rows, n=6):
-    return sorted(tuple(round(x, n) if isinstance(x, float) else x for x in r) for r in rows)
+    return sorted((tuple(round(x, n) if isinstance(x, float) else x for x in r) for r in rows), key=repr)
 
 
-def test_more_folds_equal_batch_over_four_batches(spark, tmp_path, sensor_df):
+def test_more_folds_equal_batch_over_three_batches(spark, tmp_path, sensor_df):
     from tempest.operators import changelog, count_windows, windows
     from tempest.plans.registry import _reduce_max, count_acc, range_acc, range_result
     from pyspark.sql import functions as F
 
-    land(str(tmp_path / "in"), SENSOR_ROWS, 4)
+    land(str(tmp_path / "in"), SENSOR_ROWS, 3)
     s = stream_of(spark, str(tmp_path / "in"))
 
-    c = folds.run_running(s, changelog.count_avg_spec(), "cl", str(tmp_path / "cl"))
+    c = folds.run_keyed(s, changelog.count_avg_spec(), "cl", str(tmp_path / "cl"))
     assert _r(c.collect()) == _r(changelog.retract_count_avg(sensor_df).select(*c.columns).collect())
 
-    for size, slide in ((10, 2), (2, 2), (1, 1)):
-        w = folds.run_count_window(s, size, slide, "cw", root=str(tmp_path / f"cw{size}{slide}"))
+    for size, slide in ((10, 2), (1, 1)):
+        w = folds.run_keyed(s, count_windows.CountWindow(size, slide), "cw", str(tmp_path / f"cw{size}{slide}"))
         assert _r(w.collect()) == _r(count_windows.count_window_slide(sensor_df, size, slide).collect())
 
     schema = "seq long, id string, timestamp long, temperature double"
@@ -190,12 +241,11 @@ def test_null_keys_and_null_readings_batch_equals_stream(spark, tmp_path):
     from tempest.operators import changelog, count_windows
 
     df = spark.createDataFrame(ODD, SCHEMA)
-    land_parquet(spark, str(tmp_path / "in"), ODD, 5)
+    land_parquet(spark, str(tmp_path / "in"), ODD, 3)
     s = parquet_stream(spark, str(tmp_path / "in"))
-    for name, spec in (("c", rolling.count_spec()), ("j", alarms.jump_spec(10.0)), ("m", rolling.max_by_spec(["timestamp"])),
-                       ("r", rolling.reduce_max_spec()), ("l", changelog.count_avg_spec()), ("a", changelog.avg_temp_spec())):
-        assert _key(folds.run_running(s, spec, name, str(tmp_path / name)).collect()) == _key(spec.run(df, block=2).collect()), name
-    w = folds.run_count_window(s, 2, 1, "w", root=str(tmp_path / "w"))
+    for name, spec in (("j", alarms.jump_spec(10.0)), ("m", rolling.max_by_spec(["timestamp"])), ("l", changelog.count_avg_spec())):
+        assert _key(folds.run_keyed(s, spec, name, str(tmp_path / name)).collect()) == _key(spec.run(df, block=2).collect()), name
+    w = folds.run_keyed(s, count_windows.CountWindow(2, 1), "w", str(tmp_path / "w"))
     assert _key(w.collect()) == _key(count_windows.count_window_slide(df, 2, 1, block=2).collect())
     out = run(spark, tmp_path, "ra", runner.keyed(s, "id", P.RiseAlarm(2), P.RiseAlarm.SCHEMA))
     assert _key(P.rise_alarms(out).collect()) == _key(alarms.rise_alarm(df, 2, block=2).select("id", "fire_ts", "message").collect())
@@ -213,26 +263,31 @@ def test_table_stored_as_a_folder_is_streamed_whole(spark, tmp_path):
     assert sorted(got.collect()) == sorted(registry.q_keyed_count(spark, str(tmp_path)).collect())
 
 
-def test_state_is_compacted_and_replayed(spark, tmp_path):
-    state = folds.DeltaState(str(tmp_path / "s"), ["id"])
-    for v in range(20):
-        state.write(spark.createDataFrame([("a", v), (None, -v)] if v % 2 else [("b", v)], "id string, n int"), v)
-        now = {r.id: r.n for r in state.read(spark, v + 1).collect()}
-        odd, even = (v if v % 2 else v - 1), (v - 1 if v % 2 else v)
-        assert now == ({"a": odd, None: -odd} if v else {}) | {"b": even}
-    assert sorted(os.listdir(tmp_path / "s" / "base")) == ["batch=0", "batch=16"]
-
-
-def test_over_rows_buffered_stream_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("parts", [1, 3])
+def test_over_rows_stream_equals_batch(spark, tmp_path, parts):
     from tempest.operators import windows
 
-    rows = sorted(SENSOR_ROWS, key=lambda r: (r[2], r[0]))  # event-time order: nothing is behind the watermark
-    land(str(tmp_path / "in"), rows, 3)
-    s = stream_of(spark, str(tmp_path / "in")).withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
-    s = runner.with_event_time(s.withColumn("is_null", s["temp"].isNull()), "ts")
-    o = run(spark, tmp_path, "ov", runner.keyed(s, "id", P.OverRowsBuffered(2), "id string, ts long, seq long, cnt long, avg_temp double", "EventTime"))
+    rows = sorted(SENSOR_ROWS, key=lambda r: (r[2], r[0])) + [(20, None, 1547718300, 1.0), (21, None, 1547718301, None), (22, "sensor_7", 1547718302, None)]
+    land_parquet(spark, str(tmp_path / "in"), rows, parts)
+    s = parquet_stream(spark, str(tmp_path / "in")).withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
     t = spark.createDataFrame(rows, "seq long, id string, ts long, temp double")
-    assert _r(o.collect()) == _r(windows.over_rows(t, 2).select(*o.columns).collect())
+    for n, delay in ((2, 0), (4, 10**6))[: 1 if parts == 1 else 2]:
+        o = folds.run_over_rows(s, n, delay, root=str(tmp_path / f"o{n}"))
+        assert o.where("tag = 'late'").isEmpty()
+        assert _key(_r(o.drop("tag").collect())) == _key(_r(windows.over_rows(t, n).select(*o.columns[1:]).collect()))
+
+
+def test_over_rows_behind_the_watermark_are_late(spark, tmp_path):
+    rows = [(0, "a", 100, 1.0), (1, "b", 200, 2.0), (2, "a", 150, 3.0), (3, "a", 195, 4.0), (4, "a", 300, 5.0), (5, "a", 299, 6.0), (6, "a", None, 7.0)]
+    land_parquet(spark, str(tmp_path / "in"), rows, 3)  # three rows a file; the third file has one
+    s = parquet_stream(spark, str(tmp_path / "in")).withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
+    got = sorted((r.tag, r.seq, r.cnt, r.avg_temp) for r in folds.run_over_rows(s, 1, 10, root=str(tmp_path / "o")).collect())
+    # the first file sets the watermark to 190: 150 waits with it, 195 comes in time; 300 and 299 are released at the end
+    assert got == [("late", 6, None, None), ("main", 0, 1, 1.0), ("main", 1, 1, 2.0), ("main", 2, 2, 2.0), ("main", 3, 2, 3.5), ("main", 4, 2, 5.5), ("main", 5, 2, 5.0)]
+    late = [(0, "a", 100, 1.0), (1, "a", 90, 2.0)]
+    land_parquet(spark, str(tmp_path / "in2"), late, 2)
+    s = parquet_stream(spark, str(tmp_path / "in2")).withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
+    assert sorted((r.tag, r.seq) for r in folds.run_over_rows(s, 1, 5, root=str(tmp_path / "o2")).collect()) == [("late", 1), ("main", 0)]
 
 
 def test_nan_readings_batch_equals_stream(spark, tmp_path):
@@ -245,8 +300,8 @@ def test_nan_readings_batch_equals_stream(spark, tmp_path):
     os.makedirs(folder)
     df.coalesce(1).write.mode("overwrite").parquet(folder + "/p")
     s = spark.readStream.schema(schema).parquet(folder + "/p")
-    j = folds.run_running(s, alarms.jump_spec(10.0), "nj", str(tmp_path / "nj"))
+    j = folds.run_keyed(s, alarms.jump_spec(10.0), "nj", str(tmp_path / "nj"))
     assert sorted(r.seq for r in j.collect()) == [3]
-    m = folds.run_running(s, rolling.max_by_spec(["timestamp"]), "nm", str(tmp_path / "nm"))
+    m = folds.run_keyed(s, rolling.max_by_spec(["timestamp"]), "nm", str(tmp_path / "nm"))
     b = rolling.rolling_max_by(df)
     assert sorted((r.seq, r.max_seq) for r in m.collect()) == sorted((r.seq, r.max_seq) for r in b.collect())
