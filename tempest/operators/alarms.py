@@ -1,15 +1,17 @@
-"""Keyed-state alarms as batch jobs: temperature jumps (P9) and sustained rises (P10).
-
-The streaming twins are stateful processors in ``tempest.streaming.processors``.
-"""
+"""Keyed-state alarms: temperature jumps (P9) and sustained rises (P10), on tables and (``folds.run_keyed``) on streams."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from bisect import bisect_left, bisect_right
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempest.functions.java import java_lt
-from tempest.operators.scan import BLK, DEFAULT_BLOCK, Running, join_null_safe, keyed_rank, keyed_running, with_block
+from tempest.operators.blockfold import each_block
+from tempest.operators.scan import BLK, DEFAULT_BLOCK, SUP, Running, join_null_safe, keyed_running, with_block
 from tempest.session import materialize
 
 # The rise-alarm message `传感器<id>温度值连续<interval>s上升`, and the initial
@@ -34,194 +36,214 @@ def jump_alarm(df: DataFrame, threshold: float = 10.0, key: str = "id", field: s
     return jump_spec(threshold, key, field, seq).run(df, block=block)
 
 
-def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str = "temperature",
-               ts: str = "timestamp", seq: str = "seq", initial_last: float = RISE_INITIAL_LAST,
-               block: int = DEFAULT_BLOCK, long_segment: int = 1 << 12, materialize_rows: bool = True) -> DataFrame:
-    """Alarm when a key's temperature keeps rising for ``interval`` seconds of event time.
+#: Records that one call of the timer machine sees at most, and blocks whose machines are composed into one.
+RISE_ROWS, RISE_SUPER = 1 << 16, 1 << 6
+
+
+def replay(t: list, rise: list, fall: list, interval: int, fire: int | None, begin: int = 0) -> tuple[list[tuple[int, int]], int | None]:
+    """The timer machine over records ``begin`` to the end, from the armed time ``fire`` (None: no timer): the alarms as
+    (record, fire time) and the timer left. A record past the armed time fires it; then a rise without a timer arms ``t +
+    interval``, and a fall cancels a timer."""
+    out = []
+    for i in range(begin, len(t)):
+        x = t[i]
+        if fire is not None and x is not None and x > fire:
+            out.append((i, fire))
+            fire = None
+        if rise[i]:
+            if fire is None and x is not None:
+                fire = x + interval
+        elif fall[i]:
+            fire = None
+    return out, fire
+
+
+@dataclass(frozen=True)
+class TimerMap:
+    """What a run of records does to a timer: armed time before → armed time after.
+
+    A run with a fall leaves the same timer whatever it began with (``always``: only ``idle`` counts, what is left
+    where no timer was armed). Otherwise an armed time below ``bounds[i]`` (the first such i: the record that fires it is the
+    first whose time is a new largest one) leaves ``outs[i]``, and one of ``bounds[-1]`` or more stays armed."""
+
+    always: bool
+    idle: int | None
+    bounds: list[int]
+    outs: list
+
+    def __call__(self, fire: int | None) -> int | None:
+        if fire is None or self.always:
+            return self.idle
+        i = bisect_right(self.bounds, fire)
+        return self.outs[i] if i < len(self.outs) else fire
+
+    @staticmethod
+    def of(t: list, rise: list, fall: list, interval: int) -> "TimerMap":
+        if any(fall):
+            last = len(fall) - 1 - fall[::-1].index(True)
+            # the record of a fall leaves no timer; only what comes after it can arm one
+            return TimerMap(True, replay(t, rise, fall, interval, None, last + 1)[1], [], [])
+        n = len(t)
+        armed, after = [None] * n, [None] * (n + 1)  # left at the end if armed at i; if nothing is armed before record i
+        low, at = [], []  # records that are larger than all between, nearest last: their times negated, their places
+        for i in range(n - 1, -1, -1):
+            if t[i] is not None and rise[i]:
+                p = bisect_left(low, -(t[i] + interval))  # the nearest later record past the armed time
+                if p == 0:
+                    armed[i] = t[i] + interval
+                else:
+                    k = at[p - 1]
+                    armed[i] = armed[k] if rise[k] else after[k + 1]
+                after[i] = armed[i]
+            else:
+                after[i] = after[i + 1]
+            if t[i] is not None:
+                while low and -low[-1] <= t[i]:
+                    low.pop()
+                    at.pop()
+                low.append(-t[i])
+                at.append(i)
+        bounds, outs = [], []
+        for i in reversed(at):  # the records with a new largest time, in order
+            left = armed[i] if rise[i] else after[i + 1]
+            if outs and outs[-1] == left:
+                bounds[-1] = t[i]
+            else:
+                bounds.append(t[i])
+                outs.append(left)
+        return TimerMap(False, after[0], bounds, outs)
+
+    def then(self, later: "TimerMap") -> "TimerMap":
+        """This run and then ``later``. Its bounds are those of both, so they stay within the records of one interval."""
+        if self.always or later.always:
+            return TimerMap(True, later(self.idle), [], [])
+        top = self.bounds[-1] if self.bounds else None
+        more = [i for i, b in enumerate(later.bounds) if top is None or b > top]
+        bounds, outs = [], []
+        for b, left in zip([*self.bounds, *(later.bounds[i] for i in more)], [*map(later, self.outs), *(later.outs[i] for i in more)]):
+            if outs and outs[-1] == left:
+                bounds[-1] = b
+            else:
+                bounds.append(b)
+                outs.append(left)
+        return TimerMap(False, later(self.idle), bounds, outs)
+
+
+_MAP = "always boolean, idle long, bounds array<long>, outs array<long>"
+
+
+def _maps(t: pa.Table) -> list[TimerMap]:
+    return [TimerMap(*x) for x in zip(*(t[c].to_pylist() for c in ("always", "idle", "bounds", "outs")))]
+
+
+def _map_row(names: list[str], first: pa.Table, m: TimerMap) -> pa.Table:
+    return pa.table([*[first[c].slice(0, 1) for c in names], pa.array([m.always]), pa.array([m.idle], pa.int64()),
+                     pa.array([m.bounds], pa.list_(pa.int64())), pa.array([m.outs], pa.list_(pa.int64()))], [*names, "always", "idle", "bounds", "outs"])
+
+
+@dataclass(frozen=True)
+class RiseAlarm:
+    """Alarm when a key's temperature keeps rising for ``interval`` seconds of event time, as a keyed operator.
 
     Per key, in arrival order, with state ``last`` (starts at ``initial_last``) and a timer:
     a row whose ``ts`` is past the armed fire time first fires the alarm; then a rise with no timer
     arms ``ts + interval``; a fall with a timer cancels it; equal does nothing; ``last`` := temperature.
-    At the end of the input a timer fires when its time is <= the largest ``ts`` of the whole input.
-
-    Plan: falls cut each key into segments (no timer survives a fall row), so each segment is
-    replayed on its own by a JVM-side fold over its rows; a segment's last timer is settled by the
-    next segment's first row, or by the input's largest ``ts``.
-
-    * one hash exchange on (key, block of ``block`` seq values): a window gives the in-block previous
-      reading and the in-block count of falls;
-    * a per-block summary of that window output (first/last reading, falls) needs no exchange; the
-      previous reading across blocks and the falls before a block come from a prefix over the blocks
-      of a key, on the summary only;
-    * each fall row also marks the end of the previous segment, so one ``groupBy(key, segment)``
-      gives each segment's summary and the time it was cut — no self-join;
-    * segments are replayed by a JVM-side fold over their rows (its alarm array grows by copying, so
-      the fold is kept to segments of at most ``long_segment`` rows), except longer segments: there the arms form a chain (from an arm, the first later row past its
-      fire time fires it; that row, or the next rise after it, is the next arm), found with range-max
-      tables and marked by pointer doubling (:func:`_arm_chain`), so no group holds a long segment.
-    """
-    d = with_block(df, seq, block)
-    w = Window.partitionBy(key, BLK).orderBy(seq)
-    d = d.withColumns({"_lag": F.lag(field).over(w), "_tlag": F.lag(ts).over(w), "_pos": F.row_number().over(w)})
-    inner_fall = F.col("_lag").isNotNull() & _less(F.col(field), F.col("_lag"))
-    d = d.withColumn("_ifalls", F.sum(inner_fall.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-
-    blocks = d.groupBy(key, BLK).agg(
-        F.min_by(field, seq).alias("_first"),
-        F.max_by(field, seq).alias("_last_v"),
-        F.max_by(ts, seq).alias("_last_t"),
-        F.max("_ifalls").alias("_nf"),
-    )
-    over = Window.partitionBy(key).orderBy(BLK)
-    # only a key's first block starts from the initial value; a null last reading stays null
-    prev_last = F.when(F.lag(F.lit(1)).over(over).isNull(), F.lit(initial_last)).otherwise(F.lag("_last_v").over(over))
-    blocks = blocks.withColumns({
-        "_prev_last": prev_last,
-        "_prev_last_t": F.lag("_last_t").over(over),
-        "_bfall": _less(F.col("_first"), prev_last).cast("long"),
-    })
-    blocks = blocks.withColumn(
-        "_falls_before", F.coalesce(F.sum(F.col("_nf") + F.col("_bfall")).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select(key, BLK, "_prev_last", "_prev_last_t", "_bfall", "_falls_before")
-
-    r = join_null_safe(d, blocks, [key, BLK])
-    first_in_block = F.col("_pos") == 1
-    last = F.when(first_in_block, F.col("_prev_last")).otherwise(F.col("_lag"))
-    last_t = F.when(first_in_block, F.col("_prev_last_t")).otherwise(F.col("_tlag"))
-    cur = F.col(field)
-    r = r.select(
-        key, seq, ts,
-        (F.col("_falls_before") + F.col("_bfall") + F.col("_ifalls")).alias("_seg"),
-        _less(last, cur).alias("_rise"),
-        _less(cur, last).alias("_fall"),
-        F.coalesce(F.col(ts) < last_t, F.lit(False)).alias("_back"),
-    )
-    # a fall row is the first row of its segment and also the cut of the previous one
-    as_row = F.struct(F.col("_seg").alias("g"), F.lit(False).alias("cut"))
-    as_cut = F.struct((F.col("_seg") - 1).alias("g"), F.lit(True).alias("cut"))
-    r = r.select("*", F.explode(F.when(F.col("_fall"), F.array(as_row, as_cut)).otherwise(F.array(as_row))).alias("_e"))
-    r = r.withColumns({"_g": F.col("_e.g"), "_cut": F.col("_e.cut")}).drop("_e")
-    # the per-row segment data feeds both the segment summary and the grouped fold: write it once to
-    # the shared checkpoint folder instead of computing the scans twice
-    if materialize_rows:
-        r = materialize(r, "rise-rows")
-    member = ~F.col("_cut")
-    # In a segment whose times never go back, equal readings cannot change any alarm (a timer they
-    # would fire is fired just as well by the next rise or by the segment's last time), so only its
-    # rises matter: a sensor stuck at one value makes no work at all. Other segments fold every row.
-    info = r.groupBy(key, "_g").agg(
-        (~F.max(member & F.col("_back") & ~F.col("_fall"))).alias("_mono"),
-        F.max(F.when(member, F.col(ts))).alias("_seg_max_t"),
-        F.count(F.when(member & F.col("_rise"), True)).alias("_nrise"),
-        F.count(F.when(member, True)).alias("_nrows"),
-        F.min_by(F.when(F.col("_cut"), F.col(ts)), F.when(F.col("_cut"), F.col(seq))).alias("_next_ts"),
-    ).where(F.col("_seg_max_t").isNotNull())
-    n_fold = F.when(F.col("_mono"), F.col("_nrise")).otherwise(F.col("_nrows"))  # rows the replay needs
-    long_seg = n_fold > F.lit(long_segment)
-    gmax = df.agg(F.max(ts)).scalar()  # scalar subquery: the input's largest event time
-
-    def fires_last(fire: Column) -> Column:
-        """Does the segment's last armed timer fire?"""
-        return fire.isNotNull() & (
-            (F.col("_mono") & (F.col("_seg_max_t") > fire))
-            | F.when(F.col("_next_ts").isNotNull(), F.col("_next_ts") > fire).otherwise(fire <= gmax)
-        )
-
-    rows = join_null_safe(r.where(member), info, [key, "_g"])
-    short = rows.where(~long_seg & (F.col("_rise") | ~F.col("_mono")))
-    segs = short.groupBy(key, "_g").agg(
-        F.sort_array(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), F.col("_rise").alias("r")))).alias("_rows"),
-        *[F.first(c).alias(c) for c in ("_next_ts", "_mono", "_seg_max_t")],
-    )
-    fold = F.aggregate(
-        "_rows",
-        F.struct(F.lit(None).cast("long").alias("fire"), F.array().cast("array<long>").alias("fires")),
-        lambda acc, row: _step(acc, row, interval),
-    )
-    settled = segs.select(key, "_next_ts", "_mono", "_seg_max_t", fold.alias("_st")).select(
-        key,
-        F.when(fires_last(F.col("_st.fire")), F.concat(F.col("_st.fires"), F.array(F.col("_st.fire"))))
-        .otherwise(F.col("_st.fires")).alias("_fires"),
-    )
-    # explode_outer + filter: a plain explode makes the optimizer infer size(_fires) > 0 and push it
-    # below the projection, which would evaluate the fold once more per reference
-    out = settled.select(key, F.explode_outer("_fires").alias("fire_ts")).where(F.col("fire_ts").isNotNull())
-
-    long_rows = rows.where(long_seg & (F.col("_rise") | ~F.col("_mono"))).select(key, "_g", seq, ts, "_rise")
-    if not long_rows.isEmpty():
-        chain = _arm_chain(long_rows, interval, key, seq, ts)  # arms, with whether a later row fired them
-        ends = chain.groupBy(key, "_g").agg(F.max(seq).alias("_end"))
-        arms = join_null_safe(join_null_safe(chain, ends, [key, "_g"]), info, [key, "_g"]).select(
-            key, (F.col(ts) + F.lit(interval)).alias("fire_ts"), (F.col(seq) == F.col("_end")).alias("_last"),
-            "_fired_in_seg", "_mono", "_seg_max_t", "_next_ts")
-        keep = ~F.col("_last") | F.col("_fired_in_seg") | fires_last(F.col("fire_ts"))
-        out = out.unionByName(arms.where(keep).select(key, "fire_ts"))
-    return out.withColumn(
-        "message",
-        F.concat(F.lit(RISE_MESSAGE_PARTS[0]), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(RISE_MESSAGE_PARTS[1]), F.lit(str(interval)), F.lit(RISE_MESSAGE_PARTS[2])),
-    )
-
-
-def _less(a, b):
-    """JDK ``a < b`` on doubles: false when either side is NaN (Spark orders NaN above everything)."""
-    return java_lt(a, b)
-
-
-def _step(acc, r, interval: int):
-    fire = acc["fire"]
-    due = fire.isNotNull() & (r["t"] > fire)
-    fires = F.when(due, F.concat(acc["fires"], F.array(fire))).otherwise(acc["fires"])
-    pending = F.when(due, F.lit(None).cast("long")).otherwise(fire)
-    armed = F.when(pending.isNull() & r["r"], r["t"] + F.lit(interval)).otherwise(pending)
-    return F.struct(armed.alias("fire"), fires.alias("fires"))
-
-
-def _arm_chain(rows: DataFrame, interval: int, key: str, seq: str, ts: str) -> DataFrame:
-    """The arms of each ``(key, _g)`` segment of ``rows`` (its rows in ``seq`` order, with ``_rise``),
-    plus ``_fired_in_seg``: whether a later row of the segment fired the arm's timer.
-
-    From an arm at position ``i`` the timer fires at the first later row ``F(i)`` with
-    ``t > t_i + interval``; the next arm is ``F(i)`` if it is a rise, else the first rise after it.
-    ``F`` is found by binary descent over range-max tables ``M_k(p) = max t over [p, p + 2^k)``
-    (one equi-join per level); the first rise at or after a position is a suffix min from the block
-    scan; the chain from the segment's first rise is marked by pointer doubling. Every step is a join
-    on (key, segment, position) — O(log n) rounds, each written to the checkpoint folder.
-    """
-    ks = [key, "_g"]
-    r = keyed_rank(rows, ks, seq, name="_p")
-    r = keyed_running(r.withColumn("_np", -F.col("_p")), ks, {"_nr": ("min", F.when(F.col("_rise"), F.col("_p")))},
-                      "_np", ["_np"], True).drop("_np")
-    r = materialize(r, "arm-rows")
-    longest = r.agg(F.max("_p")).first()[0]
-    levels = max(1, int(longest).bit_length())
-    # range-max tables
-    tables = [materialize(r.select(*ks, "_p", F.col(ts).alias("_m")), "arm-m0")]
-    for k in range(1, levels + 1):
-        half = 1 << (k - 1)
-        nxt = tables[-1].select(*ks, (F.col("_p") - half).alias("_p"), F.col("_m").alias("_m2"))
-        tables.append(materialize(join_null_safe(tables[-1], nxt, [*ks, "_p"], "left")
-                                  .select(*ks, "_p", F.greatest("_m", "_m2").alias("_m")), f"arm-m{k}"))
-    # F(i) for every rise i: descend from the largest level
-    q = r.where(F.col("_rise")).select(*ks, F.col("_p").alias("_i"), (F.col(ts) + F.lit(interval)).alias("_v"),
-                                       (F.col("_p") + 1).alias("_cur"))
-    for k in range(levels, -1, -1):
-        m = tables[k].select(*ks, F.col("_p").alias("_cur"), "_m")
-        q = join_null_safe(q, m, [*ks, "_cur"], "left").select(
-            *ks, "_i", "_v", F.when(F.col("_m").isNotNull() & (F.col("_m") <= F.col("_v")), F.col("_cur") + (1 << k))
-            .otherwise(F.col("_cur")).alias("_cur"))
-        q = materialize(q, "arm-q")
-    at = r.select(*ks, F.col("_p").alias("_cur"), F.col("_rise").alias("_frise"), F.col("_nr").alias("_fnr"))
-    q = join_null_safe(q, at, [*ks, "_cur"], "left").select(
-        *ks, "_i", F.col("_frise").isNotNull().alias("_fired_in_seg"),
-        F.when(F.col("_frise"), F.col("_cur")).otherwise(F.col("_fnr")).alias("_up"))
-    up = materialize(q.select(*ks, "_i", "_up"), "arm-up")
-    chain = materialize(r.where(F.col("_rise")).groupBy(*ks).agg(F.min("_p").alias("_i")), "arm-chain")
-    while not up.where(F.col("_up").isNotNull()).isEmpty():
-        step = join_null_safe(chain, up, [*ks, "_i"]).where(F.col("_up").isNotNull()).select(*ks, F.col("_up").alias("_i"))
-        chain = materialize(chain.unionByName(step), "arm-chain")
-        two = up.select(*ks, F.col("_i").alias("_up"), F.col("_up").alias("_up2"))
-        up = materialize(join_null_safe(up, two, [*ks, "_up"], "left").select(*ks, "_i", F.col("_up2").alias("_up")), "arm-up")
-    fired = q.select(*ks, "_i", "_fired_in_seg")
-    on = [*ks, "_p"]
-    return (join_null_safe(join_null_safe(r, chain.withColumnRenamed("_i", "_p"), on), fired.withColumnRenamed("_i", "_p"), on)
-            .select(*ks, seq, ts, "_fired_in_seg"))
+    At the end of the input a timer fires when its time is <= the largest ``ts`` of the whole input (:meth:`at_end`).
+
+    One plan for every input: whether a record rises or falls comes from the block scan (previous reading); each block of
+    a key is then a function of the timer at its beginning (:class:`TimerMap`), the functions are composed in
+    super-blocks, followed over these and inside them, and every block is replayed from the timer it begins with. No call
+    sees more than ``rows`` records of a key. State per key: ``last``, ``fire`` (the armed time) and ``top``, its largest time."""
+
+    interval: int = 10
+    key: str = "id"
+    field: str = "temperature"
+    ts: str = "timestamp"
+    seq: str = "seq"
+    initial_last: float = RISE_INITIAL_LAST
+    rows: int = RISE_ROWS
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        return (self.key,)
+
+    def _message(self):
+        return F.concat(F.lit(RISE_MESSAGE_PARTS[0]), F.coalesce(F.col(self.key).cast("string"), F.lit("null")), F.lit(RISE_MESSAGE_PARTS[1]),
+                        F.lit(str(self.interval)), F.lit(RISE_MESSAGE_PARTS[2])).alias("message")
+
+    def both(self, df: DataFrame, base: DataFrame | None = None, block: int = DEFAULT_BLOCK) -> tuple[DataFrame, DataFrame]:
+        """(alarms ``(key, seq, fire_ts, message)`` with the seq of the record that fired them, states of the keys of ``df``)."""
+        key, seq, interval = self.key, self.seq, self.interval
+        kind = df.schema[key].dataType.simpleString()
+        rows = df.select(key, seq, F.col(self.ts).alias("_t"), F.col(self.field).alias("_v"))
+        seen = None if base is None else base.select(key, F.col("last").alias("_prev"), F.lit(1).cast("long").alias("_n"), F.lit(1).cast("long").alias("_rows"))
+        rows = keyed_running(rows, [key], {"_prev": ("last", F.col("_v")), "_n": ("count", F.lit(1))}, seq, inclusive=False, block=block, base=seen)
+        last = F.when(F.coalesce(F.col("_n"), F.lit(0)) == 0, F.lit(self.initial_last)).otherwise(F.col("_prev"))
+        rows = rows.select(key, seq, "_t", "_v", java_lt(last, F.col("_v")).alias("_rise"), java_lt(F.col("_v"), last).alias("_fall"))
+        rows = materialize(with_block(rows, seq, min(block, self.rows)), "rise-rows")
+
+        def lists(t: pa.Table) -> tuple[list, list, list]:
+            return t["_t"].to_pylist(), t["_rise"].to_pylist(), t["_fall"].to_pylist()
+
+        small = rows.select(key, BLK, seq, "_t", "_rise", "_fall")
+        maps = each_block(small, [key, BLK], seq, lambda t: _map_row([key, BLK], t, TimerMap.of(*lists(t), interval)), f"{key} {kind}, {BLK} long, {_MAP}")
+        maps = materialize(maps.withColumn(SUP, F.floor(F.col(BLK) / RISE_SUPER).cast("long")), "rise-maps")
+
+        def composed(t: pa.Table) -> pa.Table:
+            whole, *rest = _maps(t)
+            for m in rest:
+                whole = whole.then(m)
+            return _map_row([key, SUP], t, whole)
+
+        def followed(names: list[str]):
+            """The timer before and after each map, from the group's ``_seed``."""
+
+            def run(t: pa.Table) -> pa.Table:
+                fire, before, after = t["_seed"][0].as_py(), [], []
+                for m in _maps(t):
+                    before.append(fire)
+                    fire = m(fire)
+                    after.append(fire)
+                return pa.table([*[t[c] for c in names], pa.array(before, pa.int64()), pa.array(after, pa.int64())], [*names, "_fire", "_left"])
+
+            return run
+
+        tops = each_block(maps, [key, SUP], BLK, composed, f"{key} {kind}, {SUP} long, {_MAP}")
+        seed = None if base is None else base.select(key, F.col("fire").alias("_seed"))
+        tops = tops.withColumn("_seed", F.lit(None).cast("long")) if seed is None else join_null_safe(tops, seed, [key], "left")
+        tops = materialize(each_block(tops, [key], SUP, followed([key, SUP]), f"{key} {kind}, {SUP} long, _fire long, _left long"), "rise-tops")
+        inside = join_null_safe(maps, tops.select(key, SUP, F.col("_fire").alias("_seed")), [key, SUP])
+        fires = each_block(inside, [key, SUP], BLK, followed([key, BLK]), f"{key} {kind}, {BLK} long, _fire long, _left long")
+
+        def alarms(t: pa.Table) -> pa.Table:
+            got, _ = replay(*lists(t), interval, t["_fire"][0].as_py())
+            return pa.table([t[key].take(pa.array([i for i, _ in got], pa.int64())), t[seq].take(pa.array([i for i, _ in got], pa.int64())),
+                             pa.array([f for _, f in got], pa.int64())], [key, seq, "fire_ts"])
+
+        out = each_block(join_null_safe(small, fires.select(key, BLK, "_fire"), [key, BLK]), [key, BLK], seq, alarms,
+                         f"{key} {kind}, {seq} {df.schema[seq].dataType.simpleString()}, fire_ts long")
+        state = rows.groupBy(key).agg(F.max_by("_v", seq).alias("last"), F.max("_t").alias("top"))
+        state = join_null_safe(state, tops.groupBy(key).agg(F.max_by("_left", SUP).alias("fire")), [key]).select(key, "last", "fire", "top")
+        if base is not None:
+            old = base.select(key, F.col("top").alias("_top"))
+            state = join_null_safe(state, old, [key], "left").select(key, "last", "fire", F.greatest("top", "_top").alias("top"))
+        return out.select(key, seq, "fire_ts", self._message()), state
+
+    def run(self, df: DataFrame, base: DataFrame | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
+        return self.both(df, base, block)[0]
+
+    def totals(self, df: DataFrame, base: DataFrame | None = None) -> DataFrame:
+        return self.both(df, base)[1]
+
+    def at_end(self, totals: DataFrame) -> DataFrame:
+        """The alarms of timers that the end of the input fires (seq null)."""
+        top = totals.agg(F.max("top")).scalar()
+        return totals.where(F.col("fire") <= top).select(self.key, F.lit(None).cast("long").alias(self.seq), F.col("fire").alias("fire_ts"), self._message())
+
+
+def rise_alarm(df: DataFrame, interval: int = 10, key: str = "id", field: str = "temperature", ts: str = "timestamp", seq: str = "seq",
+               initial_last: float = RISE_INITIAL_LAST, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """``(id, fire_ts, message)``: see :class:`RiseAlarm`."""
+    op = RiseAlarm(interval, key, field, ts, seq, initial_last)
+    out, state = op.both(df, block=block)
+    return out.drop(seq).unionByName(op.at_end(materialize(state, "rise-state")).drop(seq))

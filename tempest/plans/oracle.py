@@ -279,6 +279,13 @@ UNION ALL
 SELECT 'late' AS tag, id, CAST(NULL AS BIGINT) AS window_end, seq, "timestamp", temperature, CAST(NULL AS BIGINT) AS emitted_after
 FROM ({ORACLE["late_window_late"]})"""
 ORACLE["stream_reordered"] = ORACLE["retract_changelog"]
+ORACLE["stream_last_by_type"] = """
+SELECT event_id AS seq, 'sensor_' || user_id AS id, event_type, value,
+       lag(value) OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS last_value FROM events"""
+ORACLE["stream_recent_values"] = """
+SELECT event_id AS seq, 'sensor_' || user_id AS id, count(value) OVER w AS cnt, min(value) OVER w AS lo, max(value) OVER w AS hi
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
+ORACLE["user_reduce"] = ORACLE["stream_user_reduce"] = ORACLE["rolling_reduce"]
 
 _LANDED = _with(SENSOR, LINES) + """, placed AS (
   SELECT row_number() OVER (ORDER BY seq % 7, seq) - 1 AS arrival, seq % 7 AS part,

@@ -356,18 +356,6 @@ def q_avg_temp_sql(spark, d):
 # ---------------------------------------------------------------- streaming twins (availableNow → parquet)
 
 
-def _processor(spark, d, name, processor, schema, event_time=False, table=False):
-    from tempest.streaming import runner
-
-    src = runner.stream_sensor(spark, d)
-    if table:
-        src = src.withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp").withColumn("is_null", F.col("temp").isNull())
-    if event_time:
-        src = runner.with_event_time(src, "ts" if table else "timestamp")
-    out = runner.keyed(src, "id", processor, schema, "EventTime" if event_time else "None")
-    return runner.run_to_table(spark, out, name)
-
-
 def _running(spark, d, spec, name):
     from tempest.streaming import folds, runner
 
@@ -416,21 +404,36 @@ def q_stream_word_count(spark, d):
     return folds.run_word_count(wordcount.word_occurrences(runner.stream_table(spark, d, "documents")))
 
 
-def _java_max(a: float, b: float) -> float:
-    """``Math.max`` on doubles (NaN if either side is NaN)."""
-    return a if a != a else b if b != b else max(a, b)
+def _java_max(a: float | None, b: float | None) -> float | None:
+    """``Math.max`` on doubles (NaN if either side is NaN); a null reading does not count."""
+    return b if a is None else a if b is None or a != a else b if b != b else max(a, b)
 
 
 def _reduce_max(prev: dict, cur: dict) -> dict:
-    """The reference's reduce: (id, current timestamp, max of the temperatures)."""
-    return {"seq": cur["seq"], "id": prev["id"], "timestamp": cur["timestamp"],
-            "temperature": _java_max(prev["temperature"], cur["temperature"])}
+    """The reference's reduce as a user's function: the current timestamp, the larger temperature."""
+    return {"timestamp": cur["timestamp"], "temperature": _java_max(prev["temperature"], cur["temperature"])}
+
+
+def _user_reduce():
+    from tempest.operators.blockfold import UserReduce
+
+    return UserReduce(_reduce_max, ("timestamp", "temperature"))
+
+
+def q_user_reduce(spark, d):
+    """A4 with an opaque Python function."""
+    return _user_reduce().run(sensor(spark, d)).select("seq", "id", "timestamp", "temperature")
+
+
+def q_stream_user_reduce(spark, d):
+    return _running(spark, d, _user_reduce(), "user_reduce").select("seq", "id", "timestamp", "temperature")
 
 
 def q_stream_rise_alarm(spark, d):
-    from tempest.streaming.processors import RiseAlarm, rise_alarms
+    from tempest.streaming import folds, runner
 
-    return rise_alarms(_processor(spark, d, "rise_alarm", RiseAlarm(RISE_INTERVAL), RiseAlarm.SCHEMA))
+    op = alarms.RiseAlarm(RISE_INTERVAL)
+    return folds.run_keyed(runner.stream_sensor(spark, d), op, "rise_alarm", at_end=op.at_end).drop("seq")
 
 
 def q_stream_over_rows(spark, d):
@@ -440,6 +443,30 @@ def q_stream_over_rows(spark, d):
     return folds.run_over_rows(src, 2).where("tag = 'main'").select("id", "ts", "seq", "cnt", _r6("avg_temp"))
 
 
+def _processor(spark, d, processor, columns: dict, name: str, run=None):
+    from tempest.streaming import runner
+
+    src = runner.stream_table(spark, d, "events")
+    src = src.select(F.col("event_id").alias("seq"), F.concat(F.lit("sensor_"), F.col("user_id")).alias("id"),
+                     *[c.alias(n) for n, c in columns.items()]).withColumn("is_null", F.col("value").isNull())
+    return runner.run_to_table(spark, runner.keyed(src, "id", processor, processor.schema(), "ProcessingTime"), name, run)
+
+
+def q_stream_last_by_type(spark, d):
+    """P8: map state with an expiry of a year: the last value of each type of a sensor's events."""
+    from tempest.streaming.processors import LastBySubKey
+
+    out = _processor(spark, d, LastBySubKey(ttl_ms=365 * DAY * 1000), {"sub": F.col("event_type"), "value": F.col("value")}, "last_by_type")
+    return out.withColumnRenamed("sub", "event_type")
+
+
+def q_stream_recent_values(spark, d):
+    """P7: list state: extremes of a sensor's last three values."""
+    from tempest.streaming.processors import RecentValues
+
+    return _processor(spark, d, RecentValues(3), {"value": F.col("value")}, "recent_values")
+
+
 def _group_window(spark, d, name, size, accumulators, results, **kw):
     from tempest.streaming import folds, runner
 
@@ -631,6 +658,10 @@ QUERIES: dict[str, Query] = {
     "stream_tumble_count_avg": q_stream_tumble_count_avg,
     "stream_word_count": q_stream_word_count,
     "stream_reordered": q_stream_reordered,
+    "stream_last_by_type": q_stream_last_by_type,
+    "stream_recent_values": q_stream_recent_values,
+    "user_reduce": q_user_reduce,
+    "stream_user_reduce": q_stream_user_reduce,
     "lines_with_arrival": q_lines_with_arrival,
     "stream_lines": q_stream_lines,
 }
@@ -653,11 +684,11 @@ SURVEY_IDS: dict[str, str] = {
     "stream_keyed_count": "S2 A6 P6 U7", "stream_jump_alarm": "S2 P9 U7", "stream_rolling_max_by": "S2 A3",
     "stream_rolling_reduce": "S2 A4", "stream_retract_changelog": "S2 A9",
     "stream_count_window_slide": "S2 W4 P7", "stream_count_window_tumble": "S2 W5 P7",
-    "stream_rise_alarm": "S2 P10 P2", "stream_over_rows": "S2 O3 P7", "stream_late_window": "S2 W6 P2 P3 P4 P8 P12",
+    "stream_rise_alarm": "S2 P10 P2", "stream_over_rows": "S2 O3", "stream_late_window": "S2 W6 P2 P3 P4 P12",
     "stream_word_count": "S2 A2 T5", "stream_tumble_count_avg": "S2 W7 W8 P1 P2 A10",
     "text_file_lines": "S1", "csv_table_roundtrip": "S8 K5", "csv_payload_roundtrip": "S9 K6", "retract_avg_temp": "A9 U3",
     "user_accumulator": "U4", "late_window_flushed": "W6 P2 P3", "hash_code_sql": "U1 F4", "split_udtf_sql": "U2 J2",
     "avg_temp_sql": "U3 A8", "stream_shard_count": "S2 P5", "stream_tumble_count": "S2 W1 U4", "stream_slide_count": "S2 W2",
     "stream_tumble_sum_first": "S2 W3", "stream_side_outputs": "S2 M5 P11",
-    "stream_reordered": "S2 A9", "lines_with_arrival": "S1 S3", "stream_lines": "S2 S3",
+    "stream_reordered": "S2 A9", "stream_last_by_type": "S2 P8 U7", "stream_recent_values": "S2 P7 U7", "user_reduce": "A4 U6", "stream_user_reduce": "S2 A4 U7", "lines_with_arrival": "S1 S3", "stream_lines": "S2 S3",
 }

@@ -125,6 +125,12 @@ class KeyedOperator(Protocol):
     def totals(self, df: DataFrame, base: DataFrame | None = None) -> DataFrame: ...
 
 
+def _both(op: KeyedOperator, df: DataFrame, base: DataFrame | None, block: int) -> tuple[DataFrame, DataFrame]:
+    """(run, totals), computed together where the operator can."""
+    together = getattr(op, "both", None)
+    return together(df, base, block) if together else (op.run(df, base, block), op.totals(df, base))
+
+
 def run_keyed(stream: DataFrame, op: KeyedOperator, name: str, root: str | None = None, block: int = DEFAULT_BLOCK, lag: int = 0,
               at_end: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """A keyed operator on a stream; the answer is that of the operator on all rows, whatever the order and the cut of
@@ -140,9 +146,9 @@ def run_keyed(stream: DataFrame, op: KeyedOperator, name: str, root: str | None
     keys, seq = list(op.keys), op.seq
     rows_schema = stream.schema
     blank = nothing(spark, rows_schema)
-    result = op.run(blank, block=block).schema
+    result, state = (d.schema for d in _both(op, blank, None, block))
     changes = StructType([*result, *one_row(spark, change=1).schema])
-    carried = {"totals": op.totals(blank).schema, "waiting": rows_schema, MARK: one_row(spark, low=0).schema}
+    carried = {"totals": state, "waiting": rows_schema, MARK: one_row(spark, low=0).schema}
 
     def step(batch: DataFrame, prev: Tables | None, batch_id: int) -> tuple[DataFrame, Tables]:
         session = batch.sparkSession
@@ -158,11 +164,12 @@ def run_keyed(stream: DataFrame, op: KeyedOperator, name: str, root: str | None
             took, gave, fixed = corrections(session, rows.where(F.col(seq) <= low), batch_id)
             totals = materialize(replaced(totals, fixed, keys), "totals")
             out = [took.withColumn("change", F.lit(-1).cast("long")), gave.withColumn("change", F.lit(1).cast("long"))]
-        out.append(op.run(ready, totals, block).withColumn("change", F.lit(1).cast("long")))
+        fresh, now = _both(op, ready, totals, block)
+        out.append(fresh.withColumn("change", F.lit(1).cast("long")))
         rows.where(F.col(seq) <= mark).write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
         for more in out[1:]:
             out[0] = out[0].unionByName(more)
-        return out[0], {"totals": replaced(totals, op.totals(ready, totals), keys), "waiting": rows.where(F.col(seq) > mark),
+        return out[0], {"totals": replaced(totals, now, keys), "waiting": rows.where(F.col(seq) > mark),
                         MARK: one_row(session, low=high)}
 
     def corrections(session: SparkSession, late: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -173,14 +180,14 @@ def run_keyed(stream: DataFrame, op: KeyedOperator, name: str, root: str | None
         from_there = F.col(seq) >= F.col("_since")
         given = read_standing(session, root, result, keys, seq, batch_id)
         took = join_null_safe(given, since, keys).where(from_there).select(*result.names)
-        gave = join_null_safe(op.run(again, block=block), since, keys).where(from_there).select(*result.names)
-        return took, gave, op.totals(again)
+        redone, now = _both(op, again, None, block)
+        return took, join_null_safe(redone, since, keys).where(from_there).select(*result.names), now
 
     def finish(tables: Tables) -> DataFrame:
         waiting = tables["waiting"]
-        more = op.run(waiting, tables["totals"], block)
+        more, now = _both(op, waiting, tables["totals"], block)
         if at_end is not None:
-            more = more.unionByName(at_end(replaced(tables["totals"], op.totals(waiting, tables["totals"]), keys)).select(*result.names))
+            more = more.unionByName(at_end(replaced(tables["totals"], now, keys)).select(*result.names))
         return more.withColumn("change", F.lit(1).cast("long"))
 
     run_fold(stream, step, changes, carried, name, root)

@@ -1,10 +1,9 @@
-"""Stateful processors for ``groupBy(key).transformWithStateInPandas`` (Structured Streaming).
+"""Stateful processors for ``groupBy(key).transformWithStateInPandas`` (Structured Streaming): value, list and map state.
 
-For operators whose state is a sequential machine per key (a user's reduce function, the rise alarm, OVER rows).
-Everything that is a running aggregate or a window runs as a micro-batch fold instead
-(``tempest.streaming.folds``), where no key is handed to one call. Rows of a key within a micro-batch are sorted
-by ``seq`` before they touch the state, because Spark hands them over in no particular order; micro-batches are
-kept small (``runner.BATCH_BYTES``), so that is a bounded amount.
+For states that expire or are looked up entry by entry. Everything that is a running aggregate, a window or a sequential
+machine runs as a micro-batch fold instead (``tempest.streaming.folds``), where no key is handed to one call. Rows of
+a key within a micro-batch are sorted by ``seq`` before they touch the state, because Spark hands them over in no
+particular order; micro-batches are kept small (``runner.BATCH_BYTES``), so that is a bounded amount.
 State lives in the configured state store (RocksDB recommended) and is restored from the checkpoint
 after a failure, so a restarted query continues exactly where it stopped.
 """
@@ -14,11 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
-
-from tempest.operators.alarms import RISE_INITIAL_LAST, RISE_MESSAGE_PARTS
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 
 #: What a null key is called inside the processors.
@@ -61,60 +56,63 @@ class KeyedReduce(StatefulProcessor):
         pass
 
 
-class RiseAlarm(StatefulProcessor):
-    """Continuous-rise alarm (P10), same rule as the batch replay, however far behind a reading arrives.
-
-    A row past the armed fire time fires it; nothing depends on a watermark, so no row is dropped. Output
-    ``(tag, id, fire_ts, message, at, top)``: tag ``alarm``, and one ``armed`` row per key and micro-batch with the
-    timer left armed (or null), the key's record count ``at`` and largest event time ``top``, from which
-    :func:`rise_alarms` settles the timers that the end of the input fires.
-    """
+class LastBySubKey(StatefulProcessor):
+    """Map state: per key, the last value of each sub-key (P8). Every record gives ``(seq, key, sub, value, last_value)``,
+    ``last_value`` being that of the key's record with the same sub-key before it (null at first, or when that record was more than
+    ``ttl_ms`` ago in processing time: the state store then forgets the entry). Input columns: key, ``seq``, ``sub``,
+    ``value`` and ``is_null`` (pandas cannot tell a null from NaN). Inside a micro-batch the records are shifted by
+    sub-key as columns; the state is touched once per sub-key."""
 
-    SCHEMA = "tag string, id string, fire_ts long, message string, at long, top long"
+    def __init__(self, key: str = "id", ttl_ms: int | None = None):
+        self.key, self.ttl_ms = key, ttl_ms
 
-    def __init__(self, interval: int = 10, initial_last: float = RISE_INITIAL_LAST):
-        self.interval, self.initial_last = interval, initial_last
+    def schema(self) -> str:
+        return f"seq long, {self.key} string, sub string, value double, last_value double"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.st = handle.getValueState("st", "last double, fire long, n long, top long")
+        self.last = handle.getMapState("last", "sub string", "value double", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
-        got = self.st.get()
-        last, fire, n, top = got if got is not None else (self.initial_last, None, 0, None)
-        last = float("nan") if last is None else last
-        name = "null" if key[0] == NULL_KEY else key[0]
-        out = []
-        for ts, v in zip(pdf["timestamp"].tolist(), pdf["temperature"].tolist()):
-            ts = None if pd.isna(ts) else int(ts)
-            if ts is not None:
-                top = ts if top is None else max(top, ts)
-                if fire is not None and ts > fire:
-                    out.append(fire)
-                    fire = None
-            if v > last and fire is None:  # false with a null or NaN reading on either side
-                fire = None if ts is None else ts + self.interval
-            elif v < last:
-                fire = None
-            last = v
-        n += len(pdf)
-        self.st.update((last, fire, n, top))
-        text = f"{RISE_MESSAGE_PARTS[0]}{name}{RISE_MESSAGE_PARTS[1]}{self.interval}{RISE_MESSAGE_PARTS[2]}"
-        tags = ["alarm"] * len(out) + ["armed"]
-        yield pd.DataFrame({"tag": tags, "id": [key[0]] * len(tags), "fire_ts": pd.array([*out, fire], "Int64"), "message": [text] * len(tags),
-                            "at": [n] * len(tags), "top": pd.array([top] * len(tags), "Int64")})
+        pdf["sub"] = pdf["sub"].fillna(NULL_KEY)
+        pdf["value"] = pdf["value"].astype(object).where(~pdf["is_null"], None)
+        by_sub = pdf.groupby("sub", sort=False)
+        pdf["last_value"] = by_sub["value"].shift()
+        for at, sub in pdf.loc[by_sub.cumcount() == 0, "sub"].items():
+            known = self.last.getValue((sub,)) if self.last.containsKey((sub,)) else None
+            pdf.at[at, "last_value"] = known[0] if known is not None else None
+        for sub, value in zip(*(by_sub.last(skipna=False).reset_index()[c] for c in ("sub", "value"))):
+            self.last.updateValue((sub,), (None if value is None else float(value),))
+        pdf["sub"] = pdf["sub"].where(pdf["sub"] != NULL_KEY, None)
+        yield pdf.assign(**{self.key: key[0]})[["seq", self.key, "sub", "value", "last_value"]]
 
     def close(self) -> None:
         pass
 
 
-def rise_alarms(out: DataFrame, at_end: bool = True) -> DataFrame:
-    """``(id, fire_ts, message)`` from the output of :class:`RiseAlarm`; ``at_end``: with the timers that the end of
-    a bounded input fires (those up to its largest event time)."""
-    fired = out.where("tag = 'alarm'").select("id", "fire_ts", "message")
-    if not at_end:
-        return fired
-    armed = out.where("tag = 'armed'")
-    top = armed.agg(F.max("top")).scalar()
-    last = armed.groupBy("id").agg(F.max_by(F.struct("fire_ts", "message"), "at").alias("l")).select("id", "l.*")
-    return fired.unionByName(last.where(F.col("fire_ts") <= top))
+class RecentValues(StatefulProcessor):
+    """List state: per key, the last ``n`` values (P7). Every record gives ``(seq, key, cnt, lo, hi)``: how many of its
+    last ``n`` values there are and the smallest and largest of them (nulls do not count)."""
+
+    def __init__(self, n: int = 3, key: str = "id"):
+        self.n, self.key = n, key
+
+    def schema(self) -> str:
+        return f"seq long, {self.key} string, cnt long, lo double, hi double"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.recent = handle.getListState("recent", "value double")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted(rows)
+        old = [r[0] for r in self.recent.get()] if self.recent.exists() else []
+        new = [None if null else v for v, null in zip(pdf["value"].tolist(), pdf["is_null"].tolist())]
+        values = pd.Series([*old, *new], dtype="Float64")
+        frame = values.rolling(self.n, min_periods=1)
+        out = pd.DataFrame({"seq": pdf["seq"], self.key: key[0]})
+        out["cnt"], out["lo"], out["hi"] = (x.iloc[len(old):].reset_index(drop=True) for x in (frame.count().astype("int64"), frame.min(), frame.max()))
+        self.recent.put([(None if pd.isna(v) else float(v),) for v in values.iloc[-(self.n - 1):]] if self.n > 1 else [])
+        yield out
+
+    def close(self) -> None:
+        pass

@@ -43,26 +43,30 @@ class StreamRun:
 
 
 _PARTITIONS_CONF = "spark.sql.shuffle.partitions"
+_NO_DATA_CONF = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def start_with_state_partitions(writer, spark: SparkSession, state_partitions: int | None = None):
+def start_with_state_partitions(writer, spark: SparkSession, state_partitions: int | None = None, bounded: bool = False):
     """Start a streaming query with ``state_partitions`` shuffle (and state-store) partitions — by
     default the cluster's parallelism — leaving the session's own setting untouched: the query clones
-    the session conf at start, and a restart takes the count from its checkpoint."""
-    parts = state_partitions or spark.sparkContext.defaultParallelism
-    old = spark.conf.get(_PARTITIONS_CONF)
-    spark.conf.set(_PARTITIONS_CONF, str(parts))
+    the session conf at start, and a restart takes the count from its checkpoint. A ``bounded`` run has no batches without
+    data: a processing-time state always asks for another one, and the run would never end."""
+    old = {c: spark.conf.get(c) for c in (_PARTITIONS_CONF, _NO_DATA_CONF)}
+    spark.conf.set(_PARTITIONS_CONF, str(state_partitions or spark.sparkContext.defaultParallelism))
+    if bounded:
+        spark.conf.set(_NO_DATA_CONF, "false")
     try:
         return writer.start()
     finally:
-        spark.conf.set(_PARTITIONS_CONF, old)
+        for c, v in old.items():
+            spark.conf.set(c, v)
 
 
 def start_to_files(stream: DataFrame, output: str, checkpoint: str, fmt: str = "parquet", available_now: bool = True,
                    state_partitions: int | None = None):
     w = stream.writeStream.format(fmt).option("path", output).option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w
-    return start_with_state_partitions(w, stream.sparkSession, state_partitions)
+    return start_with_state_partitions(w, stream.sparkSession, state_partitions, available_now)
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str, run: StreamRun | None = None) -> DataFrame:

@@ -68,30 +68,6 @@ def test_late_windows_match_simulation(spark, rows, size, delay, lateness):
     assert sorted(r.seq for r in late.collect()) == want_late
 
 
-@settings(max_examples=4, deadline=None)
-@given(readings(), st.integers(1, 12))
-def test_rise_alarm_doubling_path_matches_state_machine(spark, rows, interval):
-    # long_segment=0 sends every time-ordered segment with a rise through the pointer-doubling chain
-    df = spark.createDataFrame(rows, "seq long, id string, timestamp long, temperature double")
-    got = sorted((r.id, r.fire_ts) for r in alarms.rise_alarm(df, interval, block=4, long_segment=0).collect())
-    assert got == rise_model(rows, interval)
-
-
-def test_rise_alarm_doubling_path_on_driver_data(spark):
-    import duckdb
-
-    from tempest.plans import registry as R
-    from tempest.plans.oracle import ORACLE
-
-    from .conftest import SF_SMALL
-
-    s = R.sensor(spark, SF_SMALL)
-    got = sorted((r.id, r.fire_ts) for r in alarms.rise_alarm(s, R.RISE_INTERVAL, long_segment=0).collect())
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
-    assert got == sorted((r[0], r[1]) for r in con.execute(ORACLE["rise_alarm"]).fetchall())
-
-
 def emissions_model(rows, size, delay, lateness):
     maxts, state, out = None, {}, []
     for seq, k, t, v, a in sorted(rows, key=lambda r: (r[4], r[0])):
@@ -131,7 +107,7 @@ def test_rise_alarm_long_segments_match_state_machine(spark):
         rows.append((seq, "s", t, v))
     df = spark.createDataFrame(rows, "seq long, id string, timestamp long, temperature double")
     for interval in (3, 17):
-        got = sorted((r.id, r.fire_ts) for r in alarms.rise_alarm(df, interval, block=64, long_segment=50).collect())
+        got = sorted((r.id, r.fire_ts) for r in alarms.rise_alarm(df, interval, block=64).collect())
         assert got == rise_model(rows, interval)
 
 

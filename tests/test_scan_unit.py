@@ -48,7 +48,6 @@ def test_empty_inputs(spark):
 
     e = spark.createDataFrame([], "seq long, id string, timestamp long, temperature double")
     assert alarms.rise_alarm(e, 10).count() == 0
-    assert alarms.rise_alarm(e, 10, long_segment=0).count() == 0
     assert keyed_rank_by(e, ["id"], ["timestamp", "seq"]).count() == 0
     t = e.withColumnRenamed("timestamp", "ts").withColumnRenamed("temperature", "temp")
     assert windows.over_rows(t, 2).count() == 0

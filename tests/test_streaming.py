@@ -62,10 +62,11 @@ def test_jump_and_max_by_multi_batch(spark, tmp_path, sensor_df):
 
 
 def test_rise_alarm_stream_keeps_rows_behind_other_keys(spark, tmp_path):
-    """One file per reading, in arrival order: sensor_2 is far behind sensor_1's times and must not lose a row."""
-    land(str(tmp_path / "in"), RISE_ROWS, len(RISE_ROWS))
-    out = run(spark, tmp_path, "r", runner.keyed(stream_of(spark, str(tmp_path / "in")), "id", P.RiseAlarm(10), P.RiseAlarm.SCHEMA))
-    got = sorted(tuple(r) for r in P.rise_alarms(out).collect())
+    """sensor_2 is far behind sensor_1's times and must not lose a row."""
+    land(str(tmp_path / "in"), RISE_ROWS, 4)
+    op = alarms.RiseAlarm(10, rows=2)
+    out = folds.run_keyed(stream_of(spark, str(tmp_path / "in")), op, "r", str(tmp_path / "r"), at_end=op.at_end)
+    got = sorted(tuple(r) for r in out.drop("seq").collect())
     assert got == sorted(tuple(r) for r in alarms.rise_alarm(spark.createDataFrame(RISE_ROWS, SCHEMA), 10).select("id", "fire_ts", "message").collect())
     assert len({r[0] for r in got}) == 2
 
@@ -195,7 +196,7 @@ def _r(rows, n=6):
 
 def test_more_folds_equal_batch_over_three_batches(spark, tmp_path, sensor_df):
     from tempest.operators import changelog, count_windows, windows
-    from tempest.plans.registry import _reduce_max, count_acc, range_acc, range_result
+    from tempest.plans.registry import count_acc, range_acc, range_result
     from pyspark.sql import functions as F
 
     land(str(tmp_path / "in"), SENSOR_ROWS, 3)
@@ -208,10 +209,6 @@ def test_more_folds_equal_batch_over_three_batches(spark, tmp_path, sensor_df):
         w = folds.run_keyed(s, count_windows.CountWindow(size, slide), "cw", str(tmp_path / f"cw{size}{slide}"))
         assert _r(w.collect()) == _r(count_windows.count_window_slide(sensor_df, size, slide).collect())
 
-    schema = "seq long, id string, timestamp long, temperature double"
-    g = run(spark, tmp_path, "red", runner.keyed(s, "id", P.KeyedReduce(_reduce_max, ["seq", "id", "timestamp", "temperature"], schema), schema))
-    assert _r(g.collect()) == _r(rolling.rolling_reduce_max(sensor_df).select(*g.columns).collect())
-
     late = 10**6  # nothing is behind the watermark: the windows of all rows
     x = folds.run_group_window(s, 15, range_acc(), range_result(), "gw", delay=late, root=str(tmp_path / "gw"))
     assert _r(x.collect()) == _r(windows.group_window(sensor_df, 15, range_acc(), range_result()).select(*x.columns).collect())
@@ -247,8 +244,9 @@ def test_null_keys_and_null_readings_batch_equals_stream(spark, tmp_path):
         assert _key(folds.run_keyed(s, spec, name, str(tmp_path / name)).collect()) == _key(spec.run(df, block=2).collect()), name
     w = folds.run_keyed(s, count_windows.CountWindow(2, 1), "w", str(tmp_path / "w"))
     assert _key(w.collect()) == _key(count_windows.count_window_slide(df, 2, 1, block=2).collect())
-    out = run(spark, tmp_path, "ra", runner.keyed(s, "id", P.RiseAlarm(2), P.RiseAlarm.SCHEMA))
-    assert _key(P.rise_alarms(out).collect()) == _key(alarms.rise_alarm(df, 2, block=2).select("id", "fire_ts", "message").collect())
+    op = alarms.RiseAlarm(2, rows=2)
+    out = folds.run_keyed(s, op, "ra", str(tmp_path / "ra"), at_end=op.at_end)
+    assert _key(out.drop("seq").collect()) == _key(alarms.rise_alarm(df, 2, block=2).select("id", "fire_ts", "message").collect())
     assert [r.cnt for r in rolling.keyed_count(df).where("id is null").orderBy("seq").collect()] == [1, 2, 3, 4]
     assert [(r.flag, r.cnt) for r in changelog.retract_count_avg(df).where("id = 'a'").orderBy("seq", "flag").collect()][:3] == [(True, 1), (False, 1), (True, 2)]
 
@@ -305,3 +303,27 @@ def test_nan_readings_batch_equals_stream(spark, tmp_path):
     m = folds.run_keyed(s, rolling.max_by_spec(["timestamp"]), "nm", str(tmp_path / "nm"))
     b = rolling.rolling_max_by(df)
     assert sorted((r.seq, r.max_seq) for r in m.collect()) == sorted((r.seq, r.max_seq) for r in b.collect())
+
+
+def test_map_and_list_state_restart_and_expiry(spark, tmp_path):
+    nan = float("nan")
+    rows = [(0, "a", "x", 1.0), (1, "a", "y", 2.0), (2, None, "x", 3.0), (3, "a", "x", None), (4, "a", "x", nan), (5, "a", None, 5.0), (6, None, "x", 6.0), (7, "a", None, 7.0)]
+    schema = "seq long, id string, sub string, value double"
+
+    def go(processor, name, part):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"{name}-in"))
+        s = spark.readStream.schema(schema).parquet(str(tmp_path / f"{name}-in"))
+        s = s.withColumn("is_null", s["value"].isNull())
+        out = runner.keyed(s, "id", processor, processor.schema(), "ProcessingTime")
+        got = runner.run_to_table(spark, out, name, runner.StreamRun(str(tmp_path / f"{name}-o"), str(tmp_path / f"{name}-c")))
+        return [tuple(r) for r in got.orderBy("seq").collect()]
+
+    go(P.LastBySubKey(), "m", rows[:4])  # the second run goes on from the checkpoint
+    assert [repr(r[4]) for r in go(P.LastBySubKey(), "m", rows[4:])] == ["None", "None", "None", "1.0", "None", "None", "3.0", "5.0"]
+    short = P.LastBySubKey(ttl_ms=1500)
+    go(short, "t", rows[:2])
+    time.sleep(2)
+    assert [r[4] for r in go(short, "t", [(8, "a", "x", 8.0)])] == [None, None, None]
+    go(P.RecentValues(2), "l", rows[:4])
+    assert [r[2:] for r in go(P.RecentValues(2), "l", rows[5:])] == [
+        (1, 1.0, 1.0), (2, 1.0, 2.0), (1, 3.0, 3.0), (1, 2.0, 2.0), (1, 5.0, 5.0), (2, 3.0, 6.0), (2, 5.0, 7.0)]
