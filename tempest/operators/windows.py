@@ -6,13 +6,16 @@ Window ends are returned as BIGINT epoch seconds (exclusive end, as ``TimeWindow
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from tempest.operators.scan import keyed_rank_by, last_rows_frame
+from tempest.operators.scan import join_null_safe, keyed_rank_by, last_rows_frame
 from tempest.readings import with_rowtime
 
 
@@ -95,15 +98,60 @@ def group_window(df: DataFrame, size: int, accumulators: Mapping[str, tuple[str,
     return d.select(key, "window_end", *[c.alias(n) for n, c in results.items()])
 
 
-def window_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, size: int, slide: int | None = None,
-                 key: str = "id", ts: str = "timestamp") -> DataFrame:
-    """Full-window function (``WindowFunction.apply``) over every (key, window): ``fn`` receives the
-    window's rows as pandas (with ``window_end``) and returns rows of ``schema``. Use only when no
-    built-in aggregate expresses ``fn``: the whole window of one key is handed to one Python call."""
-    d = with_rowtime(df, ts, "_rt")
-    w = F.window("_rt", _dur(size), _dur(slide or size))
-    d = d.select("*", w.alias("window")).withColumn("window_end", window_end()).drop("window", "_rt")
-    return d.groupBy(key, "window_end").applyInPandas(fn, schema)
+class WindowFunction(Protocol):
+    """A user's full-window function, made anew for each window: it is given the window's rows in order, an Arrow batch
+    at a time, and then asked for its result rows (dicts)."""
+
+    def add(self, rows: pa.RecordBatch) -> None: ...
+
+    def result(self) -> list[dict]: ...
+
+
+def window_apply(df: DataFrame, function: Callable[[], WindowFunction], schema: str, size: int, slide: int | None = None,
+                 key: str = "id", ts: str = "timestamp", order: Sequence[str] = ()) -> DataFrame:
+    """Full-window function (``WindowFunction.apply``) over every (key, window): rows ``(key, window_end, *schema)``.
+    ``function()`` gives the object that sees a window's rows sorted by ``order``, with ``window_rows``, their number. The
+    rows come out of Spark's own (spilling) sort batch by batch, so a window is never held as a whole: how much of it the
+    function keeps is its own affair. Use it when no built-in aggregate expresses the function."""
+    d = window_ends(df, size, slide, ts)
+    ks = [key, "window_end"]
+    counted = join_null_safe(d, d.groupBy(*ks).agg(F.count(F.lit(1)).alias("window_rows")), ks)
+    # the grouping below needs this distribution and these leading sort columns: no further exchange or sort
+    counted = counted.repartition(*ks).sortWithinPartitions(*ks, *order)
+    out = StructType([*counted.select(*ks).schema, *StructType.fromDDL(schema)])
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f, place = function(), None
+        for rb in batches:
+            if rb.num_rows:
+                place = place or {k: rb.column(k)[0].as_py() for k in ks}
+                f.add(rb)
+        yield pa.RecordBatch.from_pylist([place | r for r in f.result()] if place else [], schema=arrow)
+
+    return counted.groupBy(*ks).applyInArrow(run, out)
+
+
+class Median:
+    """The median of a window's ``field``, for rows sorted by it (nulls last): keeps the middle values only."""
+
+    def __init__(self, field: str = "temperature"):
+        self.field, self.seen, self.middle = field, 0, []
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        n = rows.column("window_rows")[0].as_py()
+        for at in {(n - 1) // 2, n // 2}:
+            if self.seen <= at < self.seen + rows.num_rows:
+                self.middle.append(rows.column(self.field)[at - self.seen].as_py())
+        self.seen += rows.num_rows
+
+    def result(self) -> list[dict]:
+        return [{"rows": self.seen, "median": sum(self.middle) / len(self.middle)}]
+
+
+def window_median(df: DataFrame, size: int, key: str = "id", field: str = "temperature", ts: str = "timestamp") -> DataFrame:
+    """``(key, window_end, rows, median)`` of the readings that are not null."""
+    return window_apply(df.where(F.col(field).isNotNull()), lambda: Median(field), "rows long, median double", size, key=key, ts=ts, order=[field])
 
 
 def over_rows(df: DataFrame, preceding: int = 2, key: str = "id", field: str = "temp", ts: str = "ts",

@@ -285,6 +285,9 @@ SELECT event_id AS seq, 'sensor_' || user_id AS id, event_type, value,
 ORACLE["stream_recent_values"] = """
 SELECT event_id AS seq, 'sensor_' || user_id AS id, count(value) OVER w AS cnt, min(value) OVER w AS lo, max(value) OVER w AS hi
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
+ORACLE["window_median"] = _with(SENSOR) + f"""
+SELECT id, ("timestamp" // {DAY}) * {DAY} + {DAY} AS window_end, count(temperature) AS rows, round(median(temperature), 6) AS median
+FROM sensor WHERE temperature IS NOT NULL GROUP BY ALL"""
 ORACLE["user_reduce"] = ORACLE["stream_user_reduce"] = ORACLE["rolling_reduce"]
 
 _LANDED = _with(SENSOR, LINES) + """, placed AS (

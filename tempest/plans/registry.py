@@ -313,6 +313,11 @@ def q_user_accumulator(spark, d):
     return windows.group_window(sensor(spark, d), DAY, range_acc(), range_result())
 
 
+def q_window_median(spark, d):
+    """U5: a full-window function, the rows of a window handed over sorted, batch by batch."""
+    return windows.window_median(sensor(spark, d), DAY).select("id", "window_end", "rows", _r6("median"))
+
+
 # ---------------------------------------------------------------- user functions
 
 
@@ -660,6 +665,7 @@ QUERIES: dict[str, Query] = {
     "stream_reordered": q_stream_reordered,
     "stream_last_by_type": q_stream_last_by_type,
     "stream_recent_values": q_stream_recent_values,
+    "window_median": q_window_median,
     "user_reduce": q_user_reduce,
     "stream_user_reduce": q_stream_user_reduce,
     "lines_with_arrival": q_lines_with_arrival,
@@ -690,5 +696,5 @@ SURVEY_IDS: dict[str, str] = {
     "user_accumulator": "U4", "late_window_flushed": "W6 P2 P3", "hash_code_sql": "U1 F4", "split_udtf_sql": "U2 J2",
     "avg_temp_sql": "U3 A8", "stream_shard_count": "S2 P5", "stream_tumble_count": "S2 W1 U4", "stream_slide_count": "S2 W2",
     "stream_tumble_sum_first": "S2 W3", "stream_side_outputs": "S2 M5 P11",
-    "stream_reordered": "S2 A9", "stream_last_by_type": "S2 P8 U7", "stream_recent_values": "S2 P7 U7", "user_reduce": "A4 U6", "stream_user_reduce": "S2 A4 U7", "lines_with_arrival": "S1 S3", "stream_lines": "S2 S3",
+    "stream_reordered": "S2 A9", "stream_last_by_type": "S2 P8 U7", "stream_recent_values": "S2 P7 U7", "window_median": "U5", "user_reduce": "A4 U6", "stream_user_reduce": "S2 A4 U7", "lines_with_arrival": "S1 S3", "stream_lines": "S2 S3",
 }

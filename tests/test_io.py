@@ -1,5 +1,7 @@
 import os
 import sqlite3
+
+import pytest
 import time
 
 from pyspark.sql import functions as F
@@ -122,18 +124,43 @@ def test_redis_hash_sink_last_write_wins(sensor_df, tmp_path):
                    "sensor_7": ("sensor_temp", "-3.0"), "sensor_10": ("sensor_temp", "48.1")}
 
 
-def test_jdbc_upsert_update_then_insert(sensor_df, tmp_path):
+@pytest.mark.parametrize("merge,column", [("update_insert", "id TEXT"), ("on_conflict", "id TEXT PRIMARY KEY")])
+def test_jdbc_upsert_once_per_batch(spark, sensor_df, tmp_path, merge, column):
     db = str(tmp_path / "t.db")
     with sqlite3.connect(db) as c:
-        c.execute("CREATE TABLE sensor_temp (id TEXT, temp REAL)")
+        c.execute(f"CREATE TABLE sensor_temp ({column}, temp REAL)")
         c.execute("INSERT INTO sensor_temp VALUES ('sensor_1', 99.0)")
     connect = lambda: sqlite3.connect(db, timeout=60)
-    write_jdbc_upsert(sensor_df, connect)
-    write_jdbc_upsert(sensor_df, connect)  # replay: idempotent
+
+    def table():
+        with sqlite3.connect(db) as c:
+            assert c.execute("SELECT count(*) FROM sensor_temp_stage").fetchone() == (0,)
+            return sorted(c.execute("SELECT id, temp FROM sensor_temp").fetchall())
+
+    want = [("sensor_1", 10.0), ("sensor_10", 48.1), ("sensor_6", 15.4), ("sensor_7", -3.0)]
+    assert write_jdbc_upsert(sensor_df, connect, merge=merge, batch_id=0)
+    assert table() == want
+    later = spark.createDataFrame([(99, "sensor_1", 0, 1.5), (98, None, 0, 9.0)], sensor_df.schema)
+    assert write_jdbc_upsert(later, connect, merge=merge, batch_id=1)
+    assert not write_jdbc_upsert(sensor_df, connect, merge=merge, batch_id=0)  # a replay of the older batch changes nothing
+    assert write_jdbc_upsert(sensor_df, connect, merge=merge, batch_id=0, sink="other")
+    assert table() == want
+    # an attempt that broke off left staged rows; the batch is applied whole all the same
     with sqlite3.connect(db) as c:
-        rows = dict(c.execute("SELECT id, temp FROM sensor_temp").fetchall())
-        n = c.execute("SELECT count(*) FROM sensor_temp").fetchone()[0]
-    assert n == 4 and rows == {"sensor_1": 10.0, "sensor_6": 15.4, "sensor_7": -3.0, "sensor_10": 48.1}
+        c.execute("INSERT INTO sensor_temp_stage VALUES ('default', 2, 7, 'sensor_1', -1.0)")
+    assert write_jdbc_upsert(later, connect, merge=merge, batch_id=2)
+    assert table() == [("sensor_1", 1.5), *want[1:]]
+
+
+def test_replayed_side_output_batch_replaces_itself(spark, sensor_df, tmp_path):
+    from tempest.operators import routing
+
+    tagged = routing.split_by_threshold(sensor_df)
+    write = {t: file_sinks.batch_folder(f"{tmp_path}/{t}") for t in (routing.HIGH, routing.LOW)}
+    for batch_id in (0, 0, 1):  # batch 0 is replayed
+        routing.write_tagged(tagged, {t: (lambda d, w=w: w(d, batch_id)) for t, w in write.items()})
+    assert spark.read.parquet(f"{tmp_path}/high").where("batch = 0").count() == 6
+    assert spark.read.parquet(f"{tmp_path}/low").count() == 14
 
 
 def test_latest_per_key(sensor_df):

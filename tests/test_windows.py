@@ -78,3 +78,31 @@ def test_late_window_min_by_puts_null_readings_last(spark):
     df = spark.createDataFrame(rows, "seq long, id string, timestamp long, temperature double, arrival long")
     main, _ = late_windows.late_window_min_by(df, 5, 2, 60)
     assert sorted((r.id, r.seq) for r in main.collect()) == [("a", 1), ("b", 3)]
+
+
+def test_full_window_function_sees_sorted_batches_of_one_huge_window(spark):
+    from pyspark.sql import functions as F
+
+    class Ordered:
+        """Largest batch, and whether the rows came in order."""
+
+        def __init__(self):
+            self.last, self.ok, self.largest, self.n = None, True, 0, 0
+
+        def add(self, rows):
+            v = rows.column("temperature").to_pylist()
+            self.ok &= v == sorted(v) and (self.last is None or self.last <= v[0])
+            self.last, self.largest, self.n = v[-1], max(self.largest, len(v)), self.n + len(v)
+
+        def result(self):
+            return [{"n": self.n, "ok": self.ok, "largest": self.largest}]
+
+    df = spark.range(60_000).select(F.lit("a").alias("id"), F.lit(5).cast("long").alias("timestamp"), F.rand(1).alias("temperature"))
+    df = df.unionByName(spark.createDataFrame([(None, 7, 1.0), (None, 8, 4.0), ("b", 9, None)], "id string, timestamp long, temperature double"))
+    got = {r.id: r for r in windows.window_apply(df.where("temperature is not null"), Ordered, "n long, ok boolean, largest long", 10, order=["temperature"]).collect()}
+    assert (got["a"].n, got["a"].ok) == (60_000, True) and got["a"].largest <= 10_000 and got["a"].window_end == 10
+    assert (got[None].n, len(got)) == (2, 2)
+    m = {r.id: (r["rows"], r.median) for r in windows.window_median(df, 10).collect()}
+    assert m[None] == (2, 2.5) and m["a"][0] == 60_000 and abs(m["a"][1] - 0.5) < 0.02
+    plan = windows.window_median(df, 10)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" in plan
