@@ -31,32 +31,57 @@ def test_statements_and_inheritance(spark):
 
 
 def test_cosine_equals_plain_python(spark):
+    """The cosines of the windows found, by a plain loop over their words."""
     import math
     from collections import Counter
 
-    def terms(t):
-        import re
-        return [w.strip(".+-") for w in re.split(r"[^a-z0-9.+-]+", t.lower()) if w.strip(".+-")]
-
-    df = Counter(w for t in op8.TEMPLATES.values() for w in set(terms(t)))
-    n = len(op8.TEMPLATES)
-    idf = lambda w: math.log((1 + n) / (1 + df[w])) + 1 if w in df else math.log(1 + n) + 1
-
-    edges = {w for t in op8.TEMPLATES.values() for w in op8.edge_words(t)}
+    listed = [(name, op8.plain_words(t)) for name, ts in sorted(op8.TEMPLATES.items()) for t in [*ts, f"SPDX-License-Identifier: {name}"]]
+    df = Counter(w for _, ws in listed for w in set(ws))
+    top = math.log(1 + len(listed)) + 1
+    idf = lambda w: math.log((1 + len(listed)) / (1 + df[w])) + 1 if w in df else top
 
     def cos(a, b):
-        ws = terms(a)
-        while ws[-1] not in edges:  # the text around a statement is cut off
-            ws.pop()
-        a = " ".join(ws)
-        x, y = ({w: c * idf(w) for w, c in Counter(terms(t)).items()} for t in (a, b))
+        x, y = ({w: c * idf(w) for w, c in Counter(t).items()} for t in (a, b))
         return sum(x[w] * y.get(w, 0) for w in x) / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
 
-    texts = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License and nothing more", "licensed under a creative commons license cc by 4.0"]
-    got = scan(spark, [(i, f"p/{i}", t, "", "") for i, t in enumerate(texts)])
-    for i, t in enumerate(texts):
-        best = max((round(cos(t, x), 6), [-ord(c) for c in k]) for k, x in op8.TEMPLATES.items())
-        assert got[i].cosine == pytest.approx(best[0], abs=2e-6)
+    texts = ["So: Licensed under the Apache License, Version 2.0. " + words(3, 30), words(4, 9) + " released under the MIT License and nothing more",
+             "licensed under a creative commons license cc by 4.0", "# GNU General Public\n# License, version 3\n" + words(5, 5)]
+    df_ = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = op8.statement_licences(spark, df_, F.col("text"), F.col("doc_id")).collect()
+    for r in got:
+        ws = op8.plain_words(texts[r.key])[max(r.start, 0) : r.start + r.n]
+        want = max(cos(ws, b) for name, b in listed if name == r.licence and len(b) == r.n)
+        assert r.cosine == pytest.approx(want, abs=2e-6) and r.cosine >= op8.LIMIT
+    assert {(r.key, r.licence) for r in got} == {(0, "Apache-2.0"), (1, "MIT"), (2, "CC-BY-4.0"), (3, "GPL-3.0")}
+
+
+def test_real_statements_are_found(spark):
+    gpl = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+    mpl = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+    body = words(7, 200)
+    cases = [("The code is Released under the MIT License and the data can be found on the project page for all who ask", "MIT"),
+             ("Licensed under the Apache License, Version 2.0 " + words(8, 80) + " Licensed under CC BY-NC 4.0", "Apache-2.0,CC-BY-NC-4.0"),
+             ("// SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: Apache-2.0\n" + body, "Apache-2.0"), (gpl + "\n" + body, "GPL-3.0"),
+             (body + "\n" + mpl, "MPL-2.0"), ("MIT License\n\nCopyright (c) 2020 A B", "MIT"),
+             ("Licensed under the Apache License, Version 2.0. Released under the MIT License.", "Apache-2.0,MIT"),
+             ("wir fahren mit dem zug, und mit der stadt kam das copyright " + body, ""), ("see the license of the other file", "")]
+    got = scan(spark, [(i, f"d{i}/f", t, "", "") for i, (t, _) in enumerate(cases)])
+    assert {i: ",".join(got[i].licences) for i in got} == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_a_line_of_fifty_thousand_words_takes_linear_time(spark):
+    import time
+
+    line = ("license of the copyright holder mit " * 8_333) + "Released under the MIT License"
+    t = time.time()
+    got = scan(spark, [(1, "a/b", line, "", "")])
+    assert got[1].licence == "MIT" and time.time() - t < 60
+
 
 
 def test_licence_query_has_every_row_and_no_files_give_no_rows(spark):
