@@ -51,7 +51,7 @@ def remainder(id_col: Column, n: int = 5) -> Column:
 def buckets(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of each word, offsets of the documents' words)."""
     s, e, doc = spans(buf, off, ALNUM_WORD)
-    h = span_hash(prefix_hash(buf), s, e)
+    h = span_hash(prefix_hash(buf), s, e, buf)
     at = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(off) - 1)))).astype(np.int64)
     return (h >> np.uint64(64 - HASH_BITS)).astype(np.int32), at
 

@@ -58,7 +58,7 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, k: int = WORDS) -> tuple[np.n
     """(sorted distinct shingles of each document, one after the other; offsets)."""
     n = len(off) - 1
     s, e, doc = spans(buf, off, SPACE_WORD)
-    h = span_hash(prefix_hash(buf), s, e)
+    h = span_hash(prefix_hash(buf), s, e, buf)
     at, w = window_hash(h, doc, k)
     owner = doc[at]
     count = np.bincount(doc, minlength=n)

@@ -39,7 +39,7 @@ SLICE_WORDS = 1_000_000
 
 def doc_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     s, e, doc = spans(buf, off, ALNUM_WORD)
-    return s, e, doc, span_hash(prefix_hash(buf), s, e)
+    return s, e, doc, span_hash(prefix_hash(buf), s, e, buf)
 
 
 def item_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:

@@ -61,9 +61,9 @@ def rule_counts(buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     ls, le, ld = spans(buf, off, _NOT_NEWLINE)
     full = words[le] > words[ls]  # lines with a word
     ls, le, ld = ls[full], le[full], ld[full]
-    line = span_hash(c, ls, le) + (le - ls).astype(np.uint64)
+    line = span_hash(c, ls, le, buf, fold=False) + (le - ls).astype(np.uint64)
     _, dup = _repeats(ld, line)
-    at, h = window_hash(span_hash(c, s, e), doc, 3)
+    at, h = window_hash(span_hash(c, s, e, buf, fold=False), doc, 3)
     twice, _ = _repeats(doc[at], h)
     hit = np.zeros(len(s), bool)
     for j in range(3):

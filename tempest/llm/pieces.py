@@ -73,7 +73,7 @@ def _cut(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     last = kind != 0
     last[:-1] &= (kind[1:] != kind[:-1]) | (kind[:-1] == 2) | edge[1:n]
     s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-    h = span_hash(prefix_hash(low, fold=False), s, e)
+    h = span_hash(prefix_hash(low, fold=False), s, e, low, fold=False)
     return s, e, np.searchsorted(off, s, side="right") - 1, mix(h + (e - s).astype(np.uint64))
 
 

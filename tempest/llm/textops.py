@@ -2,8 +2,9 @@
 
 A batch is looked at as one byte buffer plus document offsets. All separators used here are ASCII, and
 no byte of a multi-byte UTF-8 character is ASCII, so working on bytes is exact for every text.
-Span hashes are polynomial (mod 2^64, odd multiplier, random byte values), so the hash of any span comes
-from one running sum; two different spans collide with a probability of about 2^-60.
+The hash of a span of up to ``SHORT`` bytes is polynomial (mod 2^64, odd multiplier, random byte values), so it comes from
+one running sum. Modulo a power of two such sums cancel for long regular strings (two Thue-Morse strings of 1,024 bytes
+have equal ones), so longer spans are hashed from their bytes by xxh3.
 """
 
 from __future__ import annotations
@@ -14,11 +15,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 MULT = 0x9E3779B97F4A7C13
 MULT_INV = pow(MULT, -1, 1 << 64)
 #: Bytes of text that one numpy step looks at; a longer single document is one step of its own.
 STEP_BYTES = 1 << 20
+#: Spans up to this many bytes have polynomial hashes.
+SHORT = 32
 
 
 def worker_state() -> dict:
@@ -78,6 +82,10 @@ def prefix_hash(buf: np.ndarray, fold: bool = True) -> np.ndarray:
     return c
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(32))
     h = h * np.uint64(0xD6E8FEB86659FD93)
@@ -86,8 +94,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def span_hash(c: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return mix((c[ends] - c[starts]) * _powers(len(c))[1][starts])
+def span_hash(c: np.ndarray, starts: np.ndarray, ends: np.ndarray, buf: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hashes of the spans of ``buf``; ``c``: its ``prefix_hash`` with the same ``fold``."""
+    out = mix((c[ends] - c[starts]) * _powers(len(c))[1][starts])
+    long = np.flatnonzero(ends - starts > SHORT)
+    if len(long):
+        raw = (_LOWER[buf] if fold else buf).tobytes()
+        out[long] = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+    return out
 
 
 def spans(buf: np.ndarray, off: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -45,3 +45,28 @@ def test_odd_rows_and_empty_table(spark, odd, no_docs):
     assert len(got) == len(odd_rows())
     assert all(x.kept is not None for x in got)
     assert op9.quality_rules(no_docs).collect() == []
+
+
+def test_regular_strings_of_any_length_have_hashes_of_their_own():
+    import numpy as np
+
+    from tempest.llm.textops import prefix_hash, span_hash
+
+    a, b = "a", "b"  # Thue-Morse strings and their complements: polynomial hashes mod 2^64 agree from 1,024 bytes on
+    for _ in range(13):
+        a, b = a + b, b + a
+        buf = np.frombuffer((a + b + a.upper()).encode(), np.uint8)
+        n = len(a)
+        h = span_hash(prefix_hash(buf), np.array([0, n, 2 * n]), np.array([n, 2 * n, 3 * n]), buf)
+        assert h[0] != h[1] and h[0] == h[2], n
+
+
+def test_unequal_regular_lines_are_no_duplicates():
+    import pyarrow as pa
+
+    from tempest.llm.textops import text_buffer
+
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    assert op9.rule_counts(*text_buffer(pa.array([f"{a}\n{b}", f"{a}\n{a}"])))["n_dup_lines"].tolist() == [0, 1]
