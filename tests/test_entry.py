@@ -31,7 +31,7 @@ def test_every_oracle_sql_runs_in_duckdb():
     from .conftest import SF_SMALL
 
     con = duckdb.connect()
-    for t in ("events", "documents", "labels", "benchmark", "conversations", "pages"):
+    for t in ("events", "documents", "embeddings", "labels", "benchmark", "conversations", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in E.oracle_sql().items():
         cols = [d[0] for d in con.execute(f"DESCRIBE {sql}").fetchall()]

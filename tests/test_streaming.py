@@ -327,3 +327,12 @@ def test_map_and_list_state_restart_and_expiry(spark, tmp_path):
     go(P.RecentValues(2), "l", rows[:4])
     assert [r[2:] for r in go(P.RecentValues(2), "l", rows[5:])] == [
         (1, 1.0, 1.0), (2, 1.0, 2.0), (1, 3.0, 3.0), (1, 2.0, 2.0), (1, 5.0, 5.0), (2, 3.0, 6.0), (2, 5.0, 7.0)]
+
+
+def test_user_reduce_on_value_state(spark, tmp_path):
+    land(str(tmp_path / "in"), SENSOR_ROWS, 2)
+    fields = "seq long, id string, timestamp long, temperature double"
+    larger = P.KeyedReduce(lambda a, b: {**b, "temperature": max(a["temperature"], b["temperature"])}, ["seq", "id", "timestamp", "temperature"], fields)
+    out = run(spark, tmp_path, "red", runner.keyed(stream_of(spark, str(tmp_path / "in")), "id", larger, fields))
+    want = rolling.rolling_reduce_max(spark.createDataFrame(SENSOR_ROWS, SCHEMA))
+    assert _r(out.collect()) == _r(want.select(*out.columns).collect())
