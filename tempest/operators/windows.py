@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Protocol
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,6 +99,13 @@ def group_window(df: DataFrame, size: int, accumulators: Mapping[str, tuple[str,
     return d.select(key, "window_end", *[c.alias(n) for n, c in results.items()])
 
 
+def window_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, size: int, slide: int | None = None,
+                 key: str = "id", ts: str = "timestamp") -> DataFrame:
+    """Full-window function of a pandas frame: ``fn`` receives the rows of a (key, window), with ``window_end``, and returns
+    rows of ``schema``. The whole window of one key is handed to one call; for large windows use :func:`window_process`."""
+    return window_ends(df, size, slide, ts).groupBy(key, "window_end").applyInPandas(fn, schema)
+
+
 class WindowFunction(Protocol):
     """A user's full-window function, made anew for each window: it is given the window's rows in order, an Arrow batch
     at a time, and then asked for its result rows (dicts)."""
@@ -107,7 +115,7 @@ class WindowFunction(Protocol):
     def result(self) -> list[dict]: ...
 
 
-def window_apply(df: DataFrame, function: Callable[[], WindowFunction], schema: str, size: int, slide: int | None = None,
+def window_process(df: DataFrame, function: Callable[[], WindowFunction], schema: str, size: int, slide: int | None = None,
                  key: str = "id", ts: str = "timestamp", order: Sequence[str] = ()) -> DataFrame:
     """Full-window function (``WindowFunction.apply``) over every (key, window): rows ``(key, window_end, *schema)``.
     ``function()`` gives the object that sees a window's rows sorted by ``order``, with ``window_rows``, their number. The
@@ -151,7 +159,7 @@ class Median:
 
 def window_median(df: DataFrame, size: int, key: str = "id", field: str = "temperature", ts: str = "timestamp") -> DataFrame:
     """``(key, window_end, rows, median)`` of the readings that are not null."""
-    return window_apply(df.where(F.col(field).isNotNull()), lambda: Median(field), "rows long, median double", size, key=key, ts=ts, order=[field])
+    return window_process(df.where(F.col(field).isNotNull()), lambda: Median(field), "rows long, median double", size, key=key, ts=ts, order=[field])
 
 
 def over_rows(df: DataFrame, preceding: int = 2, key: str = "id", field: str = "temp", ts: str = "ts",

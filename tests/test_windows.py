@@ -99,7 +99,7 @@ def test_full_window_function_sees_sorted_batches_of_one_huge_window(spark):
 
     df = spark.range(60_000).select(F.lit("a").alias("id"), F.lit(5).cast("long").alias("timestamp"), F.rand(1).alias("temperature"))
     df = df.unionByName(spark.createDataFrame([(None, 7, 1.0), (None, 8, 4.0), ("b", 9, None)], "id string, timestamp long, temperature double"))
-    got = {r.id: r for r in windows.window_apply(df.where("temperature is not null"), Ordered, "n long, ok boolean, largest long", 10, order=["temperature"]).collect()}
+    got = {r.id: r for r in windows.window_process(df.where("temperature is not null"), Ordered, "n long, ok boolean, largest long", 10, order=["temperature"]).collect()}
     assert (got["a"].n, got["a"].ok) == (60_000, True) and got["a"].largest <= 10_000 and got["a"].window_end == 10
     assert (got[None].n, len(got)) == (2, 2)
     m = {r.id: (r["rows"], r.median) for r in windows.window_median(df, 10).collect()}
