@@ -8,19 +8,24 @@ are a written table below the checkpoint folder, so both passes see the same one
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tempest.llm.textops import text_steps
-from tempest.session import materialize
+from tempest.session import materialize, remove_path, scratch_path
 
 BLOCK_BYTES = 4 << 20
 #: A block is written and shuffled once each, so a fifth less of disk is worth more than the time to compress.
 LEVEL = 6
+#: Spark's own limit (``spark.sql.sources.bucketing.maxBuckets``); beyond 2 MAX_BUCKETS blocks a bucket has more blocks.
+MAX_BUCKETS = 100_000
 
 
 def pack_table(t: pa.RecordBatch) -> bytes:
@@ -58,6 +63,29 @@ def write_blocks(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_B
     """(block long, payload binary) of all rows of ``docs``, written once. Slices of the reader's batches that
     are under half a block are merged, so the number of blocks follows the text and not the batches."""
 
+    return materialize(docs.mapInArrow(_blocks_of(text, block_bytes), "block long, payload binary"), name)
+
+
+@contextlib.contextmanager
+def bucketed_blocks(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, name: str = "blocks") -> Iterator[DataFrame]:
+    """As :func:`write_blocks`, as a table bucketed by ``block``: what is grouped or joined with it by block is shuffled to
+    it, and the blocks, which are most of the bytes, stay in their files. The table has a name in the session's catalog
+    for as long as the context is open (results must be written inside); its files, below the checkpoint folder, go with it."""
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    table = f"tempest_{name}_{uuid.uuid4().hex[:12]}"
+    rows = docs.mapInArrow(_blocks_of(text, block_bytes), "block long, payload binary")
+    buckets = min(max(8, size // (2 * block_bytes)), MAX_BUCKETS)
+    path = scratch_path(spark, name)
+    rows.write.bucketBy(buckets, "block").option("path", path).saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+        remove_path(spark, path)
+
+
+def _blocks_of(text: str, block_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, size = TaskContext.get().partitionId() << 32, [], 0
         for rb, buf, _ in text_steps(batches, text, block_bytes):
@@ -70,7 +98,7 @@ def write_blocks(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_B
         if held:
             yield _row(block, held)
 
-    return materialize(docs.mapInArrow(run, "block long, payload binary"), name)
+    return run
 
 
 def _row(block: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
