@@ -22,8 +22,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose perplexity is over the threshold of their language."""
     trusted = op7_quality_model.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = op7_quality_model.perplexities(docs, trusted, keep_text=True)
-    return op7_quality_model.verdicts(scored).where("_kept").select(*docs.columns)
+    return op7_quality_model.without_low_quality(docs, trusted)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
