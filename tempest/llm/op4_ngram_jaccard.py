@@ -117,19 +117,18 @@ def shared_sets(docs: DataFrame, total: int, percent: int) -> DataFrame:
     """docs (doc_id, text) → doc_id, n (size of its set), feats (its shared shingles) of the documents of
     which at least ``percent`` per cent of the shingles are shared with another document."""
 
-    def sets_of(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def items(rb: pa.RecordBatch) -> tuple[np.ndarray, None, np.ndarray]:
         parts, ats = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
         for _, buf, off in text_steps([rb], "text"):
             w, at = shingle_sets(buf, off)
             parts.append(w)
             ats.append(at[1:] + ats[-1][-1])
-        return np.concatenate(parts), np.concatenate(ats)
+        return np.concatenate(parts), None, np.concatenate(ats)
 
-    def apply(rb: pa.RecordBatch, w: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-        at = sets_of(rb)[1]
+    def apply(rb: pa.RecordBatch, w: np.ndarray, at: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
         return _kept_sets(rb, "doc_id", np.diff(at), w, at, more, percent)
 
-    return screened(write_blocks(docs), lambda rb: (sets_of(rb)[0], None), apply, _SETS, total)
+    return screened(write_blocks(docs), items, apply, _SETS, total)
 
 
 def _feats(rb: pa.RecordBatch) -> list[np.ndarray]:
@@ -141,11 +140,12 @@ def distinct_shared(sets: DataFrame, percent: int) -> DataFrame:
     *another set* (before, copies of a set vouched for each other)."""
     total = sets.agg(F.sum(F.length("feats")) / 8).first()[0] or 0
 
-    def items(rb: pa.RecordBatch) -> tuple[np.ndarray, None]:
-        return np.concatenate([np.zeros(0, np.uint64), *_feats(rb)]), None
+    def items(rb: pa.RecordBatch) -> tuple[np.ndarray, None, np.ndarray]:
+        feats = _feats(rb)
+        at = np.concatenate(([0], np.cumsum([len(f) for f in feats]))).astype(np.int64)
+        return np.concatenate([np.zeros(0, np.uint64), *feats]), None, at
 
-    def apply(rb: pa.RecordBatch, w: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-        at = np.concatenate(([0], np.cumsum([len(f) for f in _feats(rb)]))).astype(np.int64)
+    def apply(rb: pa.RecordBatch, w: np.ndarray, at: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
         return _kept_sets(rb, "doc_id", rb.column("n").to_numpy(), w, at, more, percent)
 
     return screened(pack_blocks(sets, "feats", name="set-blocks"), items, apply, _SETS, int(total))
@@ -200,12 +200,12 @@ def _open_buckets(reps: DataFrame, comp: DataFrame, percent: int, every: int) ->
     total = reps.agg(F.sum("n")).first()[0] or 0
     blocks = pack_blocks(reps.join(comp, "node"), "feats", name="rep-blocks")
 
-    def items(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def items(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         s, row = _block_signatures(rb, percent, every)
-        return s, rb.column("comp").to_numpy()[row]
+        return s, rb.column("comp").to_numpy()[row], row
 
-    def apply(rb: pa.RecordBatch, s: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-        row = pa.array(_block_signatures(rb, percent, every)[1][more])
+    def apply(rb: pa.RecordBatch, s: np.ndarray, owner: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        row = pa.array(owner[more])
         return pa.RecordBatch.from_arrays([_signed(s[more]), *[rb.column(c).take(row) for c in ("node", "n", "comp")]], ["sig", "node", "n", "comp"])
 
     found = screened(blocks, items, apply, "sig long, node long, n long, comp long", max(1, total // every), tagged=True)

@@ -23,8 +23,9 @@ from tempest.llm.textops import mix
 #: Keys that one shard gets on average.
 SHARD_KEYS = 2_000_000
 
-Items = Callable[[pa.RecordBatch], tuple[np.ndarray, "np.ndarray | None"]]
-Apply = Callable[[pa.RecordBatch, np.ndarray, np.ndarray], pa.RecordBatch]
+#: rows → (keys, their tags or None, where the keys belong: handed on to ``Apply``)
+Items = Callable[[pa.RecordBatch], tuple[np.ndarray, "np.ndarray | None", np.ndarray]]
+Apply = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch]
 
 
 def _dealt(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,14 +48,15 @@ def _twice(values: np.ndarray, tags: np.ndarray | None) -> np.ndarray:
 
 
 def screened(blocks: DataFrame, items: Items, apply: Apply, schema: str, total: int, tagged: bool = False) -> DataFrame:
-    """``apply(rows, keys, more)`` for every block (block long, payload binary): ``keys`` as ``items(rows)`` gives
-    them, ``more[i]``: key i occurs elsewhere in the corpus too (or again in this block). ``total``: number of keys."""
+    """``apply(rows, keys, place, more)`` for every block (block long, payload binary): ``keys`` and ``place`` as
+    ``items(rows)`` gives them, ``more[i]``: key i occurs elsewhere in the corpus too (or again in this block).
+    ``total``: number of keys."""
     shards = max(4, -(-total // SHARD_KEYS))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, payload in zip(b.column("block").to_pylist(), b.column("payload")):
-                keys, tags = items(unpack_table(payload.as_py()))
+                keys, tags, _ = items(unpack_table(payload.as_py()))
                 if not len(keys):
                     continue
                 order, shard, low = _dealt(keys, shards)
@@ -85,13 +87,13 @@ def screened(blocks: DataFrame, items: Items, apply: Apply, schema: str, total:
         for b in batches:
             for payload, answers in zip(b.column("payload"), b.column("answers")):
                 rows = unpack_table(payload.as_py())
-                keys, _ = items(rows)
+                keys, _, place = items(rows)
                 more = np.zeros(len(keys), bool)
                 if len(keys):
                     order, shard, _ = _dealt(keys, shards)
                     sizes = np.bincount(shard, minlength=shards)
                     got = [np.unpackbits(np.frombuffer(x["bits"], np.uint8))[: sizes[x["shard"]]] for x in answers.as_py()]
                     more[order] = np.concatenate(got).astype(bool)
-                yield apply(rows, keys, more)
+                yield apply(rows, keys, place, more)
 
     return blocks.join(bits, "block").select("payload", "answers").mapInArrow(run, schema)
