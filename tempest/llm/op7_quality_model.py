@@ -1,8 +1,10 @@
 """Quality classifier: interpolated modified Kneser-Ney over byte n-grams, trained on trusted text.
 
 Texts are byte sequences after three start bytes (0); a gram is five bytes in one integer. The model is trained
-on trusted documents (label quality 1, at most ``MAX_TRUSTED`` of them) with crc32(id) mod 5 != 0:
+on all trusted documents (label quality 1) with crc32(id) mod 5 != 0:
 
+0. Blocks send the ids of their rows, which are joined with the trusted ids; each block gets the places of its trusted
+   rows back (``_flags``). Only ids are shuffled, and neither side has to fit into a task or the driver.
 1. Each block of documents sends the distinct grams of its trusted texts with counts; Spark sums them (sharded by gram).
 2. Lower orders hold continuation counts (in how many longer grams a gram ends), by one aggregation each. Each
    order has its three discounts D1, D2, D3+ from its counts of counts, and per context the total and the
@@ -32,8 +34,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, LongType, StructField, StructType
 
 from tempest.llm.answers import answer, ask, distinct_keys, in_order
 from tempest.llm.blocks import bucketed_blocks, unpack_table
@@ -47,8 +51,8 @@ BLOCK = 16 << 20
 SHARD_BLOCKS = 4
 #: Columns that the results have beside those of the documents.
 OWN = ("_trusted", "_fit", "_lp", "_bytes", "_perplexity", "_threshold", "_kept")
-#: Labelled documents that the model and its thresholds are fitted on, at most; their ids are broadcast (0.5 MB).
-MAX_TRUSTED = 50_000
+#: The shard under which a block's flags come with its answers.
+FLAGS = -1
 SHRINK = 200.0
 QUANTILE = 0.99
 MARGIN = 1.1
@@ -88,18 +92,53 @@ def _block_grams(rb: pa.RecordBatch, rows: np.ndarray | None = None) -> tuple[np
     return u, np.bincount(back, weights=np.concatenate(cs), minlength=len(u)).astype(np.int64)
 
 
-def _fit_counts(blocks: DataFrame) -> DataFrame:
-    """(g, c): the grams of the trusted training texts of each block."""
+def _flags(blocks: DataFrame, trusted: DataFrame, id_col: str, kind: DataType) -> DataFrame:
+    """(block, shard = FLAGS, values), written: 2 · place (+ 1 for a training text) of each trusted row of a block, packed
+    as int64. Blocks without trusted rows have none."""
+    schema = StructType([StructField("block", LongType()), StructField("at", LongType()), StructField("id", kind)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for payload in b.column("payload"):
+            for block, payload in zip(b.column("block").to_pylist(), b.column("payload")):
                 rb = unpack_table(payload.as_py())
-                u, c = _block_grams(rb, rb.column("_fit").to_numpy(zero_copy_only=False).astype(bool))
-                for x in range(0, len(u), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(u[x : x + 100_000]), pa.array(c[x : x + 100_000])], ["g", "c"])
+                n = rb.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int64)), pa.array(np.arange(n)), rb.column(id_col)], ["block", "at", "id"])
+
+    def packed(t: pa.Table) -> pa.Table:
+        return pa.table({"block": t["block"].slice(0, 1), "shard": pa.array([FLAGS], pa.int32()),
+                         "values": pa.array([np.sort(t["v"].to_numpy()).tobytes()], pa.binary())})
+
+    d = blocks.mapInArrow(ids, schema)
+    d = d.join(trusted, d["id"] == trusted["_id"])
+    fit = F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0
+    d = d.select("block", (F.col("at") * 2 + fit.cast("long")).alias("v"))
+    return materialize(d.groupBy("block").applyInArrow(packed, "block long, shard int, values binary"), "flags")
+
+
+def _flagged(values: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(trusted, training) of a block's ``n`` rows."""
+    v = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, np.int64) for x in values]])
+    trusted, fit = np.zeros(n, bool), np.zeros(n, bool)
+    trusted[v >> 1] = True
+    fit[v[v & 1 == 1] >> 1] = True
+    return trusted, fit
+
+
+def _fit_counts(blocks: DataFrame, flags: DataFrame) -> DataFrame:
+    """(g, c): the grams of the trusted training texts of each block."""
 
-    return blocks.mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        us, cs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for payload in left["payload"] if right.num_rows else []:  # one
+            rb = unpack_table(payload.as_py())
+            u, c = _block_grams(rb, _flagged(right["values"].to_pylist(), rb.num_rows)[1])
+            us.append(u)
+            cs.append(c)
+        pa.default_memory_pool().release_unused()  # a worker lives on after the group
+        return pa.table({"g": np.concatenate(us), "c": np.concatenate(cs)})
+
+    grams_of = blocks.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(run, "g long, c long")
+    return grams_of.groupBy("g").agg(F.sum("c").alias("c"))
 
 
 def _discounts(types: DataFrame) -> list[float]:
@@ -159,40 +198,39 @@ def gram_log_probs(distinct: DataFrame, model: list[tuple[DataFrame, DataFrame]]
 
 def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", keep_text: bool = False) -> DataFrame:
     """All columns of ``docs`` (the text, in ``text``, on demand) and ``_lp`` (sum of log-probabilities), ``_bytes``,
-    ``_trusted``, ``_fit``. trusted: (_id), distinct, at most ``MAX_TRUSTED``. The result is a written table."""
+    ``_trusted``, ``_fit``. trusted: (_id), distinct. The result is a written table."""
     docs = docs.drop(*OWN)
     names = [c for c in docs.columns if keep_text or c != "text"]
-    key = next(k for k in map("_id{}".format, range(len(docs.columns) + 1)) if k not in docs.columns)
-    known = trusted.select(F.col("_id").alias(key), F.lit(True).alias("_trusted"))
-    d = docs.join(F.broadcast(known), docs[id_col] == known[key], "left").drop(key)
-    fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
-    d = d.withColumn("_trusted", F.coalesce("_trusted", F.lit(False))).withColumn("_fit", F.col("_trusted") & (fold != 0))
-    out_cols = [*names, "_trusted", "_fit"]
-    schema = d.select(*[F.col(f"`{c}`") for c in out_cols], F.lit(0.0).alias("_lp"), F.lit(0).cast("long").alias("_bytes")).schema
-
-    with bucketed_blocks(d, "text", BLOCK) as blocks:
+    flag = F.lit(True).alias("_trusted"), F.lit(True).alias("_fit")
+    schema = docs.select(*[F.col(f"`{c}`") for c in names], *flag, F.lit(0.0).alias("_lp"), F.lit(0).cast("long").alias("_bytes")).schema
+
+    with bucketed_blocks(docs, "text", BLOCK) as blocks:
         shards = max(4, blocks.count() // SHARD_BLOCKS)
-        model = train(_fit_counts(blocks))
+        flags = _flags(blocks, trusted, id_col, docs.schema[id_col].dataType)
+        model = train(_fit_counts(blocks, flags))
         asked = ask(blocks, lambda rb: _block_grams(rb)[0], shards)
-        answers = answer(asked, gram_log_probs(distinct_keys(asked, "g"), model), "g", "lp")
-        score = _scorer(out_cols, shards)
+        answers = answer(asked, gram_log_probs(distinct_keys(asked, "g"), model), "g", "lp").unionByName(flags)
+        score = _scorer(names, shards)
         scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema)
         return materialize(scored, "scored")
 
 
-def _scorer(out_cols: list[str], shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _scorer(names: list[str], shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for payload in left["payload"]:  # one
             rb = unpack_table(payload.as_py())
             g = _block_grams(rb)[0]
-            lp = in_order(g, right, shards)
+            mine = pa.compute.equal(right["shard"], FLAGS)
+            lp = in_order(g, right.filter(pa.compute.invert(mine)), shards)
+            trusted, fit = _flagged(right.filter(mine)["values"].to_pylist(), rb.num_rows)
             lps, sizes = [], []
             for part, buf, off in text_steps([rb], "text"):
                 x = np.concatenate(([0.0], np.cumsum(lp[np.searchsorted(g, grams(buf, off))]))) if len(buf) else np.zeros(1)
                 lps.append(x[off[1:]] - x[off[:-1]])
                 sizes.append(np.diff(off))
-            t = pa.Table.from_batches([rb]).select(out_cols).append_column("_lp", pa.array(np.concatenate(lps)))
+            t = pa.Table.from_batches([rb]).select(names).append_column("_trusted", pa.array(trusted)).append_column("_fit", pa.array(fit))
+            t = t.append_column("_lp", pa.array(np.concatenate(lps)))
             out.append(t.append_column("_bytes", pa.array(np.concatenate(sizes).astype(np.int64))))
         pa.default_memory_pool().release_unused()  # a worker lives on after the group
         return pa.concat_tables(out)
@@ -216,7 +254,7 @@ def verdicts(scored: DataFrame, lang_col: str = "lang", quantile: float = QUANTI
     key = next(k for k in map("_lang{}".format, range(len(scored.columns) + 1)) if k not in scored.columns)
     by = by.where(F.col("fit") >= MIN_FIT).select(
         F.col("_lang").alias(key), F.when(F.col("n") >= MIN_HELD, F.col("q") * margin).otherwise(F.lit(common).cast("double")).alias("_threshold"))
-    out = scored.withColumn("_perplexity", ppl).join(F.broadcast(by), F.col(lang_col).eqNullSafe(F.col(key)), "left")  # at most MAX_TRUSTED / MIN_FIT rows
+    out = scored.withColumn("_perplexity", ppl).join(F.broadcast(by), F.col(lang_col).eqNullSafe(F.col(key)), "left")  # a row per language with MIN_FIT
     return out.withColumn("_kept", F.coalesce(F.col("_perplexity") <= F.col("_threshold"), F.lit(True))).drop(key)
 
 
@@ -228,10 +266,9 @@ def without_low_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_
     return verdicts(scored).where("_kept").select(*plain.columns).toDF(*docs.columns)
 
 
-def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """Ids of trusted documents: label 1, at most ``max_trusted`` (smallest by hash)."""
-    ids = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
-    return ids.orderBy(F.xxhash64("_id"), "_id").limit(max_trusted)
+def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """Ids of all trusted documents: label 1."""
+    return labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
 
 
 def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -160,3 +161,14 @@ def test_columns_with_the_names_of_the_operator(spark, small):
     assert all(r[c] == c for r in kept for c in clash) and kept[0].text is not None
     v = op7.verdicts(op7.perplexities(wide, op7.trusted_ids(labels))).collect()
     assert {r.doc_id: r._perplexity for r in v}.keys() == {r[0] for r in rows} and all(r._id == "_id" for r in v)
+
+
+def test_every_trusted_label_is_learnt_from(spark):
+    labels = spark.range(60_000).selectExpr("id as doc_id", "1 as quality")
+    ids = op7.trusted_ids(labels.union(labels))
+    assert ids.count() == 60_000
+    docs = spark.createDataFrame([(i * 997, words(i, 20), "en") for i in range(60)] + [(None, "no id", "en"), (70_000, words(1, 9), "en")],
+                                 "doc_id long, text string, lang string").repartition(3)
+    got = op7.perplexities(docs, ids).collect()
+    fit = {i * 997 for i in range(60) if zlib.crc32(str(i * 997).encode()) % 5}
+    assert {x.doc_id for x in got if x._fit} == fit and sum(x._trusted for x in got) == 60 and len(got) == 62
