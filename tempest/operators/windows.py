@@ -11,12 +11,12 @@ from typing import Protocol
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tempest.operators.scan import join_null_safe, keyed_rank_by, last_rows_frame
+from tempest.operators.scan import keyed_rank_by, last_rows_frame
 from tempest.readings import with_rowtime
 
 
@@ -106,6 +106,10 @@ def window_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], sche
     return window_ends(df, size, slide, ts).groupBy(key, "window_end").applyInPandas(fn, schema)
 
 
+#: Buckets that windows are dealt to, for each shuffle partition.
+BUCKETS = 16
+
+
 class WindowFunction(Protocol):
     """A user's full-window function, made anew for each window: it is given the window's rows in order, an Arrow batch
     at a time, and then asked for its result rows (dicts)."""
@@ -120,24 +124,45 @@ def window_process(df: DataFrame, function: Callable[[], WindowFunction], schema
     """Full-window function (``WindowFunction.apply``) over every (key, window): rows ``(key, window_end, *schema)``.
     ``function()`` gives the object that sees a window's rows sorted by ``order``, with ``window_rows``, their number. The
     rows come out of Spark's own (spilling) sort batch by batch, so a window is never held as a whole: how much of it the
-    function keeps is its own affair. Use it when no built-in aggregate expresses the function."""
+    function keeps is its own affair. Use it when no built-in aggregate expresses the function.
+
+    Windows are dealt to buckets by hash, and a bucket is one group with Spark: its many small windows share their Arrow
+    batches, and the rows are shuffled and sorted once (the number of rows comes from a window over the same order)."""
     d = window_ends(df, size, slide, ts)
     ks = [key, "window_end"]
-    counted = join_null_safe(d, d.groupBy(*ks).agg(F.count(F.lit(1)).alias("window_rows")), ks)
+    out = StructType([*d.select(*ks).schema, *StructType.fromDDL(schema)])
+    buckets = BUCKETS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = d.withColumn("_bucket", F.pmod(F.xxhash64(*ks), F.lit(buckets))).repartition("_bucket")
+    w = Window.partitionBy("_bucket", *ks)
+    w = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing) if order else w
     # the grouping below needs this distribution and these leading sort columns: no further exchange or sort
-    counted = counted.repartition(*ks).sortWithinPartitions(*ks, *order)
-    out = StructType([*counted.select(*ks).schema, *StructType.fromDDL(schema)])
+    counted = d.withColumn("window_rows", F.count(F.lit(1)).over(w))
+    seen = [c for c in counted.columns if c != "_bucket"]
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, place = function(), None
+        f, place, rows = None, {}, []
         for rb in batches:
-            if rb.num_rows:
-                place = place or {k: rb.column(k)[0].as_py() for k in ks}
-                f.add(rb)
-        yield pa.RecordBatch.from_pylist([place | r for r in f.result()] if place else [], schema=arrow)
-
-    return counted.groupBy(*ks).applyInArrow(run, out)
+            if not rb.num_rows:
+                continue
+            rb = rb.select(seen)
+            # sorted rows: a window's are together, and one ends where its number of rows is reached
+            at = 0
+            while at < rb.num_rows:
+                if f is None:
+                    f, place, left = function(), {k: rb.column(k)[at].as_py() for k in ks}, rb.column("window_rows")[at].as_py()
+                n = min(left, rb.num_rows - at)
+                f.add(rb.slice(at, n))
+                at, left = at + n, left - n
+                if not left:
+                    rows += [place | r for r in f.result()]
+                    f = None
+                if len(rows) >= 10_000:
+                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+                    rows = []
+        yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    return counted.groupBy("_bucket").applyInArrow(run, out)
 
 
 class Median:

@@ -106,3 +106,19 @@ def test_full_window_function_sees_sorted_batches_of_one_huge_window(spark):
     assert m[None] == (2, 2.5) and m["a"][0] == 60_000 and abs(m["a"][1] - 0.5) < 0.02
     plan = windows.window_median(df, 10)._jdf.queryExecution().toString()
     assert "FlatMapGroupsInArrow" in plan
+
+
+def test_small_windows_share_one_group_and_one_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(30_000).select(F.when(F.col("id") % 11 != 0, F.concat(F.lit("s"), F.col("id") % 400)).alias("id"), (F.col("id") % 173).alias("timestamp"),
+                                    F.when(F.col("id") % 5 != 0, (F.col("id") * 7919 % 1009).cast("double")).alias("temperature"))
+    want = {}
+    for r in df.where("temperature is not null").collect():
+        want.setdefault((r.id, r.timestamp // 10 * 10 + 10), []).append(r.temperature)
+    got = windows.window_median(df, 10)
+    assert {(r.id, r.window_end): (r["rows"], r.median) for r in got.collect()} == {
+        k: (len(v), (sorted(v)[(len(v) - 1) // 2] + sorted(v)[len(v) // 2]) / 2) for k, v in want.items()}
+    assert got.count() == len(want) > 5_000
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1, plan
