@@ -26,6 +26,21 @@ ROWS = 1 << 16
 SUPER = 1 << 10
 
 
+def group_starts(batches: Iterator[pa.RecordBatch], group: Sequence[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The batches with rows, sorted by ``group``, and which of their rows begin a group."""
+    last = None
+    for rb in batches:
+        if not rb.num_rows:
+            continue
+        new = np.zeros(rb.num_rows, bool)
+        for c in group:
+            x = rb.column(c).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            new[1:] |= x[1:] != x[:-1]
+        new[0] = last is None or any(last.column(c)[0].as_py() != rb.column(c)[0].as_py() for c in group)
+        yield rb, new
+        last = rb.slice(rb.num_rows - 1)
+
+
 def each_block(df: DataFrame, group: Sequence[str], order: str, run: Callable[[pa.Table], pa.Table], schema: str | StructType) -> DataFrame:
     """``run`` on the rows of each ``group``, sorted by ``order``. Many small groups come in one Arrow batch, so a
     group costs a slice of it; a group over several batches is held until its end."""
@@ -33,14 +48,7 @@ def each_block(df: DataFrame, group: Sequence[str], order: str, run: Callable[[p
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        for rb in batches:
-            if not rb.num_rows:
-                continue
-            codes = [rb.column(c).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) for c in group]
-            new = np.zeros(rb.num_rows, bool)
-            for c in codes:
-                new[1:] |= c[1:] != c[:-1]
-            new[0] = not held or any(held[-1].column(c)[held[-1].num_rows - 1].as_py() != rb.column(c)[0].as_py() for c in group)
+        for rb, new in group_starts(batches, group):
             cuts = np.append(np.flatnonzero(new), rb.num_rows)
             if cuts[0] > 0:  # the held group goes on
                 held.append(rb.slice(0, cuts[0]))
@@ -95,24 +103,37 @@ class UserReduce:
     def _acc(self, df: DataFrame):
         return F.struct(*[F.col(c) for c in self.fields]).alias("acc")
 
-    def _scan(self, df: DataFrame, group: list[str], order: str) -> DataFrame:
+    def _scan(self, df: DataFrame, group: list[str], order: str, before: bool = True) -> DataFrame:
         """``df`` (group, order, acc) with ``inc``, the reduction of acc up to and with the row in its group, ``exc``, that
-        before the row (null at first), and ``_end`` at the last row."""
+        before the row (null at first; with ``before``), and ``_end`` at the last row."""
         fn = self.fn
-        schema = StructType([*[df.schema[c] for c in (*group, order)], *df.select(F.col("acc").alias("inc"), F.col("acc").alias("exc"), F.lit(True).alias("_end")).schema])
+        accs = [F.col("acc").alias("inc"), *([F.col("acc").alias("exc")] if before else [])]
+        schema = StructType([*[df.schema[c] for c in (*group, order)], *df.select(*accs, F.lit(True).alias("_end")).schema])
         schema = StructType([StructField(f.name, f.dataType, True) for f in schema])
 
-        def run(t: pa.Table) -> pa.Table:
-            now, inc, exc = None, [], []
-            for rec in t["acc"].to_pylist():
-                exc.append(now)
-                now = _either(fn, now, rec)
-                inc.append(now)
-            kind = t["acc"].type
-            return pa.table([*[t[c] for c in (*group, order)], pa.array(inc, kind), pa.array(exc, kind), pa.array([False] * (len(inc) - 1) + [True])],
-                            [*group, order, "inc", "exc", "_end"])
-
-        return each_block(df.select(*group, order, "acc"), group, order, run, schema)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # an Arrow batch at a time, whatever the number of its groups: a group goes on from ``now``
+            now, held = None, None  # held: the batch before, whose last row may be its group's last
+            for rb, new in group_starts(batches, group):
+                if held is not None:
+                    yield ended(*held, bool(new[0]))
+                inc, exc = [], []
+                for rec, first in zip(rb.column("acc").to_pylist(), new.tolist()):
+                    now = None if first else now
+                    exc.append(now)
+                    now = _either(fn, now, rec)
+                    inc.append(now)
+                kind = rb.column("acc").type
+                accs = [pa.array(inc, kind), pa.array(exc, kind)][: 1 + before]
+                held = [*[rb.column(c) for c in (*group, order)], *accs], new
+            if held is not None:
+                yield ended(*held, True)
+
+        def ended(columns: list[pa.Array], new: np.ndarray, last: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*columns, pa.array(np.append(new[1:], last))], schema.names)
+
+        d = df.select(*group, order, "acc").repartition(*group).sortWithinPartitions(*group, order)
+        return d.mapInArrow(run, schema)
 
     def _merged(self, df: DataFrame, earlier: str, later: str, name: str) -> DataFrame:
         """``df`` with ``name`` = fn(earlier, later), or the one that is not null."""
@@ -121,9 +142,15 @@ class UserReduce:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rb in batches:
-                out = [_either(fn, a, b) for a, b in zip(rb.column(earlier).to_pylist(), rb.column(later).to_pylist())]
+                a, b = rb.column(earlier), rb.column(later)
+                has_a, has_b = (x.is_valid().to_numpy(zero_copy_only=False) for x in (a, b))
+                both = np.flatnonzero(has_a & has_b)  # only these go through Python
+                made = pa.array([fn(x, y) for x, y in zip(a.take(pa.array(both)).to_pylist(), b.take(pa.array(both)).to_pylist())], b.type)
+                at = np.where(has_b, rb.num_rows, 0) + np.arange(rb.num_rows)
+                at[both] = 2 * rb.num_rows + np.arange(len(both))
+                out = pa.concat_arrays([a if a.type == b.type else pa.array(a.to_pylist(), b.type), b, made]).take(pa.array(at))
                 keep = [f.name for f in schema][:-1]
-                yield pa.RecordBatch.from_arrays([*[rb.column(c) for c in keep], pa.array(out, rb.column(later).type)], [*keep, name])
+                yield pa.RecordBatch.from_arrays([*[rb.column(c) for c in keep], out], [*keep, name])
 
         return df.mapInArrow(run, schema)
 
@@ -131,7 +158,7 @@ class UserReduce:
         """(results per record, states of the keys of ``df``)."""
         block = min(block or self.rows, self.rows)
         rows = with_block(df.select(self.key, self.seq, self._acc(df)), self.seq, block)
-        r = materialize(self._scan(rows, [self.key, BLK], self.seq), "reduced")
+        r = materialize(self._scan(rows, [self.key, BLK], self.seq, before=False), "reduced")
         ends = r.where("_end").select(self.key, BLK, F.col("inc").alias("acc"), F.floor(F.col(BLK) / SUPER).cast("long").alias(SUP))
         in_super = materialize(self._scan(ends, [self.key, SUP], BLK), "reduced-blocks")
         tops = self._scan(in_super.where("_end").select(self.key, SUP, F.col("inc").alias("acc")), [self.key], SUP)  # a row per 2^26 records

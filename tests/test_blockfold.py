@@ -135,3 +135,47 @@ def test_rise_alarm_of_one_long_rising_sensor(spark):
         if fire is not None and fire <= rows[-1][2]:
             want.append((k, fire))
     assert got == sorted(want) and len(got) > 50
+
+
+def test_records_without_a_carry_do_not_go_through_the_function_again(spark):
+    """Every record is reduced once in its block; only records with both a carry and a result are merged."""
+    from pyspark.sql import functions as F
+
+    rows = [(f"k{i % 50}" if i % 7 else None, i, float(i * 31 % 97)) for i in range(2_000)]
+    df = spark.createDataFrame(rows, "id string, seq long, v double").repartition(4)
+    calls = spark.sparkContext.accumulator(0)
+
+    def add(a, b):
+        calls.add(1)
+        return {"v": a["v"] + b["v"]}
+
+    got = {(r.id, r.seq): r.v for r in UserReduce(add, ("v",)).run(df).collect()}
+    want, now = {}, {}
+    for k, s, v in rows:
+        now[k] = now.get(k, 0.0) + v
+        want[k, s] = now[k]
+    assert got == want
+    seed = df.groupBy("id").agg((F.max("v") * 0 + 1).alias("one"))
+    merged = UserReduce(add, ("v",))._merged(seed.select("id", F.when(F.col("id") == "k1", F.struct(F.col("one").alias("v"))).alias("a"),
+                                                          F.when(F.col("id") != "k2", F.struct((F.col("one") * 2).alias("v"))).alias("b")), "a", "b", "m")
+    assert {r.id: r.m and r.m.v for r in merged.collect()} == {k: 3.0 if k == "k1" else None if k is None or k == "k2" else 2.0 for k in now}
+
+
+def test_user_reduce_works_on_batches_of_many_keys(spark, monkeypatch):
+    """Neither a key nor a block costs a call of its own: batches hold many, and a key goes on over batches."""
+    from tempest.operators import blockfold
+
+    def refused(*a, **k):
+        raise AssertionError("a call per group")
+
+    monkeypatch.setattr(blockfold, "each_block", refused)
+    rows = [("hot" if i % 2 else f"k{i % 5000}" if i % 8 else None, i, float(i * 31 % 97)) for i in range(24_000)]
+    df = spark.createDataFrame(rows, "id string, seq long, v double").repartition(3)
+    want, now = {}, {}
+    for k, s, v in rows:
+        now[k] = now.get(k, 0.0) + v
+        want[k, s] = now[k]
+    for block in (1 << 16, 512):
+        out, state = UserReduce(lambda a, b: {"v": a["v"] + b["v"]}, ("v",)).both(df, block=block)
+        assert {(r.id, r.seq): r.v for r in out.collect()} == want
+        assert {r.id: r.acc.v for r in state.collect()} == now
