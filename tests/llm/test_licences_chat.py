@@ -84,6 +84,44 @@ def test_a_line_of_fifty_thousand_words_takes_linear_time(spark):
 
 
 
+def test_every_window_of_every_text_counts(spark):
+    """Statements against a plain loop over all places: words in another order, no cue in the text, long texts."""
+    import math
+    from collections import Counter
+
+    listed = [(name, op8.plain_words(t)) for name, ts in sorted(op8.TEMPLATES.items()) for t in [*ts, f"SPDX-License-Identifier: {name}"]]
+    df = Counter(w for _, ws in listed for w in set(ws))
+    idf = lambda w: math.log((1 + len(listed)) / (1 + df[w])) + 1 if w in df else math.log(1 + len(listed)) + 1
+    r = random.Random(8)
+    texts = []
+    for i in range(24):
+        ws = op8.plain_words(r.choice([t for ts in op8.TEMPLATES.values() for t in ts]))
+        if i % 2:
+            r.shuffle(ws)
+        ws = [w for w in ws if r.random() < 0.9] + [r.choice("the of as under by with this".split()) for _ in range(30)]
+        texts.append(" ".join([f"a{j}x" for j in range(r.choice([40, 240, 300]))] + ws + [f"b{j}x" for j in range(40)]))
+    texts.append(" ".join([f"a{j}x" for j in range(40)] + ["mozilla", "public", "version", "2.0"] + [f"b{j}x" for j in range(40)]))  # no cue
+    want = set()
+    for k, text in enumerate(texts):
+        ws, found = text.split(), []
+        for tid, (name, t) in enumerate(listed):
+            unit = {w: c * idf(w) for w, c in Counter(t).items()}
+            norm = math.sqrt(sum(v * v for v in unit.values()))
+            for start in range(len(ws) - len(t) + 1):
+                x = {w: c * idf(w) for w, c in Counter(ws[start : start + len(t)]).items()}
+                same = [w for w in x if w in unit]
+                cos = round(sum(x[w] * unit[w] for w in same) / norm / math.sqrt(sum(v * v for v in x.values())), 6)
+                if cos >= op8.LIMIT and len(same) >= min(2, len(unit)):
+                    anchor = min((-unit[w], ws.index(w, start)) for w in same)[1]
+                    found.append((-cos, -len(t), name, start, tid, anchor))
+        for f in found:
+            if min(g for g in found if g[3] <= f[5] < g[3] - g[1]) == f:
+                want.add((k, f[3], -f[1], f[2]))
+    got = op8.statement_licences(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), F.col("text"), F.col("doc_id")).collect()
+    assert {(x.key, x.start, x.n, x.licence) for x in got} == want and len(got) == len(want)
+    assert any(x.key == 24 and x.licence == "MPL-2.0" for x in got)
+
+
 def test_licence_query_has_every_row_and_no_files_give_no_rows(spark):
     sf = "/root/testdata/sf0.001"
     assert op8.op8_licenses(spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
