@@ -5,12 +5,11 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempest.functions.java import java_lt
-from tempest.operators.blockfold import each_block
+from tempest.operators.blockfold import each_group
 from tempest.operators.scan import BLK, DEFAULT_BLOCK, SUP, Running, join_null_safe, keyed_running, with_block
 from tempest.session import materialize
 
@@ -129,16 +128,12 @@ class TimerMap:
         return TimerMap(False, later(self.idle), bounds, outs)
 
 
-_MAP = "always boolean, idle long, bounds array<long>, outs array<long>"
+_MAP = ("always", "idle", "bounds", "outs")
+_MAP_SQL = "always boolean, idle long, bounds array<long>, outs array<long>"
 
 
-def _maps(t: pa.Table) -> list[TimerMap]:
-    return [TimerMap(*x) for x in zip(*(t[c].to_pylist() for c in ("always", "idle", "bounds", "outs")))]
-
-
-def _map_row(names: list[str], first: pa.Table, m: TimerMap) -> pa.Table:
-    return pa.table([*[first[c].slice(0, 1) for c in names], pa.array([m.always]), pa.array([m.idle], pa.int64()),
-                     pa.array([m.bounds], pa.list_(pa.int64())), pa.array([m.outs], pa.list_(pa.int64()))], [*names, "always", "idle", "bounds", "outs"])
+def _maps(cols: dict[str, list]) -> list[TimerMap]:
+    return [TimerMap(*m) for m in zip(*(cols[c] for c in _MAP))]
 
 
 @dataclass(frozen=True)
@@ -150,10 +145,14 @@ class RiseAlarm:
     arms ``ts + interval``; a fall with a timer cancels it; equal does nothing; ``last`` := temperature.
     At the end of the input a timer fires when its time is <= the largest ``ts`` of the whole input (:meth:`at_end`).
 
-    One plan for every input: whether a record rises or falls comes from the block scan (previous reading); each block of
-    a key is then a function of the timer at its beginning (:class:`TimerMap`), the functions are composed in
-    super-blocks, followed over these and inside them, and every block is replayed from the timer it begins with. No call
-    sees more than ``rows`` records of a key. State per key: ``last``, ``fire`` (the armed time) and ``top``, its largest time."""
+    One plan for every input, in which the records are shuffled once. Each (key, block) has one row for its last reading; a
+    prefix over these gives the reading before each block, which goes to the block's records as one more row, so
+    that whether a record rises or falls is known there. After the first fall of a block nothing of the timer before it is
+    left: those alarms are given at once. What is left is a row for each block, with its records up to that fall (all, if
+    there is none) and the block as a function of the timer at its beginning (:class:`TimerMap`). The functions are composed in
+    super-blocks and followed over these and inside them, where the records up to the fall are replayed from the timer they begin
+    with. No call sees more than ``rows`` records of a key, or the rows of ``RISE_SUPER`` blocks. State per key: ``last``,
+    ``fire`` (the armed time) and ``top``, its largest time."""
 
     interval: int = 10
     key: str = "id"
@@ -174,55 +173,72 @@ class RiseAlarm:
     def both(self, df: DataFrame, base: DataFrame | None = None, block: int = DEFAULT_BLOCK) -> tuple[DataFrame, DataFrame]:
         """(alarms ``(key, seq, fire_ts, message)`` with the seq of the record that fired them, states of the keys of ``df``)."""
         key, seq, interval = self.key, self.seq, self.interval
-        kind = df.schema[key].dataType.simpleString()
-        rows = df.select(key, seq, F.col(self.ts).alias("_t"), F.col(self.field).alias("_v"))
+        kind, number = (df.schema[c].dataType.simpleString() for c in (key, seq))
+        rows = with_block(df.select(key, seq, F.col(self.ts).alias("_t"), F.col(self.field).alias("_v")), seq, min(block, self.rows))
+        ends = rows.groupBy(key, BLK).agg(F.max_by("_v", seq).alias("_last"), F.max("_t").alias("_top"))
+        ends = materialize(ends.withColumnRenamed(BLK, "_b"), "rise-ends")
         seen = None if base is None else base.select(key, F.col("last").alias("_prev"), F.lit(1).cast("long").alias("_n"), F.lit(1).cast("long").alias("_rows"))
-        rows = keyed_running(rows, [key], {"_prev": ("last", F.col("_v")), "_n": ("count", F.lit(1))}, seq, inclusive=False, block=block, base=seen)
+        before = keyed_running(ends, [key], {"_prev": ("last", F.col("_last")), "_n": ("count", F.lit(1))}, "_b", inclusive=False, block=RISE_SUPER, base=seen)
         last = F.when(F.coalesce(F.col("_n"), F.lit(0)) == 0, F.lit(self.initial_last)).otherwise(F.col("_prev"))
-        rows = rows.select(key, seq, "_t", "_v", java_lt(last, F.col("_v")).alias("_rise"), java_lt(F.col("_v"), last).alias("_fall"))
-        rows = materialize(with_block(rows, seq, min(block, self.rows)), "rise-rows")
-
-        def lists(t: pa.Table) -> tuple[list, list, list]:
-            return t["_t"].to_pylist(), t["_rise"].to_pylist(), t["_fall"].to_pylist()
-
-        small = rows.select(key, BLK, seq, "_t", "_rise", "_fall")
-        maps = each_block(small, [key, BLK], seq, lambda t: _map_row([key, BLK], t, TimerMap.of(*lists(t), interval)), f"{key} {kind}, {BLK} long, {_MAP}")
+        before = before.select(key, F.lit(None).cast(number).alias(seq), F.lit(None).cast("long").alias("_t"), last.alias("_v"), F.col("_b").alias(BLK), F.lit(0).alias("_own"))
+
+        def first_look(c: dict[str, list]) -> list[tuple]:
+            t, rise, fall = c["_t"], c["_rise"], c["_fall"]
+            if True not in fall:
+                m = TimerMap.of(t, rise, fall, interval)
+                return [(m.always, m.idle, m.bounds, m.outs, c[seq], t, rise, False, [], [])]
+            cut = fall.index(True) + 1
+            fired, left = replay(t, rise, fall, interval, None, cut)
+            return [(True, left, [], [], c[seq][:cut], t[:cut], rise[:cut], True, [c[seq][i] for i, _ in fired], [f for _, f in fired])]
+
+        # as many tasks as there are partitions: the rows are few bytes, but each costs Python time
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sort = [key, BLK, "_own", seq]
+        both = rows.withColumn("_own", F.lit(1)).unionByName(before).repartition(parts, key, BLK).sortWithinPartitions(*sort)
+        prev = F.lag("_v").over(Window.partitionBy(key, BLK).orderBy("_own", seq))
+        both = both.withColumn("_p", prev).where("_own = 1").select(
+            key, BLK, seq, "_t", java_lt(F.col("_p"), F.col("_v")).alias("_rise"), java_lt(F.col("_v"), F.col("_p")).alias("_fall"))
+        maps = each_group(both, [key, BLK], first_look, f"{key} {kind}, {BLK} long, {_MAP_SQL}, _seq array<{number}>, _t array<long>, _rise array<boolean>, "
+                                                        f"_falls boolean, _at array<{number}>, _fired array<long>")
         maps = materialize(maps.withColumn(SUP, F.floor(F.col(BLK) / RISE_SUPER).cast("long")), "rise-maps")
 
-        def composed(t: pa.Table) -> pa.Table:
-            whole, *rest = _maps(t)
+        def composed(c: dict[str, list]) -> list[tuple]:
+            whole, *rest = _maps(c)
             for m in rest:
                 whole = whole.then(m)
-            return _map_row([key, SUP], t, whole)
-
-        def followed(names: list[str]):
-            """The timer before and after each map, from the group's ``_seed``."""
-
-            def run(t: pa.Table) -> pa.Table:
-                fire, before, after = t["_seed"][0].as_py(), [], []
-                for m in _maps(t):
-                    before.append(fire)
-                    fire = m(fire)
-                    after.append(fire)
-                return pa.table([*[t[c] for c in names], pa.array(before, pa.int64()), pa.array(after, pa.int64())], [*names, "_fire", "_left"])
-
-            return run
-
-        tops = each_block(maps, [key, SUP], BLK, composed, f"{key} {kind}, {SUP} long, {_MAP}")
+            return [(whole.always, whole.idle, whole.bounds, whole.outs)]
+
+        def followed(c: dict[str, list]) -> list[tuple]:
+            """The timer before and after each super-block."""
+            fire, out = c["_seed"][0], []
+            for sup, m in zip(c[SUP], _maps(c)):
+                out.append((sup, fire, m(fire)))
+                fire = out[-1][2]
+            return out
+
+        tops = each_group(maps.select(key, SUP, BLK, *_MAP).repartition(parts, key, SUP).sortWithinPartitions(key, SUP, BLK), [key, SUP], composed,
+                          f"{key} {kind}, {SUP} long, {_MAP_SQL}")
         seed = None if base is None else base.select(key, F.col("fire").alias("_seed"))
         tops = tops.withColumn("_seed", F.lit(None).cast("long")) if seed is None else join_null_safe(tops, seed, [key], "left")
-        tops = materialize(each_block(tops, [key], SUP, followed([key, SUP]), f"{key} {kind}, {SUP} long, _fire long, _left long"), "rise-tops")
-        inside = join_null_safe(maps, tops.select(key, SUP, F.col("_fire").alias("_seed")), [key, SUP])
-        fires = each_block(inside, [key, SUP], BLK, followed([key, BLK]), f"{key} {kind}, {BLK} long, _fire long, _left long")
-
-        def alarms(t: pa.Table) -> pa.Table:
-            got, _ = replay(*lists(t), interval, t["_fire"][0].as_py())
-            return pa.table([t[key].take(pa.array([i for i, _ in got], pa.int64())), t[seq].take(pa.array([i for i, _ in got], pa.int64())),
-                             pa.array([f for _, f in got], pa.int64())], [key, seq, "fire_ts"])
-
-        out = each_block(join_null_safe(small, fires.select(key, BLK, "_fire"), [key, BLK]), [key, BLK], seq, alarms,
-                         f"{key} {kind}, {seq} {df.schema[seq].dataType.simpleString()}, fire_ts long")
-        state = rows.groupBy(key).agg(F.max_by("_v", seq).alias("last"), F.max("_t").alias("top"))
+        tops = materialize(each_group(tops.repartition(parts, key).sortWithinPartitions(key, SUP), [key], followed,
+                                      f"{key} {kind}, {SUP} long, _fire long, _left long"), "rise-tops")
+        inside = join_null_safe(maps.drop("_at", "_fired"), tops.select(key, SUP, F.col("_fire").alias("_seed")), [key, SUP])
+
+        def heads(c: dict[str, list]) -> list[tuple]:
+            """The alarms up to each block's first fall."""
+            fire, out = c["_seed"][0], []
+            for m, at, t, rise, falls in zip(_maps(c), c["_seq"], c["_t"], c["_rise"], c["_falls"]):
+                fall = [False] * len(t)
+                fall[-1] = falls
+                out += [(at[i], f) for i, f in replay(t, rise, fall, interval, fire)[0]]
+                fire = m(fire)
+            return out
+
+        out = each_group(inside.repartition(parts, key, SUP).sortWithinPartitions(key, SUP, BLK), [key, SUP], heads,
+                         f"{key} {kind}, {SUP} long, {seq} {number}, fire_ts long").select(key, seq, "fire_ts")
+        later = maps.where(F.size("_at") > 0).select(key, F.explode(F.arrays_zip("_at", "_fired")).alias("_a"))
+        out = out.unionByName(later.select(key, F.col("_a._at").alias(seq), F.col("_a._fired").alias("fire_ts")))
+        state = ends.groupBy(key).agg(F.max_by("_last", "_b").alias("last"), F.max("_top").alias("top"))
         state = join_null_safe(state, tops.groupBy(key).agg(F.max_by("_left", SUP).alias("fire")), [key]).select(key, "last", "fire", "top")
         if base is not None:
             old = base.select(key, F.col("top").alias("_top"))

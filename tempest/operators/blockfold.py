@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from tempest.operators.scan import BLK, SUP, join_null_safe, with_block
@@ -73,6 +74,48 @@ def each_block(df: DataFrame, group: Sequence[str], order: str, run: Callable[[p
     return d.mapInArrow(packed, schema)
 
 
+def each_group(df: DataFrame, group: Sequence[str], run: Callable[[dict[str, list]], list[tuple]], schema: str) -> DataFrame:
+    """``run`` on each ``group`` of ``df``, which must come partitioned by it and sorted: it gets the columns as Python lists and
+    gives its rows, without the group columns, which come first in ``schema``. Columns are turned into lists, and rows into
+    Arrow, a batch at a time, so that a group of a few records costs little more than the call."""
+    group = list(group)
+    columns = [c for c in df.columns if c not in group]
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, dict[str, list], bool]]:
+        """(key, columns) of each whole group, and whether a batch has ended with it."""
+        key, held = None, None
+        for rb, new in group_starts(batches, group):
+            cuts = [*np.flatnonzero(new).tolist(), rb.num_rows]
+            lists = {c: rb.column(c).to_pylist() for c in columns}
+            if cuts[0] > 0:  # the held group goes on
+                for c in columns:
+                    held[c] += lists[c][: cuts[0]]
+            keys = list(zip(*(rb.column(c).take(pa.array(cuts[:-1], pa.int64())).to_pylist() for c in group)))
+            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                if held is not None:
+                    yield key, held, i == 0
+                key, held = keys[i], {c: lists[c][a:b] for c in columns}
+        if held is not None:
+            yield key, held, True
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for key, held, ended in parts(batches):
+            rows += [(*key, *r) for r in run(held)]
+            if rows and (ended or len(rows) >= 10_000):
+                yield made(rows)
+                rows = []
+        if rows:
+            yield made(rows)
+
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), kinds)], kinds.names)
+
+    return df.mapInArrow(answers, schema)
+
+
 Reduce = Callable[[dict, dict], dict]
 
 

@@ -179,3 +179,41 @@ def test_user_reduce_works_on_batches_of_many_keys(spark, monkeypatch):
         out, state = UserReduce(lambda a, b: {"v": a["v"] + b["v"]}, ("v",)).both(df, block=block)
         assert {(r.id, r.seq): r.v for r in out.collect()} == want
         assert {r.id: r.acc.v for r in state.collect()} == now
+
+
+def test_rise_alarm_hands_on_a_row_per_block_and_not_per_record(spark, monkeypatch):
+    """What is written between the steps are rows of blocks; records are shuffled once and small groups share Arrow batches."""
+    from tempest.operators import alarms
+
+    r = random.Random(3)
+    rows, t = [], 0
+    for i in range(12_000):
+        t += r.randint(-1, 2)
+        k = "hot" if i % 2 else f"k{i % 400}" if i % 16 else None
+        rows.append((i, k, t if i % 101 else None, float(i if i % 7 else r.randint(0, i)) if i % 97 else None))
+    df = spark.createDataFrame(rows, "seq long, id string, timestamp long, temperature double").repartition(3)
+    written, plain = {}, alarms.materialize
+
+    def spied(d, name):
+        out = plain(d, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(alarms, "materialize", spied)
+    op = alarms.RiseAlarm(40, rows=2048)
+    out, state = op.both(df)
+    blocks = len({(k, i // 2048) for i, k, _, _ in rows})
+    assert max(written.values()) <= blocks < len(rows) / 4
+    want, left = [], {}
+    for i, k, x, v in rows:
+        last, fire = left.get(k, (alarms.RISE_INITIAL_LAST, None))
+        if fire is not None and x is not None and x > fire:
+            want.append((str(k), i, fire))
+            fire = None
+        if None not in (last, v) and v > last:
+            fire = x + 40 if fire is None and x is not None else fire
+        elif None not in (last, v) and v < last:
+            fire = None
+        left[k] = v, fire
+    assert sorted((str(x.id), x.seq, x.fire_ts) for x in out.collect()) == sorted(want) and len(want) > 50
+    assert {x.id: (x.last, x.fire) for x in state.collect()} == left
