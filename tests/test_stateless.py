@@ -142,3 +142,27 @@ def test_text_lines_strip_crlf(spark):
     lines = [r.line for r in wordcount.text_lines(docs).orderBy("line_no").collect()]
     assert lines == ["a b", "c", ""]
     assert {r.word: r.cnt for r in wordcount.word_count(wordcount.text_lines(docs)).collect()} == {"a": 1, "b": 1, "c": 1, "": 1}
+
+
+def test_running_word_count_shuffles_occurrences_once(spark, monkeypatch):
+    """Only the range partitioning sees single occurrences: what is written are blocks, and nothing is sorted or
+    joined by word but a row per block and word. Ids may repeat or be null."""
+    rows = [(i if i % 5 else 7 if i % 2 else None, j, f"w{(i * j) % 13}" if (i + j) % 4 else None) for i in range(40) for j in range(50)]
+    words = spark.createDataFrame(rows, "doc_id long, pos int, word string").repartition(3)
+    written, plain = [], wordcount.materialize
+
+    def spied(d, name):
+        out = plain(d, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(wordcount, "materialize", spied)
+    got = wordcount.running_word_count(words, block=64)
+    want, now = [], {}
+    for i, j, w in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        now[w] = now.get(w, 0) + 1
+        want.append(repr((i, j, w, now[w])))
+    assert sorted(repr(tuple(r)) for r in got.collect()) == sorted(want)
+    assert written and max(written) < len(rows) / 20
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if ("Window" in x or "Join" in x or "Sort" in x) and "pos#" in x]
