@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tempest.functions.java import java_lt
-from tempest.operators.blockfold import each_group
+from tempest.operators.blockfold import each_group, whole_groups
 from tempest.operators.scan import BLK, DEFAULT_BLOCK, SUP, Running, join_null_safe, keyed_running, with_block
 from tempest.session import materialize
 
@@ -57,6 +62,63 @@ def replay(t: list, rise: list, fall: list, interval: int, fire: int | None, beg
     return out, fire
 
 
+#: Runs that are left, when the others have ended, to be replayed one by one.
+FEW_RUNS = 32
+
+
+@dataclass(frozen=True)
+class Records:
+    """Times (with ``known``: not null), rises and falls of records, as arrays."""
+
+    t: np.ndarray
+    known: np.ndarray
+    rise: np.ndarray
+    fall: np.ndarray
+
+    @staticmethod
+    def of(rb: pa.RecordBatch) -> "Records":
+        t, rise, fall = (rb.column(c) for c in ("_t", "_rise", "_fall"))
+        return Records(t.fill_null(0).to_numpy(), t.is_valid().to_numpy(zero_copy_only=False),
+                       *(x.fill_null(False).to_numpy(zero_copy_only=False) for x in (rise, fall)))
+
+    def lists(self, a: int, b: int) -> tuple[list, list, list]:
+        """Records ``a`` to ``b`` as :func:`replay` takes them."""
+        t = [x if k else None for x, k in zip(self.t[a:b].tolist(), self.known[a:b].tolist())]
+        return t, self.rise[a:b].tolist(), self.fall[a:b].tolist()
+
+    def replayed(self, begin: np.ndarray, end: np.ndarray, interval: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """:func:`replay` of many runs of records at once, each without a timer at first: (the records that fire, in order;
+        their fire times; whether a run leaves a timer; its time). Step k takes the k-th record of every run that has one."""
+        order = np.argsort(begin - end, kind="stable")  # the longest first
+        at0, size = begin[order], (end - begin)[order]
+        armed, fire = np.zeros(len(order), bool), np.zeros(len(order), np.int64)
+        hits, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        k = 0
+        while (m := int(np.searchsorted(-size, -k))) > FEW_RUNS:
+            at = at0[:m] + k
+            x, known, a, f = self.t[at], self.known[at], armed[:m], fire[:m]
+            over = a & known & (x > f)
+            hits.append(at[over])
+            times.append(f[over])
+            a &= ~over
+            arm = self.rise[at] & known & ~a
+            f[arm] = x[arm] + interval
+            a |= arm
+            a &= ~self.fall[at]
+            k += 1
+        for i in range(m):
+            first = int(at0[i]) + k
+            out, left = replay(*self.lists(first, first + int(size[i]) - k), interval, int(fire[i]) if armed[i] else None)
+            hits.append(np.array([first + j for j, _ in out], np.int64))
+            times.append(np.array([f for _, f in out], np.int64))
+            armed[i], fire[i] = left is not None, left or 0
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        hit, time = np.concatenate(hits), np.concatenate(times)
+        by = np.argsort(hit)
+        return hit[by], time[by], armed[back], fire[back]
+
+
 @dataclass(frozen=True)
 class TimerMap:
     """What a run of records does to a timer: armed time before → armed time after.
@@ -136,6 +198,46 @@ def _maps(cols: dict[str, list]) -> list[TimerMap]:
     return [TimerMap(*m) for m in zip(*(cols[c] for c in _MAP))]
 
 
+def _first_look(rb: pa.RecordBatch, starts: np.ndarray, key: str, seq: str, interval: int, kinds: pa.Schema) -> pa.RecordBatch:
+    """A row for each block (a group of ``rb`` from ``starts``): its map, its records up to the first fall and, as a fall leaves no
+    timer, the alarms after that. All blocks of the batch are looked at together, but for the maps of those without a fall."""
+    r = Records.of(rb)
+    n, blocks = rb.num_rows, len(starts)
+    ends = np.append(starts[1:], n)
+    group = np.repeat(np.arange(blocks), ends - starts)
+    falls = np.flatnonzero(r.fall)
+    lo, hi = np.searchsorted(falls, starts), np.searchsorted(falls, ends)
+    some = hi > lo
+    cut = ends.copy()
+    cut[some] = falls[lo[some]] + 1
+    stop = ends[group[falls]]  # a run goes on to the next fall, or to the end of its block
+    stop[:-1] = np.minimum(stop[:-1], falls[1:] + 1)
+    at, fired, armed, fire = r.replayed(falls + 1, stop, interval)
+    idle: list = [None] * blocks
+    for g in np.flatnonzero(some)[armed[hi[some] - 1]].tolist():
+        idle[g] = int(fire[hi[g] - 1])
+    bounds: list[list] = [[]] * blocks
+    outs: list[list] = [[]] * blocks
+    for g in np.flatnonzero(~some).tolist():
+        m = TimerMap.of(*r.lists(int(starts[g]), int(ends[g])), interval)
+        idle[g], bounds[g], outs[g] = m.idle, m.bounds, m.outs
+
+    def lists(name: str, sizes: np.ndarray, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), values, type=kinds.field(name).type)
+
+    first = pa.array(starts)
+    head = pa.array(np.arange(n) < cut[group])
+    later = np.bincount(group[at], minlength=blocks)
+    made = {
+        key: rb.column(key).take(first), BLK: rb.column(BLK).take(first), "always": pa.array(some), "idle": pa.array(idle, pa.int64()),
+        "bounds": pa.array(bounds, kinds.field("bounds").type), "outs": pa.array(outs, kinds.field("outs").type),
+        "_seq": lists("_seq", cut - starts, rb.column(seq).filter(head)), "_t": lists("_t", cut - starts, rb.column("_t").filter(head)),
+        "_rise": lists("_rise", cut - starts, pa.array(r.rise).filter(head)), "_falls": pa.array(some),
+        "_at": lists("_at", later, rb.column(seq).take(pa.array(at))), "_fired": lists("_fired", later, pa.array(fired)),
+    }
+    return pa.RecordBatch.from_arrays([made[c] for c in kinds.names], kinds.names)
+
+
 @dataclass(frozen=True)
 class RiseAlarm:
     """Alarm when a key's temperature keeps rising for ``interval`` seconds of event time, as a keyed operator.
@@ -182,15 +284,6 @@ class RiseAlarm:
         last = F.when(F.coalesce(F.col("_n"), F.lit(0)) == 0, F.lit(self.initial_last)).otherwise(F.col("_prev"))
         before = before.select(key, F.lit(None).cast(number).alias(seq), F.lit(None).cast("long").alias("_t"), last.alias("_v"), F.col("_b").alias(BLK), F.lit(0).alias("_own"))
 
-        def first_look(c: dict[str, list]) -> list[tuple]:
-            t, rise, fall = c["_t"], c["_rise"], c["_fall"]
-            if True not in fall:
-                m = TimerMap.of(t, rise, fall, interval)
-                return [(m.always, m.idle, m.bounds, m.outs, c[seq], t, rise, False, [], [])]
-            cut = fall.index(True) + 1
-            fired, left = replay(t, rise, fall, interval, None, cut)
-            return [(True, left, [], [], c[seq][:cut], t[:cut], rise[:cut], True, [c[seq][i] for i, _ in fired], [f for _, f in fired])]
-
         # as many tasks as there are partitions: the rows are few bytes, but each costs Python time
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         sort = [key, BLK, "_own", seq]
@@ -198,8 +291,14 @@ class RiseAlarm:
         prev = F.lag("_v").over(Window.partitionBy(key, BLK).orderBy("_own", seq))
         both = both.withColumn("_p", prev).where("_own = 1").select(
             key, BLK, seq, "_t", java_lt(F.col("_p"), F.col("_v")).alias("_rise"), java_lt(F.col("_v"), F.col("_p")).alias("_fall"))
-        maps = each_group(both, [key, BLK], first_look, f"{key} {kind}, {BLK} long, {_MAP_SQL}, _seq array<{number}>, _t array<long>, _rise array<boolean>, "
-                                                        f"_falls boolean, _at array<{number}>, _fired array<long>")
+        schema = f"{key} {kind}, {BLK} long, {_MAP_SQL}, _seq array<{number}>, _t array<long>, _rise array<boolean>, _falls boolean, _at array<{number}>, _fired array<long>"
+        kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+        def first_looks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rb, starts in whole_groups(batches, [key, BLK]):
+                yield _first_look(rb, starts, key, seq, interval, kinds)
+
+        maps = both.mapInArrow(first_looks, schema)
         maps = materialize(maps.withColumn(SUP, F.floor(F.col(BLK) / RISE_SUPER).cast("long")), "rise-maps")
 
         def composed(c: dict[str, list]) -> list[tuple]:

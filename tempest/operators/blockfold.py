@@ -42,6 +42,20 @@ def group_starts(batches: Iterator[pa.RecordBatch], group: Sequence[str]) -> Ite
         last = rb.slice(rb.num_rows - 1)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], group: Sequence[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The rows of batches sorted by ``group``, cut anew where a group ends, and the places at which groups begin."""
+    held: list[pa.RecordBatch] = []  # the last group so far
+    for rb, new in group_starts(batches, group):
+        cuts = np.flatnonzero(new)
+        if len(cuts) and (held or cuts[-1] > 0):
+            n = sum(x.num_rows for x in held)
+            yield pa.concat_batches([*held, rb.slice(0, cuts[-1])]), np.concatenate([[0] if n else [], n + cuts[:-1]]).astype(np.int64)
+            held = []
+        held.append(rb.slice(cuts[-1]) if len(cuts) else rb)
+    if held:
+        yield pa.concat_batches(held), np.zeros(1, np.int64)
+
+
 def each_block(df: DataFrame, group: Sequence[str], order: str, run: Callable[[pa.Table], pa.Table], schema: str | StructType) -> DataFrame:
     """``run`` on the rows of each ``group``, sorted by ``order``. Many small groups come in one Arrow batch, so a
     group costs a slice of it; a group over several batches is held until its end."""

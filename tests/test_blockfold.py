@@ -217,3 +217,48 @@ def test_rise_alarm_hands_on_a_row_per_block_and_not_per_record(spark, monkeypat
         left[k] = v, fire
     assert sorted((str(x.id), x.seq, x.fire_ts) for x in out.collect()) == sorted(want) and len(want) > 50
     assert {x.id: (x.last, x.fire) for x in state.collect()} == left
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_blocks_of_a_batch_are_looked_at_together(seed, monkeypatch):
+    """First looks give what a replay of each block by itself gives, without a Python call for each block with a fall."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    from tempest.operators import alarms
+    from tempest.operators.blockfold import whole_groups
+
+    r = random.Random(seed)
+    rows, seq = [], 0
+    for g in range(300):
+        t, kinds = 0, "rrrrrf=" if seed % 3 else "rf="
+        for _ in range(r.choice([1, 3, 40, 200]) if g % 50 else 2_000):
+            seq, t = seq + 1, t + r.randint(-2, 6)
+            kind = r.choice(kinds if g % 9 else "rrr=")
+            rows.append((None if g == 3 else f"k{g // 2}", g % 2, seq, None if r.random() < 0.02 else t, None if r.random() < 0.02 else kind == "r", kind == "f"))
+    t = pa.table(list(zip(*rows)), names=["id", "_blk", "seq", "_t", "_rise", "_fall"])
+    schema = to_arrow_schema(StructType.fromDDL("id string, _blk long, always boolean, idle long, bounds array<long>, outs array<long>, _seq array<long>, "
+                                                "_t array<long>, _rise array<boolean>, _falls boolean, _at array<long>, _fired array<long>"))
+    calls, plain = [], alarms.replay
+    monkeypatch.setattr(alarms, "replay", lambda *a: calls.append(1) or plain(*a))
+    got, batches = [], 0
+    for rb, starts in whole_groups(iter(t.to_batches(max_chunksize=1_000)), ["id", "_blk"]):
+        got += alarms._first_look(rb, starts, "id", "seq", 9, schema).to_pylist()
+        batches += 1
+    whole = len({(x[0], x[1]) for x in rows if x[5]})
+    assert len(calls) <= batches * alarms.FEW_RUNS and whole > 100
+    monkeypatch.undo()
+    groups = {}
+    for x in rows:
+        groups.setdefault(x[:2], []).append(x[2:])
+    assert [(x["id"], x["_blk"]) for x in got] == list(groups)
+    for x, own in zip(got, groups.values()):
+        at, ts, rise, fall = (list(c) for c in zip(*own))
+        cut = fall.index(True) + 1 if True in fall else len(at)
+        fired, left = plain(ts, rise, fall, 9, None, cut) if True in fall else ([], None)
+        assert (x["_seq"], x["_t"], x["_rise"], x["_falls"]) == (at[:cut], ts[:cut], [bool(v) for v in rise[:cut]], True in fall)
+        assert (x["_at"], x["_fired"]) == ([at[i] for i, _ in fired], [f for _, f in fired])
+        m = alarms.TimerMap.of(ts, rise, fall, 9)
+        assert (x["always"], x["idle"], x["bounds"], x["outs"]) == (m.always, m.idle, m.bounds, m.outs)
+        assert True not in fall or x["idle"] == left
