@@ -52,6 +52,8 @@ PERCENT = 75
 SMALL = 16
 #: Parts of an instance as a share of its largest size.
 PARTS = 0.18
+#: Rows of an Arrow batch: of documents or sets (some KB each), of blocks (up to 4 MB each), of pairs of chunks (some MB each).
+ROWS, BLOCK_ROWS, CHUNK_ROWS = 1000, 8, 2
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +130,7 @@ def shared_sets(docs: DataFrame, total: int, percent: int) -> DataFrame:
     def apply(rb: pa.RecordBatch, w: np.ndarray, at: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
         return _kept_sets(rb, "doc_id", np.diff(at), w, at, more, percent)
 
-    return screened(write_blocks(docs), items, apply, _SETS, total)
+    return screened(write_blocks(docs, batch_rows=ROWS), items, apply, _SETS, total)
 
 
 def _feats(rb: pa.RecordBatch) -> list[np.ndarray]:
@@ -148,7 +150,7 @@ def distinct_shared(sets: DataFrame, percent: int) -> DataFrame:
     def apply(rb: pa.RecordBatch, w: np.ndarray, at: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
         return _kept_sets(rb, "doc_id", rb.column("n").to_numpy(), w, at, more, percent)
 
-    return screened(pack_blocks(sets, "feats", name="set-blocks"), items, apply, _SETS, int(total))
+    return screened(pack_blocks(sets, "feats", name="set-blocks", batch_rows=ROWS), items, apply, _SETS, int(total))
 
 
 def signatures(n: int, feats: np.ndarray, percent: int) -> np.ndarray:
@@ -198,7 +200,7 @@ def _block_signatures(rb: pa.RecordBatch, percent: int, every: int) -> tuple[np.
 def _open_buckets(reps: DataFrame, comp: DataFrame, percent: int, every: int) -> DataFrame:
     """(sig, node, n, comp): the rows of signature buckets that hold several components (a superset)."""
     total = reps.agg(F.sum("n")).first()[0] or 0
-    blocks = pack_blocks(reps.join(comp, "node"), "feats", name="rep-blocks")
+    blocks = pack_blocks(reps.join(comp, "node"), "feats", name="rep-blocks", batch_rows=ROWS)
 
     def items(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         s, row = _block_signatures(rb, percent, every)
@@ -209,7 +211,7 @@ def _open_buckets(reps: DataFrame, comp: DataFrame, percent: int, every: int) ->
         return pa.RecordBatch.from_arrays([_signed(s[more]), *[rb.column(c).take(row) for c in ("node", "n", "comp")]], ["sig", "node", "n", "comp"])
 
     found = screened(blocks, items, apply, "sig long, node long, n long, comp long", max(1, total // every), tagged=True)
-    return materialize(found, "signatures")
+    return materialize(found, "signatures", BLOCK_ROWS)
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -258,7 +260,7 @@ def node_components(reps: DataFrame, percent: int) -> DataFrame:
                 "sig", F.col("l.comp").alias("lc"), F.col("l.node").alias("leader"), F.col("l.n").alias("ln"))
             cand = rows.join(lead, "sig").where("comp != lc").where(fits).groupBy("node", "leader").agg(F.count(F.lit(1)).alias("c"))
             best = cand.groupBy("node").agg(F.max_by("leader", F.struct("c", "leader")).alias("b")).select(F.col("node").alias("a"), "b")
-            links = materialize(_verified(best, reps, percent), "links")
+            links = materialize(_verified(best, reps, percent), "links", ROWS)
             if links.isEmpty():
                 break
             comp = _merge(comp, links)
@@ -293,7 +295,7 @@ def _rest_links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         t = t.sort_by("node").combine_chunks()
         return pa.table({"chunk": t["chunk"].slice(0, 1), "payload": pa.array([pack_table(t.to_batches()[0])], pa.binary())})
 
-    chunks = materialize(sets.groupBy("chunk").applyInArrow(pack, "chunk long, payload binary"), "chunks")
+    chunks = materialize(sets.groupBy("chunk").applyInArrow(pack, "chunk long, payload binary"), "chunks", ROWS)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
@@ -302,7 +304,7 @@ def _rest_links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
     both = pairs.join(chunks.withColumnRenamed("payload", "x"), "chunk").join(
         chunks.select(F.col("chunk").alias("with"), F.col("payload").alias("y")), "with")
-    return materialize(both.select("x", "y").mapInArrow(compare, "a long, b long"), "links")
+    return materialize(both.select("x", "y").mapInArrow(compare, "a long, b long"), "links", CHUNK_ROWS)
 
 
 def _chunk_links(x: pa.RecordBatch, y: pa.RecordBatch, percent: int) -> pa.RecordBatch:
@@ -337,7 +339,7 @@ def _chunk_links(x: pa.RecordBatch, y: pa.RecordBatch, percent: int) -> pa.Recor
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every document row."""
     d = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    sets = materialize(document_sets(d), "sets")
+    sets = materialize(document_sets(d), "sets", ROWS)
     full = sets.where("n_shingles > 0 and doc_id is not null")
     nodes = full.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("node"))
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
@@ -345,8 +347,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # one row for each node: documents that stand for their set (repeated ids may give several; any will do)
     stand = nodes.select("k1", "k2", "node").join(full.select("k1", "k2", F.col("doc_id").alias("node")).distinct(), ["k1", "k2", "node"])
     one = shared.join(stand.select(F.col("node").alias("doc_id"), "k1", "k2"), "doc_id")
-    sets_once = materialize(one.select("doc_id", "n", "feats"), "sets-once")
-    reps = materialize(distinct_shared(sets_once, percent).withColumnRenamed("doc_id", "node"), "reps")
+    sets_once = materialize(one.select("doc_id", "n", "feats"), "sets-once", BLOCK_ROWS)
+    reps = materialize(distinct_shared(sets_once, percent).withColumnRenamed("doc_id", "node"), "reps", BLOCK_ROWS)
     comp = node_components(reps, percent).select("node", "comp")
     named = nodes.join(comp, "node", "left").select("k1", "k2", "n_shingles", F.coalesce("comp", "node").alias("comp"))
     out = sets.join(named, ["k1", "k2", "n_shingles"], "left")

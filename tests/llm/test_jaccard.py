@@ -131,3 +131,45 @@ def test_chunks_give_the_links_of_different_components():
     finally:
         op4.SLICE = old
     assert want and set(got) == want
+
+
+def test_rows_of_many_kb_go_to_python_in_small_batches(spark, monkeypatch):
+    """Texts, sets, blocks and pairs of chunks are some KB to MB a row: ten thousand of them in an Arrow batch fill an
+    executor outside its heap. Parquet is read without the direct buffers that every reading thread keeps."""
+    from tempest import session
+    from tempest.llm import blocks, op4_ngram_jaccard
+
+    plain, seen = session.materialize, []
+
+    def spied(df, name, batch_rows=None):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        if "InArrow" in plan:
+            seen.append((name, batch_rows))
+        return plain(df, name, batch_rows)
+
+    monkeypatch.setattr(blocks, "materialize", spied)
+    monkeypatch.setattr(op4_ngram_jaccard, "materialize", spied)
+    text = [" ".join(f"w{(i // 4) * 100 + j + (i % 4) * (j == 50)}" for j in range(60)) for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in op4_ngram_jaccard.ngram_components(docs).collect()}
+    assert got == {i: i // 4 * 4 for i in range(40)}
+    assert len(seen) > 5 and all(n and n <= 1000 for _, n in seen)
+    assert all(n <= 8 for name, n in seen if name in ("sets-once", "reps", "signatures"))
+    assert spark.conf.get("parquet.hadoop.vectored.io.enabled") == "false"
+
+
+def test_materialize_bounds_batches_and_leaves_the_settings(spark):
+    import pyarrow as pa
+
+    from tempest.session import materialize
+
+    def sizes(batches):
+        for rb in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([rb.num_rows], pa.int64())], ["n"])
+
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf, "10000")
+    d = spark.range(100, numPartitions=1).mapInArrow(sizes, "n long")
+    assert max(r.n for r in materialize(d, "bounded", 7).collect()) == 7
+    assert spark.conf.get(conf, "10000") == before
+    assert [r.n for r in materialize(d, "plain").collect()] == [100]
