@@ -22,9 +22,14 @@ A document's set is its distinct 5-word shingles (64-bit hashes). Two documents
    other node is compared (exactly) with the leader it shares most buckets with; links merge components, and
    buckets inside one component are finished. Rounds go on while links are found, so a group of n near copies
    costs about n comparisons a round, not n².
-5. *Rest.* What is left in buckets with several components are mostly near misses. Their sets are cut into chunks of
-   ``CHUNK``; chunks that meet in some bucket are compared as a whole by a product of 0/1 matrices (exact counts),
-   and only links come out: no pair of sets is ever a row.
+5. *Rest.* What is left in buckets with several components are mostly near misses. Two sets that link do not share one
+   signature but many: so few differing shingles cannot spoil more cells. A set with fewer signatures in open buckets than
+   that is done, and of the others all but that many (the most frequent are left out) lead every link to a common bucket.
+   Sets that such buckets connect are a group; groups, one after the other, are cut into chunks of ``CHUNK`` sets. Within
+   chunks, and between chunks that meet in some bucket, the sets of a group are compared as a whole by a product of 0/1
+   matrices (exact counts), and only links come out: no pair of sets is ever a row.
+
+Tables of a step are removed when all that reads them is written.
 
 Edge cases: null or empty texts have empty sets (size 0, linked with nothing, their own component); 1-4 words
 are one shingle; a row with a null id links nothing and its component is null; repeated rows and ids share
@@ -37,14 +42,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempest.llm.blocks import pack_blocks, pack_table, unpack_table, write_blocks
 from tempest.llm.graph import components
 from tempest.llm.screen import screened
 from tempest.llm.textops import MULT, SPACE_WORD, mix, prefix_hash, span_hash, spans, text_steps, window_hash
-from tempest.session import materialize
+from tempest.session import discard, materialize
 
 WORDS = 5
 PERCENT = 75
@@ -115,8 +120,8 @@ def _kept_sets(rb: pa.RecordBatch, ids: str, n: np.ndarray, w: np.ndarray, at: n
 _SETS = "doc_id long, n long, feats binary"
 
 
-def shared_sets(docs: DataFrame, total: int, percent: int) -> DataFrame:
-    """docs (doc_id, text) → doc_id, n (size of its set), feats (its shared shingles) of the documents of
+def shared_sets(blocks: DataFrame, total: int, percent: int) -> DataFrame:
+    """blocks of documents (doc_id, text) → doc_id, n (size of its set), feats (its shared shingles) of the documents of
     which at least ``percent`` per cent of the shingles are shared with another document."""
 
     def items(rb: pa.RecordBatch) -> tuple[np.ndarray, None, np.ndarray]:
@@ -130,17 +135,16 @@ def shared_sets(docs: DataFrame, total: int, percent: int) -> DataFrame:
     def apply(rb: pa.RecordBatch, w: np.ndarray, at: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
         return _kept_sets(rb, "doc_id", np.diff(at), w, at, more, percent)
 
-    return screened(write_blocks(docs, batch_rows=ROWS), items, apply, _SETS, total)
+    return screened(blocks, items, apply, _SETS, total)
 
 
 def _feats(rb: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(f.as_buffer(), np.uint64) for f in rb.column("feats")]
 
 
-def distinct_shared(sets: DataFrame, percent: int) -> DataFrame:
-    """sets (doc_id, n, feats), one row per distinct set → the same of those that share enough shingles with
+def distinct_shared(blocks: DataFrame, total: int, percent: int) -> DataFrame:
+    """blocks of sets (doc_id, n, feats), one row per distinct set → the same of those that share enough shingles with
     *another set* (before, copies of a set vouched for each other)."""
-    total = sets.agg(F.sum(F.length("feats")) / 8).first()[0] or 0
 
     def items(rb: pa.RecordBatch) -> tuple[np.ndarray, None, np.ndarray]:
         feats = _feats(rb)
@@ -150,11 +154,15 @@ def distinct_shared(sets: DataFrame, percent: int) -> DataFrame:
     def apply(rb: pa.RecordBatch, w: np.ndarray, at: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
         return _kept_sets(rb, "doc_id", rb.column("n").to_numpy(), w, at, more, percent)
 
-    return screened(pack_blocks(sets, "feats", name="set-blocks", batch_rows=ROWS), items, apply, _SETS, int(total))
+    return screened(blocks, items, apply, _SETS, total)
 
 
-def signatures(n: int, feats: np.ndarray, percent: int) -> np.ndarray:
-    """PartEnum signatures of one set: its size n, its shared shingles."""
+def banded_signatures(n: int, feats: np.ndarray, percent: int) -> list[tuple[np.ndarray, int, int]]:
+    """PartEnum signatures of one set (its size n, its shared shingles): (signatures, band, need) of each instance that it
+    takes part in. A set that it links with there has at least ``need`` of these signatures too.
+
+    Where the empty subsets are not sent, a part with two or more cells in use has three signatures. A differing shingle
+    costs two of them, a second one in another cell the third; the least that ``spare`` shingles leave is ``need``."""
     out = []
     band = int(n).bit_length() - 1
     for b in (band, band + 1):
@@ -163,7 +171,7 @@ def signatures(n: int, feats: np.ndarray, percent: int) -> np.ndarray:
             break  # too small for a partner in the next band
         tag = np.uint64((b + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
         if top <= SMALL:
-            out.append(mix(feats + tag))
+            out.append((np.unique(mix(feats + tag)), b, -(-percent * n // 100)))  # the common shingles themselves
             continue
         partner = min(top, 100 * n // percent)
         spare = ((100 - percent) * (n + partner)) // (100 + percent) - (n - len(feats))
@@ -176,11 +184,21 @@ def signatures(n: int, feats: np.ndarray, percent: int) -> np.ndarray:
         np.add.at(sums, cell, mix(h))
         some = (np.bincount(cell, minlength=3 * n1) > 0).reshape(n1, 3)
         sums = sums.reshape(n1, 3)
-        certain = int((some.sum(1) >= 2).sum()) > spare // 2
+        full = int((some.sum(1) >= 2).sum())
+        certain = full > spare // 2
+        sigs = []
         for x, y in ((0, 1), (0, 2), (1, 2)):
             place = mix((np.arange(n1, dtype=np.uint64) * np.uint64(4) + np.uint64(x + y)) ^ tag)
             sig = mix(sums[:, x] + np.uint64(MULT) * sums[:, y] + place)
-            out.append(sig[some[:, x] | some[:, y]] if certain else sig)
+            sigs.append(sig[some[:, x] | some[:, y]] if certain else sig)
+        need = 3 * full - min(spare, full) - spare if certain else 1
+        out.append((np.unique(np.concatenate(sigs)), b, max(1, need)))
+    return out
+
+
+def signatures(n: int, feats: np.ndarray, percent: int) -> np.ndarray:
+    """All PartEnum signatures of one set."""
+    out = [s for s, _, _ in banded_signatures(n, feats, percent)]
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
@@ -189,29 +207,35 @@ FIRST_LOOK = 8
 
 
 def _block_signatures(rb: pa.RecordBatch, percent: int, every: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signatures of all sets of a block, row of each)."""
-    sigs = []
-    for n, f in zip(rb.column("n").to_pylist(), _feats(rb)):
-        s = signatures(n, f, percent)
-        sigs.append(s if every == 1 else s[mix(s) % np.uint64(every) == 0])
-    return np.concatenate([np.zeros(0, np.uint64), *sigs]), np.repeat(np.arange(len(sigs)), [len(s) for s in sigs])
+    """(signatures of all sets of a block; for each its row and its instance: need · 64 + band)."""
+    sigs, rows, insts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, (n, f) in enumerate(zip(rb.column("n").to_pylist(), _feats(rb))):
+        for s, band, need in banded_signatures(n, f, percent):
+            s = s if every == 1 else s[mix(s) % np.uint64(every) == 0]
+            sigs.append(s)
+            rows.append(np.full(len(s), i))
+            insts.append(np.full(len(s), need << 6 | band))
+    return np.concatenate(sigs), np.stack([np.concatenate(rows), np.concatenate(insts)])
 
 
 def _open_buckets(reps: DataFrame, comp: DataFrame, percent: int, every: int) -> DataFrame:
-    """(sig, node, n, comp): the rows of signature buckets that hold several components (a superset)."""
+    """(sig, node, n, comp, inst): the rows of signature buckets that hold several components (a superset)."""
     total = reps.agg(F.sum("n")).first()[0] or 0
     blocks = pack_blocks(reps.join(comp, "node"), "feats", name="rep-blocks", batch_rows=ROWS)
 
     def items(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        s, row = _block_signatures(rb, percent, every)
-        return s, rb.column("comp").to_numpy()[row], row
+        s, place = _block_signatures(rb, percent, every)
+        return s, rb.column("comp").to_numpy()[place[0]], place
 
-    def apply(rb: pa.RecordBatch, s: np.ndarray, owner: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-        row = pa.array(owner[more])
-        return pa.RecordBatch.from_arrays([_signed(s[more]), *[rb.column(c).take(row) for c in ("node", "n", "comp")]], ["sig", "node", "n", "comp"])
+    def apply(rb: pa.RecordBatch, s: np.ndarray, place: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        row = pa.array(place[0][more])
+        return pa.RecordBatch.from_arrays([_signed(s[more]), *[rb.column(c).take(row) for c in ("node", "n", "comp")], pa.array(place[1][more])],
+                                          ["sig", "node", "n", "comp", "inst"])
 
-    found = screened(blocks, items, apply, "sig long, node long, n long, comp long", max(1, total // every), tagged=True)
-    return materialize(found, "signatures", BLOCK_ROWS)
+    found = screened(blocks, items, apply, "sig long, node long, n long, comp long, inst long", max(1, total // every), tagged=True)
+    out = materialize(found, "signatures", BLOCK_ROWS)
+    discard(blocks)
+    return out
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -238,14 +262,22 @@ def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
     edges = links.join(to, "a").join(on, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
     moved = components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
     out = comp.join(moved, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
-    return materialize(out, "components")
+    out = materialize(out, "components")
+    discard(comp, links)
+    return out
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """The rows of buckets with more than one component, with the size of their bucket."""
+    mixed = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return rows.join(mixed.where("lo != hi").select("sig", "size"), "sig")
 
 
 def _still_open(rows: DataFrame, comp: DataFrame) -> DataFrame:
     """``rows`` with the components of now, of the buckets with more than one."""
-    rows = rows.select("sig", "node", "n").join(comp, "node")
-    mixed = rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("sig")
-    return materialize(rows.join(mixed, "sig").select("sig", "node", "n", "comp"), "signatures")
+    out = materialize(_several(rows.drop("comp", "size").join(comp, "node")), "signatures")
+    discard(rows)
+    return out
 
 
 def node_components(reps: DataFrame, percent: int) -> DataFrame:
@@ -254,6 +286,8 @@ def node_components(reps: DataFrame, percent: int) -> DataFrame:
     fits = "100 * least(n, ln) >= {0} * greatest(n, ln)".format(percent)
     rows = None
     for every in (FIRST_LOOK, 1):
+        if rows is not None:
+            discard(rows)
         rows = _open_buckets(reps, comp, percent, every)
         while True:
             lead = rows.groupBy("sig").agg(F.min(F.struct("comp", "node", "n")).alias("l")).select(
@@ -266,6 +300,7 @@ def node_components(reps: DataFrame, percent: int) -> DataFrame:
             comp = _merge(comp, links)
             rows = _still_open(rows, comp)
     links = _rest_links(rows, reps, percent)
+    discard(rows)
     return comp if links.isEmpty() else _merge(comp, links)
 
 
@@ -275,24 +310,47 @@ CHUNK = 1024
 SLICE = 4096
 
 
-def _rest_links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The links between sets of different components that share an open bucket, compared chunk by chunk.
+def _hopeful(rows: DataFrame) -> DataFrame:
+    """(sig, node, n, comp, size, first) of ``rows`` (those of open buckets) by which all links between components can still
+    be found: sets that link share at least ``need`` signatures of an instance, all in open buckets. So a set with fewer there
+    links with nothing; of the others' signatures, ordered from the rarest, the first that two such sets share is not among
+    the last need - 1. size, first: sets of the bucket that is left, and their smallest node."""
+    own = Window.partitionBy("node", "n", "inst")
+    ranked = rows.withColumn("m", F.count(F.lit(1)).over(own)).withColumn("rank", F.row_number().over(own.orderBy("size", "sig")))
+    some = materialize(ranked.where("rank <= m - shiftright(inst, 6) + 1").select("sig", "node", "n", "comp"), "prefixes")
+    buckets = some.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    out = materialize(some.join(buckets.where("lo != hi").drop("lo", "hi"), "sig"), "signatures")
+    discard(some)
+    return out
 
-    Sets are ordered by their largest bucket, so that those which share many stand together, and cut into chunks. Two
-    chunks are compared if some bucket has members in both: one product of 0/1 matrices gives all their
-    intersections. Pairs of chunks travel, not pairs of sets, and only links come out."""
-    sizes = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
-    key = rows.join(sizes, "sig").groupBy("node", "n", "comp").agg(F.max(F.struct("size", "sig")).alias("k"))
+
+def _chunk_pairs(near: DataFrame, placed: DataFrame) -> DataFrame:
+    """(chunk, with): each chunk with itself, and with those in which a bucket of its sets has members too."""
+    # most groups lie in one chunk; the buckets of the others have members in a few sets of chunks
+    cut = placed.groupBy("grp").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).where("lo != hi").select("grp")
+    meet = near.select("sig", "node").join(placed.join(cut, "grp").select("node", "chunk"), "node").select("sig", "chunk").distinct()
+    together = meet.groupBy("sig").agg(F.array_sort(F.collect_list("chunk")).alias("c")).where("size(c) > 1").select("c").distinct()
+    cross = together.select("c", F.explode("c").alias("chunk")).select("chunk", F.explode("c").alias("with")).where("chunk < with")
+    return cross.unionByName(placed.select("chunk", F.col("chunk").alias("with"))).distinct()
+
+
+def _rest_links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The links between sets of different components that share an open bucket, compared group by group.
+
+    Only the buckets of ``_hopeful`` count. Sets that they connect stand together (within a group by their largest bucket)
+    and are cut into chunks. Two chunks are compared if some bucket has members in both, group by group: a product of 0/1
+    matrices gives all intersections. Pairs of chunks travel, not pairs of sets, and only links come out."""
+    near = _hopeful(rows if "size" in rows.columns else _several(rows))
+    group = components(near.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()).select("node", F.col("comp").alias("grp"))
+    key = materialize(near.groupBy("node", "n", "comp").agg(F.max(F.struct("size", "sig")).alias("k")).join(group, "node"), "keys")
     parts = max(1, -(-key.count() // (64 * CHUNK)))
-    order = ["k", "n", "node"]
+    order = ["grp", "k", "n", "node"]
     placed = materialize(key.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(
-        "node", "n", "comp", F.floor(F.monotonically_increasing_id() / CHUNK).alias("chunk")), "rest")
-    meet = rows.select("sig", "node").join(placed.select("node", "chunk"), "node").select("sig", "chunk").distinct()
-    pairs = meet.join(meet.select("sig", F.col("chunk").alias("with")), "sig").where("chunk <= with").select("chunk", "with").distinct()
+        "node", "n", "comp", "grp", F.floor(F.monotonically_increasing_id() / CHUNK).alias("chunk")), "rest")
     sets = placed.join(reps.select("node", "feats"), "node")
 
     def pack(t: pa.Table) -> pa.Table:
-        t = t.sort_by("node").combine_chunks()
+        t = t.sort_by([("grp", "ascending"), ("node", "ascending")]).combine_chunks()
         return pa.table({"chunk": t["chunk"].slice(0, 1), "payload": pa.array([pack_table(t.to_batches()[0])], pa.binary())})
 
     chunks = materialize(sets.groupBy("chunk").applyInArrow(pack, "chunk long, payload binary"), "chunks", ROWS)
@@ -300,11 +358,28 @@ def _rest_links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             for x, y in zip(rb.column("x"), rb.column("y")):
-                yield _chunk_links(unpack_table(x.as_py()), unpack_table(y.as_py()), percent)
+                yield from _group_links(unpack_table(x.as_py()), unpack_table(y.as_py()), percent)
 
-    both = pairs.join(chunks.withColumnRenamed("payload", "x"), "chunk").join(
+    both = _chunk_pairs(near, placed).join(chunks.withColumnRenamed("payload", "x"), "chunk").join(
         chunks.select(F.col("chunk").alias("with"), F.col("payload").alias("y")), "with")
-    return materialize(both.select("x", "y").mapInArrow(compare, "a long, b long"), "links", CHUNK_ROWS)
+    links = materialize(both.select("x", "y").mapInArrow(compare, "a long, b long"), "links", CHUNK_ROWS)
+    discard(near, key, placed, chunks)
+    return links
+
+
+def _group_links(x: pa.RecordBatch, y: pa.RecordBatch, percent: int) -> Iterator[pa.RecordBatch]:
+    """``_chunk_links`` of the sets of each group (grp, by which both are ordered) that is in both chunks."""
+
+    def groups(rb: pa.RecordBatch) -> dict[int, pa.RecordBatch]:
+        g = rb.column("grp").to_numpy()
+        cut = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1], [True])))
+        return {int(g[a]): rb.slice(a, b - a) for a, b in zip(cut[:-1], cut[1:])}
+
+    gx, gy = groups(x), groups(y)
+    for g in gx.keys() & gy.keys():
+        found = _chunk_links(gx[g], gy[g], percent)
+        if found.num_rows:
+            yield found
 
 
 def _chunk_links(x: pa.RecordBatch, y: pa.RecordBatch, percent: int) -> pa.RecordBatch:
@@ -343,13 +418,20 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     full = sets.where("n_shingles > 0 and doc_id is not null")
     nodes = full.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("node"))
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    shared = shared_sets(d, total, percent)
+    blocks = write_blocks(d, batch_rows=ROWS)
+    shared = shared_sets(blocks, total, percent)
     # one row for each node: documents that stand for their set (repeated ids may give several; any will do)
     stand = nodes.select("k1", "k2", "node").join(full.select("k1", "k2", F.col("doc_id").alias("node")).distinct(), ["k1", "k2", "node"])
     one = shared.join(stand.select(F.col("node").alias("doc_id"), "k1", "k2"), "doc_id")
     sets_once = materialize(one.select("doc_id", "n", "feats"), "sets-once", BLOCK_ROWS)
-    reps = materialize(distinct_shared(sets_once, percent).withColumnRenamed("doc_id", "node"), "reps", BLOCK_ROWS)
-    comp = node_components(reps, percent).select("node", "comp")
+    discard(blocks)
+    shingles = sets_once.agg(F.sum(F.length("feats")) / 8).first()[0] or 0
+    blocks = pack_blocks(sets_once, "feats", name="set-blocks", batch_rows=ROWS)
+    discard(sets_once)
+    reps = materialize(distinct_shared(blocks, int(shingles), percent).withColumnRenamed("doc_id", "node"), "reps", BLOCK_ROWS)
+    discard(blocks)
+    comp = materialize(node_components(reps, percent).select("node", "comp"), "components")
+    discard(reps)
     named = nodes.join(comp, "node", "left").select("k1", "k2", "n_shingles", F.coalesce("comp", "node").alias("comp"))
     out = sets.join(named, ["k1", "k2", "n_shingles"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("doc_id")))

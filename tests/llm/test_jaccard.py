@@ -1,12 +1,14 @@
 import itertools
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from tempest.llm import op4_ngram_jaccard as op4
 from tempest.llm.graph import components
+from tempest.session import checkpoint_dir
 
 from .conftest import odd_rows
 
@@ -173,3 +175,59 @@ def test_materialize_bounds_batches_and_leaves_the_settings(spark):
     assert max(r.n for r in materialize(d, "bounded", 7).collect()) == 7
     assert spark.conf.get(conf, "10000") == before
     assert [r.n for r in materialize(d, "plain").collect()] == [100]
+
+
+def test_links_share_as_many_signatures_as_needed():
+    r = np.random.default_rng(11)
+    linked = most = 0
+    for _ in range(1500):
+        n = int(r.integers(1, 600))
+        a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+        out = int(r.integers(0, max(1, int(0.27 * n)) + 1))
+        extra = int(r.integers(0, max(1, int(0.33 * n)) + 1)) if r.random() < 0.5 else 0
+        b = np.unique(np.concatenate([a[out:], r.integers(0, 1 << 63, extra).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if not both or 100 * both < 75 * (len(a) + len(b) - both):
+            continue
+        linked += 1
+        shared = np.intersect1d(a, b)
+        for x, y in ((a, b), (shared, shared), (a, shared), (shared, b)):
+            got = [{band: (s, need) for s, band, need in op4.banded_signatures(len(f), g, 75)} for f, g in ((a, x), (b, y))]
+            band = max(len(a).bit_length(), len(b).bit_length()) - 1  # the instance of the larger
+            (sa, na), (sb, nb) = got[0][band], got[1][band]
+            assert len(np.intersect1d(sa, sb)) >= max(na, nb), (len(a), len(b), both)
+            most = max(most, na, nb)
+    assert linked > 300 and most > 50
+
+
+def test_near_misses_of_many_groups_are_not_all_compared(spark, monkeypatch):
+    """Sixty groups of near misses that have single words and a passage in common: chunks are compared within a group and
+    not each with each, so their number grows with the table. What is done with is removed on the way."""
+    from tempest.llm import op4_ngram_jaccard
+
+    r = random.Random(3)
+    passage = " ".join(f"p{k}" for k in range(9))
+    texts = []
+    for g in range(60):
+        base = [f"g{g}w{k}" for k in range(300)]
+        for _ in range(6):  # two of them differ in more shingles than a link may
+            ws = list(base)
+            for at in r.sample(range(0, 300, 5), 12):
+                ws[at] = f"x{r.randrange(8)}"
+            texts.append(passage + " " + " ".join(ws))
+    docs = list(enumerate(texts))
+    seen, plain = [], op4_ngram_jaccard._chunk_pairs
+
+    def spied(near, placed):
+        seen.extend([placed.select("chunk").distinct().count(), plain(near, placed).count()])
+        return plain(near, placed)
+
+    monkeypatch.setattr(op4_ngram_jaccard, "_chunk_pairs", spied)
+    monkeypatch.setattr(op4_ngram_jaccard, "CHUNK", 6)
+    folder = Path(checkpoint_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    got = op4_ngram_jaccard.ngram_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert sorted(tuple(x) for x in got.collect()) == brute(docs)
+    assert not left & {"blocks", "sets-once", "set-blocks", "rep-blocks", "reps", "signatures", "chunks"}
+    assert seen[0] >= 30 and seen[1] <= 3 * seen[0]
