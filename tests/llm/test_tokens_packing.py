@@ -131,3 +131,40 @@ def test_queries_read_the_whole_table(spark):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     assert op3.op3_token_counts(spark, sf).count() == n
     assert op2.op2_packing(spark, sf).select(F.countDistinct("doc_id")).first()[0] == n
+
+
+def test_counted_best_fit_is_best_fit():
+    r = random.Random(8)
+    for capacity, n in ((10, 300), (60, 2000), (2048, 500), (2048, 5000)):
+        sizes = np.array([r.choice((r.randint(1, capacity - 1), capacity // 2 + 1, capacity // 3)) for _ in range(n)])
+        runs = op2.best_fit_counted({int(s): int(c) for s, c in zip(*np.unique(sizes, return_counts=True))}, capacity)
+        bins = {}
+        for size, rank, k, per, b, place in runs.tolist():
+            for i in range(k):
+                bins.setdefault(b + i, []).extend((place + j * size, size) for j in range(per))
+        assert sorted(s for x in bins.values() for _, s in x) == sorted(sizes.tolist())
+        for x in bins.values():
+            ends = np.cumsum([s for _, s in sorted(x)])
+            assert [o for o, _ in sorted(x)] == [0, *ends[:-1]] and ends[-1] <= capacity
+        assert sorted(sum(s for _, s in x) for x in bins.values()) == sorted(op2.best_fit(sizes, capacity)[2].tolist())
+
+
+def test_every_underfull_bin_travels(spark):
+    """Bins that no node can fill go up to the root all the same, more of them than one node takes."""
+    up = op2._pack(np.arange(30_000), np.full(30_000, 1500), 0, 2048, 8, False)
+    assert sum(up.column("up").to_pylist()) == 30_000  # 20,000 once
+    sizes = [1100 + i % 7 for i in range(400)] + [500 + i % 90 for i in range(23)]  # long ones, then the few that fit with them
+    rows = [(i, 0, 0, s, 0, i) for i, s in enumerate(sizes)]
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
+    d = materialize(spark.createDataFrame(rows, schema).repartitionByRange(9, "uid"), "t")
+    for group in (20, 40, 1000):
+        got = op2.pack(d, group_items=group, fan_in=3).collect()
+        assert sorted(x.length for x in got) == sorted(sizes)
+        seqs = {}
+        for x in got:
+            seqs.setdefault(x.sequence_id, []).append((x.offset, x.length))
+        for places in seqs.values():
+            ends = np.cumsum([n for _, n in sorted(places)])
+            assert [o for o, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 2048
+        assert len(seqs) <= 408
+        assert any(x.sequence_id < 0 for x in got) == (group < 400)  # 1000 are one node
