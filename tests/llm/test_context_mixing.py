@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -112,3 +113,48 @@ def test_spelling_weights_are_those_of_every_word_type(spark):
             loss[i] += np.logaddexp(0, np.where(bit == 1, -z, z)).sum()
     # nearly flat at the weights found, on every type
     assert np.abs(grads[1] - op5.RIDGE * (m.w - start)).max() < 0.01 * np.abs(grads[0]).max() and loss[1] < loss[0]
+
+
+def test_the_words_before_a_word_change_its_cost(spark):
+    """Texts in which every word has its few followers, against the same words in any order."""
+    r = random.Random(4)
+    vocab = [f"w{k}" for k in range(400)]
+    after = {w: r.sample(vocab, 3) for w in vocab}
+
+    def text(n):
+        out = [r.choice(vocab)]
+        while len(out) < n:
+            out.append(r.choice(after[out[-1]]))
+        return out
+
+    fit = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 != 1][:600]
+    held = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 5 == 1][:60]
+    rows = [(i, " ".join(text(90))) for i in fit]
+    for a, b in zip(held[::2], held[1::2]):
+        ws = text(90)
+        rows += [(a, " ".join(ws)), (b, " ".join(r.sample(ws, len(ws))))]
+    got = {x.doc_id: x.score for x in op5.context_mixing(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[b] for b in held[1::2]) < 1.1 * sum(got[a] for a in held[::2]) < 0
+
+
+def test_which_token_is_a_code(spark):
+    """Over a closed vocabulary the chances of every next token sum to one: what followed, other seen tokens, known ones."""
+    buf, off = text_buffer(pa.array(["a b c a b a"] * 2))
+    tk = op5.tokens(buf, off)
+    e = op5.expected(tk)
+    got = {(int(tk["doc"][i]), int(tk["t"][i])): (bool(h), int(c)) for i, h, c in zip(e["i"], e["hit"], e["count"])}
+    # after the second "a": "b", had once; after the second "b": "c", had once; after the third "a": "b", had twice
+    assert got == {(d, t): x for d in (0, 1) for t, x in {4: (True, 1), 5: (False, 1), 6: (False, 2)}.items()}
+    r = np.random.default_rng(3)
+    counts = r.integers(0, 60, (1 << op5.NEXT_BITS, 2)).astype(np.float32)
+    table, w = op5.next_table(counts), r.normal(size=(op5.CODE + 1, op5.NEXT_K + 1))
+    vocab = [f"v{k}" for k in range(30_000)]
+    buf, off = text_buffer(pa.array([f"x y {v}" for v in vocab]))
+    tk = op5.tokens(buf, off)
+    bits = np.zeros(len(tk["doc"]))
+    for g, (slots, i, y) in enumerate(op5.next_decisions(tk, op5.expected(tk))):
+        z = w[g] @ op5._next_inputs(table, slots, y, np.zeros(len(y), bool))
+        bits[i] -= np.logaddexp(0, np.where(y, -z, z))
+    third = tk["t"] == 2
+    one = dict(zip(op5.codes(tk["h"][third]).tolist(), bits[third].tolist()))
+    assert len(one) > 0.99 * (1 << op5.CODE) and sum(math.exp(x) for x in one.values()) == pytest.approx(1, abs=0.01)
