@@ -26,7 +26,7 @@ A document's set is its distinct 5-word shingles (64-bit hashes). Two documents
    signature but many: so few differing shingles cannot spoil more cells. A set with fewer signatures in open buckets than
    that is done, and of the others all but that many (the most frequent are left out) lead every link to a common bucket.
    Sets that such buckets connect are a group; groups, one after the other, are cut into chunks of ``CHUNK`` sets. Within
-   chunks, and between chunks that meet in some bucket, the sets of a group are compared as a whole by a product of 0/1
+   chunks, and between those that a group goes through, the sets of a group are compared as a whole by a product of 0/1
    matrices (exact counts), and only links come out: no pair of sets is ever a row.
 
 Tables of a step are removed when all that reads them is written.
@@ -324,21 +324,17 @@ def _hopeful(rows: DataFrame) -> DataFrame:
     return out
 
 
-def _chunk_pairs(near: DataFrame, placed: DataFrame) -> DataFrame:
-    """(chunk, with): each chunk with itself, and with those in which a bucket of its sets has members too."""
-    # most groups lie in one chunk; the buckets of the others have members in a few sets of chunks
-    cut = placed.groupBy("grp").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).where("lo != hi").select("grp")
-    meet = near.select("sig", "node").join(placed.join(cut, "grp").select("node", "chunk"), "node").select("sig", "chunk").distinct()
-    together = meet.groupBy("sig").agg(F.array_sort(F.collect_list("chunk")).alias("c")).where("size(c) > 1").select("c").distinct()
-    cross = together.select("c", F.explode("c").alias("chunk")).select("chunk", F.explode("c").alias("with")).where("chunk < with")
-    return cross.unionByName(placed.select("chunk", F.col("chunk").alias("with"))).distinct()
+def _chunk_pairs(placed: DataFrame) -> DataFrame:
+    """(chunk, with): the pairs of chunks that have sets of one group (most groups lie in one chunk, with itself)."""
+    at = placed.select("grp", "chunk").distinct()
+    return at.join(at.select("grp", F.col("chunk").alias("with")), "grp").where("chunk <= with").select("chunk", "with").distinct()
 
 
 def _rest_links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The links between sets of different components that share an open bucket, compared group by group.
 
     Only the buckets of ``_hopeful`` count. Sets that they connect stand together (within a group by their largest bucket)
-    and are cut into chunks. Two chunks are compared if some bucket has members in both, group by group: a product of 0/1
+    and are cut into chunks. Two chunks are compared if a group has members in both, group by group: a product of 0/1
     matrices gives all intersections. Pairs of chunks travel, not pairs of sets, and only links come out."""
     near = _hopeful(rows if "size" in rows.columns else _several(rows))
     group = components(near.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()).select("node", F.col("comp").alias("grp"))
@@ -360,7 +356,7 @@ def _rest_links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             for x, y in zip(rb.column("x"), rb.column("y")):
                 yield from _group_links(unpack_table(x.as_py()), unpack_table(y.as_py()), percent)
 
-    both = _chunk_pairs(near, placed).join(chunks.withColumnRenamed("payload", "x"), "chunk").join(
+    both = _chunk_pairs(placed).join(chunks.withColumnRenamed("payload", "x"), "chunk").join(
         chunks.select(F.col("chunk").alias("with"), F.col("payload").alias("y")), "with")
     links = materialize(both.select("x", "y").mapInArrow(compare, "a long, b long"), "links", CHUNK_ROWS)
     discard(near, key, placed, chunks)

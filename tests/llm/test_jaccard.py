@@ -218,9 +218,9 @@ def test_near_misses_of_many_groups_are_not_all_compared(spark, monkeypatch):
     docs = list(enumerate(texts))
     seen, plain = [], op4_ngram_jaccard._chunk_pairs
 
-    def spied(near, placed):
-        seen.extend([placed.select("chunk").distinct().count(), plain(near, placed).count()])
-        return plain(near, placed)
+    def spied(placed):
+        seen.extend([placed.select("chunk").distinct().count(), plain(placed).count()])
+        return plain(placed)
 
     monkeypatch.setattr(op4_ngram_jaccard, "_chunk_pairs", spied)
     monkeypatch.setattr(op4_ngram_jaccard, "CHUNK", 6)
